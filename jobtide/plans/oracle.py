@@ -70,3 +70,230 @@ SELECT series, period, value FROM dense
 UNION ALL
 SELECT 'total_demand' AS series, period, CAST(sum(value) AS DOUBLE) AS value FROM dense GROUP BY period
 """
+
+
+# --- preparation -------------------------------------------------------------
+
+# Proxy preparation settings shared by the Spark queries and the SQL below.
+PROXY_KEYWORD = "o"
+PROXY_LO = "1995-03-01"
+PROXY_HI = "2001-06-30"
+
+RAW_CTE = """
+lia AS (
+  SELECT l_orderkey, max(l_shipdate) AS last_ship, min(l_shipdate) AS first_ship,
+         sum(l_quantity) AS qty, count(*) AS n_lines,
+         min(l_partkey) AS first_part
+  FROM lineitem GROUP BY l_orderkey),
+rawj AS (
+  SELECT o.*, lia.*, c.*, n.*, p.*,
+         CAST(trunc(coalesce(lia.qty, 0.0)) AS BIGINT) AS q, o.o_orderkey % 10 AS form
+  FROM orders o
+  LEFT JOIN lia ON o.o_orderkey = lia.l_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN part p ON lia.first_part = p.p_partkey),
+raw AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS vacancy_id, p_name AS title,
+    CASE form WHEN 0 THEN CAST(q AS VARCHAR)
+      WHEN 1 THEN 'от ' || CAST(q % 7 + 1 AS VARCHAR) || ' до ' || CAST(q % 11 + 8 AS VARCHAR)
+      WHEN 2 THEN 'от ' || CAST(q % 20 AS VARCHAR)
+      WHEN 3 THEN 'до ' || CAST(q % 9 + 1 AS VARCHAR)
+      WHEN 4 THEN NULL
+      WHEN 5 THEN CAST(q % 6 AS VARCHAR) || '.9'
+      WHEN 6 THEN 'abc'
+      WHEN 7 THEN CAST(q * 400 AS VARCHAR)
+      WHEN 8 THEN '-' || CAST(q % 3 AS VARCHAR)
+      ELSE ' ' || CAST(q % 5 + 1 AS VARCHAR) || 'e1 ' END AS work_places,
+    CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS industry,
+    strftime(o_orderdate, '%Y-%m-%d') AS date_creation,
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN '1' ELSE '0' END
+      AS date_creation_mistake,
+    strftime(first_ship, '%Y-%m-%d') AS date_posted,
+    '0' AS date_posted_mistake,
+    CASE WHEN o_orderstatus <> 'O' THEN strftime(last_ship, '%Y-%m-%d') END AS date_inactivation,
+    CASE WHEN o_orderstatus = 'O' THEN strftime(last_ship, '%Y-%m-%d') END AS date_last_updated,
+    strftime(o_orderdate, '%Y-%m-%d') AS date_modify_inner_info,
+    '0' AS date_modify_inner_info_mistake,
+    o_orderpriority AS employment_type,
+    o_orderstatus AS education_requirements_education_type,
+    n_name AS region, p_type AS profession, c_name AS organization,
+    CAST(o_totalprice AS VARCHAR) AS base_salary_min,
+    CAST(c_acctbal AS VARCHAR) AS base_salary_max,
+    CAST(n_lines AS VARCHAR) AS experience_requirements
+  FROM rawj)"""
+
+_RANGE = r"от\s+(\d+)\s+до\s+(\d+)"
+_FROM = r"от\s+(\d+)"
+
+
+def weight_sql(x: str) -> str:
+    """FN-01 in SQL."""
+    num = f"TRY_CAST(trim({x}) AS DOUBLE)"
+    return f"""CASE WHEN {x} IS NULL THEN 1
+  WHEN contains({x}, 'до') AND regexp_matches({x}, '{_RANGE}')
+    THEN (CAST(regexp_extract({x}, '{_RANGE}', 1) AS BIGINT)
+          + CAST(regexp_extract({x}, '{_RANGE}', 2) AS BIGINT)) // 2
+  WHEN NOT contains({x}, 'до') AND contains({x}, 'от') AND regexp_matches({x}, '{_FROM}')
+    THEN CAST(regexp_extract({x}, '{_FROM}', 1) AS BIGINT)
+  WHEN isfinite({num}) AND {num} >= 1 THEN CAST(least(floor({num}), 10000) AS BIGINT)
+  ELSE 1 END"""
+
+
+def ts_sql(x: str) -> str:
+    """FN-08 in SQL (same format list)."""
+    fmts = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d",
+            "%d.%m.%Y %H:%M:%S", "%d.%m.%Y"]
+    return "coalesce(" + ", ".join(f"try_strptime({x}, '{f}')" for f in fmts) + ")"
+
+
+_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+          "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def nulls_sql(x: str) -> str:
+    lst = ", ".join("'" + v + "'" for v in _NULLS)
+    return f"CASE WHEN {x} IN ({lst}) THEN NULL ELSE {x} END"
+
+
+DATES = (("date_creation", "date_creation_mistake"), ("date_posted", "date_posted_mistake"),
+         ("date_inactivation", None), ("date_last_updated", None),
+         ("date_modify_inner_info", "date_modify_inner_info_mistake"))
+CATS = ("industry", "employment_type", "education_requirements_education_type", "region",
+        "profession", "organization")
+NUMS = ("base_salary_min", "base_salary_max", "experience_requirements")
+
+
+def _base_cte() -> str:
+    """Title filter, null markers, weight, dates and parts, categories filled."""
+    cols = ["vacancy_id", "title", f"{weight_sql(nulls_sql('work_places'))} AS work_places"]
+    for c in CATS:
+        cols.append(f"coalesce({nulls_sql(c)}, 'Unknown') AS {c}")
+    for c in NUMS:
+        cols.append(f"TRY_CAST(trim(replace({nulls_sql(c)}, '_', '')) AS DOUBLE) AS {c}_num")
+    for d, flag in DATES:
+        txt = nulls_sql(d)
+        if flag:
+            txt = f"CASE WHEN {nulls_sql(flag)} = '1' THEN NULL ELSE {txt} END"
+        cols.append(f"{ts_sql(txt)} AS {d}_processed")
+    sel = ",\n    ".join(cols)
+    parts = []
+    for d, _ in DATES:
+        parts += [f"year({d}_processed) AS {d}_year", f"month({d}_processed) AS {d}_month",
+                  f"quarter({d}_processed) AS {d}_quarter"]
+    return f"""
+base0 AS (
+  SELECT {sel}
+  FROM raw WHERE contains(lower(title), '{PROXY_KEYWORD}')),
+base AS (SELECT *, {', '.join(parts)} FROM base0),
+g AS (SELECT avg(work_places) AS gm FROM base)"""
+
+
+def _cat_features() -> list[str]:
+    return [f"{d}_{p}" for d, _ in DATES for p in ("year", "month", "quarter")] + list(CATS)
+
+
+def _bins_cte() -> str:
+    """AGG-04/05: fence, median fill, quantile edges, bin index per numeric feature."""
+    q = ", ".join(f"quantile_cont({c}_num, 0.25) AS {c}_q1, quantile_cont({c}_num, 0.75) AS {c}_q3"
+                  for c in NUMS)
+    clip = ", ".join(
+        f"CASE WHEN {c}_num IS NULL THEN NULL "
+        f"WHEN {c}_num < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) THEN {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) "
+        f"WHEN {c}_num > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) THEN {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) "
+        f"ELSE {c}_num END AS {c}_clip" for c in NUMS)
+    med = ", ".join(f"quantile_cont({c}_clip, 0.5) AS {c}_med" for c in NUMS)
+    fill = ", ".join(f"coalesce({c}_clip, {c}_med) AS {c}" for c in NUMS)
+    probs = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+    edges = ", ".join(f"list_sort(list_distinct(quantile_cont({c}, {probs}))) AS {c}_edges"
+                      for c in NUMS)
+    bins = ", ".join(
+        f"CASE WHEN len({c}_edges) >= 2 THEN "
+        f"greatest(len(list_filter({c}_edges, lambda e: e < {c})) - 1, 0) END AS {c}_bin"
+        for c in NUMS)
+    return f"""
+qs AS (SELECT {q} FROM base),
+clipped AS (SELECT base.*, {clip} FROM base, qs),
+meds AS (SELECT {med} FROM clipped),
+filled AS (SELECT clipped.*, {fill} FROM clipped, meds),
+edges AS (SELECT {edges} FROM filled),
+binned AS (SELECT filled.*, {bins} FROM filled, edges)"""
+
+
+def _maps_cte() -> str:
+    """One stacked relation for every encoding: (feature, key, n, mean, enc)."""
+    parts = [f"SELECT '{f}' AS feature, coalesce(CAST({f} AS VARCHAR), 'Unknown') AS key, "
+             f"work_places AS t FROM binned" for f in _cat_features()]
+    parts += [f"SELECT '{c}' AS feature, CAST({c}_bin AS VARCHAR) AS key, work_places AS t "
+              f"FROM binned WHERE {c}_bin IS NOT NULL" for c in NUMS]
+    cats = ", ".join(f"'{f}'" for f in _cat_features())
+    stacked = "\n  UNION ALL ".join(parts)
+    return f"""
+stacked AS (
+  {stacked}),
+maps AS (
+  SELECT feature, key, count(t) AS n, avg(t) AS mean,
+    CASE WHEN feature IN ({cats}) AND count(t) < 10
+      THEN (avg(t) * count(t) + (SELECT gm FROM g) * 10) / (count(t) + 10)
+      ELSE avg(t) END AS enc
+  FROM stacked GROUP BY feature, key)"""
+
+
+def _prepared_cte() -> str:
+    """Encodings joined back, span end and duration, filters."""
+    joins, encs = [], []
+    for i, f in enumerate(_cat_features()):
+        joins.append(f"LEFT JOIN maps m{i} ON m{i}.feature = '{f}' AND "
+                     f"m{i}.key = coalesce(CAST(b.{f} AS VARCHAR), 'Unknown')")
+        encs.append(f"coalesce(m{i}.enc, (SELECT gm FROM g)) AS {f}_encoded")
+    for j, c in enumerate(NUMS):
+        i = len(_cat_features()) + j
+        joins.append(f"LEFT JOIN maps m{i} ON m{i}.feature = '{c}' AND m{i}.key = CAST(b.{c}_bin AS VARCHAR)")
+        encs.append(f"coalesce(m{i}.enc, (SELECT gm FROM g)) AS {c}_encoded")
+    end = ("coalesce(b.date_inactivation_processed, b.date_last_updated_processed, "
+           "b.date_creation_processed + INTERVAL 77 DAY)")
+    dur = (f"CAST(least(greatest(coalesce(CAST(floor((epoch({end}) - "
+           f"epoch(b.date_creation_processed)) / 86400) AS BIGINT), 77), 1), 365) AS INTEGER)")
+    return f"""
+enc AS (
+  SELECT b.*, {', '.join(encs)}, {end} AS date_end, {dur} AS vacancy_duration
+  FROM binned b
+  {chr(10).join('  ' + j for j in joins)}),
+prepared AS (
+  SELECT * FROM enc
+  WHERE date_creation_processed IS NOT NULL
+    AND date_end >= date_creation_processed
+    AND industry <> 'Unknown'
+    AND date_creation_processed BETWEEN TIMESTAMP '{PROXY_LO}' AND TIMESTAMP '{PROXY_HI}')"""
+
+
+def prepare_cte() -> str:
+    return RAW_CTE + "," + _base_cte() + "," + _bins_cte() + "," + _maps_cte() + "," + _prepared_cte()
+
+
+def weight_parse_sql() -> str:
+    return f"""WITH {RAW_CTE}
+SELECT vacancy_id, work_places AS work_places_text,
+       {weight_sql(nulls_sql('work_places'))} AS work_places
+FROM raw"""
+
+
+def prepared_spans_sql() -> str:
+    return f"""WITH {prepare_cte()}
+SELECT vacancy_id, industry, date_creation_processed, date_end, vacancy_duration, work_places
+FROM prepared"""
+
+
+def encoding_maps_sql() -> str:
+    return f"""WITH {RAW_CTE},{_base_cte()},{_bins_cte()},{_maps_cte()}
+SELECT feature, key, n, round(mean, 6) AS mean, round(enc, 6) AS enc FROM maps"""
+
+
+def encoded_profile_sql() -> str:
+    feats = _cat_features() + list(NUMS)
+    rows = "\n  UNION ALL ".join(
+        f"SELECT '{f}_encoded' AS column_name, round(min({f}_encoded), 6) AS min_value, "
+        f"round(max({f}_encoded), 6) AS max_value, round(avg({f}_encoded), 6) AS mean_value "
+        f"FROM prepared" for f in feats)
+    return f"""WITH {prepare_cte()}
+{rows}"""

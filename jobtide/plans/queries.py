@@ -10,9 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..config import PrepConfig
+from ..functions.scalar import NULL_MARKERS, parse_weight
+from ..operators import report as R
 from ..operators import spans as S
 from ..sources import proxy
 from . import oracle as O
+from .prepare import encoding_tables, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +33,44 @@ def _demand(freq: str, method: str = "events") -> Query:
     return run
 
 
+def proxy_prep_config() -> PrepConfig:
+    """Preparation settings for the order-based vacancy rows."""
+    return PrepConfig(title_keyword=O.PROXY_KEYWORD, date_lo=O.PROXY_LO, date_hi=O.PROXY_HI)
+
+
+def fn01_weight_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = proxy.raw_vacancies(spark, sf_dir)
+    wp = F.when(F.col("work_places").isin(*NULL_MARKERS),
+                F.lit(None)).otherwise(F.col("work_places"))
+    return raw.select("vacancy_id", F.col("work_places").alias("work_places_text"),
+                      parse_weight(wp).alias("work_places"))
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare(proxy.raw_vacancies(spark, sf_dir), proxy_prep_config())
+
+
+def api01_prepared_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select(
+        "vacancy_id", "industry", "date_creation_processed", "date_end", "vacancy_duration",
+        "work_places")
+
+
+def agg02_encoding_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    maps, _ = encoding_tables(proxy.raw_vacancies(spark, sf_dir), proxy_prep_config())
+    return maps.select("feature", "key", "n", F.round("mean", 6).alias("mean"),
+                       F.round("enc", 6).alias("enc"))
+
+
+def agg25_encoded_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.encoded_profile(_prepared(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "fn01_weight_parse": fn01_weight_parse,
+    "api01_prepared_spans": api01_prepared_spans,
+    "agg02_encoding_maps": agg02_encoding_maps,
+    "agg25_encoded_profile": agg25_encoded_profile,
     "ts01_demand_monthly": _demand("M"),
     "ts01_demand_weekly": _demand("W"),
     "ts01_demand_2w": _demand("2W"),
@@ -35,6 +78,10 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "fn01_weight_parse": O.weight_parse_sql(),
+    "api01_prepared_spans": O.prepared_spans_sql(),
+    "agg02_encoding_maps": O.encoding_maps_sql(),
+    "agg25_encoded_profile": O.encoded_profile_sql(),
     "ts01_demand_monthly": O.demand_series_sql("M", MIN_ACTIVITY),
     "ts01_demand_weekly": O.demand_series_sql("W", MIN_ACTIVITY),
     "ts01_demand_2w": O.demand_series_sql("2W", MIN_ACTIVITY),

@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast only sides whose measured size is below this bound.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
