@@ -34,6 +34,11 @@ def _period_sql(freq: str) -> tuple[str, str, str]:
 
 def demand_series_sql(freq: str, min_activity: int = 5, spans_cte: str = SPANS_CTE) -> str:
     """TS-01 by brute force: each span's own period labels, kept if in the calendar."""
+    return f"WITH {demand_ctes(freq, min_activity, spans_cte)}\nSELECT series, period, value FROM ts"
+
+
+def demand_ctes(freq: str, min_activity: int = 5, spans_cte: str = SPANS_CTE) -> str:
+    """CTEs ending in ``ts(series, period, value)``."""
     unit, step, kind = _period_sql(freq)
     if kind == "M":
         # month-start generator, label = month end
@@ -44,7 +49,7 @@ def demand_series_sql(freq: str, min_activity: int = 5, spans_cte: str = SPANS_C
         first = f"date_trunc('{unit}', {{t}}) + INTERVAL 6 DAY"
         label = "CAST(m AS DATE)"
     return f"""
-WITH {spans_cte},
+{spans_cte},
 valid AS (SELECT * FROM spans WHERE start_ts IS NOT NULL AND end_ts IS NOT NULL),
 active AS (SELECT grp FROM valid WHERE grp IS NOT NULL GROUP BY grp HAVING count(*) >= {min_activity}),
 bounds AS (SELECT date_trunc('{unit}', min(start_ts)) AS lo, date_trunc('{unit}', max(end_ts)) AS hi FROM valid),
@@ -65,11 +70,12 @@ agg AS (
 dense AS (
   SELECT a.grp AS series, c.period, CAST(coalesce(g.v, 0) AS DOUBLE) AS value
   FROM active a CROSS JOIN cal c
-  LEFT JOIN agg g ON g.grp = a.grp AND g.period = c.period)
-SELECT series, period, value FROM dense
-UNION ALL
-SELECT 'total_demand' AS series, period, CAST(sum(value) AS DOUBLE) AS value FROM dense GROUP BY period
-"""
+  LEFT JOIN agg g ON g.grp = a.grp AND g.period = c.period),
+ts AS (
+  SELECT series, period, value FROM dense
+  UNION ALL
+  SELECT 'total_demand' AS series, period, CAST(sum(value) AS DOUBLE) AS value
+  FROM dense GROUP BY period)"""
 
 
 # --- preparation -------------------------------------------------------------
@@ -297,3 +303,157 @@ def encoded_profile_sql() -> str:
         f"FROM prepared" for f in feats)
     return f"""WITH {prepare_cte()}
 {rows}"""
+
+
+# --- series operators ----------------------------------------------------------
+
+def _ts(freq: str = "M") -> str:
+    return demand_ctes(freq, 5)
+
+
+def _qsorted(arr: str, p: float) -> str:
+    """Linear-interpolation quantile of a sorted non-empty list (1-based)."""
+    pos = f"((len({arr}) - 1) * {p})"
+    lo = f"(CAST(floor({pos}) AS BIGINT) + 1)"
+    hi = f"least({lo} + 1, len({arr}))"
+    return f"({arr}[{lo}] + ({arr}[{hi}] - {arr}[{lo}]) * ({pos} - floor({pos})))"
+
+
+FLAGS_CTE = """
+st AS (
+  SELECT series, period, value,
+    abs(value - avg(value) OVER (PARTITION BY series))
+      / nullif(stddev_pop(value) OVER (PARTITION BY series), 0) AS z,
+    quantile_cont(value, 0.5) OVER (PARTITION BY series) AS med,
+    quantile_cont(value, 0.9) OVER (PARTITION BY series) AS q90,
+    quantile_cont(value, 0.95) OVER (PARTITION BY series) AS q95,
+    abs(value - lag(value) OVER (PARTITION BY series ORDER BY period)) AS jf,
+    abs(value - lead(value) OVER (PARTITION BY series ORDER BY period)) AS jb
+  FROM ts),
+flags AS (
+  SELECT series, period, value, z,
+    coalesce(z > 2.0, false) AS rule_z,
+    (value > q90 AND value > med * 2.0) AS rule_extreme,
+    CASE WHEN series = 'total_demand' THEN value > 80000.0 ELSE value > q95 * 1.2 END AS rule_high,
+    (coalesce(jf > med * 1.5, false) OR coalesce(jb > med * 1.5, false)) AS rule_jump
+  FROM st),
+flagged AS (
+  SELECT *, (rule_z OR rule_extreme OR rule_high OR rule_jump) AS is_anomaly FROM flags)"""
+
+
+def anomaly_flags_sql(freq: str = "M") -> str:
+    return f"""WITH {_ts(freq)},{FLAGS_CTE}
+SELECT series, period, value, round(z, 6) AS z, rule_z, rule_extreme, rule_high, rule_jump,
+       is_anomaly
+FROM flagged"""
+
+
+def repair_window_sql(freq: str = "M") -> str:
+    s = "list_sort(nb)"
+    mean = "(list_sum(nb) / len(nb))"
+    total_fix = f"CASE WHEN value > 80000.0 THEN greatest({_qsorted(s, 0.75)}, value * 0.6) ELSE {mean} END"
+    other_fix = (f"CASE WHEN value > {_qsorted(s, 0.9)} THEN {_qsorted(s, 0.9)} "
+                 f"ELSE {_qsorted(s, 0.25)} END")
+    fixed = f"CASE WHEN series = 'total_demand' THEN {total_fix} ELSE {other_fix} END"
+    return f"""WITH {_ts(freq)},{FLAGS_CTE},
+nbh AS (
+  SELECT *, list_concat(
+      coalesce(list(value) OVER (PARTITION BY series ORDER BY period
+                                 ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), []),
+      coalesce(list(value) OVER (PARTITION BY series ORDER BY period
+                                 ROWS BETWEEN 1 FOLLOWING AND 8 FOLLOWING), [])) AS nb
+  FROM flagged)
+SELECT series, period, value, is_anomaly,
+  CASE WHEN NOT is_anomaly OR len(nb) = 0 THEN value
+       ELSE greatest(0.0, CAST(trunc({fixed}) AS DOUBLE)) END AS fixed
+FROM nbh"""
+
+
+def zscores_sql(freq: str = "W") -> str:
+    return f"""WITH {_ts(freq)}
+SELECT series, period, value,
+  round(abs(value - avg(value) OVER (PARTITION BY series))
+        / nullif(stddev_pop(value) OVER (PARTITION BY series), 0), 6) AS z_pop,
+  round(CASE WHEN stddev_samp(value) OVER (PARTITION BY series) > 0
+        THEN abs(value - avg(value) OVER (PARTITION BY series))
+             / stddev_samp(value) OVER (PARTITION BY series) ELSE 0 END, 6) AS z_samp
+FROM ts"""
+
+
+def outliers_linear_sql(freq: str = "W", threshold: float = 3.0) -> str:
+    return f"""WITH {_ts(freq)},
+m AS (
+  SELECT series, period,
+    (count(value) OVER (PARTITION BY series) >= 4 AND coalesce(
+      abs(value - avg(value) OVER (PARTITION BY series))
+        / nullif(stddev_pop(value) OVER (PARTITION BY series), 0) > {threshold}, false)) AS is_outlier,
+    value AS v0
+  FROM ts),
+k AS (SELECT series, period, is_outlier, CASE WHEN is_outlier THEN NULL ELSE v0 END AS v,
+             CAST(period - DATE '1970-01-01' AS DOUBLE) AS t FROM m),
+nb AS (
+  SELECT *,
+    last_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS y0,
+    last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS t0,
+    first_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS y1,
+    first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS t1
+  FROM k),
+lin AS (SELECT series, period, is_outlier, coalesce(v, y0 + (y1 - y0) * (t - t0) / (t1 - t0)) AS v FROM nb)
+SELECT series, period, is_outlier, round(coalesce(v,
+    first_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+    last_value(v IGNORE NULLS) OVER (PARTITION BY series ORDER BY period
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0), 6) AS value
+FROM lin"""
+
+
+def decompose_sql(freq: str = "M") -> str:
+    return f"""WITH {_ts(freq)},
+d0 AS (
+  SELECT series, period, value,
+    CAST((row_number() OVER (PARTITION BY series ORDER BY period) - 1) % 12 AS INTEGER) AS phase,
+    (sum(value) OVER (PARTITION BY series ORDER BY period ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+     + 0.5 * (lag(value, 6) OVER (PARTITION BY series ORDER BY period)
+              + lead(value, 6) OVER (PARTITION BY series ORDER BY period))) / 12 AS trend,
+    count(*) OVER (PARTITION BY series) AS n
+  FROM ts),
+d AS (SELECT *, value - trend AS detr FROM d0 WHERE n >= 24),
+pm AS (SELECT series, phase, avg(detr) AS pm FROM d GROUP BY series, phase),
+ps AS (SELECT series, phase, pm - avg(pm) OVER (PARTITION BY series) AS seasonal FROM pm)
+SELECT d.series, d.period, d.value, round(d.trend, 6) AS trend, round(ps.seasonal, 6) AS seasonal,
+       round(d.detr - ps.seasonal, 6) AS resid, d.phase
+FROM d JOIN ps ON d.series = ps.series AND d.phase = ps.phase"""
+
+
+def seasonal_by_month_sql(freq: str = "M") -> str:
+    inner = decompose_sql(freq).split("SELECT d.series, d.period")[0]
+    return inner + """SELECT d.series, CAST(month(d.period) AS INTEGER) AS month,
+       round(avg(ps.seasonal), 6) AS seasonal_effect
+FROM d JOIN ps ON d.series = ps.series AND d.phase = ps.phase
+GROUP BY d.series, month(d.period)"""
+
+
+def features_sql(freq: str = "M") -> str:
+    w = "OVER (PARTITION BY series ORDER BY period"
+    lags = ", ".join(f"coalesce(lag(value, {k}) {w}), 0.0) AS lag_{k}" for k in (1, 2, 3, 4, 8, 12))
+    mas = ", ".join(
+        f"CASE WHEN count(value) {w} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) = {k} "
+        f"THEN avg(value) {w} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) "
+        f"ELSE avg(value) OVER (PARTITION BY series) END AS ma_{k}" for k in (3, 6, 12))
+    return f"""WITH {_ts(freq)}
+SELECT series, period, value AS y,
+  CAST(month(period) AS INTEGER) AS month, CAST(quarter(period) AS INTEGER) AS quarter,
+  CAST(year(period) AS INTEGER) AS year, CAST(dayofyear(period) AS INTEGER) AS day_of_year,
+  CAST(period = last_day(period) AND month(period) % 3 = 0 AS INTEGER) AS is_quarter_end,
+  CAST(period = last_day(period) AND month(period) = 12 AS INTEGER) AS is_year_end,
+  {lags},
+  {mas},
+  coalesce(value - lag(value, 1) {w}), 0.0) AS diff_1,
+  coalesce(value - lag(value, 4) {w}), 0.0) AS diff_4,
+  CAST(row_number() {w}) AS INTEGER) AS pos,
+  count(*) OVER (PARTITION BY series) AS n
+FROM ts"""

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..config import PrepConfig
 from ..functions.scalar import NULL_MARKERS, parse_weight
+from ..operators import features as FT
 from ..operators import report as R
+from ..operators import series as TS
 from ..operators import spans as S
 from ..sources import proxy
 from . import oracle as O
@@ -66,7 +68,65 @@ def agg25_encoded_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.encoded_profile(_prepared(spark, sf_dir))
 
 
+def _series(spark: SparkSession, sf_dir: str, freq: str = "M") -> DataFrame:
+    return _demand(freq)(spark, sf_dir)
+
+
+def ts04_anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = TS.anomaly_flags(_series(spark, sf_dir))
+    return f.withColumn("z", F.round("z", 6))
+
+
+def ts05_repair_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TS.repair_window(TS.anomaly_flags(_series(spark, sf_dir)))
+
+
+def ts05_repair_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TS.repair_sequential(TS.anomaly_flags(_series(spark, sf_dir)))
+
+
+def agg18_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series(spark, sf_dir, "W").select(
+        "series", "period", "value", F.round(TS.zscore_pop(), 6).alias("z_pop"),
+        F.round(TS.zscore_samp(), 6).alias("z_samp"))
+
+
+def ts02_outliers_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _series(spark, sf_dir, "W")
+    masked = TS.outlier_mask(s, 3.0)
+    filled = TS.fill_edges(TS.interpolate_linear(masked))
+    return filled.select("series", "period", "is_outlier", F.round("value", 6).alias("value"))
+
+
+def ts02_outliers_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TS.remove_outliers(_series(spark, sf_dir, "W"), 3.0, method="cubic")
+
+
+def ts07_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = TS.decompose(_series(spark, sf_dir))
+    return d.select("series", "period", "value", *[F.round(c, 6).alias(c) for c in
+                                                    ("trend", "seasonal", "resid")], "phase")
+
+
+def agg20_seasonal_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = TS.seasonal_by_month(TS.decompose(_series(spark, sf_dir)))
+    return m.withColumn("seasonal_effect", F.round("seasonal_effect", 6))
+
+
+def ts08_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FT.make_features(_series(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "ts04_anomaly_flags": ts04_anomaly_flags,
+    "ts05_repair_window": ts05_repair_window,
+    "ts05_repair_sequential": ts05_repair_sequential,
+    "agg18_zscores": agg18_zscores,
+    "ts02_outliers_linear": ts02_outliers_linear,
+    "ts02_outliers_cubic": ts02_outliers_cubic,
+    "ts07_decompose": ts07_decompose,
+    "agg20_seasonal_by_month": agg20_seasonal_by_month,
+    "ts08_features": ts08_features,
     "fn01_weight_parse": fn01_weight_parse,
     "api01_prepared_spans": api01_prepared_spans,
     "agg02_encoding_maps": agg02_encoding_maps,
@@ -78,6 +138,13 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "ts04_anomaly_flags": O.anomaly_flags_sql("M"),
+    "ts05_repair_window": O.repair_window_sql("M"),
+    "agg18_zscores": O.zscores_sql("W"),
+    "ts02_outliers_linear": O.outliers_linear_sql("W"),
+    "ts07_decompose": O.decompose_sql("M"),
+    "agg20_seasonal_by_month": O.seasonal_by_month_sql("M"),
+    "ts08_features": O.features_sql("M"),
     "fn01_weight_parse": O.weight_parse_sql(),
     "api01_prepared_spans": O.prepared_spans_sql(),
     "agg02_encoding_maps": O.encoding_maps_sql(),
