@@ -104,9 +104,8 @@ def retention_of(df: DataFrame, keep) -> DataFrame:
 
 def overview(df: DataFrame, ts: str = "date_creation_processed", w: str = "work_places",
              g: str = "industry") -> DataFrame:
-    """AGG-26 + AGG-08: rows, columns, time span, total weight, distinct groups."""
+    """AGG-26 + AGG-08: rows, time span, total weight, distinct groups."""
     return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.lit(len(df.columns)).alias("columns"),
                   year_month(F.min(ts)).alias("first_month"),
                   year_month(F.max(ts)).alias("last_month"),
                   F.sum(w).cast("bigint").alias("total_weight"),

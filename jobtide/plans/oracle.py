@@ -23,6 +23,12 @@ spans AS (
   WHERE coalesce(li.last_ship, o.o_orderdate + INTERVAL 77 DAY) >= o.o_orderdate)"""
 
 
+SPANS_NATION_CTE = SPANS_CTE.replace(
+    "SELECT o.o_orderkey AS id, c.c_mktsegment AS grp,", "SELECT o.o_orderkey AS id, n.n_name AS grp,"
+).replace("LEFT JOIN customer c ON o.o_custkey = c.c_custkey",
+          "LEFT JOIN customer c ON o.o_custkey = c.c_custkey\n  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
+
+
 def _period_sql(freq: str) -> tuple[str, str, str]:
     """(truncation unit, generate_series step, label offset) per frequency."""
     if freq == "M":
@@ -457,3 +463,210 @@ SELECT series, period, value AS y,
   CAST(row_number() {w}) AS INTEGER) AS pos,
   count(*) OVER (PARTITION BY series) AS n
 FROM ts"""
+
+
+# --- report aggregates on the prepared table and on spans -------------------------------
+
+def weight_summary_sql() -> str:
+    return f"""WITH {prepare_cte()}
+SELECT round(avg(work_places), 6) AS mean, round(quantile_cont(work_places, 0.5), 6) AS median,
+       CAST(max(work_places) AS DOUBLE) AS max, round(quantile_cont(work_places, 0.99), 6) AS p99
+FROM prepared"""
+
+
+def overview_sql() -> str:
+    return f"""WITH {prepare_cte()}
+SELECT count(*) AS rows, strftime(min(date_creation_processed), '%Y-%m') AS first_month,
+       strftime(max(date_creation_processed), '%Y-%m') AS last_month,
+       CAST(sum(work_places) AS BIGINT) AS total_weight, count(DISTINCT industry) AS groups
+FROM prepared"""
+
+
+def value_counts_sql(k: int | None = None) -> str:
+    lim = f"ORDER BY count DESC, grp ASC LIMIT {k}" if k else ""
+    return f"""WITH {SPANS_NATION_CTE}
+SELECT grp, count(*) AS count FROM spans WHERE grp IS NOT NULL GROUP BY grp {lim}"""
+
+
+def group_stats_sql() -> str:
+    return f"""WITH {SPANS_NATION_CTE}
+SELECT grp, round(CAST(sum(weight) AS DOUBLE), 2) AS total, round(avg(weight), 2) AS mean,
+       count(weight) AS n
+FROM spans GROUP BY grp"""
+
+
+def top_groups_sql() -> str:
+    return f"""WITH {SPANS_NATION_CTE},
+st AS (SELECT grp, round(CAST(sum(weight) AS DOUBLE), 2) AS total, round(avg(weight), 2) AS mean,
+              count(weight) AS n FROM spans GROUP BY grp),
+top AS (SELECT * FROM st ORDER BY total DESC, grp ASC LIMIT 20),
+stable AS (SELECT * FROM top WHERE n >= 10 ORDER BY mean DESC, grp ASC LIMIT 15)
+SELECT grp, total, mean, n,
+       CASE WHEN length(grp) > 25 THEN substr(grp, 1, 25) || '...' ELSE grp END AS label
+FROM stable"""
+
+
+def monthly_counts_sql() -> str:
+    return f"""WITH {SPANS_CTE},
+m AS (SELECT last_day(CAST(start_ts AS DATE)) AS month FROM spans WHERE start_ts IS NOT NULL),
+c AS (SELECT month, count(*) AS count FROM m GROUP BY month),
+cal AS (SELECT last_day(CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE))
+               AS month FROM m)
+SELECT cal.month, CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM cal LEFT JOIN c USING (month)"""
+
+
+def _hist_sql(src: str, expr: str, name: str, bins: int = 50) -> str:
+    return f"""SELECT '{name}' AS feature, CAST(CASE WHEN b.hi > b.lo
+         THEN least(floor((v - b.lo) / ((b.hi - b.lo) / {bins})), {bins - 1}) ELSE 0 END AS INTEGER) AS bin,
+       count(*) AS count
+FROM (SELECT CAST({expr} AS DOUBLE) AS v FROM {src}) x,
+     (SELECT min(CAST({expr} AS DOUBLE)) AS lo, max(CAST({expr} AS DOUBLE)) AS hi FROM {src}) b
+WHERE v IS NOT NULL AND NOT isnan(v)
+GROUP BY 1, 2"""
+
+
+def weight_histograms_sql() -> str:
+    return (f"WITH {SPANS_CTE}\n" + _hist_sql("spans", "weight", "weight") + "\nUNION ALL\n"
+            + _hist_sql("spans", "ln(CAST(weight AS DOUBLE) + 1.0)", "log_weight"))
+
+
+def salary_histogram_sql() -> str:
+    return """WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1,
+                  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders),
+f AS (SELECT o_totalprice FROM orders, q
+      WHERE o_totalprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))
+""" + _hist_sql("f", "o_totalprice", "o_totalprice")
+
+
+def title_retention_sql() -> str:
+    return f"""WITH {RAW_CTE}
+SELECT count(*) AS rows_read, count_if(contains(lower(title), '{PROXY_KEYWORD}')) AS rows_kept,
+       round(count_if(contains(lower(title), '{PROXY_KEYWORD}')) * 100.0 / nullif(count(*), 0), 4)
+         AS retention_pct
+FROM raw"""
+
+
+def title_filter_sql() -> str:
+    return f"""WITH {RAW_CTE}
+SELECT vacancy_id, title FROM raw WHERE contains(lower(title), '{PROXY_KEYWORD}')"""
+
+
+def labels_sql() -> str:
+    return r"""SELECT p_partkey,
+  replace(trim(regexp_replace(concat_ws(' ', p_brand, p_type), '[^\w\s-]', '', 'g')), ' ', '_')
+    AS safe_label,
+  CASE WHEN length(p_name) > 8 THEN substr(p_name, 1, 8) || '...' ELSE p_name END AS short_label
+FROM part"""
+
+
+def series_totals_sql() -> str:
+    return f"""WITH {_ts('M')},
+t AS (SELECT series, sum(value) AS total FROM ts WHERE series <> 'total_demand' GROUP BY series),
+r AS (SELECT series, total, CAST(row_number() OVER (ORDER BY total DESC, series ASC) AS INTEGER) AS rank
+      FROM t)
+SELECT * FROM r WHERE rank <= 10"""
+
+
+# --- evaluation on closed-form models ------------------------------------------------
+
+def _naive_ctes(freq: str = "M") -> str:
+    return f"""{_ts(freq)},
+sp AS (
+  SELECT series, period, value AS y,
+    coalesce(lag(value, 1) OVER (PARTITION BY series ORDER BY period), 0.0) AS lag_1,
+    coalesce(lag(value, 12) OVER (PARTITION BY series ORDER BY period), 0.0) AS lag_12,
+    row_number() OVER (PARTITION BY series ORDER BY period) AS pos,
+    count(*) OVER (PARTITION BY series) AS n
+  FROM ts),
+pred AS (
+  SELECT series, period, y, 'last_value' AS model, lag_1 AS y_hat FROM sp WHERE pos > floor(n * 0.8)
+  UNION ALL
+  SELECT series, period, y, 'seasonal_naive' AS model, lag_12 AS y_hat FROM sp WHERE pos > floor(n * 0.8)),
+dev AS (SELECT *, y - y_hat AS e, y - avg(y) OVER (PARTITION BY series, model) AS d FROM pred),
+met AS (
+  SELECT series, model, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,
+         1 - sum(e * e) / nullif(sum(d * d), 0) AS r2
+  FROM dev GROUP BY series, model),
+best AS (
+  SELECT series, CASE WHEN max(CASE WHEN model = 'last_value' THEN rmse END)
+                        < max(CASE WHEN model = 'seasonal_naive' THEN rmse END)
+                      THEN 'last_value' ELSE 'seasonal_naive' END AS best_model
+  FROM met GROUP BY series)"""
+
+
+def metrics_naive_sql() -> str:
+    return f"""WITH {_naive_ctes()}
+SELECT series, model, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2 FROM met"""
+
+
+def best_naive_sql() -> str:
+    return f"WITH {_naive_ctes()}\nSELECT series, best_model FROM best"
+
+
+def mean_metrics_naive_sql() -> str:
+    return f"""WITH {_naive_ctes()}
+SELECT model, round(avg(mae), 6) AS mean_mae, round(avg(rmse), 6) AS mean_rmse,
+       round(avg(r2), 6) AS mean_r2 FROM met GROUP BY model"""
+
+
+def win_counts_naive_sql() -> str:
+    return f"""WITH {_naive_ctes()}
+SELECT best_model, count(*) AS wins, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share_pct
+FROM best GROUP BY best_model"""
+
+
+def model_compare_naive_sql() -> str:
+    return f"""WITH {_naive_ctes()}
+SELECT series, round(a, 6) AS rmse_last, round(b, 6) AS rmse_seasonal, round(a - b, 6) AS rmse_diff
+FROM (SELECT series, max(CASE WHEN model = 'last_value' THEN rmse END) AS a,
+             max(CASE WHEN model = 'seasonal_naive' THEN rmse END) AS b FROM met GROUP BY series)"""
+
+
+def _recursive_ctes(freq: str = "M", horizon: int = 6) -> str:
+    """ML-09 with the closed-form model ``ma_3`` (mean of the last two values, Q7)."""
+    step = {"M": "to_months(s.step + 1)", "W": "to_days(7 * (s.step + 1))",
+            "2W": "to_days(14 * (s.step + 1))"}[freq]
+    nxt = "greatest(0.0, round_even((s.h[-1] + s.h[-2]) / 2.0, 0))"
+    return f"""{_ts(freq)},
+hist AS (
+  SELECT series, list(value ORDER BY period) AS h, max(period) AS last_period FROM (
+    SELECT *, row_number() OVER (PARTITION BY series ORDER BY period DESC) AS rn FROM ts)
+  WHERE rn <= 24 GROUP BY series),
+rec(series, step, h, last_period, period, forecast) AS (
+  SELECT series, 0, h, last_period, CAST(NULL AS DATE), CAST(NULL AS DOUBLE) FROM hist
+  UNION ALL
+  SELECT s.series, s.step + 1, list_append(s.h, {nxt}), s.last_period,
+         CAST(s.last_period + {step} AS DATE), {nxt}
+  FROM rec s WHERE s.step < {horizon}),
+fc AS (SELECT series, CAST(step AS INTEGER) AS step, period, forecast FROM rec WHERE step > 0)"""
+
+
+def recursive_naive_sql() -> str:
+    return f"WITH RECURSIVE {_recursive_ctes()}\nSELECT series, step, period, forecast FROM fc"
+
+
+def forecast_pivot_naive_sql() -> str:
+    names = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "total_demand")
+    cols = ", ".join(f"first(forecast) FILTER (WHERE series = '{n}') AS \"{n}\"" for n in names)
+    return f"""WITH RECURSIVE {_recursive_ctes()}
+SELECT period, {cols} FROM fc GROUP BY period"""
+
+
+def forecast_summary_naive_sql() -> str:
+    return f"""WITH RECURSIVE {_recursive_ctes()}
+SELECT arg_min(forecast, step) AS first_forecast, arg_max(forecast, step) AS last_forecast,
+       round(avg(forecast), 6) AS mean_forecast, max(step) AS horizon
+FROM fc WHERE series = 'total_demand'"""
+
+
+def best_config_naive_sql() -> str:
+    parts = []
+    for i, f in enumerate(("W", "2W", "M")):
+        body = _naive_ctes(f)
+        parts.append(f"""SELECT {i} AS config_id, '{f}' AS freq, best_r2 FROM (
+  WITH {body}
+  SELECT max(r2) AS best_r2 FROM met WHERE series = 'total_demand')""")
+    union = "\nUNION ALL\n".join(parts)
+    return f"""SELECT config_id, freq, round(best_r2, 6) AS best_r2,
+  row_number() OVER (ORDER BY best_r2 DESC NULLS LAST, config_id) = 1 AS is_best
+FROM ({union})"""

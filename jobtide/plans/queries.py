@@ -20,6 +20,7 @@ from ..operators import series as TS
 from ..operators import spans as S
 from ..sources import proxy
 from . import oracle as O
+from . import models as M
 from .prepare import encoding_tables, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,3 +155,211 @@ ORACLE: dict[str, str] = {
     "ts01_demand_2w": O.demand_series_sql("2W", MIN_ACTIVITY),
     "join03_demand_monthly_explode": O.demand_series_sql("M", MIN_ACTIVITY),
 }
+
+
+# --- report aggregates, top-k, labels -------------------------------------------------
+
+def _spans(spark: SparkSession, sf_dir: str, group: str = "segment") -> DataFrame:
+    return proxy.order_spans(spark, sf_dir, group=group)
+
+
+def agg07_weight_summary(spark, sf_dir):
+    return R.weight_summary(_prepared(spark, sf_dir))
+
+
+def agg26_overview(spark, sf_dir):
+    return R.overview(_prepared(spark, sf_dir))
+
+
+def agg09_value_counts(spark, sf_dir):
+    return R.value_counts(_spans(spark, sf_dir, "nation"), "grp")
+
+
+def top01_top15_groups(spark, sf_dir):
+    return R.value_counts(_spans(spark, sf_dir, "nation"), "grp", 15)
+
+
+def top03_top3_groups(spark, sf_dir):
+    return R.value_counts(_spans(spark, sf_dir, "nation"), "grp", 3)
+
+
+def agg10_group_stats(spark, sf_dir):
+    return R.group_stats(_spans(spark, sf_dir, "nation"), "grp", "weight")
+
+
+def top02_top_groups(spark, sf_dir):
+    return R.top_groups(_spans(spark, sf_dir, "nation"), "grp", "weight")
+
+
+def agg14_monthly_counts(spark, sf_dir):
+    return R.monthly_counts(_spans(spark, sf_dir), "start_ts")
+
+
+def agg15_weight_histograms(spark, sf_dir):
+    sp = _spans(spark, sf_dir)
+    return R.histogram(sp, "weight", 50, "weight").unionByName(
+        R.histogram(sp, F.log(F.col("weight").cast("double") + 1.0), 50, "log_weight"))
+
+
+def agg16_salary_histogram(spark, sf_dir):
+    from ..sources.tables import table
+    orders = table(spark, sf_dir, "orders", "o_totalprice")
+    return R.histogram(R.iqr_fence(orders, "o_totalprice"), "o_totalprice", 50, "o_totalprice")
+
+
+def agg24_title_retention(spark, sf_dir):
+    raw = proxy.raw_vacancies(spark, sf_dir)
+    return R.retention_of(raw, F.lower(F.col("title")).contains(O.PROXY_KEYWORD))
+
+
+def flt01_title_filter(spark, sf_dir):
+    from ..operators.clean import keep_titles
+    raw = proxy.raw_vacancies(spark, sf_dir)
+    return keep_titles(raw, O.PROXY_KEYWORD).select("vacancy_id", "title")
+
+
+def fn04_labels(spark, sf_dir):
+    from ..functions.scalar import safe_name, short_label
+    from ..sources.tables import table
+    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    return part.select("p_partkey",
+                       safe_name(F.concat_ws(" ", "p_brand", "p_type")).alias("safe_label"),
+                       short_label("p_name", 8).alias("short_label"))
+
+
+def top04_series_totals(spark, sf_dir):
+    return R.series_totals(_series(spark, sf_dir, "M"), 10)
+
+
+# --- evaluation path on closed-form models ---------------------------------------------
+
+def _naive_split(spark, sf_dir, freq="M"):
+    return M.chrono_split(FT.make_features(_series(spark, sf_dir, freq)))
+
+
+def _naive_metrics(spark, sf_dir, freq="M"):
+    return M.metrics(M.naive_predictions(_naive_split(spark, sf_dir, freq)))
+
+
+def _round_metrics(df):
+    return df.select(*[F.round(c, 6).alias(c) if c in ("mae", "rmse", "r2") else F.col(c)
+                       for c in df.columns])
+
+
+def agg21_metrics_naive(spark, sf_dir):
+    return _round_metrics(_naive_metrics(spark, sf_dir))
+
+
+def ml07_best_naive(spark, sf_dir):
+    return M.best_model(_naive_metrics(spark, sf_dir), M.LAST, M.SEASONAL)
+
+
+def agg22_mean_metrics_naive(spark, sf_dir):
+    m = M.mean_metrics(_naive_metrics(spark, sf_dir))
+    return m.select("model", *[F.round(c, 6).alias(c) for c in ("mean_mae", "mean_rmse", "mean_r2")])
+
+
+def agg23_win_counts_naive(spark, sf_dir):
+    w = M.win_counts(M.best_model(_naive_metrics(spark, sf_dir), M.LAST, M.SEASONAL))
+    return w.withColumn("share_pct", F.round("share_pct", 6))
+
+
+def join08_model_compare_naive(spark, sf_dir):
+    m = _naive_metrics(spark, sf_dir)
+    wide = m.groupBy("series").pivot("model", [M.LAST, M.SEASONAL]).agg(F.first("rmse"))
+    return wide.select("series", F.round(M.LAST, 6).alias("rmse_last"),
+                       F.round(M.SEASONAL, 6).alias("rmse_seasonal"),
+                       F.round(F.col(M.LAST) - F.col(M.SEASONAL), 6).alias("rmse_diff"))
+
+
+def _naive_forecast(spark, sf_dir, freq="M"):
+    return M.recursive_forecast(M.history(_series(spark, sf_dir, freq), 24),
+                                M.column_predictor(F.col("ma_3")), 6, freq)
+
+
+def ml09_recursive_naive(spark, sf_dir):
+    return _naive_forecast(spark, sf_dir)
+
+
+def snk03_forecast_pivot_naive(spark, sf_dir):
+    fc = _naive_forecast(spark, sf_dir)
+    names = [r["series"] for r in fc.select("series").distinct().collect()]
+    return S.wide(fc.withColumnRenamed("forecast", "value"), sorted(names))
+
+
+def agg27_forecast_summary_naive(spark, sf_dir):
+    fc = _naive_forecast(spark, sf_dir)
+    tot = fc.filter(F.col("series") == S.TOTAL).agg(
+        F.min_by("forecast", "step").alias("first_forecast"),
+        F.max_by("forecast", "step").alias("last_forecast"),
+        F.round(F.avg("forecast"), 6).alias("mean_forecast"),
+        F.max("step").alias("horizon"))
+    return tot
+
+
+def agg28_best_config_naive(spark, sf_dir):
+    from pyspark.sql import Window
+    parts = []
+    for i, freq in enumerate(("W", "2W", "M")):
+        m = _naive_metrics(spark, sf_dir, freq).filter(F.col("series") == S.TOTAL)
+        parts.append(m.groupBy().agg(F.max("r2").alias("best_r2")).select(
+            F.lit(i).alias("config_id"), F.lit(freq).alias("freq"), "best_r2"))
+    t = parts[0]
+    for p in parts[1:]:
+        t = t.unionByName(p)
+    w = Window.orderBy(F.desc_nulls_last("best_r2"), "config_id")  # three rows
+    return t.select("config_id", "freq", F.round("best_r2", 6).alias("best_r2"),
+                    (F.row_number().over(w) == 1).alias("is_best"))
+
+
+QUERIES.update({
+    "agg07_weight_summary": agg07_weight_summary,
+    "agg26_overview": agg26_overview,
+    "agg09_value_counts": agg09_value_counts,
+    "top01_top15_groups": top01_top15_groups,
+    "top03_top3_groups": top03_top3_groups,
+    "agg10_group_stats": agg10_group_stats,
+    "top02_top_groups": top02_top_groups,
+    "agg14_monthly_counts": agg14_monthly_counts,
+    "agg15_weight_histograms": agg15_weight_histograms,
+    "agg16_salary_histogram": agg16_salary_histogram,
+    "agg24_title_retention": agg24_title_retention,
+    "flt01_title_filter": flt01_title_filter,
+    "fn04_labels": fn04_labels,
+    "top04_series_totals": top04_series_totals,
+    "agg21_metrics_naive": agg21_metrics_naive,
+    "ml07_best_naive": ml07_best_naive,
+    "agg22_mean_metrics_naive": agg22_mean_metrics_naive,
+    "agg23_win_counts_naive": agg23_win_counts_naive,
+    "join08_model_compare_naive": join08_model_compare_naive,
+    "ml09_recursive_naive": ml09_recursive_naive,
+    "snk03_forecast_pivot_naive": snk03_forecast_pivot_naive,
+    "agg27_forecast_summary_naive": agg27_forecast_summary_naive,
+    "agg28_best_config_naive": agg28_best_config_naive,
+})
+
+ORACLE.update({
+    "agg07_weight_summary": O.weight_summary_sql(),
+    "agg26_overview": O.overview_sql(),
+    "agg09_value_counts": O.value_counts_sql(),
+    "top01_top15_groups": O.value_counts_sql(15),
+    "top03_top3_groups": O.value_counts_sql(3),
+    "agg10_group_stats": O.group_stats_sql(),
+    "top02_top_groups": O.top_groups_sql(),
+    "agg14_monthly_counts": O.monthly_counts_sql(),
+    "agg15_weight_histograms": O.weight_histograms_sql(),
+    "agg16_salary_histogram": O.salary_histogram_sql(),
+    "agg24_title_retention": O.title_retention_sql(),
+    "flt01_title_filter": O.title_filter_sql(),
+    "fn04_labels": O.labels_sql(),
+    "top04_series_totals": O.series_totals_sql(),
+    "agg21_metrics_naive": O.metrics_naive_sql(),
+    "ml07_best_naive": O.best_naive_sql(),
+    "agg22_mean_metrics_naive": O.mean_metrics_naive_sql(),
+    "agg23_win_counts_naive": O.win_counts_naive_sql(),
+    "join08_model_compare_naive": O.model_compare_naive_sql(),
+    "ml09_recursive_naive": O.recursive_naive_sql(),
+    "snk03_forecast_pivot_naive": O.forecast_pivot_naive_sql(),
+    "agg27_forecast_summary_naive": O.forecast_summary_naive_sql(),
+    "agg28_best_config_naive": O.best_config_naive_sql(),
+})

@@ -39,21 +39,29 @@ def _lines_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_spans(spark: SparkSession, sf_dir: str, end_after_start: bool = True) -> DataFrame:
+def order_spans(spark: SparkSession, sf_dir: str, end_after_start: bool = True,
+                group: str = "segment") -> DataFrame:
     """Spans from orders: (id, grp, start_ts, end_ts, weight).
 
     end = last shipment, else order date + 77 days; weight = total quantity
     (BIGINT), 1 when the order has no lines. ``end_after_start`` applies the
-    preparation filter end >= start.
+    preparation filter end >= start. ``group`` is the customer's market
+    segment (5 groups) or nation (25 groups).
     """
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-    cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_nationkey")
     li = _lines_per_order(spark, sf_dir).select("l_orderkey", "last_ship", "qty")
     df = (orders.join(li, orders.o_orderkey == li.l_orderkey, "left")
           .join(cust, orders.o_custkey == cust.c_custkey, "left"))
+    if group == "nation":
+        nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+        df = df.join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
+        grp = F.col("n_name")
+    else:
+        grp = F.col("c_mktsegment")
     spans = df.select(
         F.col("o_orderkey").alias("id"),
-        F.col("c_mktsegment").alias("grp"),
+        grp.alias("grp"),
         F.col("o_orderdate").alias("start_ts"),
         F.coalesce(F.col("last_ship"),
                    F.col("o_orderdate") + F.expr("INTERVAL 77 DAYS")).alias("end_ts"),
