@@ -363,3 +363,59 @@ ORACLE.update({
     "agg27_forecast_summary_naive": O.forecast_summary_naive_sql(),
     "agg28_best_config_naive": O.best_config_naive_sql(),
 })
+
+
+# --- sources, incremental ingest, models ---------------------------------------------------
+
+_SPAN_COLS = ("vacancy_id", "industry", "date_creation_processed", "date_end", "vacancy_duration",
+              "work_places")
+
+
+def _raw_csv(spark, sf_dir, files: int = 4) -> str:
+    """Render the order-based vacancy rows as ``;`` CSV files (scratch folder)."""
+    from .pipeline import scratch_path
+    from .sinks import write_prepared
+    path = scratch_path(spark, "raw-csv")
+    write_prepared(proxy.raw_vacancies(spark, sf_dir).repartition(files), path, fmt="csv")
+    return path
+
+
+def src01_raw_csv_prepare(spark, sf_dir):
+    from ..sources.vacancies import read_raw
+    raw = read_raw(spark, _raw_csv(spark, sf_dir))
+    return prepare(raw, proxy_prep_config()).select(*_SPAN_COLS)
+
+
+def src08_incremental_ingest(spark, sf_dir):
+    from ..streaming.ingest import ingest_available
+    from .pipeline import scratch_path
+    src = _raw_csv(spark, sf_dir)
+    out = ingest_available(spark, src, scratch_path(spark, "ingest-sink"),
+                           scratch_path(spark, "ingest-ckpt"), proxy_prep_config(),
+                           max_files_per_trigger=1)
+    return out.select(*_SPAN_COLS)
+
+
+def ml08_forecast_total(spark, sf_dir):
+    from ..config import ForecastConfig
+    from .forecast import forecast_one
+    ts = _series(spark, sf_dir, "M")
+    res = forecast_one(ts, S.TOTAL, ForecastConfig(), "M", M.TreeParams())
+    return res[2]
+
+
+def api02_forecast_pipeline(spark, sf_dir):
+    from .forecast import run_forecast
+    return run_forecast(_spans(spark, sf_dir)).forecasts
+
+
+QUERIES.update({
+    "src01_raw_csv_prepare": src01_raw_csv_prepare,
+    "src08_incremental_ingest": src08_incremental_ingest,
+    "ml08_forecast_total": ml08_forecast_total,
+    "api02_forecast_pipeline": api02_forecast_pipeline,
+})
+ORACLE.update({
+    "src01_raw_csv_prepare": O.prepared_spans_sql(),
+    "src08_incremental_ingest": O.prepared_spans_sql(),
+})
