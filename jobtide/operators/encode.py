@@ -5,8 +5,9 @@ stacked into ``(feature, key)`` pairs and grouped once, with map-side partial
 aggregation, instead of one shuffle per feature. Numeric features are cut
 into quantile bins whose index joins the same stack, so the bin means come
 from the same pass. The per-feature maps are joined back: broadcast when the
-map's row count (measured, not guessed) is under a bound, otherwise a
-shuffle join that AQE can split on a hot key.
+map's row count (measured, not guessed) is under a bound — tiny maps as
+literal lookups without any join — otherwise a shuffle join that AQE can
+split on a hot key.
 """
 
 from __future__ import annotations
@@ -118,25 +119,56 @@ def encoding_maps(df: DataFrame, categorical: list[str], binned: dict[str, Colum
         .otherwise(F.col("mean")))
 
 
+# Maps with at most this many entries become literal map lookups (no join).
+LITERAL_MAP_MAX = 64
+
+
 def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
-                    g: float, broadcast_max_rows: int) -> DataFrame:
+                    g: float, broadcast_max_rows: int,
+                    literal_max: int = LITERAL_MAP_MAX) -> DataFrame:
     """JOIN-01/02 + PRJ-09: add ``{feature}_encoded``; unseen key → global mean.
 
-    Map sizes are counted first (one row per feature reaches the driver);
-    a map is broadcast only under ``broadcast_max_rows``.
+    Map sizes are counted first (one row per feature reaches the driver).
+    By measured size, a map becomes:
+      * ≤ ``literal_max`` entries: a literal map looked up in generated
+        code — no join, no shuffle (date parts, most categories, bins);
+      * ≤ ``broadcast_max_rows``: a broadcast hash join;
+      * larger: a shuffle join, where AQE splits a skewed key.
     """
     sizes = {r["feature"]: r["cnt"] for r in
              maps.groupBy("feature").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-    out = df
-    for f, key in keys.items():
-        kcol = f"_k_{f}"
+    names = list(keys)
+    tiny = [f for f in names if sizes.get(f, 0) <= literal_max]
+    lookup: dict[str, list] = {f: [] for f in tiny}
+    if tiny:
+        # bounded: at most literal_max entries per feature
+        for r in maps.filter(F.col("feature").isin(*tiny)).select("feature", "key", "enc").collect():
+            lookup[r["feature"]].append((r["key"], r["enc"]))
+    gl = F.lit(g).cast("double")
+    out = df.select("*", *[keys[f].alias(f"_k{i}") for i, f in enumerate(names)
+                           if f not in lookup])
+    for i, f in enumerate(names):
+        if f in lookup:
+            continue
         m = (maps.filter(F.col("feature") == f)
-             .select(F.col("key").alias(kcol), F.col("enc").alias(f"{f}_encoded")))
+             .select(F.col("key").alias(f"_k{i}"), F.col("enc").alias(f"_e{i}")))
         if sizes.get(f, 0) <= broadcast_max_rows:
             m = F.broadcast(m)
-        out = (out.withColumn(kcol, key).join(m, kcol, "left").drop(kcol)
-               .withColumn(f"{f}_encoded", F.coalesce(F.col(f"{f}_encoded"), F.lit(g))))
-    return out
+        out = out.join(m, f"_k{i}", "left")
+    enc_cols = []
+    for i, f in enumerate(names):
+        if f in lookup:
+            entries = lookup[f]
+            if entries:
+                mp = F.create_map(*[F.lit(x) for kv in entries for x in
+                                    (kv[0], float(kv[1]) if kv[1] is not None else None)])
+                val = F.try_element_at(mp.cast("map<string,double>"), keys[f])
+            else:
+                val = F.lit(None).cast("double")
+        else:
+            val = F.col(f"_e{i}")
+        enc_cols.append(F.coalesce(val, gl).alias(f"{f}_encoded"))
+    return out.select(*[F.col(c) for c in df.columns], *enc_cols)
 
 
 def target_encode(df: DataFrame, features: list[str], target: str = "work_places",
