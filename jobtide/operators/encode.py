@@ -47,18 +47,33 @@ class NumericBins:
     edges: list | None  # sorted distinct edges; None → everything gets the global mean
 
 
+# Exact quantiles keep one entry per distinct value in the final aggregation
+# task; above this many distinct values the approximate sketch is used.
+EXACT_QUANTILE_MAX_DISTINCT = 1_000_000
+
+
 def _pct(x: Column, p, exact: bool) -> Column:
     return F.percentile(x, p) if exact else F.percentile_approx(x, p, 100000)
 
 
 def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
-                     exact: bool = True) -> dict[str, NumericBins]:
+                     exact: bool | None = None) -> dict[str, NumericBins]:
     """Three scalar passes for all features at once: quartiles, median of the
-    clipped values, quantile edges of the filled values."""
+    clipped values, quantile edges of the filled values.
+
+    ``exact=None`` decides per feature from an HLL distinct count: exact
+    (``percentile``, linear interpolation) up to
+    ``EXACT_QUANTILE_MAX_DISTINCT`` distinct values, else ``percentile_approx``.
+    """
     if not features:
         return {}
     xs = {f: to_number(f) for f in features}
-    q = df.agg(*[_pct(xs[f], [0.25, 0.75], exact).alias(f) for f in features]).first()
+    if exact is None:
+        nd = df.agg(*[F.approx_count_distinct(xs[f]).alias(f) for f in features]).first()
+        ex = {f: nd[f] <= EXACT_QUANTILE_MAX_DISTINCT for f in features}
+    else:
+        ex = {f: exact for f in features}
+    q = df.agg(*[_pct(xs[f], [0.25, 0.75], ex[f]).alias(f) for f in features]).first()
     bounds = {}
     for f in features:
         if q[f] is None or q[f][0] is None:
@@ -68,10 +83,10 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
             iqr = q3 - q1
             bounds[f] = (q1 - 1.5 * iqr, q3 + 1.5 * iqr)
     clipped = {f: clip(xs[f], *bounds[f]) for f in features}
-    med = df.agg(*[_pct(clipped[f], 0.5, exact).alias(f) for f in features]).first()
+    med = df.agg(*[_pct(clipped[f], 0.5, ex[f]).alias(f) for f in features]).first()
     filled = {f: F.coalesce(clipped[f], F.lit(med[f])) for f in features}
     probs = [i / num_bins for i in range(num_bins + 1)]
-    ed = df.agg(*[_pct(filled[f], probs, exact).alias(f) for f in features]).first()
+    ed = df.agg(*[_pct(filled[f], probs, ex[f]).alias(f) for f in features]).first()
     out = {}
     for f in features:
         edges = None

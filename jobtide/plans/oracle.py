@@ -670,3 +670,22 @@ def best_config_naive_sql() -> str:
     return f"""SELECT config_id, freq, round(best_r2, 6) AS best_r2,
   row_number() OVER (ORDER BY best_r2 DESC NULLS LAST, config_id) = 1 AS is_best
 FROM ({union})"""
+
+
+def date_parts_sql() -> str:
+    ts = ts_sql("CASE WHEN date_creation_mistake = '1' THEN NULL ELSE date_creation END")
+    return f"""WITH {RAW_CTE}
+SELECT vacancy_id, d AS date_creation_processed,
+  CAST(year(d) AS INTEGER) AS date_creation_year, CAST(month(d) AS INTEGER) AS date_creation_month,
+  CAST(quarter(d) AS INTEGER) AS date_creation_quarter,
+  CAST(isodow(d) - 1 AS INTEGER) AS date_creation_day_of_week,
+  CAST(dayofyear(d) AS INTEGER) AS date_creation_day_of_year
+FROM (SELECT vacancy_id, {ts} AS d FROM raw)"""
+
+
+def anomaly_counts_sql(freq: str = "M") -> str:
+    return f"""WITH {_ts(freq)},{FLAGS_CTE}
+SELECT series, count_if(is_anomaly) AS anomalies, count_if(rule_z) AS z_hits,
+       count_if(rule_extreme) AS extreme_hits, count_if(rule_high) AS high_hits,
+       count_if(rule_jump) AS jump_hits
+FROM flagged GROUP BY series"""

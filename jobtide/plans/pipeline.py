@@ -17,6 +17,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.vacancies import read_prepared, read_raw
 from . import sinks
 from .forecast import ForecastResult, run_forecast
+from .models import TreeParams
 from .prepare import prepare, spans_of
 
 
@@ -54,6 +55,7 @@ class PipelineConfig:
     anomaly_threshold: float = 2.0
     prep: PrepConfig = field(default_factory=PrepConfig)
     forecast: ForecastConfig = field(default_factory=ForecastConfig)
+    tree_params: TreeParams | None = None
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
@@ -64,6 +66,6 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
     prepared = read_prepared(spark, processed, cfg.processed_format)
     fc = ForecastConfig(**{**cfg.forecast.__dict__, "horizon": cfg.horizon,
                            "anomaly_threshold": cfg.anomaly_threshold})
-    result = run_forecast(spans_of(prepared), fc, n_rows=prepared.count())
+    result = run_forecast(spans_of(prepared), fc, cfg.tree_params, n_rows=prepared.count())
     sinks.write_results(result, cfg.output_dir)
     return result

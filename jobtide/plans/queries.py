@@ -419,3 +419,50 @@ ORACLE.update({
     "src01_raw_csv_prepare": O.prepared_spans_sql(),
     "src08_incremental_ingest": O.prepared_spans_sql(),
 })
+
+
+# --- date parts, anomaly counts, sink round trips ---------------------------------------
+
+def fn11_date_parts(spark, sf_dir):
+    from ..functions.scalar import date_parts, parse_timestamp, unflag
+    raw = proxy.raw_vacancies(spark, sf_dir)
+    ts = parse_timestamp(unflag("date_creation", "date_creation_mistake"))
+    return raw.select("vacancy_id", ts.alias("date_creation_processed")).select(
+        "vacancy_id", "date_creation_processed", *date_parts("date_creation_processed", "date_creation"))
+
+
+def agg29_anomaly_counts(spark, sf_dir):
+    return TS.anomaly_counts(TS.anomaly_flags(_series(spark, sf_dir)))
+
+
+def snk02_prepared_roundtrip(spark, sf_dir):
+    from ..sources.vacancies import read_prepared
+    from .pipeline import scratch_path
+    from .sinks import write_prepared
+    path = scratch_path(spark, "prepared")
+    write_prepared(_prepared(spark, sf_dir), path, "parquet")
+    return read_prepared(spark, path, "parquet").select(*_SPAN_COLS)
+
+
+def snk04_metrics_roundtrip(spark, sf_dir):
+    from ..sources.vacancies import read_results
+    from .pipeline import scratch_path
+    from .sinks import write_metrics
+    folder = scratch_path(spark, "results")
+    write_metrics(_naive_metrics(spark, sf_dir), f"{folder}/metrics")
+    back = read_results(spark, folder)["metrics"]
+    return _round_metrics(back.select("series", "model", "mae", "rmse", "r2"))
+
+
+QUERIES.update({
+    "fn11_date_parts": fn11_date_parts,
+    "agg29_anomaly_counts": agg29_anomaly_counts,
+    "snk02_prepared_roundtrip": snk02_prepared_roundtrip,
+    "snk04_metrics_roundtrip": snk04_metrics_roundtrip,
+})
+ORACLE.update({
+    "fn11_date_parts": O.date_parts_sql(),
+    "agg29_anomaly_counts": O.anomaly_counts_sql(),
+    "snk02_prepared_roundtrip": O.prepared_spans_sql(),
+    "snk04_metrics_roundtrip": O.metrics_naive_sql(),
+})
