@@ -193,3 +193,7 @@ def target_encode(df: DataFrame, features: list[str], target: str = "work_places
     maps = encoding_maps(df, features, {}, target, min_samples, g)
     return apply_encodings(df, maps, {f: category_key(f) for f in features}, g,
                            broadcast_max_rows)
+
+
+# UDF-04: name kept for callers of the older helper.
+process_categorical_feature = target_encode

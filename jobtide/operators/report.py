@@ -135,3 +135,8 @@ def series_totals(series_long: DataFrame, k: int | None = 10,
         # The ranking runs over one row per series (small by construction).
         t = t.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return t
+
+
+def head_rows(df: DataFrame, n: int = 5, order_by: str | None = None) -> DataFrame:
+    """TOP-06: the first ``n`` rows as a sample (ordered when a key is given)."""
+    return (df.orderBy(order_by) if order_by else df).limit(n)

@@ -69,3 +69,29 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
     result = run_forecast(spans_of(prepared), fc, cfg.tree_params, n_rows=prepared.count())
     sinks.write_results(result, cfg.output_dir)
     return result
+
+
+def analyze_results(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """ML-11: read written results back (SRC-07) and summarise them: mean
+    metrics per model (AGG-22), per-series model comparison (JOIN-08) and
+    the total's forecast summary (AGG-27)."""
+    from pyspark.sql import functions as F
+
+    from ..sources.vacancies import read_results
+    from . import models as M
+
+    res = read_results(spark, folder)
+    out: dict[str, DataFrame] = {}
+    if "metrics" in res:
+        met = res["metrics"]
+        out["mean_metrics"] = M.mean_metrics(met)
+        out["comparison"] = met.groupBy("series").pivot("model", [M.RF, M.GBT]).agg(
+            F.first("r2").alias("r2"), F.first("rmse").alias("rmse"), F.first("mae").alias("mae"))
+    if "forecasts" in res:
+        fc = res["forecasts"]
+        out["forecast_summary"] = fc.groupBy("series").agg(
+            F.min("period").alias("first_period"), F.max("period").alias("last_period"),
+            F.min_by("forecast", "step").alias("first_forecast"),
+            F.max_by("forecast", "step").alias("last_forecast"),
+            F.avg("forecast").alias("mean_forecast"), F.count(F.lit(1)).alias("horizon"))
+    return out

@@ -76,3 +76,14 @@ def read_results(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         except Exception:  # noqa: BLE001 - a missing table is reported by absence
             continue
     return out
+
+
+def union_batches(*frames: DataFrame) -> DataFrame:
+    """SET-01: union of separately processed batches, columns matched by name,
+    columns absent from a batch filled with null."""
+    if not frames:
+        raise ValueError("no batches")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

@@ -5,7 +5,7 @@ import os
 from jobtide.config import ForecastConfig
 from jobtide.plans import queries as Q
 from jobtide.plans.models import TreeParams
-from jobtide.plans.pipeline import PipelineConfig, run_pipeline
+from jobtide.plans.pipeline import PipelineConfig, analyze_results, run_pipeline
 from jobtide.plans.prepare import prepare
 from jobtide.sources import proxy
 from jobtide.sources.vacancies import read_results
@@ -32,6 +32,9 @@ def test_run_pipeline_end_to_end(spark, tmpdir_path):
     back = read_results(spark, out)
     assert set(back) >= {"forecasts", "metrics", "best_models", "summary"}
     assert back["metrics"].count() == res.metrics.count()
+    ana = analyze_results(spark, out)
+    assert ana["forecast_summary"].filter("series = 'total_demand'").first()["horizon"] == 6
+    assert ana["mean_metrics"].count() >= 1
 
 
 def test_drop_original(spark):
@@ -41,3 +44,25 @@ def test_drop_original(spark):
     out = prepare(raw, cfg)
     assert "organization" not in out.columns and "date_creation" not in out.columns
     assert "organization_encoded" in out.columns and "work_places" in out.columns
+
+
+def test_union_batches_and_head(spark):
+    from jobtide.operators.report import head_rows
+    from jobtide.sources.vacancies import union_batches
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([(2, 3.0)], "id int, b double")
+    u = union_batches(a, b).orderBy("id").collect()
+    assert u[0]["b"] is None and u[1]["a"] is None and u[1]["b"] == 3.0
+    assert head_rows(union_batches(a, b), 1, "id").first()["id"] == 1
+
+
+def test_total_without_group_column(spark):
+    import datetime as dt
+    from jobtide.operators.spans import demand_series
+    rows = [(1, dt.datetime(2019, 1, 5), dt.datetime(2019, 3, 5), 2),
+            (2, dt.datetime(2019, 2, 5), dt.datetime(2019, 3, 5), 3)]
+    sp = spark.createDataFrame(rows, "id int, start_ts timestamp, end_ts timestamp, weight long")
+    out = {(r["series"], str(r["period"])): r["value"]
+           for r in demand_series(sp, "M", group_col=None).collect()}
+    assert out[("total_demand", "2019-01-31")] == 2.0
+    assert out[("total_demand", "2019-02-28")] == 5.0
