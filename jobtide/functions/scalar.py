@@ -36,7 +36,8 @@ def col_of(c: str | Column) -> Column:
 def to_number(c: str | Column) -> Column:
     """FN-07: text → DOUBLE, bad → null. Digit-separating underscores are
     accepted, as by the float parser of the source system."""
-    s = F.regexp_replace(col_of(c).cast("string"), r"(?<=\d)_(?=\d)", "")
+    x = col_of(c).cast("string")
+    s = F.when(x.contains("_"), F.regexp_replace(x, r"(?<=\d)_(?=\d)", "")).otherwise(x)
     return F.trim(s).try_cast("double")
 
 

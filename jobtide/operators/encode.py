@@ -57,20 +57,27 @@ def _pct(x: Column, p, exact: bool) -> Column:
 
 
 def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
-                     exact: bool | None = None) -> dict[str, NumericBins]:
+                     exact: bool | None = None, mean_of: str | None = None):
     """Three scalar passes for all features at once: quartiles, median of the
     clipped values, quantile edges of the filled values.
 
     ``exact=None`` decides per feature from an HLL distinct count: exact
     (``percentile``, linear interpolation) up to
     ``EXACT_QUANTILE_MAX_DISTINCT`` distinct values, else ``percentile_approx``.
+
+    With ``mean_of`` the mean of that column (AGG-03) is computed in the
+    first pass as well and ``(bins, mean)`` is returned.
     """
-    if not features:
-        return {}
     xs = {f: to_number(f) for f in features}
+    first = [F.approx_count_distinct(xs[f]).alias(f) for f in features if exact is None]
+    if mean_of is not None:
+        first.append(F.avg(mean_of).alias("_mean"))
+    row = df.agg(*first).first() if first else None
+    mean = None if row is None or mean_of is None or row["_mean"] is None else float(row["_mean"])
+    if not features:
+        return ({}, mean) if mean_of is not None else {}
     if exact is None:
-        nd = df.agg(*[F.approx_count_distinct(xs[f]).alias(f) for f in features]).first()
-        ex = {f: nd[f] <= EXACT_QUANTILE_MAX_DISTINCT for f in features}
+        ex = {f: row[f] <= EXACT_QUANTILE_MAX_DISTINCT for f in features}
     else:
         ex = {f: exact for f in features}
     q = df.agg(*[_pct(xs[f], [0.25, 0.75], ex[f]).alias(f) for f in features]).first()
@@ -94,7 +101,7 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
             uniq = sorted(set(float(e) for e in ed[f]))
             edges = uniq if len(uniq) >= 2 else None
         out[f] = NumericBins(bounds[f][0], bounds[f][1], med[f], edges)
-    return out
+    return (out, mean) if mean_of is not None else out
 
 
 def numeric_value(f: str, nb: NumericBins) -> Column:

@@ -36,8 +36,9 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
         # Several statistics passes read this; keep it instead of re-scanning.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
 
-    g = E.global_mean(df, cfg.target)
-    bins = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles)
+    # The global mean of the target rides along the first statistics pass.
+    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
+                                 mean_of=cfg.target)
     df = df.withColumns({f: E.numeric_value(f, bins[f]) for f in numeric})
 
     parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns
@@ -71,8 +72,8 @@ def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None) -> tuple[Data
     cats = [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
     df = C.fill_unknown(df, cats)
     numeric = [c for c in cfg.numeric_columns if c in df.columns]
-    g = E.global_mean(df, cfg.target)
-    bins = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles)
+    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
+                                 mean_of=cfg.target)
     df = df.withColumns({f: E.numeric_value(f, bins[f]) for f in numeric})
     parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns
              for p in DATE_PARTS_ENCODED]
