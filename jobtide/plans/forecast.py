@@ -168,33 +168,36 @@ def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
 
 def summary_report(ts: DataFrame, metrics: DataFrame, best: DataFrame, search: SearchResult,
                    n_series: int, n_rows: int | None, horizon: int,
-                   total_name: str = S.TOTAL) -> DataFrame:
+                   total_name: str = S.TOTAL, models: tuple[str, str] = (M.RF, M.GBT),
+                   prefixes: tuple[str, str] = ("rf", "gbt")) -> DataFrame:
     """SNK-06: one row — analysed period, rows, series, best configuration
-    and R², mean metrics per model, wins per model, overall best, horizon.
+    and R², mean metrics per model, wins per model, overall best (lower mean
+    RMSE, ties to the second model), horizon.
 
-    Each input is a one-row aggregate; their scalars (a fixed, small number)
+    Each input is a small aggregate; their scalars (a fixed, small number)
     are assembled into the report row."""
     spark = ts.sparkSession
     period = ts.agg(year_month(F.min("period")).alias("first_period"),
                     year_month(F.max("period")).alias("last_period")).first()
     mm = {r["model"]: r for r in M.mean_metrics(metrics).collect()}
     wins = {r["best_model"]: r["wins"] for r in M.win_counts(best).collect()}
-    rf, gbt = mm.get(M.RF), mm.get(M.GBT)
-    rf_w, gbt_w = int(wins.get(M.RF, 0)), int(wins.get(M.GBT, 0))
-    n = rf_w + gbt_w
+    a, b = (mm.get(m) for m in models)
+    wa, wb = (int(wins.get(m, 0)) for m in models)
+    n = wa + wb
 
     def g(r, k):
         return None if r is None else r[k]
 
-    rf_rmse, gbt_rmse = g(rf, "mean_rmse"), g(gbt, "mean_rmse")
-    overall = M.RF if (rf_rmse is not None and gbt_rmse is not None and rf_rmse < gbt_rmse) else M.GBT
+    ra, rb = g(a, "mean_rmse"), g(b, "mean_rmse")
+    overall = models[0] if (ra is not None and rb is not None and ra < rb) else models[1]
     row = (period["first_period"], period["last_period"], n_rows, n_series, str(search.best),
-           search.best_r2, g(rf, "mean_mae"), g(rf, "mean_rmse"), g(rf, "mean_r2"),
-           g(gbt, "mean_mae"), g(gbt, "mean_rmse"), g(gbt, "mean_r2"), rf_w, gbt_w,
-           rf_w * 100.0 / n if n else 0.0, gbt_w * 100.0 / n if n else 0.0, overall, horizon)
+           search.best_r2, g(a, "mean_mae"), g(a, "mean_rmse"), g(a, "mean_r2"),
+           g(b, "mean_mae"), g(b, "mean_rmse"), g(b, "mean_r2"), wa, wb,
+           wa * 100.0 / n if n else 0.0, wb * 100.0 / n if n else 0.0, overall, horizon)
+    pa, pb = prefixes
     schema = ("first_period string, last_period string, vacancies bigint, series_analysed int, "
-              "best_config string, best_r2 double, rf_mean_mae double, rf_mean_rmse double, "
-              "rf_mean_r2 double, gbt_mean_mae double, gbt_mean_rmse double, gbt_mean_r2 double, "
-              "rf_wins int, gbt_wins int, rf_share_pct double, gbt_share_pct double, "
-              "overall_best string, horizon int")
+              f"best_config string, best_r2 double, {pa}_mean_mae double, {pa}_mean_rmse double, "
+              f"{pa}_mean_r2 double, {pb}_mean_mae double, {pb}_mean_rmse double, "
+              f"{pb}_mean_r2 double, {pa}_wins int, {pb}_wins int, {pa}_share_pct double, "
+              f"{pb}_share_pct double, overall_best string, horizon int")
     return spark.createDataFrame([row], schema)

@@ -689,3 +689,44 @@ SELECT series, count_if(is_anomaly) AS anomalies, count_if(rule_z) AS z_hits,
        count_if(rule_extreme) AS extreme_hits, count_if(rule_high) AS high_hits,
        count_if(rule_jump) AS jump_hits
 FROM flagged GROUP BY series"""
+
+
+def summary_naive_sql() -> str:
+    """SNK-06 with the closed-form models (see ``snk06_summary_naive``)."""
+    cfg = best_config_naive_sql()
+    agg = []
+    for m, p in (("last_value", "last"), ("seasonal_naive", "seasonal")):
+        agg += [f"(SELECT round(avg(mae), 6) FROM met WHERE model = '{m}') AS {p}_mean_mae",
+                f"(SELECT round(avg(rmse), 6) FROM met WHERE model = '{m}') AS {p}_mean_rmse",
+                f"(SELECT round(avg(r2), 6) FROM met WHERE model = '{m}') AS {p}_mean_r2"]
+    wins = ("(SELECT CAST(count_if(best_model = 'last_value') AS INTEGER) FROM best) AS last_wins, "
+            "(SELECT CAST(count_if(best_model = 'seasonal_naive') AS INTEGER) FROM best) "
+            "AS seasonal_wins")
+    config_text = ("'{' || chr(39) || 'freq' || chr(39) || ': ' || chr(39) || freq || chr(39) "
+                   "|| ', ' || chr(39) || 'outlier_removal' || chr(39) || ': False}'")
+    return f"""WITH {_naive_ctes('M')},
+cfg AS ({cfg}),
+r AS (
+  SELECT
+    (SELECT strftime(min(period), '%Y-%m') FROM ts) AS first_period,
+    (SELECT strftime(max(period), '%Y-%m') FROM ts) AS last_period,
+    (SELECT count(*) FROM spans) AS vacancies,
+    (SELECT CAST(least(10, count(DISTINCT series)) AS INTEGER) FROM ts
+      WHERE series <> 'total_demand') AS series_analysed,
+    (SELECT {config_text} FROM cfg WHERE is_best) AS best_config,
+    (SELECT best_r2 FROM cfg WHERE is_best) AS best_r2,
+    {', '.join(agg)},
+    {wins},
+    6 AS horizon)
+SELECT first_period, last_period, vacancies, series_analysed, best_config, best_r2,
+  last_mean_mae, last_mean_rmse, last_mean_r2, seasonal_mean_mae, seasonal_mean_rmse,
+  seasonal_mean_r2, last_wins, seasonal_wins,
+  round(CASE WHEN last_wins + seasonal_wins > 0
+        THEN last_wins * 100.0 / (last_wins + seasonal_wins) ELSE 0 END, 6) AS last_share_pct,
+  round(CASE WHEN last_wins + seasonal_wins > 0
+        THEN seasonal_wins * 100.0 / (last_wins + seasonal_wins) ELSE 0 END, 6)
+    AS seasonal_share_pct,
+  CASE WHEN last_mean_rmse < seasonal_mean_rmse THEN 'last_value' ELSE 'seasonal_naive' END
+    AS overall_best,
+  CAST(horizon AS INTEGER) AS horizon
+FROM r"""

@@ -298,6 +298,11 @@ def agg27_forecast_summary_naive(spark, sf_dir):
 
 
 def agg28_best_config_naive(spark, sf_dir):
+    return naive_config_search(spark, sf_dir)
+
+
+def naive_config_search(spark, sf_dir):
+    """AGG-28 over the frequencies with the closed-form models."""
     from pyspark.sql import Window
     parts = []
     for i, freq in enumerate(("W", "2W", "M")):
@@ -466,3 +471,25 @@ ORACLE.update({
     "snk02_prepared_roundtrip": O.prepared_spans_sql(),
     "snk04_metrics_roundtrip": O.metrics_naive_sql(),
 })
+
+
+def snk06_summary_naive(spark, sf_dir):
+    """SNK-06 on the closed-form models: the report row of the evaluation path."""
+    from .forecast import SearchResult, summary_report
+    table = naive_config_search(spark, sf_dir)
+    top = table.filter("is_best").first()        # one row of three
+    search = SearchResult(table, {"freq": top["freq"], "outlier_removal": False},
+                          top["best_r2"], None)
+    ts = _series(spark, sf_dir, "M")
+    met = _naive_metrics(spark, sf_dir)
+    best = M.best_model(met, M.LAST, M.SEASONAL)
+    n_series = R.series_totals(ts, 10).count()
+    n_rows = _spans(spark, sf_dir).count()
+    rep = summary_report(ts, met, best, search, n_series, n_rows, 6, S.TOTAL,
+                         (M.LAST, M.SEASONAL), ("last", "seasonal"))
+    return rep.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c)
+                        for c, t in rep.dtypes])
+
+
+QUERIES["snk06_summary_naive"] = snk06_summary_naive
+ORACLE["snk06_summary_naive"] = O.summary_naive_sql()
