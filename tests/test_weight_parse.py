@@ -23,3 +23,53 @@ def test_parse_weight_is_builtin(spark):
     df = spark.createDataFrame([("от 3 до 8",)], "s string").select(parse_weight("s"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+# --- property test against a plain statement of the rule ------------------------------------
+
+import math  # noqa: E402
+import re  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _spec(v):
+    """The weight rule written out directly (independent of the Spark code)."""
+    if v is None:
+        return 1
+    if "до" in v:
+        m = re.search(r"от\s+(\d+)\s+до\s+(\d+)", v)
+        if m:
+            return (int(m.group(1)) + int(m.group(2))) // 2
+    elif "от" in v:
+        m = re.search(r"от\s+(\d+)", v)
+        if m:
+            return int(m.group(1))
+    try:
+        x = float(v)
+        if math.isnan(x) or math.isinf(x):
+            return 1
+        return min(max(1, int(x)), 10000)
+    except ValueError:
+        return 1
+
+
+_num = st.integers(0, 30000).map(str)
+_text = st.one_of(
+    st.none(), _num,
+    st.builds(lambda a, b: f"от {a} до {b}", _num, _num),
+    st.builds(lambda a: f"от {a}", _num),
+    st.builds(lambda a: f"до {a}", _num),
+    st.floats(-1e5, 1e5, allow_nan=False).map(lambda x: f"{x}"),
+    st.sampled_from(["abc", "", " 12 ", "nan", "inf", "-inf", "1e3", "2.5e2", "от", "до", "от x до 5"]),
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(_text, min_size=200, max_size=200))
+def test_parse_weight_matches_rule(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r["i"]: r["w"] for r in df.select("i", parse_weight("s").alias("w")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == _spec(v), (v, got[i], _spec(v))
