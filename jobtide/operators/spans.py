@@ -138,7 +138,8 @@ def demand_series(spans: DataFrame, freq: str = "M", min_activity: int = 10,
     to the group ``'total'`` (FLT-08).
     """
     _check_freq(freq)
-    if group_col is None:
+    total_only = group_col is None
+    if total_only:
         spans = spans.withColumn("_grp", F.lit(FALLBACK_GROUP))
         group_col = "_grp"
     compact = compact_spans(spans, freq, group_col, start_col, end_col, weight_col)
@@ -187,7 +188,8 @@ def demand_series(spans: DataFrame, freq: str = "M", min_activity: int = 10,
     # AGG-12: the total is the sum over active series only.
     total = series.groupBy("b").agg(F.sum("value").alias("value")).select(
         F.lit(total_name).alias("series"), "b", "value")
-    out = series.unionByName(total)
+    # AGG-13: without a group column the result is the total alone.
+    out = total if total_only else series.unionByName(total)
     return out.select("series", cal.label(F.col("b")).alias("period"),
                       F.col("value").cast("double").alias("value"))
 

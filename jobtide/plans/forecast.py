@@ -79,7 +79,9 @@ def config_search(spans: DataFrame, cfg: ForecastConfig, params: M.TreeParams |
     params = params or M.TreeParams(seed=cfg.seed)
     spark = spans.sparkSession
     # Series per frequency are built once (the grid repeats W).
-    by_freq = {f: _series_for(spans, f, cfg) for f in dict.fromkeys(c["freq"] for c in cfg.grid)}
+    freqs = list(dict.fromkeys(c["freq"] for c in cfg.grid))
+    with ThreadPoolExecutor(max_workers=max(1, len(freqs))) as pool:
+        by_freq = dict(zip(freqs, pool.map(lambda f: _series_for(spans, f, cfg), freqs)))
 
     def evaluate(item):
         i, c = item

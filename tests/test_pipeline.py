@@ -66,3 +66,4 @@ def test_total_without_group_column(spark):
            for r in demand_series(sp, "M", group_col=None).collect()}
     assert out[("total_demand", "2019-01-31")] == 2.0
     assert out[("total_demand", "2019-02-28")] == 5.0
+    assert {k[0] for k in out} == {"total_demand"}
