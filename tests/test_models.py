@@ -64,3 +64,25 @@ def test_forest_fit_predicts_finite(spark):
     model = M.fit(M.forest, feats, M.TreeParams(rf_trees=5))
     preds = [r["prediction"] for r in M.predict(model, feats).collect()]
     assert len(preds) == 40 and all(math.isfinite(p) for p in preds)
+
+
+def test_recursive_exact_ma_and_weekly_step(spark):
+    vals = [float(v) for v in range(1, 31)]
+    ps = [dt.date(2020, 1, 5) + dt.timedelta(days=7 * i) for i in range(len(vals))]
+    df = spark.createDataFrame([("w", p, v) for p, v in zip(ps, vals)],
+                               "series string, period date, value double")
+    h = M.history(df, 24)
+    fc = M.recursive_forecast(h, M.column_predictor(F.col("ma_3")), 3, "W",
+                              exact_ma=True).orderBy("step").collect()
+    hist = vals[-24:]
+    exp = []
+    for _ in range(3):
+        v = max(0.0, float(round(sum(hist[-3:]) / 3)))
+        hist.append(v)
+        exp.append(v)
+    assert [r["forecast"] for r in fc] == exp
+    assert fc[0]["period"] == ps[-1] + dt.timedelta(days=7)
+    monthly = M.recursive_forecast(h, M.column_predictor(F.col("ma_3")), 2, "W",
+                                   step="month").orderBy("step").collect()
+    assert ps[-1] == dt.date(2020, 7, 26)
+    assert monthly[0]["period"] == dt.date(2020, 8, 26)   # last period + 1 month

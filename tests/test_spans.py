@@ -90,3 +90,9 @@ def test_brute_force_month(spark):
     for k in out:
         assert out[k] == exp.get(k, 0)
     assert min(out) == D(2019, 1, 31) and max(out) == D(2019, 5, 31)
+
+
+def test_end_inclusive(spark):
+    rows = [("a", D(2019, 1, 15), D(2019, 3, 10), 1)]
+    out = _get(demand_series(_spans(spark, rows), "M", min_activity=1, end_inclusive=True), "a")
+    assert out == {D(2019, 1, 31): 1.0, D(2019, 2, 28): 1.0, D(2019, 3, 31): 1.0}
