@@ -447,9 +447,9 @@ def features_sql(freq: str = "M") -> str:
     w = "OVER (PARTITION BY series ORDER BY period"
     lags = ", ".join(f"coalesce(lag(value, {k}) {w}), 0.0) AS lag_{k}" for k in (1, 2, 3, 4, 8, 12))
     mas = ", ".join(
-        f"CASE WHEN count(value) {w} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) = {k} "
+        f"round(CASE WHEN count(value) {w} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) = {k} "
         f"THEN avg(value) {w} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) "
-        f"ELSE avg(value) OVER (PARTITION BY series) END AS ma_{k}" for k in (3, 6, 12))
+        f"ELSE avg(value) OVER (PARTITION BY series) END, 6) AS ma_{k}" for k in (3, 6, 12))
     return f"""WITH {_ts(freq)}
 SELECT series, period, value AS y,
   CAST(month(period) AS INTEGER) AS month, CAST(quarter(period) AS INTEGER) AS quarter,
@@ -540,7 +540,8 @@ f AS (SELECT o_totalprice FROM orders, q
 
 def title_retention_sql() -> str:
     return f"""WITH {RAW_CTE}
-SELECT count(*) AS rows_read, count_if(contains(lower(title), '{PROXY_KEYWORD}')) AS rows_kept,
+SELECT count(*) AS rows_read,
+       CAST(count_if(contains(lower(title), '{PROXY_KEYWORD}')) AS BIGINT) AS rows_kept,
        round(count_if(contains(lower(title), '{PROXY_KEYWORD}')) * 100.0 / nullif(count(*), 0), 4)
          AS retention_pct
 FROM raw"""
@@ -685,9 +686,11 @@ FROM (SELECT vacancy_id, {ts} AS d FROM raw)"""
 
 def anomaly_counts_sql(freq: str = "M") -> str:
     return f"""WITH {_ts(freq)},{FLAGS_CTE}
-SELECT series, count_if(is_anomaly) AS anomalies, count_if(rule_z) AS z_hits,
-       count_if(rule_extreme) AS extreme_hits, count_if(rule_high) AS high_hits,
-       count_if(rule_jump) AS jump_hits
+SELECT series, CAST(count_if(is_anomaly) AS BIGINT) AS anomalies,
+       CAST(count_if(rule_z) AS BIGINT) AS z_hits,
+       CAST(count_if(rule_extreme) AS BIGINT) AS extreme_hits,
+       CAST(count_if(rule_high) AS BIGINT) AS high_hits,
+       CAST(count_if(rule_jump) AS BIGINT) AS jump_hits
 FROM flagged GROUP BY series"""
 
 

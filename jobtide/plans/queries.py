@@ -115,7 +115,8 @@ def agg20_seasonal_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ts08_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FT.make_features(_series(spark, sf_dir))
+    f = FT.make_features(_series(spark, sf_dir))
+    return f.withColumns({c: F.round(c, 6) for c in ("ma_3", "ma_6", "ma_12")})
 
 
 QUERIES: dict[str, Query] = {

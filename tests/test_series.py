@@ -110,9 +110,10 @@ def test_decompose_matches_numpy(spark):
     rng = np.random.default_rng(1)
     n = 40
     y = 100 + np.arange(n) * 2.0 + 10 * np.sin(np.arange(n) * 2 * np.pi / 12) + rng.normal(0, 1, n)
-    df = _long(spark, {"a": list(y), "short": list(y[:23])})
-    d = TS.decompose(df).orderBy("period").collect()
-    assert {r["series"] for r in d} == {"a"}
+    df = _long(spark, {"a": list(y), "short": list(y[:23]), "edge": list(y[:24])})
+    allrows = TS.decompose(df).orderBy("period").collect()
+    assert {r["series"] for r in allrows} == {"a", "edge"}     # 23 points: skipped
+    d = [r for r in allrows if r["series"] == "a"]
     w = np.r_[0.5, np.ones(11), 0.5] / 12
     trend = np.full(n, np.nan)
     for i in range(6, n - 6):
