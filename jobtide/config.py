@@ -96,3 +96,6 @@ class ForecastConfig:
     interpolation: str = "cubic"
     leak_free: bool = False
     step: str = "freq"  # or "month" (monthly steps whatever the frequency)
+    # One model pair for all forecast series (series index as a feature)
+    # instead of one pair per series; for many series.
+    pooled: bool = False

@@ -133,6 +133,58 @@ def forecast_one(ts: DataFrame, name: str, cfg: ForecastConfig, freq: str,
     return met, best, cut_lineage(fc)
 
 
+POOLED_FEATURES = (*FT.FEATURES, "series_idx")
+
+
+def forecast_pooled(ts: DataFrame, names: list[str], cfg: ForecastConfig, freq: str,
+                    params: M.TreeParams):
+    """ML-08, pooled: one forest and one boosted model for all target series,
+    with the series index as an extra feature. Four fits whatever the number
+    of series (validation and full, both models); each series then takes the
+    model with the lower validation RMSE, and the recursive forecast runs for
+    all series of a model at once (the loop is over the horizon only).
+
+    Returns (metrics, best models, forecasts) as DataFrames."""
+    # names is the bounded list of forecast targets (total + top K)
+    idx = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(float(i)))])
+    sub = ts.filter(F.col("series").isin(*names))
+    feats = cut_lineage(FT.make_features(sub, cfg.leak_free)
+                        .withColumn("series_idx", idx[F.col("series")]))
+    split = M.chrono_split(feats, cfg.train_fraction)
+    ok = [r["series"] for r in M.split_ok(split).collect()]
+    if not ok:
+        return None
+    split = split.filter(F.col("series").isin(*ok))
+    train, test = split.filter("is_train"), split.filter("NOT is_train")
+    full = feats.filter(F.col("series").isin(*ok))
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = {k: pool.submit(M.fit, fac, data, params, POOLED_FEATURES)
+                for k, fac, data in (("rf", M.forest, train), ("gbt", M.boosted, train),
+                                     (M.RF, M.forest, full), (M.GBT, M.boosted, full))}
+        models = {k: f.result() for k, f in jobs.items()}
+    preds = None
+    for key, name in (("rf", M.RF), ("gbt", M.GBT)):
+        p = (M.predict(models[key], test, POOLED_FEATURES)
+             .select("series", "period", "y", F.lit(name).alias("model"),
+                     F.col("prediction").alias("y_hat")))
+        preds = p if preds is None else preds.unionByName(p)
+    met = M.metrics(preds).persist(StorageLevel.MEMORY_AND_DISK)
+    best = M.best_model(met).persist(StorageLevel.MEMORY_AND_DISK)
+    choice = {r["series"]: r["best_model"] for r in best.collect()}   # one row per target
+    hist = M.history(sub.filter(F.col("series").isin(*ok)), 24).withColumn(
+        "series_idx", idx[F.col("series")])
+    forecasts = None
+    for name in (M.RF, M.GBT):
+        chosen = [s for s, b in choice.items() if b == name]
+        if not chosen:
+            continue
+        fc = M.recursive_forecast(hist.filter(F.col("series").isin(*chosen)),
+                                  M.model_predictor(models[name]), cfg.horizon, freq, cfg.step,
+                                  keep=("series_idx",))
+        forecasts = fc if forecasts is None else forecasts.unionByName(fc)
+    return met, best, cut_lineage(forecasts)
+
+
 def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
                  params: M.TreeParams | None = None, n_rows: int | None = None,
                  total_name: str = S.TOTAL, workers: int = 6) -> ForecastResult:
@@ -153,17 +205,25 @@ def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
     targets = [total_name] + [s for s in top[: cfg.top_k]
                               if counts.get(s, 0) >= cfg.min_forecast_points]
 
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(lambda s: (s, forecast_one(ts, s, cfg, freq, params)), targets))
-    done = [(s, r) for s, r in results if r is not None]
-    if not done:
-        raise RuntimeError("no series long enough to forecast")
-    metrics = done[0][1][0]
-    forecasts = done[0][1][2]
-    for _, r in done[1:]:
-        metrics = metrics.unionByName(r[0])
-        forecasts = forecasts.unionByName(r[2])
-    best = spark.createDataFrame([(s, r[1]) for s, r in done], "series string, best_model string")
+    if cfg.pooled:
+        pooled = forecast_pooled(ts, targets, cfg, freq, params)
+        if pooled is None:
+            raise RuntimeError("no series long enough to forecast")
+        metrics, best, forecasts = pooled
+    else:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            results = list(pool.map(lambda s: (s, forecast_one(ts, s, cfg, freq, params)),
+                                    targets))
+        done = [(s, r) for s, r in results if r is not None]
+        if not done:
+            raise RuntimeError("no series long enough to forecast")
+        metrics = done[0][1][0]
+        forecasts = done[0][1][2]
+        for _, r in done[1:]:
+            metrics = metrics.unionByName(r[0])
+            forecasts = forecasts.unionByName(r[2])
+        best = spark.createDataFrame([(s, r[1]) for s, r in done],
+                                     "series string, best_model string")
     summary = summary_report(ts, metrics, best, search, len(top), n_rows, cfg.horizon, total_name)
     return ForecastResult(ts, forecasts, metrics, best, search.table, summary)
 

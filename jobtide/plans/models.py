@@ -112,54 +112,54 @@ class TreeParams:
     seed: int = 42
 
 
-def _pipeline(reg) -> Pipeline:
-    asm = VectorAssembler(inputCols=list(FEATURES), outputCol="_raw", handleInvalid="keep")
+def _pipeline(reg, features=FEATURES) -> Pipeline:
+    asm = VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="keep")
     sc = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True)
     return Pipeline(stages=[asm, sc, reg])
 
 
-def forest(p: TreeParams) -> Pipeline:
+def forest(p: TreeParams, features=FEATURES) -> Pipeline:
     """ML-02."""
     return _pipeline(RandomForestRegressor(
         featuresCol="_x", labelCol="y", predictionCol="prediction", numTrees=p.rf_trees,
         maxDepth=p.rf_depth, minInstancesPerNode=p.rf_min_leaf,
-        featureSubsetStrategy=p.rf_features, seed=p.seed, checkpointInterval=-1))
+        featureSubsetStrategy=p.rf_features, seed=p.seed, checkpointInterval=-1), features)
 
 
-def boosted(p: TreeParams) -> Pipeline:
+def boosted(p: TreeParams, features=FEATURES) -> Pipeline:
     """ML-03."""
     return _pipeline(GBTRegressor(
         featuresCol="_x", labelCol="y", predictionCol="prediction", maxIter=p.gbt_rounds,
         maxDepth=p.gbt_depth, stepSize=p.gbt_rate, subsamplingRate=p.gbt_subsample,
         featureSubsetStrategy=p.gbt_features, lossType="squared", seed=p.seed,
-        checkpointInterval=-1))
+        checkpointInterval=-1), features)
 
 
-def _clean_xy(df: DataFrame) -> DataFrame:
+def _clean_xy(df: DataFrame, features=FEATURES) -> DataFrame:
     """ML-04: features null → 0, target null → its mean."""
-    feats = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in FEATURES]
+    feats = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
     y = F.coalesce(F.col("y"), F.avg("y").over(Window.partitionBy("series")))
-    rest = [c for c in df.columns if c not in FEATURES and c != "y"]
+    rest = [c for c in df.columns if c not in features and c != "y"]
     return df.select(*rest, *feats, y.alias("y"))
 
 
-def fit(pipe_factory: Callable[[TreeParams], Pipeline], train: DataFrame,
-        params: TreeParams | None = None) -> PipelineModel:
+def fit(pipe_factory: Callable[..., Pipeline], train: DataFrame,
+        params: TreeParams | None = None, features=FEATURES) -> PipelineModel:
     """Fit, falling back to a 50-tree default on failure (ML-05)."""
     params = params or TreeParams()
-    data = _clean_xy(train)
+    data = _clean_xy(train, features)
     if data.isEmpty():
         raise ValueError("empty training data")
     try:
-        return pipe_factory(params).fit(data)
+        return pipe_factory(params, features).fit(data)
     except Exception:  # noqa: BLE001 - the fallback is the documented behaviour
         small = TreeParams(rf_trees=50, gbt_rounds=50, seed=params.seed)
-        return pipe_factory(small).fit(data)
+        return pipe_factory(small, features).fit(data)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, features=FEATURES) -> DataFrame:
     """ML-06."""
-    out = model.transform(_clean_xy(df))
+    out = model.transform(_clean_xy(df, features))
     return out.drop("_raw", "_x")
 
 
@@ -201,7 +201,8 @@ def _step_features(h: Column, period: Column, exact_ma: bool) -> list[Column]:
 
 def recursive_forecast(hist: DataFrame, predictor: Callable[[DataFrame], DataFrame],
                        horizon: int = 6, freq: str = "M", step: str = "freq",
-                       exact_ma: bool = False, checkpoint_every: int = 1) -> DataFrame:
+                       exact_ma: bool = False, checkpoint_every: int = 1,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """``(series, step, period, forecast)`` for ``horizon`` steps.
 
     ``predictor`` maps a frame with the FEATURES columns to one with a
@@ -212,8 +213,9 @@ def recursive_forecast(hist: DataFrame, predictor: Callable[[DataFrame], DataFra
     the optimizer inlines them into a tree that grows exponentially with
     the horizon. The state (one row per series) is therefore checkpointed
     every ``checkpoint_every`` steps into the shared checkpoint folder.
+    ``keep`` names extra per-series columns carried along (model inputs).
     """
-    state = hist.select("series", "h", "last_period",
+    state = hist.select("series", *keep, "h", "last_period",
                         F.array().cast("array<struct<step:int,period:date,forecast:double>>")
                         .alias("fc"))
     for i in range(1, horizon + 1):
@@ -223,7 +225,7 @@ def recursive_forecast(hist: DataFrame, predictor: Callable[[DataFrame], DataFra
         pred = predictor(feat)
         value = round_forecast(F.col("prediction"))
         state = pred.select(
-            "series", F.concat("h", F.array(value)).alias("h"), "last_period",
+            "series", *keep, F.concat("h", F.array(value)).alias("h"), "last_period",
             F.concat("fc", F.array(F.struct(F.lit(i).alias("step"), F.col("_period").alias("period"),
                                             value.alias("forecast")))).alias("fc"))
         if checkpoint_every and i % checkpoint_every == 0 and i < horizon:

@@ -494,3 +494,16 @@ def snk06_summary_naive(spark, sf_dir):
 
 QUERIES["snk06_summary_naive"] = snk06_summary_naive
 ORACLE["snk06_summary_naive"] = O.summary_naive_sql()
+
+
+def ml08_forecast_pooled(spark, sf_dir):
+    """ML-08 pooled: one model pair for the total and the top 5 series."""
+    from ..config import ForecastConfig
+    from .forecast import forecast_pooled
+    ts = _series(spark, sf_dir, "M")
+    top = [r["series"] for r in R.series_totals(ts, 5).orderBy("rank").collect()]
+    res = forecast_pooled(ts, [S.TOTAL] + top, ForecastConfig(), "M", M.TreeParams())
+    return res[2]
+
+
+QUERIES["ml08_forecast_pooled"] = ml08_forecast_pooled
