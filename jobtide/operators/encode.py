@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.scalar import UNKNOWN, clip, to_number
 
@@ -68,7 +69,8 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
     With ``mean_of`` the mean of that column (AGG-03) is computed in the
     first pass as well and ``(bins, mean)`` is returned.
     """
-    xs = {f: to_number(f) for f in features}
+    numeric_types = {t.name for t in df.schema if isinstance(t.dataType, NumericType)}
+    xs = {f: F.col(f).cast("double") if f in numeric_types else to_number(f) for f in features}
     first = [F.approx_count_distinct(xs[f]).alias(f) for f in features if exact is None]
     if mean_of is not None:
         first.append(F.avg(mean_of).alias("_mean"))
@@ -104,9 +106,9 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
     return (out, mean) if mean_of is not None else out
 
 
-def numeric_value(f: str, nb: NumericBins) -> Column:
+def numeric_value(f: str, nb: NumericBins, already_numeric: bool = False) -> Column:
     """FN-07 → FN-09 → FN-10: numeric, clipped to the fence, median-filled."""
-    x = clip(to_number(f), nb.lower, nb.upper)
+    x = clip(F.col(f).cast("double") if already_numeric else to_number(f), nb.lower, nb.upper)
     return F.coalesce(x, F.lit(nb.median).cast("double")) if nb.median is not None else x
 
 

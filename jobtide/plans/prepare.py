@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import PrepConfig
 from ..operators import clean as C
+from ..functions.scalar import to_number
 from ..operators import encode as E
 
 DATE_PARTS_ENCODED = ("year", "month", "quarter")
@@ -32,6 +33,8 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
     cats = [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
     df = C.fill_unknown(df, cats)
     numeric = [c for c in cfg.numeric_columns if c in df.columns]
+    # FN-07 in place, once: the statistics passes then read doubles.
+    df = df.withColumns({f: to_number(f) for f in numeric})
     if persist:
         # Several statistics passes read this; keep it instead of re-scanning.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -39,7 +42,7 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
     # The global mean of the target rides along the first statistics pass.
     bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
                                  mean_of=cfg.target)
-    df = df.withColumns({f: E.numeric_value(f, bins[f]) for f in numeric})
+    df = df.withColumns({f: E.numeric_value(f, bins[f], already_numeric=True) for f in numeric})
 
     parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns
              for p in DATE_PARTS_ENCODED]
