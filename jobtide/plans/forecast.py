@@ -199,11 +199,11 @@ def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
     freq = search.best["freq"]
     ts = cut_lineage(TS.detect_and_repair(search.series, cfg.anomaly_threshold, cfg.repair_window,
                                           True, total_name, cfg.total_cap))
-    counts = {r["series"]: r["n"] for r in
-              ts.groupBy("series").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Every series of the dense grid has one row per calendar period.
+    n_periods = ts.filter(F.col("series") == total_name).count()
+    # at most 10 names (TOP-04)
     top = [r["series"] for r in R.series_totals(ts, 10, total_name).orderBy("rank").collect()]
-    targets = [total_name] + [s for s in top[: cfg.top_k]
-                              if counts.get(s, 0) >= cfg.min_forecast_points]
+    targets = [total_name] + (top[: cfg.top_k] if n_periods >= cfg.min_forecast_points else [])
 
     if cfg.pooled:
         pooled = forecast_pooled(ts, targets, cfg, freq, params)

@@ -64,7 +64,8 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
     return C.coerce_types(df)
 
 
-def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None) -> tuple[DataFrame, dict]:
+def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None,
+                    persist: bool = True) -> tuple[DataFrame, dict]:
     """The encoding maps and numeric cuts alone (for inspection and checks)."""
     cfg = cfg or PrepConfig()
     df = C.drop_denied(raw, cfg.deny_columns)
@@ -75,9 +76,12 @@ def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None) -> tuple[Data
     cats = [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
     df = C.fill_unknown(df, cats)
     numeric = [c for c in cfg.numeric_columns if c in df.columns]
+    df = df.withColumns({f: to_number(f) for f in numeric})
+    if persist:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
                                  mean_of=cfg.target)
-    df = df.withColumns({f: E.numeric_value(f, bins[f]) for f in numeric})
+    df = df.withColumns({f: E.numeric_value(f, bins[f], already_numeric=True) for f in numeric})
     parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns
              for p in DATE_PARTS_ENCODED]
     binned = {f: E.bin_index(F.col(f), bins[f]) for f in numeric}
