@@ -733,3 +733,39 @@ SELECT first_period, last_period, vacancies, series_analysed, best_config, best_
     AS overall_best,
   CAST(horizon AS INTEGER) AS horizon
 FROM r"""
+
+
+def repair_sequential_sql(freq: str = "M", window: int = 8) -> str:
+    """TS-05 faithful: a recursive CTE repairs the anomalies of each series one
+    at a time, in time order, each step reading the values left by the
+    previous steps."""
+    s = "list_sort(nb)"
+    mean = "(list_sum(nb) / len(nb))"
+    total_fix = (f"CASE WHEN orig > 80000.0 THEN greatest({_qsorted(s, 0.75)}, orig * 0.6) "
+                 f"ELSE {mean} END")
+    other_fix = (f"CASE WHEN orig > {_qsorted(s, 0.9)} THEN {_qsorted(s, 0.9)} "
+                 f"ELSE {_qsorted(s, 0.25)} END")
+    fixed = f"CASE WHEN sname = 'total_demand' THEN {total_fix} ELSE {other_fix} END"
+    return f"""WITH RECURSIVE {_ts(freq)},{FLAGS_CTE},
+pos AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY period) AS p FROM flagged),
+per AS (
+  SELECT series, list(value ORDER BY period) AS vals0,
+         coalesce(list(p ORDER BY p) FILTER (WHERE is_anomaly), []) AS anos
+  FROM pos GROUP BY series),
+rec(series, k, vals, anos) AS (
+  SELECT series, 0, vals0, anos FROM per
+  UNION ALL
+  SELECT r.series, r.k + 1,
+         list_transform(r.vals, lambda v, j: CASE WHEN j = q.i THEN q.fixed ELSE v END),
+         r.anos
+  FROM rec r, LATERAL (
+    SELECT i, CASE WHEN len(nb) = 0 THEN orig
+                   ELSE greatest(0.0, CAST(trunc({fixed}) AS DOUBLE)) END AS fixed
+    FROM (SELECT i, sname, r.vals[i] AS orig,
+                 list_concat(r.vals[greatest(1, i - {window}):i - 1],
+                             r.vals[i + 1:least(len(r.vals), i + {window})]) AS nb
+          FROM (SELECT r.anos[r.k + 1] AS i, r.series AS sname))) q
+  WHERE r.k < len(r.anos)),
+final AS (SELECT series, vals FROM rec WHERE k = len(anos))
+SELECT p.series, p.period, p.value, p.is_anomaly, f.vals[p.p] AS fixed
+FROM pos p JOIN final f ON p.series = f.series"""

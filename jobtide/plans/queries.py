@@ -507,3 +507,4 @@ def ml08_forecast_pooled(spark, sf_dir):
 
 
 QUERIES["ml08_forecast_pooled"] = ml08_forecast_pooled
+ORACLE["ts05_repair_sequential"] = O.repair_sequential_sql("M")
