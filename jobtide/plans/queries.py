@@ -508,3 +508,20 @@ def ml08_forecast_pooled(spark, sf_dir):
 
 QUERIES["ml08_forecast_pooled"] = ml08_forecast_pooled
 ORACLE["ts05_repair_sequential"] = O.repair_sequential_sql("M")
+
+
+# The weekly proxy series have no point beyond |z| > 3 (the default), so these
+# variants at |z| > 2 make the mask and the gap filling do work.
+def ts02_outliers_linear_z2(spark, sf_dir):
+    s = _series(spark, sf_dir, "W")
+    filled = TS.fill_edges(TS.interpolate_linear(TS.outlier_mask(s, 2.0)))
+    return filled.select("series", "period", "is_outlier", F.round("value", 6).alias("value"))
+
+
+def ts02_outliers_cubic_z2(spark, sf_dir):
+    return TS.remove_outliers(_series(spark, sf_dir, "W"), 2.0, method="cubic")
+
+
+QUERIES["ts02_outliers_linear_z2"] = ts02_outliers_linear_z2
+QUERIES["ts02_outliers_cubic_z2"] = ts02_outliers_cubic_z2
+ORACLE["ts02_outliers_linear_z2"] = O.outliers_linear_sql("W", 2.0)

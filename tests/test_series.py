@@ -128,3 +128,16 @@ def test_decompose_matches_numpy(spark):
             assert r["trend"] is None
         else:
             assert abs(r["trend"] - trend[i]) < 1e-9
+
+
+def test_cubic_outlier_removal_changes_only_masked_points(spark):
+    from jobtide.plans import queries as Q
+    sf = "/root/testdata/sf0.01"
+    orig = {(r["series"], r["period"]): r["value"] for r in Q._series(spark, sf, "W").collect()}
+    lin = {(r["series"], r["period"]): r["is_outlier"]
+           for r in Q.ts02_outliers_linear_z2(spark, sf).collect()}
+    cub = {(r["series"], r["period"]): r["value"] for r in Q.ts02_outliers_cubic_z2(spark, sf).collect()}
+    masked = {k for k, v in lin.items() if v}
+    assert masked
+    assert all(cub[k] == orig[k] for k in orig if k not in masked)
+    assert all(cub[k] != orig[k] for k in masked)
