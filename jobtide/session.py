@@ -17,14 +17,19 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Settings that only make sense as defaults; a cluster may override them.
+# Settings fixed when the context starts (no web UI or console progress bar).
+STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
+# Runtime settings used as defaults only: a value the cluster already set
+# (spark-defaults, --conf) is kept.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast only sides whose measured size is below this bound.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -35,17 +40,23 @@ DEFAULT_CONF = {
 def get_spark(master: str | None = None, app: str = "jobtide",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Return (or create) a session with the library's defaults."""
+    """Return (or create) a session; library defaults fill only settings the
+    cluster left unset, explicit arguments always apply."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
+    for k, v in {**STATIC_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(k, v)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    cluster = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k not in explicit and not cluster.contains(k):
+            spark.conf.set(k, v)
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
