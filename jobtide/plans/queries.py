@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PrepConfig
-from ..functions.scalar import NULL_MARKERS, parse_weight
+from ..functions.scalar import null_markers, parse_weight
 from ..operators import features as FT
 from ..operators import report as R
 from ..operators import series as TS
@@ -43,10 +43,8 @@ def proxy_prep_config() -> PrepConfig:
 
 def fn01_weight_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = proxy.raw_vacancies(spark, sf_dir)
-    wp = F.when(F.col("work_places").isin(*NULL_MARKERS),
-                F.lit(None)).otherwise(F.col("work_places"))
     return raw.select("vacancy_id", F.col("work_places").alias("work_places_text"),
-                      parse_weight(wp).alias("work_places"))
+                      parse_weight(null_markers("work_places")).alias("work_places"))
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
