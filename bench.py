@@ -21,7 +21,7 @@ HEADLINE = [
     "join03_demand_monthly_explode",
     "fn01_weight_parse", "api01_prepared_spans", "agg02_encoding_maps",
     "agg10_group_stats", "top02_top_groups", "agg14_monthly_counts", "agg15_weight_histograms",
-    "ts04_anomaly_flags", "ts05_repair_sequential", "ts02_outliers_cubic", "ts07_decompose",
+    "ts04_anomaly_flags", "ts05_repair_sequential", "ts02_outliers_cubic_z2", "ts07_decompose",
     "ts08_features", "agg21_metrics_naive", "ml09_recursive_naive", "src08_incremental_ingest",
     "api02_forecast_pipeline",
 ]
