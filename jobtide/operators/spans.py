@@ -100,9 +100,13 @@ def calendar_of(compact: DataFrame, freq: str, end_inclusive: bool = False) -> C
     """Global grid from the earliest start period to the latest end period
     (excluded unless ``end_inclusive``). Two scalars reach the driver."""
     row = compact.agg(F.min("s").alias("lo"), F.max("e").alias("hi")).first()
-    if row is None or row["lo"] is None:
+    return _calendar(row["lo"], row["hi"], freq, end_inclusive) if row is not None else None
+
+
+def _calendar(lo, hi, freq: str, end_inclusive: bool) -> Calendar | None:
+    if lo is None:
         return None
-    lo, hi = int(row["lo"]), int(row["hi"]) + (1 if end_inclusive else 0)
+    lo, hi = int(lo), int(hi) + (1 if end_inclusive else 0)
     step = 2 if freq == "2W" else 1
     n = max(0, (hi - lo + step - 1) // step)
     return Calendar(freq, lo, n, step)
@@ -144,18 +148,25 @@ def demand_series(spans: DataFrame, freq: str = "M", min_activity: int = 10,
         group_col = "_grp"
     compact = compact_spans(spans, freq, group_col, start_col, end_col, weight_col)
     compact = compact.persist(StorageLevel.MEMORY_AND_DISK)
-    cal = calendar_of(compact, freq, end_inclusive)
+    # One job for the calendar bounds and the number of active groups.
+    per_group = compact.groupBy("grp").agg(F.sum("n").alias("n"), F.min("s").alias("lo"),
+                                           F.max("e").alias("hi"))
+    row = per_group.agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.count_if(F.col("grp").isNotNull() & (F.col("n") >= min_activity)).alias("n_active"),
+    ).first()
+    cal = _calendar(row["lo"], row["hi"], freq, end_inclusive)
     spark = spans.sparkSession
     if cal is None or cal.n == 0:
         return spark.createDataFrame([], "series string, period date, value double")
 
     if group_col == "_grp":
         active = compact.select("grp").distinct()
-    else:
+    elif row["n_active"] > 0:
         active = active_groups(compact, min_activity)
-        if active.isEmpty():
-            compact = compact.withColumn("grp", F.lit(FALLBACK_GROUP))
-            active = compact.select("grp").distinct()
+    else:
+        compact = compact.withColumn("grp", F.lit(FALLBACK_GROUP))
+        active = compact.select("grp").distinct()
     # JOIN-06: only spans of active groups (the active list is tiny).
     act = compact.join(active, "grp", "left_semi")
     buckets = _span_buckets(act, cal, end_inclusive, align).filter(F.col("be") > F.col("bs"))
