@@ -25,8 +25,8 @@ FENCE = 3
 #: feature -> (least distance of the upper fence from the upper quartile, of the lower fence from the lower quartile or None)
 FEATURES: dict[str, tuple[int, int | None]] = {
     "symbols_pm": (30, None),      # symbols per 1000 characters in words
-    "dup_lines_pm": (300, None),   # repeated lines per 1000 lines with a word
-    "repeats_pm": (150, None),     # words in repeated windows per 1000 words
+    "dup_lines_pm": (500, None),   # repeated lines per 1000 lines with a word
+    "repeats_pm": (250, None),     # words in repeated windows per 1000 words
     "word_len_pc": (200, 200),     # characters per 100 words
 }
 _WS = r"[\\x20\\x09-\\x0D]"

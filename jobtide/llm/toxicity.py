@@ -87,10 +87,12 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     return id_and_text(docs).join(F.broadcast(chosen), "doc_id")  # bounded by the two limits
 
 
-def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float = 0.1, l2: float = 1e-4, seed: int = 11) -> Machine:
+def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float = 0.1, l2: float = 1e-4,
+        positive_weight: float = 3.0, seed: int = 11) -> Machine:
     """Machine from ``text, label`` rows (a bounded sample); terms are hashed on the executors.
 
-    Without rows of both classes no slot is admitted and the bias says the one class.
+    Positive rows weigh ``positive_weight`` times as much. Without rows of both
+    classes no slot is admitted and the bias says the one class.
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         slots = _Slots()
@@ -127,7 +129,7 @@ def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float
             sums = np.stack([np.bincount(own, va[:, f], minlength=len(chunk)) for f in range(factors)], 1)
             squares = np.bincount(own, (va ** 2).sum(1), minlength=len(chunk))
             score = bias + np.bincount(own, w[at], minlength=len(chunk)) + 0.5 * ((sums ** 2).sum(1) - squares)
-            err = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - y[chunk]
+            err = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y[chunk]) * np.where(y[chunk] > 0, positive_weight, 1.0)
             seen_b += err.sum() ** 2
             bias -= rate * err.sum() / np.sqrt(seen_b)
             touched, back = np.unique(at, return_inverse=True)

@@ -85,8 +85,8 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS, epochs: int = 12, rat
     """Weights (bias last) from rows ``host, path, blocked``; 1 means block.
 
     At most ``max_rows`` rows are taken, by the order of a hash of host and
-    path, so the choice does not depend on partitioning. Without rows of both
-    kinds the bias alone says the one kind (no rows: allow).
+    path, so the choice does not depend on partitioning. Both kinds weigh the
+    same in all. Without rows of both kinds the bias alone says the one kind (no rows: allow).
     """
     sample = (labelled.where("blocked IS NOT NULL").select("host", "path", F.col("blocked").cast("int").alias("blocked"))
               .distinct().orderBy(F.xxhash64("host", "path"), "host", "path", "blocked").limit(max_rows).collect())
@@ -96,6 +96,7 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS, epochs: int = 12, rat
         weights[-1] = 10.0 if len(y) and y[0] else -10.0
         return weights
     rows = [grams(r["host"], r["path"]) for r in sample]
+    balance = len(y) / 2 / np.where(y > 0, y.sum(), len(y) - y.sum())
     seen = np.full(FEATURES + 1, 1e-8)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
@@ -104,7 +105,7 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS, epochs: int = 12, rat
             sizes = np.array([len(rows[i]) for i in chunk])
             owner = np.repeat(np.arange(len(chunk)), sizes)
             z = np.bincount(owner, weights[idx] / np.sqrt(sizes)[owner], minlength=len(chunk)) + weights[-1]
-            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[chunk]) / len(chunk)
+            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[chunk]) * balance[chunk] / len(chunk)
             grad = np.bincount(idx, (err / np.sqrt(sizes))[owner], minlength=FEATURES + 1)
             grad[-1] = err.sum()
             touched = np.flatnonzero(grad)
