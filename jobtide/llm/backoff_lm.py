@@ -8,6 +8,9 @@ about, in the order asked. The block joins them back to its words and sums
 the scores per document. A frequent n-gram is thus one entry per block, not
 one row per occurrence.
 
+Words and pairs are counted first. A longer n-gram is asked about only where
+both shorter n-grams in it reach ``min_count``; elsewhere it cannot.
+
 Score of a word after its context, longest context first: count(n-gram) /
 count(context) if the n-gram occurs at least ``min_count`` times, else
 ``ALPHA`` times the score with the context's first word left out; a single
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import WordHashes, as_bytes, id_and_text, mix64, word_hashes
+from .common import WordHashes, as_bytes, bucketed, id_and_text, mix64, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
@@ -33,14 +36,15 @@ MIN_COUNT = 2
 BLOCK_WORDS = 2_000_000
 MIN_BUCKETS = 256
 MICRO = 1_000_000
-_BLOCK = "block long, doc_ids array<long>, n_words array<long>, words binary, vocabulary binary"
-_ASK = "bucket int, block long, keys binary, counts binary"
+_BLOCK = "block long, doc_ids array<long>, n_words array<long>, words binary, vocabulary binary, uses binary"
+_ASK = "bucket long, block long, keys binary, counts binary"
+_TOTALS = "block long, bucket long, totals binary"
 
 
 def pack(a: np.ndarray) -> bytes:
     """Bytes of a vector, transposed (like bytes of all entries together), compressed."""
     kind = {"uint64": b"8", "uint32": b"4"}[a.dtype.name]
-    return kind + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes())
+    return kind + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), int(kind)).T).tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -57,6 +61,10 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
+def _by_use(uses: np.ndarray) -> np.ndarray:
+    return np.argsort(-uses.astype(np.int64), kind="stable")
+
+
 def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -65,11 +73,13 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            vocabulary, at = np.unique(words, return_inverse=True)
+            vocabulary, at, uses = np.unique(words, return_inverse=True, return_counts=True)
+            rank = np.empty(len(uses), np.uint32)  # frequent words get small numbers, which pack well
+            rank[_by_use(uses)] = np.arange(len(uses), dtype=np.uint32)
             number = (TaskContext.get().partitionId() << 32) + made
             return pa.record_batch([pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                                    pa.array([pack(at.astype(np.uint32))], pa.binary()), pa.array([pack_sorted(vocabulary)], pa.binary())],
-                                   ["block", "doc_ids", "n_words", "words", "vocabulary"])
+                                    pa.array([pack(rank[at])], pa.binary()), pa.array([pack_sorted(vocabulary)], pa.binary()), pa.array([pack(uses.astype(np.uint32))], pa.binary())],
+                                   ["block", "doc_ids", "n_words", "words", "vocabulary", "uses"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
@@ -101,28 +111,44 @@ def _grams(words: np.ndarray, sizes: np.ndarray, order: int) -> list[tuple[np.nd
     return out
 
 
-def _asked(batch_row: dict, order: int, bits: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """Grams by order; distinct hashes of all orders, own counts, and bounds of the buckets."""
-    words = unpack_sorted(batch_row["vocabulary"])[unpack(batch_row["words"])]
-    grams = _grams(words, np.array(batch_row["n_words"], dtype=np.int64), order)
-    keys, counts = np.unique(np.concatenate([k[ok] for k, ok in grams]), return_counts=True)
-    bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-    return grams, keys, counts, bounds
-
-
-def _ask(blocks: DataFrame, order: int, bits: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, keys, counts, bounds = _asked(row, order, bits)
-                full = np.flatnonzero(np.diff(bounds))
-                yield pa.record_batch([
-                    pa.array(full, pa.int32()), pa.array([row["block"]] * len(full), pa.int64()),
-                    pa.array([pack_sorted(keys[bounds[b]:bounds[b + 1]]) for b in full], pa.binary()),
-                    pa.array([pack(counts[bounds[b]:bounds[b + 1]].astype(np.uint32)) for b in full], pa.binary())],
-                    ["bucket", "block", "keys", "counts"])
-
-    return blocks.mapInArrow(run, _ASK)
+class _Block:
+    """A block's n-grams, and the counts that came back for them so far."""
+
+    def __init__(self, row: dict, order: int, bits: int, min_count: int, totals: pa.Table | None = None) -> None:
+        vocabulary = unpack_sorted(row["vocabulary"])[_by_use(unpack(row["uses"]))]
+        self.sizes = np.array(row["n_words"], dtype=np.int64)
+        self.grams = _grams(vocabulary[unpack(row["words"])], self.sizes, order)
+        self.bits, self.min_count = bits, min_count
+        self.counts: list[np.ndarray] = []
+        if totals is not None:
+            found = sorted(zip(totals.column("bucket").to_pylist(), totals.column("totals").to_pylist()))
+            for n in range(1, order + 1):
+                own = [unpack(t) for b, t in found if b >> bits == n]
+                if n > 2 and not own:
+                    break
+                ok, _, back, _ = self.distinct(n)
+                count = np.zeros(len(ok))
+                count[ok] = np.concatenate(own)[back] if own else 0
+                self.counts.append(count)
+
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where n-grams worth asking about end; their distinct hashes, each one's place among these, own counts."""
+        key, ok = self.grams[n - 1]
+        if n > 2:
+            shorter = self.counts[n - 2] >= self.min_count
+            ok = ok & shorter & np.r_[False, shorter[:-1]][:len(shorter)]
+        return ok, *np.unique(key[ok], return_inverse=True, return_counts=True)
+
+    def ask(self, block: int, n: int) -> pa.RecordBatch:
+        """A row for each bucket: the distinct hashes in it, and own counts."""
+        _, keys, _, counts = self.distinct(n)
+        bounds = np.searchsorted(keys >> np.uint64(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64))
+        full = np.flatnonzero(np.diff(bounds))
+        return pa.record_batch([
+            pa.array((n << self.bits) + full, pa.int64()), pa.array([block] * len(full), pa.int64()),
+            pa.array([pack_sorted(keys[bounds[b]:bounds[b + 1]]) for b in full], pa.binary()),
+            pa.array([pack(counts[bounds[b]:bounds[b + 1]].astype(np.uint32)) for b in full], pa.binary())],
+            ["bucket", "block", "keys", "counts"])
 
 
 def _total(asked: DataFrame) -> DataFrame:
@@ -136,7 +162,7 @@ def _total(asked: DataFrame) -> DataFrame:
         return pa.table([table.column("block").combine_chunks(), table.column("bucket").combine_chunks(),
                          pa.array([pack(p) for p in np.split(total, stops[:-1])], pa.binary())], ["block", "bucket", "totals"])
 
-    return asked.groupBy("bucket").applyInArrow(run, "block long, bucket int, totals binary")
+    return cut_lineage(asked.groupBy("bucket").applyInArrow(run, _TOTALS))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA,
@@ -150,29 +176,47 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     mean. Repeated rows count as often as they occur. An empty table gives no rows.
     Keys are 64-bit hashes; two n-grams of one hash would share their count.
     """
-    blocks = cut_lineage(_blocks(id_and_text(docs, id_col, text_col), block_words))
+    blocks = bucketed(_blocks(id_and_text(docs, id_col, text_col), block_words), "block")
     n_blocks, total = blocks.agg(F.count("*"), F.sum(F.expr("aggregate(n_words, 0L, (a, x) -> a + x)"))).first()
     total = total or 0
     bits = max(MIN_BUCKETS, n_blocks).bit_length() - 1 + (max(MIN_BUCKETS, n_blocks) & (max(MIN_BUCKETS, n_blocks) - 1) > 0)
-    totals = _total(_ask(blocks, order, bits))
+
+    def ask_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = _Block(row, min(order, 2), bits, min_count)
+                for n in range(1, min(order, 2) + 1):
+                    yield own.ask(row["block"], n)
+
+    totals = _total(blocks.mapInArrow(ask_short, _ASK))
+    by_block = blocks.groupBy("block")
+
+    def ask_long(n: int):
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            row = left.to_pylist()[0]
+            return pa.Table.from_batches([_Block(row, n, bits, min_count, right).ask(row["block"], n)])
+        return run
+
+    for n in range(3, order + 1):
+        totals = totals.unionByName(_total(by_block.cogroup(totals.groupBy("block")).applyInArrow(ask_long(n), _ASK)))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        grams, keys, _, _ = _asked(row, order, bits)
-        by_bucket = dict(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist()))
-        found = np.concatenate([unpack(by_bucket[b]) for b in sorted(by_bucket)]) if by_bucket else np.zeros(0, np.uint32)
-        counts = [np.where(ok, found[np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))].astype(np.float64), 0.0) if len(keys) else np.zeros(0) for k, ok in grams]
-        sizes = np.array(row["n_words"], dtype=np.int64)
-        value = np.log10(counts[0] / total) if total else np.zeros(0)
-        for n in range(1, order):
-            context = np.r_[1.0, counts[n - 1][:-1]] if len(counts[n]) else np.zeros(0)
-            ok = grams[n][1]
-            seen = ok & (counts[n] >= min_count)
-            with np.errstate(divide="ignore", invalid="ignore"):
+        own = _Block(row, order, bits, min_count, right)
+        counts, sizes = own.counts, own.sizes
+        with np.errstate(divide="ignore", invalid="ignore"):
+            value = np.log10(counts[0] / total) if total else np.zeros(0)
+            for n in range(1, order):
+                ok = own.grams[n][1]
+                if n >= len(counts):  # no n-gram of this length was worth asking about
+                    value = np.where(ok, value + np.log10(alpha), value)
+                    continue
+                context = np.r_[1.0, counts[n - 1][:-1]][:len(ok)]
+                seen = ok & (counts[n] >= min_count)
                 value = np.where(seen, np.log10(counts[n] / context), np.where(ok, value + np.log10(alpha), value))
         micro = np.r_[0, np.cumsum(np.rint(value * MICRO).astype(np.int64))]
         stop = np.cumsum(sizes)
         return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.array(sizes), pa.array(micro[stop] - micro[stop - sizes])], ["doc_id", "n_words", "micro_logprob"])
 
-    scored = blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, "doc_id long, n_words long, micro_logprob long")
+    scored = by_block.cogroup(totals.groupBy("block")).applyInArrow(run, "doc_id long, n_words long, micro_logprob long")
     return scored.withColumn("mean_micro", F.expr("CASE WHEN n_words > 0 THEN cast(floor(micro_logprob / n_words) as long) END"))

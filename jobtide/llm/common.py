@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 BATCH_ROWS = 512
 MEMO_ENTRIES = 400_000
 _DEFAULT_BATCH_ROWS = "10000"
@@ -31,6 +34,20 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, bucketed by ``key``.
+
+    Later groupings by ``key`` read it without a shuffle. The folder is the
+    checkpoint folder's own and goes when that does.
+    """
+    spark = df.sparkSession
+    name = f"jobtide_{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
