@@ -66,8 +66,6 @@ class PrepConfig:
     min_samples: int = MIN_SAMPLES
     num_bins: int = NUM_BINS
     target: str = "work_places"
-    # None: exact quantiles unless a column has over a million distinct values
-    exact_quantiles: bool | None = None
     # Encoding maps with more rows than this are joined by shuffle, not broadcast.
     broadcast_max_rows: int = 2_000_000
     drop_original: bool = False

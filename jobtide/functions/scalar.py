@@ -27,6 +27,8 @@ DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:m
 
 _RANGE_RE = rf"(?U){WORD_FROM}\s+(\d+)\s+{WORD_TO}\s+(\d+)"
 _FROM_RE = rf"(?U){WORD_FROM}\s+(\d+)"
+_EDGE_SPACE_RE = r"(?U)^\s+|\s+$"
+_DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 
 
 def col_of(c: str | Column) -> Column:
@@ -34,11 +36,14 @@ def col_of(c: str | Column) -> Column:
 
 
 def to_number(c: str | Column) -> Column:
-    """FN-07: text → DOUBLE, bad → null. Digit-separating underscores are
-    accepted, as by the float parser of the source system."""
-    x = col_of(c).cast("string")
-    s = F.when(x.contains("_"), F.regexp_replace(x, r"(?<=\d)_(?=\d)", "")).otherwise(x)
-    return F.trim(s).try_cast("double")
+    """FN-07: decimal text → DOUBLE; anything else, also NaN, → null."""
+    s = F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "")
+    return F.when(s.rlike(_DECIMAL_RE), s.try_cast("double"))
+
+
+def _weight_number(c: Column) -> Column:
+    """Number of a weight text: as FN-07, and underscores may separate digits."""
+    return to_number(F.when(c.contains("_"), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c))
 
 
 def parse_weight(c: str | Column) -> Column:
@@ -52,7 +57,7 @@ def parse_weight(c: str | Column) -> Column:
     lo = F.regexp_extract(s, _RANGE_RE, 1).try_cast("bigint")
     hi = F.regexp_extract(s, _RANGE_RE, 2).try_cast("bigint")
     single = F.regexp_extract(s, _FROM_RE, 1).try_cast("bigint")
-    num = to_number(s)
+    num = _weight_number(s)
     finite = num.isNotNull() & ~F.isnan(num) & (F.abs(num) != float("inf"))
     by_number = (F.when(finite & (num >= WEIGHT_MIN),
                         F.least(F.floor(num), F.lit(WEIGHT_MAX)).cast("bigint"))
@@ -108,8 +113,8 @@ def short_label(x: str | Column, n: int = 20) -> Column:
 
 
 def safe_name(x: str | Column) -> Column:
-    """FN-04: keep word characters, spaces and hyphens; trim; spaces → '_'."""
-    s = F.trim(F.regexp_replace(col_of(x), r"(?U)[^\w\s-]", ""))
+    """FN-04: keep word characters, white space and hyphens; strip white space; spaces → '_'."""
+    s = F.regexp_replace(F.regexp_replace(col_of(x), r"(?U)[^\w\s-]", ""), _EDGE_SPACE_RE, "")
     return F.regexp_replace(s, " ", "_")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.scalar import UNKNOWN, clip, to_number
+from .quantiles import OrderStats, blend, place
 
 
 def category_key(c: str) -> Column:
@@ -48,61 +49,59 @@ class NumericBins:
     edges: list | None  # sorted distinct edges; None → everything gets the global mean
 
 
-# Exact quantiles keep one entry per distinct value in the final aggregation
-# task; above this many distinct values the approximate sketch is used.
-EXACT_QUANTILE_MAX_DISTINCT = 1_000_000
+def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10, mean_of: str | None = None):
+    """Quartiles, median of the clipped values and quantile edges of the
+    filled values, for all features from one table of value counts.
 
+    Clipping keeps the order of values, and filling puts the missing ones at
+    the median, so the later steps only look up other ranks of the same
+    counts. All quantiles are exact and interpolate linearly.
 
-def _pct(x: Column, p, exact: bool) -> Column:
-    return F.percentile(x, p) if exact else F.percentile_approx(x, p, 100000)
-
-
-def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10,
-                     exact: bool | None = None, mean_of: str | None = None):
-    """Three scalar passes for all features at once: quartiles, median of the
-    clipped values, quantile edges of the filled values.
-
-    ``exact=None`` decides per feature from an HLL distinct count: exact
-    (``percentile``, linear interpolation) up to
-    ``EXACT_QUANTILE_MAX_DISTINCT`` distinct values, else ``percentile_approx``.
-
-    With ``mean_of`` the mean of that column (AGG-03) is computed in the
-    first pass as well and ``(bins, mean)`` is returned.
+    With ``mean_of`` the mean of that column (AGG-03) is computed as well and
+    ``(bins, mean)`` is returned.
     """
     numeric_types = {t.name for t in df.schema if isinstance(t.dataType, NumericType)}
     xs = {f: F.col(f).cast("double") if f in numeric_types else to_number(f) for f in features}
-    first = [F.approx_count_distinct(xs[f]).alias(f) for f in features if exact is None]
-    if mean_of is not None:
-        first.append(F.avg(mean_of).alias("_mean"))
-    row = df.agg(*first).first() if first else None
-    mean = None if row is None or mean_of is None or row["_mean"] is None else float(row["_mean"])
+    first = [F.count(F.lit(1)).alias("_rows")] + ([F.avg(mean_of).alias("_mean")] if mean_of is not None else [])
+    row = df.agg(*first).first()
+    mean = None if mean_of is None or row["_mean"] is None else float(row["_mean"])
     if not features:
         return ({}, mean) if mean_of is not None else {}
-    if exact is None:
-        ex = {f: row[f] <= EXACT_QUANTILE_MAX_DISTINCT for f in features}
-    else:
-        ex = {f: exact for f in features}
-    q = df.agg(*[_pct(xs[f], [0.25, 0.75], ex[f]).alias(f) for f in features]).first()
-    bounds = {}
-    for f in features:
-        if q[f] is None or q[f][0] is None:
-            bounds[f] = (None, None)
-        else:
-            q1, q3 = q[f]
-            iqr = q3 - q1
-            bounds[f] = (q1 - 1.5 * iqr, q3 + 1.5 * iqr)
-    clipped = {f: clip(xs[f], *bounds[f]) for f in features}
-    med = df.agg(*[_pct(clipped[f], 0.5, ex[f]).alias(f) for f in features]).first()
-    filled = {f: F.coalesce(clipped[f], F.lit(med[f])) for f in features}
+    stats = OrderStats(df, xs)
+    bounds, med = {}, {}
+    for f, (q1, q3) in stats.quantiles({f: [0.25, 0.75] for f in features}).items():
+        bounds[f] = (None, None) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    full = [f for f in features if stats.total[f]]
+
+    def clipped(f: str, v: float) -> float:
+        return min(max(v, bounds[f][0]), bounds[f][1])
+
+    middle = {f: place(0.5, stats.total[f]) for f in full}
+    found = stats.at({(f, r) for f in full for r in middle[f][:2]})
+    for f in full:
+        lo, hi, h = middle[f]
+        med[f] = blend(clipped(f, found[f, lo]), clipped(f, found[f, hi]), lo, hi, h)
+    missing = {f: row["_rows"] - stats.total[f] for f in full}
+    # clipping moves nothing across a value between the bounds, and the median is one
+    before = stats.below(med)
     probs = [i / num_bins for i in range(num_bins + 1)]
-    ed = df.agg(*[_pct(filled[f], probs, ex[f]).alias(f) for f in features]).first()
+
+    def own_rank(f: str, r: int) -> int | None:
+        """Rank among the feature's values of rank ``r`` among all rows; None for a filled row."""
+        return r if r < before[f] else None if r < before[f] + missing[f] else r - missing[f]
+
+    spots = {f: [place(p, row["_rows"]) for p in probs] for f in full}
+    found = stats.at({(f, k) for f in full for spot in spots[f] for r in spot[:2] if (k := own_rank(f, r)) is not None})
     out = {}
     for f in features:
         edges = None
-        if ed[f] is not None and all(e is not None for e in ed[f]):
-            uniq = sorted(set(float(e) for e in ed[f]))
+        if f in full:
+            def value(r: int) -> float:
+                k = own_rank(f, r)
+                return med[f] if k is None else clipped(f, found[f, k])
+            uniq = sorted({blend(value(lo), value(hi), lo, hi, h) for lo, hi, h in spots[f]})
             edges = uniq if len(uniq) >= 2 else None
-        out[f] = NumericBins(bounds[f][0], bounds[f][1], med[f], edges)
+        out[f] = NumericBins(bounds[f][0], bounds[f][1], med.get(f), edges)
     return (out, mean) if mean_of is not None else out
 
 

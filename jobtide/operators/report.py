@@ -11,29 +11,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import short_label, year_month
-from .encode import EXACT_QUANTILE_MAX_DISTINCT
+from .quantiles import quantiles
 
 
 def _r(c, n: int = 6):
     return F.round(c, n)
 
 
-def quantile_fn(df: DataFrame, c: str, exact: bool | None = None):
-    """``percentile`` (exact, linear interpolation) when an HLL count shows at
-    most EXACT_QUANTILE_MAX_DISTINCT distinct values, else ``percentile_approx``."""
-    if exact is None:
-        exact = df.agg(F.approx_count_distinct(c)).first()[0] <= EXACT_QUANTILE_MAX_DISTINCT
-    if exact:
-        return lambda x, p: F.percentile(x, p)
-    return lambda x, p: F.percentile_approx(x, p, 100000)
-
-
-def weight_summary(df: DataFrame, w: str = "work_places", exact: bool | None = None) -> DataFrame:
+def weight_summary(df: DataFrame, w: str = "work_places") -> DataFrame:
     """AGG-07: mean, median, max, 99th percentile of the weight."""
-    q = quantile_fn(df, w, exact)
-    return df.agg(_r(F.avg(w)).alias("mean"), _r(q(F.col(w), 0.5)).alias("median"),
+    median, p99 = quantiles(df, w, [0.5, 0.99])
+    return df.agg(_r(F.avg(w)).alias("mean"), _r(F.lit(median).cast("double")).alias("median"),
                   F.max(w).cast("double").alias("max"),
-                  _r(q(F.col(w), 0.99)).alias("p99"))
+                  _r(F.lit(p99).cast("double")).alias("p99"))
 
 
 def value_counts(df: DataFrame, c: str, k: int | None = None) -> DataFrame:
@@ -95,12 +85,11 @@ def histogram(df: DataFrame, x, bins: int = 50, name: str = "x") -> DataFrame:
             .select(F.lit(name).alias("feature"), "bin", "count"))
 
 
-def iqr_fence(df: DataFrame, c: str, exact: bool | None = None) -> DataFrame:
-    """FLT-09: keep Q1 − 1.5·IQR ≤ x ≤ Q3 + 1.5·IQR (one scalar pass)."""
-    q = df.agg(quantile_fn(df, c, exact)(F.col(c), [0.25, 0.75]).alias("q")).first()["q"]
-    if q is None:
+def iqr_fence(df: DataFrame, c: str) -> DataFrame:
+    """FLT-09: keep Q1 − 1.5·IQR ≤ x ≤ Q3 + 1.5·IQR."""
+    q1, q3 = quantiles(df, c, [0.25, 0.75])
+    if q1 is None:
         return df.limit(0)
-    q1, q3 = q
     iqr = q3 - q1
     return df.filter(F.col(c).between(q1 - 1.5 * iqr, q3 + 1.5 * iqr))
 

@@ -201,9 +201,9 @@ def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
                                           True, total_name, cfg.total_cap))
     # Every series of the dense grid has one row per calendar period.
     n_periods = ts.filter(F.col("series") == total_name).count()
-    # at most 10 names (TOP-04)
-    top = [r["series"] for r in R.series_totals(ts, 10, total_name).orderBy("rank").collect()]
-    targets = [total_name] + (top[: cfg.top_k] if n_periods >= cfg.min_forecast_points else [])
+    # at most top_k names (TOP-04, TOP-05)
+    top = [r["series"] for r in R.series_totals(ts, cfg.top_k, total_name).orderBy("rank").collect()]
+    targets = [total_name] + (top if n_periods >= cfg.min_forecast_points else [])
 
     if cfg.pooled:
         pooled = forecast_pooled(ts, targets, cfg, freq, params)

@@ -15,12 +15,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -145,14 +147,18 @@ def _clean_xy(df: DataFrame, features=FEATURES) -> DataFrame:
 
 def fit(pipe_factory: Callable[..., Pipeline], train: DataFrame,
         params: TreeParams | None = None, features=FEATURES) -> PipelineModel:
-    """Fit, falling back to a 50-tree default on failure (ML-05)."""
+    """Fit; parameters that Spark ML refuses fall back to a 50-tree default, with a warning (ML-05).
+
+    Other failures, such as lost executors, are raised.
+    """
     params = params or TreeParams()
     data = _clean_xy(train, features)
     if data.isEmpty():
         raise ValueError("empty training data")
     try:
         return pipe_factory(params, features).fit(data)
-    except Exception:  # noqa: BLE001 - the fallback is the documented behaviour
+    except IllegalArgumentException as e:
+        warnings.warn(f"fit refused ({e}); using 50 trees instead", stacklevel=2)
         small = TreeParams(rf_trees=50, gbt_rounds=50, seed=params.seed)
         return pipe_factory(small, features).fit(data)
 

@@ -40,7 +40,7 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
 
     # The global mean of the target rides along the first statistics pass.
-    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
+    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins,
                                  mean_of=cfg.target)
     df = df.withColumns({f: E.numeric_value(f, bins[f], already_numeric=True) for f in numeric})
 
@@ -79,7 +79,7 @@ def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None,
     df = df.withColumns({f: to_number(f) for f in numeric})
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, cfg.exact_quantiles,
+    bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins,
                                  mean_of=cfg.target)
     df = df.withColumns({f: E.numeric_value(f, bins[f], already_numeric=True) for f in numeric})
     parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns

@@ -19,44 +19,34 @@ def _long(spark, data: dict[str, list[float]], start=dt.date(2019, 1, 31)):
     return spark.createDataFrame(rows, "series string, period date, value double")
 
 
-def _repair_brute(vals, flags, is_total, window=8, cap=80000.0):
-    """Sequential repair written as a plain loop over the series."""
-    x = list(vals)
-    n = len(x)
-    for i in range(n):
-        if not flags[i]:
-            continue
-        lo, hi = max(0, i - window), min(n - 1, i + window)
-        nb = pd.Series(x[lo:i] + x[i + 1:hi + 1], dtype=float)
-        if len(nb) == 0:
-            continue
-        orig = x[i]
-        if is_total:
-            v = int(max(nb.quantile(0.75), orig * 0.6)) if orig > cap else int(nb.mean())
-        else:
-            v = int(nb.quantile(0.90)) if orig > nb.quantile(0.90) else int(nb.quantile(0.25))
-        x[i] = max(0, v)
-    return x
-
-
-def test_sequential_repair_matches_loop(spark):
-    rng = np.random.default_rng(3)
-    base = list(rng.integers(100, 200, 36).astype(float))
-    base[10] = 5000.0   # spike
-    base[11] = 4000.0   # neighbouring spike: repaired after the first one
-    base[30] = 0.0
-    tot = [v * 10 for v in base]
-    tot[20] = 90000.0
-    df = _long(spark, {"a": base, "total_demand": tot})
-    flags = TS.anomaly_flags(df)
-    got = {(r["series"], r["period"]): r["fixed"] for r in TS.repair_sequential(flags).collect()}
-    fl = flags.orderBy("series", "period").collect()
-    for name in ("a", "total_demand"):
-        rows = [r for r in fl if r["series"] == name]
-        exp = _repair_brute([r["value"] for r in rows], [r["is_anomaly"] for r in rows],
-                            name == "total_demand")
-        assert [got[(name, r["period"])] for r in rows] == exp
-    assert any(r["is_anomaly"] for r in fl)
+def _flagged(spark, name, vals, marked):
+    flags = TS.anomaly_flags(_long(spark, {name: vals}))
+    month = F.months_between("period", F.lit(dt.date(2019, 1, 31))).cast("int")
+    return flags.withColumn("is_anomaly", month.isin(*marked))
+
+
+def _fixed(df):
+    return [r["fixed"] for r in df.orderBy("period").collect()]
+
+
+def test_sequential_repair_worked_by_hand(spark):
+    # Window of 8 neighbours each way, here the whole series.
+    # 900 among [10, 20, 30, 40, 800]: 90 % quantile 496 < 900, so 496; then
+    # 800 among [10, 20, 30, 40, 496]: 90 % quantile 313.6 < 800, so 313.
+    vals = [10, 20, 900, 800, 30, 40]
+    assert _fixed(TS.repair_sequential(_flagged(spark, "a", vals, [2, 3]))) == [10, 20, 496, 313, 30, 40]
+    # The window form takes the original 900 as a neighbour of 800: 90 % quantile of [10, 20, 900, 30, 40] is 556.
+    assert _fixed(TS.repair_window(_flagged(spark, "a", vals, [2, 3]))) == [10, 20, 496, 556, 30, 40]
+    # A low value takes the 25 % quantile: of [100, 120, 140, 160] it is 115.
+    assert _fixed(TS.repair_sequential(_flagged(spark, "a", [100, 120, 0, 140, 160], [2]))) == [100, 120, 115, 140, 160]
+
+
+def test_sequential_repair_of_the_total_by_hand(spark):
+    name = "total_demand"
+    # Up to the cap of 80000 the mean of the neighbours: (100 + 200 + 300 + 500) / 4 = 275.
+    assert _fixed(TS.repair_sequential(_flagged(spark, name, [100, 200, 7000, 300, 500], [2]))) == [100, 200, 275, 300, 500]
+    # Above it the larger of the 75 % quantile (350) and 60 % of the value (54000).
+    assert _fixed(TS.repair_sequential(_flagged(spark, name, [100, 200, 90000, 300, 500], [2]))) == [100, 200, 54000, 300, 500]
 
 
 def test_window_repair_uses_original_neighbours(spark):
