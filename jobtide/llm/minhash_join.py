@@ -18,8 +18,10 @@
    that are left. Every pair above the match threshold is so either
    confirmed, refused or already within one component.
 
-Long posting lists are split by a salt; the list's members that head a
-split, and later those outside its largest component, meet all splits.
+Long posting lists are split by a salt, and the members that head a split
+meet. Where these are many, a common passage and not copying brings the
+list together: it is posted anew by a second coordinate, which parts it. In
+later rounds members outside a list's largest component meet all splits.
 """
 
 from __future__ import annotations
@@ -40,8 +42,9 @@ SHINGLE = 5
 COORDINATES = 32
 MISS = 1e-6
 PARTNERS = 16
-LIST_ROWS = 2048
+LIST_ROWS = 1024
 SMALL_TABLE = 100_000
+TASK_EDGES = 200_000
 _SALTS = 16
 _GOLDEN = 0x9E3779B97F4A7C15
 _FACTORS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
@@ -102,16 +105,41 @@ def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _salted(postings: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Postings with a ``salt`` that splits lists of over ``LIST_ROWS`` rows, and those lists' split numbers."""
+def _posted(classes: DataFrame) -> DataFrame:
+    """The classes' prefixes, a row ``token, pos`` per coordinate; other columns stay."""
+    return classes.select(*[c for c in classes.columns if c != "tokens"], F.posexplode("tokens").alias("pos", "token"))
+
+
+def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
+    """Lists of the ``loose`` tokens, posted anew by a second coordinate.
+
+    Members of a pair agree in ``matches - 1`` more coordinates, so in one of
+    any ``coordinates - matches + 1`` others: no pair is lost, and documents
+    that only a common passage brings together fall apart.
+    """
+    others = min(COORDINATES - matches + 1, COORDINATES - 1)
+    rows = postings.join(_small(loose), "token").withColumn("j", F.explode(F.expr(f"filter(sequence(0, {others}), j -> j != pos AND j < {others} + cast(pos < {others} as int))")))
+    return rows.withColumn("token", F.expr("xxhash64(token, j, substring(sig, 2 * j + 1, 2))")).drop("j")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """Broadcast if it has at most ``SMALL_TABLE`` rows of a few numbers."""
+    return F.broadcast(table) if table.count() <= SMALL_TABLE else table
+
+
+def _hot(postings: DataFrame) -> DataFrame | None:
+    """``token, splits`` of the lists of over ``LIST_ROWS`` rows; None if there are none."""
     hot = cut_lineage(postings.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS)
                       .select("token", F.expr(f"cast(ceil(n / {LIST_ROWS}) as int)").alias("splits")))
-    n = hot.count()
-    if not n:
-        return postings.withColumn("salt", F.lit(0)).withColumn("splits", F.lit(1)), None
-    side = F.broadcast(hot) if n <= SMALL_TABLE else hot
-    rows = postings.join(side, "token", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
-    return rows.withColumn("salt", F.expr("cast(pmod(xxhash64(node), splits) as int)")), hot
+    return hot if hot.head(1) else None
+
+
+def _salted(postings: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Postings with a ``salt`` that splits the ``hot`` lists."""
+    if hot is None:
+        return postings.withColumn("salt", F.lit(0)).withColumn("splits", F.lit(1))
+    rows = postings.join(_small(hot), "token", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
+    return rows.withColumn("salt", F.expr("cast(pmod(xxhash64(node), splits) as int)"))
 
 
 _CANDIDATES = "a long, b long, token long, sig binary"
@@ -137,12 +165,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _pairs(matches: int, partners: int | None, heads: bool):
+def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     """Task function: candidate pairs of every list.
 
     Without components (``partners`` None): the nearest neighbour of enough
     collisions on either side. With: up to ``partners`` (0: all) earlier
     members of other components for each member; guests meet only non-guests.
+    What a set shares is at most its size less its own shingles, which refuses
+    pairs whose greatest possible similarity is below ``percent``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -153,6 +183,7 @@ def _pairs(matches: int, partners: int | None, heads: bool):
             size = np.diff(np.r_[np.flatnonzero(new), len(token)])[np.cumsum(new) - 1]
             comp = table.column("comp").to_numpy() if partners is not None else None
             guest = table.column("guest").to_numpy(zero_copy_only=False) if partners is not None else None
+            size_of, own = (table.column(c).to_numpy() for c in ("size", "own")) if partners is not None else (None, None)
             live = size > 1
             if partners is not None:
                 low, high = np.minimum.reduceat(comp, np.flatnonzero(new)), np.maximum.reduceat(comp, np.flatnonzero(new))
@@ -176,7 +207,9 @@ def _pairs(matches: int, partners: int | None, heads: bool):
                 if partners is None:
                     want = (before[x] == 0) | (after[y] == 0)
                 else:
-                    want = (comp[x] != comp[y]) & ~(guest[x] & guest[y])
+                    most = np.minimum(size_of[x] - own[x], size_of[y] - own[y])
+                    want = (comp[x] != comp[y]) & ~(guest[x] & guest[y]) & (
+                        (100 * most >= percent * (size_of[x] + size_of[y] - most)) | (own[x] < 0) | (own[y] < 0))
                 x, y = x[want], y[want]
                 if not len(x):
                     if partners is None and not ((before[at] == 0).any() or (after[live] == 0).any()):
@@ -206,28 +239,31 @@ def _listed(rows: DataFrame) -> DataFrame:
     return rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
 
 
-def _first_candidates(postings: DataFrame, matches: int) -> DataFrame:
-    rows, hot = _salted(postings)
-    found = _listed(rows.select("token", "salt", "splits", "node", "sig")).mapInArrow(_pairs(matches, None, hot is not None), _CANDIDATES)
+def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs ``(a, b)`` of nearest members, and the tokens (if any) whose split lists have too many heads to meet."""
+    found = _listed(_salted(postings, hot).select("token", "salt", "splits", "node", "sig")).mapInArrow(_pairs(matches, None, hot is not None), _CANDIDATES)
     if hot is None:
-        return found.select("a", "b").distinct()
-    found = cut_lineage(found.distinct())
+        return cut_lineage(found.select("a", "b").distinct()), None
+    found = cut_lineage(found)
     heads = found.where("b IS NULL").select("token", F.lit(0).alias("salt"), F.lit(1).alias("splits"), F.col("a").alias("node"), "sig")
+    loose = cut_lineage(heads.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS).select("token"))
+    some = bool(loose.head(1))
+    if some:
+        heads = heads.join(_small(loose), "token", "left_anti")
     across = _listed(heads).mapInArrow(_pairs(matches, None, False), _CANDIDATES)
-    return found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct()
+    return cut_lineage(found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct()), loose if some else None
 
 
-def _more_candidates(postings: DataFrame, matches: int, partners: int) -> DataFrame:
-    """Pairs of different components in the lists; ``postings`` has ``comp``."""
-    rows, hot = _salted(postings)
-    rows = rows.withColumn("guest", F.lit(False))
+def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
+    """Pairs of different components in the lists; ``postings`` has ``comp``, ``size`` and ``own``."""
+    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "sig", "comp", "size", "own").withColumn("guest", F.lit(False))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
-        guests = (rows.where("splits > 1").join(F.broadcast(largest) if largest.count() <= SMALL_TABLE else largest, "token").where("comp != top").drop("top")
+        guests = (rows.where("splits > 1").join(_small(largest), "token").where("comp != top").drop("top")
                   .withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt").withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(True)))
         rows = rows.unionByName(guests)
-    return _listed(rows.select("token", "salt", "splits", "node", "sig", "comp", "guest")).mapInArrow(_pairs(matches, partners, False), _CANDIDATES).select("a", "b").distinct()
+    return _listed(rows).mapInArrow(_pairs(matches, partners, False, percent), _CANDIDATES).select("a", "b").distinct()
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -244,6 +280,20 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> D
     return rows.dropDuplicates(["node", "digest"]).drop("digest")
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """``node, size, own``: shingles of each set, and those that no other set of ``sets`` has."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = as_bytes(batch.column("shingles"))
+        sizes = [len(b) // 8 for b in packed]
+        return pa.record_batch([pa.array(np.frombuffer(b"".join(packed), np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), sizes))], ["shingle", "node"])
+
+    single = map_batches(sets, run, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    size = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"))
+    # an id with several texts gets no bound
+    return size.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select(
+        "node", "size", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"))
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of ``pairs (a, b)`` those with 100 * intersection >= percent * union."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -293,26 +343,29 @@ def _contract(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp``: smallest node reachable, for the nodes of ``edges (a, b)`` that are not the smallest.
 
-    Alternates large-star and small-star steps until nothing changes; the
-    joins are salted, so that a node with many neighbours is no hot key.
+    Tasks of at most ``TASK_EDGES`` edges replace theirs by stars; between
+    tasks, large-star and small-star steps alternate until only stars are
+    left. The joins are salted, so that a node with many neighbours is no hot key.
     """
     def starred(pairs: DataFrame, least: DataFrame) -> DataFrame:
         salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         return pairs.withColumn("salt", F.expr(f"cast(pmod(xxhash64(v), {_SALTS}) as int)")).join(salted, ["u", "salt"]).drop("salt")
 
-    state, edges = None, cut_lineage(_contract(edges))
+    edges = cut_lineage(edges)
     while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        edges = cut_lineage(_contract(edges.coalesce(1 + edges.count() // TASK_EDGES)))
+        # done when every node has one edge and no smallest node has an edge of its own
+        ends = edges.select(F.col("a").alias("u"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(edges.select("b", F.lit(0), F.lit(1)))
+        per_node = ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if not per_node.where("out > 1 OR out > 0 AND into > 0").head(1):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        state = now
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = starred(both.where("v > u"), least).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = starred(down, least).select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        edges = cut_lineage(_contract(small.where("a != b").distinct()))
+        edges = cut_lineage(small.where("a != b").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
@@ -331,17 +384,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = cut_lineage(signatures(docs, prefix, shingle))
     linkable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig")))
-    postings = classes.select("node", "sig", F.explode("tokens").alias("token"))
-    tried = cut_lineage(_first_candidates(postings, matches).where("a != b"))
+    postings = _posted(classes)
+    hot = _hot(postings)
+    tried, loose = _first_candidates(postings, hot, matches)
+    if loose is not None:
+        refined = _refined(postings, loose, matches)
+        hot_refined = _hot(refined)
+        tried = tried.union(_first_candidates(refined, hot_refined, matches)[0]).distinct()
+        hot = hot.join(_small(loose), "token", "left_anti")
+        hot = cut_lineage(hot if hot_refined is None else hot.union(hot_refined))
+    tried = cut_lineage(tried.where("a != b"))
     involved = tried.select(F.col("a").alias("node")).union(tried.select(F.col("b").alias("node"))).distinct()
     near = cut_lineage(classes.join(involved, "node"))
     sets = cut_lineage(shingle_sets(docs, near.select("node", "digest"), shingle))
     links = cut_lineage(confirm(tried, sets, percent))
     comps = components(links)
-    near_postings = near.select("node", "sig", F.explode("tokens").alias("token"))
+    near = cut_lineage(near.drop("digest").join(own_shingles(sets), "node"))
     for partners in (PARTNERS, 0):
-        labelled = near_postings.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        more = cut_lineage(_more_candidates(labelled, matches, partners).join(tried, ["a", "b"], "left_anti"))
+        lists = _posted(cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))))
+        if loose is not None:
+            lists = lists.join(_small(loose), "token", "left_anti").unionByName(_refined(lists, loose, matches))
+        more = cut_lineage(_more_candidates(lists, hot, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
         if not more.head(1):
             if partners:
                 continue
@@ -349,7 +412,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = cut_lineage(confirm(more, sets, percent))
         tried = tried.unionByName(more)
         if found.head(1):
-            links = links.unionByName(found)
             comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(found))
     rows = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(comps, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id"))
