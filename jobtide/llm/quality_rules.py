@@ -128,8 +128,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source").agg(*ends)
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` with the measures of ``measure`` and ``kept``.
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the measures of ``measure`` and ``kept``; without ``keep_text`` the text goes once it is measured.
 
     ``kept`` is false for base failures and where a feature is beyond its
     group's fence. Null languages and sources are groups of their own; a
@@ -137,7 +137,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     rows count as often as they occur. Existing columns of the added names
     are replaced.
     """
-    measured = cut_lineage(measure(docs, text_col).drop("kept"))
+    measured = measure(docs, text_col).drop("kept")
+    measured = cut_lineage(measured if keep_text else measured.drop(text_col))
     limits = cut_lineage(thresholds(sketches(measured, lang_col, source_col)).withColumnsRenamed({"lang": "__lang", "source": "__source"}))
     joined = measured.join(limits, measured[lang_col].eqNullSafe(limits["__lang"]) & measured[source_col].eqNullSafe(limits["__source"]), "left")
     beyond = F.lit(False)

@@ -53,8 +53,7 @@ def op5_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    # the text itself is not needed once it is measured
-    judged = quality_rules.judge(docs)
+    judged = quality_rules.judge(docs, keep_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
