@@ -15,7 +15,8 @@
    to components.
 5. Later rounds visit only lists that still hold several components, and
    pair members of different ones: first a few partners each, then all
-   that are left. Every pair above the match threshold is so either
+   that are left. A pair that shares several lists is skipped in all but
+   the first. Every pair above the match threshold is so either
    confirmed, refused or already within one component.
 
 Long posting lists are split by a salt, and the members that head a split
@@ -118,8 +119,8 @@ def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
     that only a common passage brings together fall apart.
     """
     others = min(COORDINATES - matches + 1, COORDINATES - 1)
-    rows = postings.join(_small(loose), "token").withColumn("j", F.explode(F.expr(f"filter(sequence(0, {others}), j -> j != pos AND j < {others} + cast(pos < {others} as int))")))
-    return rows.withColumn("token", F.expr("xxhash64(token, j, substring(sig, 2 * j + 1, 2))")).drop("j")
+    rows = postings.join(_small(loose), "token").withColumn("second", F.explode(F.expr(f"filter(sequence(0, {others}), j -> j != pos AND j < {others} + cast(pos < {others} as int))")))
+    return rows.withColumn("token", F.expr("xxhash64(token, second, substring(sig, 2 * second + 1, 2))"))
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -170,8 +171,10 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
 
     Without components (``partners`` None): the nearest neighbour of enough
     collisions on either side. With: up to ``partners`` (0: all) earlier
-    members of other components for each member; guests meet only non-guests.
-    What a set shares is at most its size less its own shingles, which refuses
+    members of other components for each member, where this list is the first
+    that the pair shares. ``guest`` is 2 for members that visit a split, 1 for
+    those that visit others: a visitor meets only members at home, and of two
+    that visit each other the greater one is at home. What a set shares is at most its size less its own shingles, which refuses
     pairs whose greatest possible similarity is below ``percent``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +185,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             rank = np.arange(len(token)) - start
             size = np.diff(np.r_[np.flatnonzero(new), len(token)])[np.cumsum(new) - 1]
             comp = table.column("comp").to_numpy() if partners is not None else None
-            guest = table.column("guest").to_numpy(zero_copy_only=False) if partners is not None else None
+            guest = table.column("guest").to_numpy() if partners is not None else None
             size_of, own = (table.column(c).to_numpy() for c in ("size", "own")) if partners is not None else (None, None)
             live = size > 1
             if partners is not None:
@@ -193,6 +196,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 continue
             node = table.column("node").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
+            if partners is not None:
+                pos, second = table.column("pos").to_numpy(), table.column("second").to_numpy()
+                low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
             lag = 0
@@ -208,7 +214,10 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                     want = (before[x] == 0) | (after[y] == 0)
                 else:
                     most = np.minimum(size_of[x] - own[x], size_of[y] - own[y])
-                    want = (comp[x] != comp[y]) & ~(guest[x] & guest[y]) & (
+                    visit = np.maximum(guest[x], guest[y]) < 2
+                    visit |= (guest[x] == 2) & ((guest[y] == 0) | (guest[y] == 1) & (node[y] > node[x]))
+                    visit |= (guest[y] == 2) & ((guest[x] == 0) | (guest[x] == 1) & (node[x] > node[y]))
+                    want = (comp[x] != comp[y]) & visit & (
                         (100 * most >= percent * (size_of[x] + size_of[y] - most)) | (own[x] < 0) | (own[y] < 0))
                 x, y = x[want], y[want]
                 if not len(x):
@@ -217,6 +226,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                     continue
                 hit = np.concatenate([(sig[x[i:i + 65536]] == sig[y[i:i + 65536]]).sum(1) for i in range(0, len(x), 65536)]) >= matches
                 x, y = x[hit], y[hit]
+                if partners is not None and len(x):
+                    met = _first_shared(low[x], low[y], pos[x], -1) & ((second[x] < 0) | _first_shared(sig[x], sig[y], second[x], pos[x]))
+                    x, y = x[met], y[met]
                 before[x] += 1
                 after[y] += 1
                 if len(x):
@@ -235,6 +247,12 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     return run
 
 
+def _first_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray, leave: np.ndarray | int) -> np.ndarray:
+    """Whether ``at`` is the first column, but for ``leave``, in which the rows of ``x`` and ``y`` agree."""
+    same = (x == y) & (np.arange(x.shape[1]) != np.reshape(leave, (-1, 1)))
+    return same.argmax(1) == at
+
+
 def _listed(rows: DataFrame) -> DataFrame:
     return rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
 
@@ -255,13 +273,14 @@ def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int)
 
 
 def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
-    """Pairs of different components in the lists; ``postings`` has ``comp``, ``size`` and ``own``."""
-    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "sig", "comp", "size", "own").withColumn("guest", F.lit(False))
+    """Pairs of different components in the lists; ``postings`` has ``comp``, ``size``, ``own`` and the prefix as ``low``."""
+    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "pos", "second", "low", "sig", "comp", "size", "own").withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
-        guests = (rows.where("splits > 1").join(_small(largest), "token").where("comp != top").drop("top")
-                  .withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt").withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(True)))
+        rows = rows.join(_small(largest), "token", "left").withColumn("guest", F.expr("cast(coalesce(comp != top, false) as int)")).drop("top")
+        guests = (rows.where("guest = 1").withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt")
+                  .withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(2)))
         rows = rows.unionByName(guests)
     return _listed(rows).mapInArrow(_pairs(matches, partners, False, percent), _CANDIDATES).select("a", "b").distinct()
 
@@ -401,9 +420,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = components(links)
     near = cut_lineage(near.drop("digest").join(own_shingles(sets), "node"))
     for partners in (PARTNERS, 0):
-        lists = _posted(cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))))
+        lists = _posted(cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+                                    .withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))).withColumn("second", F.lit(-1))
         if loose is not None:
-            lists = lists.join(_small(loose), "token", "left_anti").unionByName(_refined(lists, loose, matches))
+            lists = lists.join(_small(loose), "token", "left_anti").unionByName(_refined(lists.drop("second"), loose, matches))
         more = cut_lineage(_more_candidates(lists, hot, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
         if not more.head(1):
             if partners:
