@@ -16,7 +16,8 @@
 5. Later rounds visit only lists that still hold several components, and
    pair members of different ones: first a few partners each, then all
    that are left. A pair that shares several lists is skipped in all but
-   the first. Every pair above the match threshold is so either
+   the first, and must also collide often enough in a longer signature,
+   made only of documents that have a candidate. Every pair above the match threshold is so either
    confirmed, refused or already within one component.
 
 Long posting lists are split by a salt, and the members that head a split
@@ -41,6 +42,7 @@ from .common import WordHashes, as_bytes, id_and_text, map_batches, mix64, word_
 
 SHINGLE = 5
 COORDINATES = 32
+LONG_COORDINATES = 1024
 MISS = 1e-6
 PARTNERS = 16
 LIST_ROWS = 1024
@@ -50,9 +52,13 @@ _SALTS = 16
 _GOLDEN = 0x9E3779B97F4A7C15
 _FACTORS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
 _OFFSETS = mix64(np.arange(101, COORDINATES + 101, dtype=np.uint64) * np.uint64(_GOLDEN))
+#: Equal 4-bit values in two bytes, by their exclusive or.
+_EQUAL = ((np.arange(256) < 16).astype(np.uint8) + (np.arange(256) % 16 == 0)).astype(np.uint8)
+_LONG_FACTORS = mix64(np.arange(1001, LONG_COORDINATES + 1001, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
+_LONG_OFFSETS = mix64(np.arange(5001, LONG_COORDINATES + 5001, dtype=np.uint64) * np.uint64(_GOLDEN))
 
 
-def match_threshold(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
+def match_threshold(percent: float, coordinates: int = COORDINATES, miss: float = MISS) -> int:
     """Most collisions that a pair at the threshold reaches but for a chance of ``miss``."""
     p, below, t = percent / 100, 0.0, 0
     while True:
@@ -75,6 +81,15 @@ def shingle_set(text: bytes | None, memo: WordHashes, size: int = SHINGLE) -> np
     return np.unique(mix64(key + np.uint64(size)))
 
 
+def long_signature(shingles: np.ndarray) -> bytes:
+    """4 bits of the minimum in each of ``LONG_COORDINATES`` orderings, two in a byte; long sets are taken in pieces."""
+    least = np.full(LONG_COORDINATES, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 1024):
+        least = np.minimum(least, ((shingles[None, i:i + 1024] ^ _LONG_OFFSETS[:, None]) * _LONG_FACTORS[:, None]).min(1))
+    bits = (mix64(least) & np.uint64(15)).astype(np.uint8)
+    return (bits[::2] << 4 | bits[1::2]).tobytes()
+
+
 def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -177,6 +192,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     that visit each other the greater one is at home. What a set shares is at most its size less its own shingles, which refuses
     pairs whose greatest possible similarity is below ``percent``.
     """
+    # different minima agree in their 4 bits by chance
+    long_matches = match_threshold(percent + (100 - percent) / 16, LONG_COORDINATES) if percent else 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
             token, salt = table.column("token").to_numpy(), table.column("salt").to_numpy()
@@ -198,6 +216,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
             if partners is not None:
                 pos, second = table.column("pos").to_numpy(), table.column("second").to_numpy()
+                long_sig = np.frombuffer(b"".join(table.column("long_sig").to_pylist()), np.uint8).reshape(len(token), LONG_COORDINATES // 2)
                 low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -229,6 +248,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 if partners is not None and len(x):
                     met = _first_shared(low[x], low[y], pos[x], -1) & ((second[x] < 0) | _first_shared(sig[x], sig[y], second[x], pos[x]))
                     x, y = x[met], y[met]
+                    alike = [_EQUAL[long_sig[x[i:i + 8192]] ^ long_sig[y[i:i + 8192]]].sum(1) for i in range(0, len(x), 8192)]
+                    alike = (np.concatenate([*alike, np.zeros(0, np.int64)]) >= long_matches) | (own[x] < 0) | (own[y] < 0)
+                    x, y = x[alike], y[alike]
                 before[x] += 1
                 after[y] += 1
                 if len(x):
@@ -273,8 +295,8 @@ def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int)
 
 
 def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
-    """Pairs of different components in the lists; ``postings`` has ``comp``, ``size``, ``own`` and the prefix as ``low``."""
-    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "pos", "second", "low", "sig", "comp", "size", "own").withColumn("guest", F.lit(0))
+    """Pairs of different components in the lists; ``postings`` has ``comp``, the columns of ``own_shingles`` and the prefix as ``low``."""
+    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "pos", "second", "low", "sig", "long_sig", "comp", "size", "own").withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
@@ -286,31 +308,32 @@ def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, p
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``node, shingles`` (packed 64-bit hashes): the full sets of the documents named in ``nodes (node, digest)``."""
+    """``node, shingles`` (packed 64-bit hashes), ``long_sig``: the full sets and longer signatures of the documents named in ``nodes (node, digest)``."""
     def run(batch: pa.RecordBatch, memo: WordHashes = WordHashes()) -> pa.RecordBatch:
         rows = []
         for node, digest, text in zip(batch.column("node").to_pylist(), as_bytes(batch.column("digest")), as_bytes(batch.column("text"))):
             s = shingle_set(text, memo, shingle)
             if len(s) and _digest(s) == digest:  # another text of a repeated id is not this class
-                rows.append((node, digest, s.tobytes()))
-        return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["node", "digest", "shingles"])
+                rows.append((node, digest, s.tobytes(), long_signature(s)))
+        return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["node", "digest", "shingles", "long_sig"])
 
-    rows = map_batches(nodes.join(docs.withColumnRenamed("doc_id", "node"), "node"), run, "node long, digest binary, shingles binary")
+    rows = map_batches(nodes.join(docs.withColumnRenamed("doc_id", "node"), "node"), run, "node long, digest binary, shingles binary, long_sig binary")
     return rows.dropDuplicates(["node", "digest"]).drop("digest")
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
-    """``node, size, own``: shingles of each set, and those that no other set of ``sets`` has."""
+    """``node, size, own, long_sig``: shingles of each set, those that no other set of ``sets`` has, and its longer signature."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         packed = as_bytes(batch.column("shingles"))
         sizes = [len(b) // 8 for b in packed]
         return pa.record_batch([pa.array(np.frombuffer(b"".join(packed), np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), sizes))], ["shingle", "node"])
 
-    single = map_batches(sets, run, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    size = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"))
+    single = map_batches(sets.select("node", "shingles"), run, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    size = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size"), "long_sig").groupBy("node").agg(
+        F.max("size").alias("size"), F.min("long_sig").alias("long_sig"), F.count("*").alias("texts"))
     # an id with several texts gets no bound
     return size.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select(
-        "node", "size", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"))
+        "node", "size", "long_sig", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
