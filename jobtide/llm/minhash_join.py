@@ -16,8 +16,8 @@
 5. Later rounds visit only lists that still hold several components, and
    pair members of different ones: first a few partners each, then all
    that are left. A pair that shares several lists is skipped in all but
-   the first, and must also collide often enough in a longer signature,
-   made only of documents that have a candidate. Every pair above the match threshold is so either
+   the first; in the last round it must also collide often enough in a
+   longer signature, made only of documents that have a candidate. Every pair above the match threshold is so either
    confirmed, refused or already within one component.
 
 Long posting lists are split by a salt, and the members that head a split
@@ -42,7 +42,7 @@ from .common import WordHashes, as_bytes, id_and_text, map_batches, mix64, word_
 
 SHINGLE = 5
 COORDINATES = 32
-LONG_COORDINATES = 1024
+LONG_COORDINATES = 512
 MISS = 1e-6
 PARTNERS = 16
 LIST_ROWS = 1024
@@ -216,8 +216,10 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
             if partners is not None:
                 pos, second = table.column("pos").to_numpy(), table.column("second").to_numpy()
-                long_sig = np.frombuffer(b"".join(table.column("long_sig").to_pylist()), np.uint8).reshape(len(token), LONG_COORDINATES // 2)
+                long_sig = None if partners else np.frombuffer(b"".join(table.column("long_sig").to_pylist()), np.uint8).reshape(len(token), LONG_COORDINATES // 2)
                 low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
+            else:
+                long_sig = None
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
             lag = 0
@@ -248,8 +250,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 if partners is not None and len(x):
                     met = _first_shared(low[x], low[y], pos[x], -1) & ((second[x] < 0) | _first_shared(sig[x], sig[y], second[x], pos[x]))
                     x, y = x[met], y[met]
+                if long_sig is not None and len(x):
                     alike = [_EQUAL[long_sig[x[i:i + 8192]] ^ long_sig[y[i:i + 8192]]].sum(1) for i in range(0, len(x), 8192)]
-                    alike = (np.concatenate([*alike, np.zeros(0, np.int64)]) >= long_matches) | (own[x] < 0) | (own[y] < 0)
+                    alike = (np.concatenate(alike) >= long_matches) | (own[x] < 0) | (own[y] < 0)
                     x, y = x[alike], y[alike]
                 before[x] += 1
                 after[y] += 1
@@ -296,7 +299,7 @@ def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int)
 
 def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
     """Pairs of different components in the lists; ``postings`` has ``comp``, the columns of ``own_shingles`` and the prefix as ``low``."""
-    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "pos", "second", "low", "sig", "long_sig", "comp", "size", "own").withColumn("guest", F.lit(0))
+    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "pos", "second", "low", "sig", "comp", "size", "own", *([] if partners else ["long_sig"])).withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
