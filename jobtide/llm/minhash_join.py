@@ -15,8 +15,11 @@
    to components.
 5. Later rounds visit only lists that still hold several components, and
    pair members of different ones: first a few partners each, then all
-   that are left. Every pair above the match threshold is so either
-   confirmed, refused or already within one component.
+   that are left. A pair that shares several lists is skipped in all but
+   the first, and one whose odd sketches differ in more bits than the sets
+   of a link may differ in shingles is refused there. Every pair above the
+   match threshold is so either confirmed, refused or already within one
+   component.
 
 Long posting lists are split by a salt, and the members that head a split
 meet. Where these are many, a common passage and not copying brings the
@@ -45,6 +48,7 @@ PARTNERS = 16
 LIST_ROWS = 1024
 SMALL_TABLE = 100_000
 TASK_EDGES = 200_000
+SKETCH_BITS = 512
 _SALTS = 16
 _GOLDEN = 0x9E3779B97F4A7C15
 _FACTORS = mix64(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
@@ -113,13 +117,13 @@ def _posted(classes: DataFrame) -> DataFrame:
 def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
     """Lists of the ``loose`` tokens, posted anew by a second coordinate.
 
-    Members of a pair agree in ``matches - 1`` more coordinates, so in one of
-    any ``coordinates - matches + 1`` others: no pair is lost, and documents
-    that only a common passage brings together fall apart.
+    Of the ``matches`` coordinates in which a pair agrees, the second one is
+    among the first ``coordinates - matches + 2``: no pair is lost, and
+    documents that only a common passage brings together fall apart.
     """
-    others = min(COORDINATES - matches + 1, COORDINATES - 1)
-    rows = postings.join(_small(loose), "token").withColumn("j", F.explode(F.expr(f"filter(sequence(0, {others}), j -> j != pos AND j < {others} + cast(pos < {others} as int))")))
-    return rows.withColumn("token", F.expr("xxhash64(token, j, substring(sig, 2 * j + 1, 2))")).drop("j")
+    last = min(COORDINATES - matches + 1, COORDINATES - 1)
+    rows = postings.join(_small(loose), "token").withColumn("second", F.explode(F.expr(f"filter(sequence(0, {last}), j -> j > pos)")))
+    return rows.withColumn("token", F.expr("xxhash64(token, second, substring(sig, 2 * second + 1, 2))"))
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -170,9 +174,13 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
 
     Without components (``partners`` None): the nearest neighbour of enough
     collisions on either side. With: up to ``partners`` (0: all) earlier
-    members of other components for each member; guests meet only non-guests.
-    What a set shares is at most its size less its own shingles, which refuses
-    pairs whose greatest possible similarity is below ``percent``.
+    members of other components for each member, where this list is the first
+    that the pair shares. ``guest`` is 2 for members that visit a split, 1 for
+    those that visit others: a visitor meets only members at home, and of two
+    that visit each other the greater one is at home. What a set shares is at
+    most its size less its own shingles, and two sets differ in at least as
+    many shingles as their odd sketches in bits: both bounds refuse pairs whose
+    greatest possible similarity is below ``percent``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -182,7 +190,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             rank = np.arange(len(token)) - start
             size = np.diff(np.r_[np.flatnonzero(new), len(token)])[np.cumsum(new) - 1]
             comp = table.column("comp").to_numpy() if partners is not None else None
-            guest = table.column("guest").to_numpy(zero_copy_only=False) if partners is not None else None
+            guest = table.column("guest").to_numpy() if partners is not None else None
             size_of, own = (table.column(c).to_numpy() for c in ("size", "own")) if partners is not None else (None, None)
             live = size > 1
             if partners is not None:
@@ -193,6 +201,10 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 continue
             node = table.column("node").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
+            if partners is not None:
+                pos, second = table.column("pos").to_numpy(), table.column("second").to_numpy()
+                low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
+                sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
             lag = 0
@@ -208,8 +220,13 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                     want = (before[x] == 0) | (after[y] == 0)
                 else:
                     most = np.minimum(size_of[x] - own[x], size_of[y] - own[y])
-                    want = (comp[x] != comp[y]) & ~(guest[x] & guest[y]) & (
-                        (100 * most >= percent * (size_of[x] + size_of[y] - most)) | (own[x] < 0) | (own[y] < 0))
+                    visit = np.maximum(guest[x], guest[y]) < 2
+                    visit |= (guest[x] == 2) & ((guest[y] == 0) | (guest[y] == 1) & (node[y] > node[x]))
+                    visit |= (guest[y] == 2) & ((guest[x] == 0) | (guest[x] == 1) & (node[x] > node[y]))
+                    both = size_of[x] + size_of[y]
+                    apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+                    near = (100 * most >= percent * (both - most)) & (100 * (both - apart) >= percent * (both + apart))
+                    want = (comp[x] != comp[y]) & visit & (near | (own[x] < 0) | (own[y] < 0))
                 x, y = x[want], y[want]
                 if not len(x):
                     if partners is None and not ((before[at] == 0).any() or (after[live] == 0).any()):
@@ -217,6 +234,9 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                     continue
                 hit = np.concatenate([(sig[x[i:i + 65536]] == sig[y[i:i + 65536]]).sum(1) for i in range(0, len(x), 65536)]) >= matches
                 x, y = x[hit], y[hit]
+                if partners is not None and len(x):
+                    met = _first_shared(low[x], low[y], pos[x], -1) & ((second[x] < 0) | _first_shared(sig[x], sig[y], second[x], pos[x]))
+                    x, y = x[met], y[met]
                 before[x] += 1
                 after[y] += 1
                 if len(x):
@@ -235,6 +255,12 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     return run
 
 
+def _first_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray, after: np.ndarray | int) -> np.ndarray:
+    """Whether ``at`` is the first column behind ``after`` in which the rows of ``x`` and ``y`` agree."""
+    same = (x == y) & (np.arange(x.shape[1]) > np.reshape(after, (-1, 1)))
+    return same.argmax(1) == at
+
+
 def _listed(rows: DataFrame) -> DataFrame:
     return rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
 
@@ -254,15 +280,26 @@ def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int)
     return cut_lineage(found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct()), loose if some else None
 
 
-def _more_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
-    """Pairs of different components in the lists; ``postings`` has ``comp``, ``size`` and ``own``."""
-    rows = _salted(postings, hot).select("token", "salt", "splits", "node", "sig", "comp", "size", "own").withColumn("guest", F.lit(False))
+def _unsettled(nodes: DataFrame, loose: DataFrame | None, matches: int) -> DataFrame:
+    """``token, pos, second, node, comp`` of the lists that hold several components; nothing wide is in them."""
+    rows = _posted(nodes.select("node", "comp", "sig", "tokens")).withColumn("second", F.lit(-1))
+    if loose is not None:
+        rows = rows.join(_small(loose), "token", "left_anti").unionByName(_refined(rows.drop("second"), loose, matches))
+    live = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("token")
+    return cut_lineage(rows.drop("sig").join(live, "token", "left_semi"))
+
+
+def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
+    """Pairs of different components in the lists; signatures and sketches of the ``nodes`` join the lists at the end."""
+    rows = _salted(_unsettled(nodes, loose, matches), hot).withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
-        guests = (rows.where("splits > 1").join(_small(largest), "token").where("comp != top").drop("top")
-                  .withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt").withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(True)))
+        rows = rows.join(_small(largest), "token", "left").withColumn("guest", F.expr("cast(coalesce(comp != top, false) as int)")).drop("top")
+        guests = (rows.where("guest = 1").withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt")
+                  .withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(2)))
         rows = rows.unionByName(guests)
+    rows = rows.join(nodes.select("node", "low", "sig", "size", "own", "sketch"), "node")
     return _listed(rows).mapInArrow(_pairs(matches, partners, False, percent), _CANDIDATES).select("a", "b").distinct()
 
 
@@ -280,18 +317,28 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> D
     return rows.dropDuplicates(["node", "digest"]).drop("digest")
 
 
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """``node, size, own``: shingles of each set, and those that no other set of ``sets`` has."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+def odd_sketch(shingles: np.ndarray) -> bytes:
+    """A bit per hash range: the parity of the shingles in it. A shingle in which two sets differ flips one bit."""
+    return np.packbits(np.bincount((shingles % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1).tobytes()
+
+
+def bounds(sets: DataFrame) -> DataFrame:
+    """``node, size, own, sketch``: shingles of each set, those that no other set of ``sets`` has, and its odd sketch."""
+    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
         packed = as_bytes(batch.column("shingles"))
         sizes = [len(b) // 8 for b in packed]
         return pa.record_batch([pa.array(np.frombuffer(b"".join(packed), np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), sizes))], ["shingle", "node"])
 
-    single = map_batches(sets, run, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    size = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"))
+    def sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [np.frombuffer(b, np.uint64) for b in as_bytes(batch.column("shingles"))]
+        return pa.record_batch([batch.column("node"), pa.array([len(r) for r in rows], pa.int64()), pa.array([odd_sketch(r) for r in rows], pa.binary())], ["node", "size", "sketch"])
+
+    single = map_batches(sets, split, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    each = map_batches(sets, sketched, "node long, size long, sketch binary").groupBy("node").agg(
+        F.max("size").alias("size"), F.min("sketch").alias("sketch"), F.count("*").alias("texts"))
     # an id with several texts gets no bound
-    return size.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select(
-        "node", "size", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"))
+    return each.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select(
+        "node", "size", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"), "sketch")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -399,12 +446,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = cut_lineage(shingle_sets(docs, near.select("node", "digest"), shingle))
     links = cut_lineage(confirm(tried, sets, percent))
     comps = components(links)
-    near = cut_lineage(near.drop("digest").join(own_shingles(sets), "node"))
+    near = cut_lineage(near.drop("digest").join(bounds(sets), "node").withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))
     for partners in (PARTNERS, 0):
-        lists = _posted(cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))))
-        if loose is not None:
-            lists = lists.join(_small(loose), "token", "left_anti").unionByName(_refined(lists, loose, matches))
-        more = cut_lineage(_more_candidates(lists, hot, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
+        nodes = cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        more = cut_lineage(_more_candidates(nodes, hot, loose, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
         if not more.head(1):
             if partners:
                 continue

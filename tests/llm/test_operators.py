@@ -369,3 +369,13 @@ def test_all_columns_pass_unread(docs):
     judged = quality_rules.judge(docs).columns
     assert judged.count("kept") == 1 and "items" in judged
     assert docs.select(F.max("n_words")).first()[0] == 7
+
+
+def test_odd_sketch_never_counts_more_than_differs():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 40, 3000):
+        pool = np.unique(rng.integers(0, 2 ** 63, n + 50, dtype=np.uint64))
+        for _ in range(20):
+            x, y = (np.sort(rng.choice(pool, min(n, len(pool)), replace=False)) for _ in range(2))
+            bits = sum((a ^ b).bit_count() for a, b in zip(minhash_join.odd_sketch(x), minhash_join.odd_sketch(y)))
+            assert bits <= len(np.setxor1d(x, y))
