@@ -115,7 +115,7 @@ def _posted(classes: DataFrame) -> DataFrame:
 
 
 def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
-    """Lists of the ``loose`` tokens, posted anew by a second coordinate.
+    """``token, pos, second, node``: lists of the ``loose`` tokens, posted anew by a second coordinate.
 
     Of the ``matches`` coordinates in which a pair agrees, the second one is
     among the first ``coordinates - matches + 2``: no pair is lost, and
@@ -123,7 +123,7 @@ def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
     """
     last = min(COORDINATES - matches + 1, COORDINATES - 1)
     rows = postings.join(_small(loose), "token").withColumn("second", F.explode(F.expr(f"filter(sequence(0, {last}), j -> j > pos)")))
-    return rows.withColumn("token", F.expr("xxhash64(token, second, substring(sig, 2 * second + 1, 2))"))
+    return rows.select(F.expr("xxhash64(token, second, substring(sig, 2 * second + 1, 2))").alias("token"), "pos", "second", "node")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -280,18 +280,19 @@ def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int)
     return cut_lineage(found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct()), loose if some else None
 
 
-def _unsettled(nodes: DataFrame, loose: DataFrame | None, matches: int) -> DataFrame:
+def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | None) -> DataFrame:
     """``token, pos, second, node, comp`` of the lists that hold several components; nothing wide is in them."""
-    rows = _posted(nodes.select("node", "comp", "sig", "tokens")).withColumn("second", F.lit(-1))
+    rows = _posted(nodes.select("node", "comp", "tokens")).withColumn("second", F.lit(-1))
     if loose is not None:
-        rows = rows.join(_small(loose), "token", "left_anti").unionByName(_refined(rows.drop("second"), loose, matches))
+        rows = rows.join(_small(loose), "token", "left_anti").unionByName(refined.join(nodes.select("node", "comp"), "node"))
     live = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("token")
-    return cut_lineage(rows.drop("sig").join(live, "token", "left_semi"))
+    return cut_lineage(rows.join(live, "token", "left_semi"))
 
 
-def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame | None, matches: int, partners: int, percent: int) -> DataFrame:
+def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame | None, refined: DataFrame | None,
+                     matches: int, partners: int, percent: int) -> DataFrame:
     """Pairs of different components in the lists; signatures and sketches of the ``nodes`` join the lists at the end."""
-    rows = _salted(_unsettled(nodes, loose, matches), hot).withColumn("guest", F.lit(0))
+    rows = _salted(_unsettled(nodes, loose, refined), hot).withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
@@ -434,10 +435,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = _posted(classes)
     hot = _hot(postings)
     tried, loose = _first_candidates(postings, hot, matches)
+    refined = None
     if loose is not None:
-        refined = _refined(postings, loose, matches)
+        refined = cut_lineage(_refined(postings, loose, matches))
         hot_refined = _hot(refined)
-        tried = tried.union(_first_candidates(refined, hot_refined, matches)[0]).distinct()
+        tried = tried.union(_first_candidates(refined.join(classes.select("node", "sig"), "node"), hot_refined, matches)[0]).distinct()
         hot = hot.join(_small(loose), "token", "left_anti")
         hot = cut_lineage(hot if hot_refined is None else hot.union(hot_refined))
     tried = cut_lineage(tried.where("a != b"))
@@ -449,7 +451,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = cut_lineage(near.drop("digest").join(bounds(sets), "node").withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))
     for partners in (PARTNERS, 0):
         nodes = cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        more = cut_lineage(_more_candidates(nodes, hot, loose, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
+        more = cut_lineage(_more_candidates(nodes, hot, loose, refined, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
         if not more.head(1):
             if partners:
                 continue
