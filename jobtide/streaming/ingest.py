@@ -14,7 +14,6 @@ Encodings need statistics over all rows and stay in the batch stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import PrepConfig
 from ..operators import clean as C
@@ -41,7 +40,7 @@ def prepare_stateless(df: DataFrame, cfg: PrepConfig) -> DataFrame:
 def start_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                  cfg: PrepConfig | None = None, header_sample: str | None = None,
                  max_files_per_trigger: int | None = None):
-    """Start the incremental job; returns the ``StreamingQuery``."""
+    """Start the incremental job; returns the ``StreamingQuery``. A sink belongs to one checkpoint, whose batch ids name its folders."""
     cfg = cfg or PrepConfig()
     names = header_of(spark, header_sample or source_dir)
     C.check_title(names)
@@ -51,7 +50,8 @@ def start_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
     stream = prepare_stateless(reader.csv(source_dir), cfg)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        # a batch that is repeated after a failure replaces its own folder
+        batch.write.mode("overwrite").parquet(f"{sink_dir}/_batch={batch_id}")
 
     return (stream.writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint_dir)
