@@ -23,14 +23,16 @@
 
 Long posting lists are split by a salt, and the members that head a split
 meet. Where these are many, a common passage and not copying brings the
-list together: it is posted anew by a second coordinate, which parts it. In
-later rounds members outside a list's largest component meet all splits.
+list together: it is posted anew by a further coordinate, which parts it, and
+so on while it has more than ``VISITS`` splits. In later rounds members outside
+a list's largest component meet all splits, also heads without a candidate.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -46,6 +48,7 @@ COORDINATES = 32
 MISS = 1e-6
 PARTNERS = 16
 LIST_ROWS = 1024
+VISITS = 8
 SMALL_TABLE = 100_000
 TASK_EDGES = 200_000
 SKETCH_BITS = 512
@@ -110,20 +113,21 @@ def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """The classes' prefixes, a row ``token, pos`` per coordinate; other columns stay."""
-    return classes.select(*[c for c in classes.columns if c != "tokens"], F.posexplode("tokens").alias("pos", "token"))
+    """The classes' prefixes, a row ``token, pos, chain`` per coordinate (``chain`` has its bit); other columns stay."""
+    return classes.select(*[c for c in classes.columns if c != "tokens"], F.posexplode("tokens").alias("pos", "token")).withColumn("chain", F.expr("shiftleft(1L, pos)"))
 
 
-def _refined(postings: DataFrame, loose: DataFrame, matches: int) -> DataFrame:
-    """``token, pos, second, node``: lists of the ``loose`` tokens, posted anew by a second coordinate.
+def _refined(postings: DataFrame, loose: DataFrame, matches: int, level: int) -> DataFrame:
+    """``token, pos, chain, node``: lists of the ``loose`` tokens, posted anew by a further coordinate, whose bit joins the ``chain``.
 
-    Of the ``matches`` coordinates in which a pair agrees, the second one is
-    among the first ``coordinates - matches + 2``: no pair is lost, and
-    documents that only a common passage brings together fall apart.
+    Of the ``matches`` coordinates in which a pair agrees, the one after
+    ``level`` others is among the first ``coordinates - matches + level + 1``:
+    no pair is lost (for ``level`` below ``matches``), and documents that only
+    a common passage brings together fall apart.
     """
-    last = min(COORDINATES - matches + 1, COORDINATES - 1)
-    rows = postings.join(_small(loose), "token").withColumn("second", F.explode(F.expr(f"filter(sequence(0, {last}), j -> j > pos)")))
-    return rows.select(F.expr("xxhash64(token, second, substring(sig, 2 * second + 1, 2))").alias("token"), "pos", "second", "node")
+    rows = postings.join(_small(loose), "token").withColumn(
+        "j", F.explode(F.expr(f"filter(sequence(0, {COORDINATES - matches + level}), j -> shiftright(chain, j) = 0)")))
+    return rows.select(F.expr("xxhash64(token, j, substring(sig, 2 * j + 1, 2))").alias("token"), "pos", F.expr("chain | shiftleft(1L, j)").alias("chain"), "node")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -193,6 +197,8 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             guest = table.column("guest").to_numpy() if partners is not None else None
             size_of, own = (table.column(c).to_numpy() for c in ("size", "own")) if partners is not None else (None, None)
             live = size > 1
+            if heads:
+                live |= table.column("splits").to_numpy() > 1  # alone in its split, but not in its list
             if partners is not None:
                 low, high = np.minimum.reduceat(comp, np.flatnonzero(new)), np.maximum.reduceat(comp, np.flatnonzero(new))
                 live &= (low != high)[np.cumsum(new) - 1]  # a list within one component is settled
@@ -202,7 +208,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             node = table.column("node").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
             if partners is not None:
-                pos, second = table.column("pos").to_numpy(), table.column("second").to_numpy()
+                pos, chain = table.column("pos").to_numpy(), table.column("chain").to_numpy()
                 low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
                 sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
@@ -235,7 +241,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 hit = np.concatenate([(sig[x[i:i + 65536]] == sig[y[i:i + 65536]]).sum(1) for i in range(0, len(x), 65536)]) >= matches
                 x, y = x[hit], y[hit]
                 if partners is not None and len(x):
-                    met = _first_shared(low[x], low[y], pos[x], -1) & ((second[x] < 0) | _first_shared(sig[x], sig[y], second[x], pos[x]))
+                    met = _first_shared(low[x], low[y], pos[x]) & _next_shared(sig[x], sig[y], pos[x], chain[x])
                     x, y = x[met], y[met]
                 before[x] += 1
                 after[y] += 1
@@ -255,34 +261,83 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     return run
 
 
-def _first_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray, after: np.ndarray | int) -> np.ndarray:
-    """Whether ``at`` is the first column behind ``after`` in which the rows of ``x`` and ``y`` agree."""
-    same = (x == y) & (np.arange(x.shape[1]) > np.reshape(after, (-1, 1)))
-    return same.argmax(1) == at
+def _first_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether ``at`` is the first column in which the rows of ``x`` and ``y`` agree."""
+    return (x == y).argmax(1) == at
+
+
+def _next_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """Whether the bits of ``chain`` behind ``at`` are the next columns in which the rows of ``x`` and ``y`` agree."""
+    column = np.arange(x.shape[1])
+    rest = chain[:, None] >> column
+    return ~((column > at[:, None]) & (rest > 0) & ((x == y) != (rest & 1).astype(bool))).any(1)
 
 
 def _listed(rows: DataFrame) -> DataFrame:
     return rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
 
 
-def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs ``(a, b)`` of nearest members, and the tokens (if any) whose split lists have too many heads to meet."""
+def _first_candidates(postings: DataFrame, hot: DataFrame | None, matches: int, visits: int | None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Pairs ``(a, b)`` of nearest members, the ``node`` of heads, and the tokens (if any) of lists to refine, whose heads are left out.
+
+    Heads meet if a list has up to ``LIST_ROWS`` (``visits`` None: always).
+    Other lists are refined if they have more than ``visits`` splits; with
+    fewer it costs less that their heads visit every split in later rounds.
+    """
     found = _listed(_salted(postings, hot).select("token", "salt", "splits", "node", "sig")).mapInArrow(_pairs(matches, None, hot is not None), _CANDIDATES)
     if hot is None:
-        return cut_lineage(found.select("a", "b").distinct()), None
+        return cut_lineage(found.select("a", "b").distinct()), None, None
     found = cut_lineage(found)
     heads = found.where("b IS NULL").select("token", F.lit(0).alias("salt"), F.lit(1).alias("splits"), F.col("a").alias("node"), "sig")
-    loose = cut_lineage(heads.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS).select("token"))
-    some = bool(loose.head(1))
-    if some:
-        heads = heads.join(_small(loose), "token", "left_anti")
-    across = _listed(heads).mapInArrow(_pairs(matches, None, False), _CANDIDATES)
-    return cut_lineage(found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct()), loose if some else None
+    few, loose = heads, None
+    if visits is not None:
+        many = cut_lineage(heads.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > LIST_ROWS).join(hot, "token").select("token", "splits"))
+        if many.head(1):
+            few = heads.join(_small(many.select("token")), "token", "left_anti")
+        if many.where(F.col("splits") > visits).head(1):
+            loose = cut_lineage(many.where(F.col("splits") > visits).select("token"))
+            heads = heads.join(_small(loose), "token", "left_anti")
+    across = _listed(few).mapInArrow(_pairs(matches, None, False), _CANDIDATES)
+    pairs = cut_lineage(found.where("b IS NOT NULL").select("a", "b").union(across.select("a", "b")).distinct())
+    return pairs, heads.select("node"), loose
+
+
+def _first_round(classes: DataFrame, matches: int) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None, DataFrame | None]:
+    """First candidates ``(a, b)``, the ``node`` of all that take part in later rounds, hot lists, loose first lists and what these are refined to.
+
+    A head may be like a member of another split that heads none: it takes
+    part with or without a candidate. Lists by ``matches`` coordinates hold
+    only candidates of each other and need no refining.
+    """
+    rows, loose = _posted(classes), None
+    tried, heads, hot, refined = [], [], [], []
+    for level in range(matches):
+        big = _hot(rows)
+        pairs, some, more = _first_candidates(rows, big, matches, None if level + 1 == matches else VISITS if level else 0)
+        tried.append(pairs)
+        if big is not None:
+            heads.append(some)
+            hot.append(big if more is None else big.join(_small(more), "token", "left_anti"))
+        if level == 0:
+            loose = more
+        else:
+            refined.append(again if more is None else again.join(_small(more), "token", "left_anti"))
+        if more is None:
+            break
+        again = cut_lineage(_refined(rows, more, matches, level + 1))
+        rows = again.join(classes.select("node", "sig"), "node")
+
+    def whole(parts: list[DataFrame]) -> DataFrame | None:
+        return parts[0] if len(parts) == 1 else cut_lineage(reduce(DataFrame.union, parts)) if parts else None
+
+    pairs = cut_lineage(reduce(DataFrame.union, tried).distinct().where("a != b"))
+    involved = reduce(DataFrame.union, [pairs.select("a"), pairs.select("b"), *heads]).toDF("node").distinct()
+    return pairs, involved, whole(hot), loose, whole(refined)
 
 
 def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | None) -> DataFrame:
-    """``token, pos, second, node, comp`` of the lists that hold several components; nothing wide is in them."""
-    rows = _posted(nodes.select("node", "comp", "tokens")).withColumn("second", F.lit(-1))
+    """``token, pos, chain, node, comp`` of the lists that hold several components; nothing wide is in them."""
+    rows = _posted(nodes.select("node", "comp", "tokens"))
     if loose is not None:
         rows = rows.join(_small(loose), "token", "left_anti").unionByName(refined.join(nodes.select("node", "comp"), "node"))
     live = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("token")
@@ -432,18 +487,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = cut_lineage(signatures(docs, prefix, shingle))
     linkable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig")))
-    postings = _posted(classes)
-    hot = _hot(postings)
-    tried, loose = _first_candidates(postings, hot, matches)
-    refined = None
-    if loose is not None:
-        refined = cut_lineage(_refined(postings, loose, matches))
-        hot_refined = _hot(refined)
-        tried = tried.union(_first_candidates(refined.join(classes.select("node", "sig"), "node"), hot_refined, matches)[0]).distinct()
-        hot = hot.join(_small(loose), "token", "left_anti")
-        hot = cut_lineage(hot if hot_refined is None else hot.union(hot_refined))
-    tried = cut_lineage(tried.where("a != b"))
-    involved = tried.select(F.col("a").alias("node")).union(tried.select(F.col("b").alias("node"))).distinct()
+    tried, involved, hot, loose, refined = _first_round(classes, matches)
     near = cut_lineage(classes.join(involved, "node"))
     sets = cut_lineage(shingle_sets(docs, near.select("node", "digest"), shingle))
     links = cut_lineage(confirm(tried, sets, percent))

@@ -344,6 +344,30 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, rows_a_list):
     assert minhash_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def _with_signatures(monkeypatch, matches, alike):
+    """``alike(doc_id, coordinate)``: SQL of the 16 bits that stand for a signature's coordinate; the prefix is the same for all."""
+    signatures = minhash_join.signatures
+
+    def made(docs, prefix, *rest):
+        sig = "concat(" + ", ".join(f"unhex(right(hex({alike(k)}), 4))" for k in range(minhash_join.COORDINATES)) + ")"
+        return (signatures(docs, prefix, *rest).withColumn("sig", F.expr(sig))
+                .withColumn("tokens", F.expr(f"transform(sequence(1, {prefix}), k -> shiftleft(cast(k as long), 40))")))
+
+    monkeypatch.setattr(minhash_join, "signatures", made)
+    monkeypatch.setattr(minhash_join, "match_threshold", lambda percent: matches)
+
+
+@pytest.mark.parametrize("visits", [2, 100])
+def test_links_that_share_only_hot_refined_lists(spark, monkeypatch, visits):
+    """All share the prefix and the coordinates by which loose lists are refined once; pairs of ids agree in the others too."""
+    monkeypatch.setattr(minhash_join, "LIST_ROWS", 4)
+    monkeypatch.setattr(minhash_join, "VISITS", visits, raising=False)
+    _with_signatures(monkeypatch, 31, lambda k: "65536L" if k < 4 else f"65536L + pmod(xxhash64(doc_id div 2, {k}), 65536)")
+    pairs = [(i, " ".join(f"w{i // 2}x{j}" for j in range(40 + i % 2))) for i in range(60)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in minhash_join.near_duplicates(df, percent=80).collect()} == _components(pairs, 80)
+
+
 def test_near_duplicates_odd_ids(spark):
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (3, "a b c d e f g"), (None, "a b c d e f g"), (5, "other text of the same id here"), (None, None)]
     out = sorted((tuple(r) for r in minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
