@@ -1,8 +1,8 @@
 """Near-duplicate documents by an inverted join over MinHash signatures.
 
 1. A document's distinct word shingles give a digest of the set and a
-   signature of minima. Documents with equal sets form a class, kept by its
-   smallest doc_id.
+   signature of minima. Documents with equal sets form a class, a node of
+   its own number, kept by its smallest doc_id.
 2. Two sets above the similarity threshold agree in at least ``matches`` of
    the signature's coordinates (but for a chance below ``MISS``), so they
    share a value in the first ``coordinates - matches + 1`` ones: only this
@@ -37,7 +37,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -86,7 +86,9 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, prefix: int, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, digest, tokens, sig``: prefix postings and 16 bits of every coordinate; nulls for empty sets."""
+    """``doc_id, n_shingles, digest, tokens, sig``: prefix postings and 16 bits of every coordinate; nulls for empty sets. Also ``text_hash`` if ``docs`` has it."""
+    hashed = ["text_hash"] if "text_hash" in docs.columns else []
+
     def run(batch: pa.RecordBatch, memo: WordHashes = WordHashes()) -> pa.RecordBatch:
         sets = [shingle_set(t, memo, shingle) for t in as_bytes(batch.column("text"))]
         sizes = np.array([len(s) for s in sets])
@@ -100,10 +102,10 @@ def signatures(docs: DataFrame, prefix: int, shingle: int = SHINGLE) -> DataFram
             posted = mix64(minima[:, :prefix] + _OFFSETS[:prefix]).view(np.int64)
             for row, i in enumerate(full):
                 digests[i], tokens[i], sigs[i] = _digest(sets[i]), posted[row].tolist(), short[row].tobytes()
-        return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                                pa.array(tokens, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "digest", "tokens", "sig"])
+        return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.list_(pa.int64())),
+                                pa.array(sigs, pa.binary()), *[batch.column(c) for c in hashed]], ["doc_id", "n_shingles", "digest", "tokens", "sig", *hashed])
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, digest binary, tokens array<long>, sig binary")
+    return map_batches(docs, run, "doc_id long, n_shingles long, digest binary, tokens array<long>, sig binary" + "".join(f", {c} binary" for c in hashed))
 
 
 def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
@@ -232,7 +234,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                     both = size_of[x] + size_of[y]
                     apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
                     near = (100 * most >= percent * (both - most)) & (100 * (both - apart) >= percent * (both + apart))
-                    want = (comp[x] != comp[y]) & visit & (near | (own[x] < 0) | (own[y] < 0))
+                    want = (comp[x] != comp[y]) & visit & near
                 x, y = x[want], y[want]
                 if not len(x):
                     if partners is None and not ((before[at] == 0).any() or (after[live] == 0).any()):
@@ -360,17 +362,17 @@ def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame |
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``node, shingles`` (packed 64-bit hashes): the full sets of the documents named in ``nodes (node, digest)``."""
+    """``node, shingles`` (packed 64-bit hashes): the full sets of the documents named in ``nodes (node, doc_id, digest)``."""
     def run(batch: pa.RecordBatch, memo: WordHashes = WordHashes()) -> pa.RecordBatch:
         rows = []
         for node, digest, text in zip(batch.column("node").to_pylist(), as_bytes(batch.column("digest")), as_bytes(batch.column("text"))):
             s = shingle_set(text, memo, shingle)
-            if len(s) and _digest(s) == digest:  # another text of a repeated id is not this class
+            if len(s) and _digest(s) == digest:  # another text of a repeated id is another class
                 rows.append((node, digest, s.tobytes()))
         return pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["node", "digest", "shingles"])
 
-    rows = map_batches(nodes.join(docs.withColumnRenamed("doc_id", "node"), "node"), run, "node long, digest binary, shingles binary")
-    return rows.dropDuplicates(["node", "digest"]).drop("digest")
+    rows = map_batches(nodes.join(docs, "doc_id").select("node", "digest", "text"), run, "node long, digest binary, shingles binary")
+    return rows.dropDuplicates(["node"]).drop("digest")
 
 
 def odd_sketch(shingles: np.ndarray) -> bytes:
@@ -390,11 +392,9 @@ def bounds(sets: DataFrame) -> DataFrame:
         return pa.record_batch([batch.column("node"), pa.array([len(r) for r in rows], pa.int64()), pa.array([odd_sketch(r) for r in rows], pa.binary())], ["node", "size", "sketch"])
 
     single = map_batches(sets, split, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    each = map_batches(sets, sketched, "node long, size long, sketch binary").groupBy("node").agg(
-        F.max("size").alias("size"), F.min("sketch").alias("sketch"), F.count("*").alias("texts"))
-    # an id with several texts gets no bound
+    each = map_batches(sets, sketched, "node long, size long, sketch binary")
     return each.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select(
-        "node", "size", F.when(F.col("texts") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(-1)).alias("own"), "sketch")
+        "node", "size", F.coalesce("own", F.lit(0)).alias("own"), "sketch")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -476,23 +476,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents are linked where 100 * intersection >= percent * union of their
     shingle sets; a component takes its smallest doc_id, and only that row is
-    kept. Texts that are null or without words have an empty set and stand
-    alone. Rows that repeat a doc_id with another text are judged by their own
-    text. Rows with a null doc_id are not linked: null component, kept. An
-    empty table gives no rows. Columns other than the two named are not read.
+    kept (of several sets under that id, one). Texts that are null or without
+    words have an empty set and stand alone. Rows that repeat a doc_id with
+    another text are judged by their own text. Rows with a null doc_id are not
+    linked: null component, kept. An empty table gives no rows. Columns other
+    than the two named are not read.
     """
-    docs = id_and_text(docs, id_col, text_col)
+    return _judged(id_and_text(docs, id_col, text_col), percent, shingle).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
+    """``near_duplicates`` of ``docs (doc_id, text)`` with the ``digest`` of each row's set, and ``text_hash`` if ``docs`` has it."""
     matches = match_threshold(percent)
     prefix = COORDINATES - matches + 1
     signed = cut_lineage(signatures(docs, prefix, shingle))
     linkable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig")))
-    tried, involved, hot, loose, refined = _first_round(classes, matches)
+    classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig"))
+                          .withColumn("node", F.monotonically_increasing_id()))
+    tried, involved, hot, loose, refined = _first_round(classes.drop("digest", "doc_id"), matches)
     near = cut_lineage(classes.join(involved, "node"))
-    sets = cut_lineage(shingle_sets(docs, near.select("node", "digest"), shingle))
+    sets = cut_lineage(shingle_sets(docs, near.select("node", "doc_id", "digest"), shingle))
     links = cut_lineage(confirm(tried, sets, percent))
     comps = components(links)
-    near = cut_lineage(near.drop("digest").join(bounds(sets), "node").withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))
+    near = cut_lineage(near.drop("digest", "doc_id").join(bounds(sets), "node").withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))
     for partners in (PARTNERS, 0):
         nodes = cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         more = cut_lineage(_more_candidates(nodes, hot, loose, refined, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
@@ -504,13 +510,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tried = tried.unionByName(more)
         if found.head(1):
             comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(found))
-    rows = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left").join(comps, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # a component's first class: the smallest doc_id, of several sets under it the smallest digest
+    ids = classes.select("node", "doc_id", "digest")
+    members = comps.unionByName(comps.select(F.col("comp").alias("node"), "comp").distinct()).join(ids, "node")
+    firsts = cut_lineage(members.groupBy("comp").agg(F.min(F.struct("doc_id", "digest")).alias("first")))
+    named = cut_lineage(members.join(_small(firsts), "comp").select("digest", F.col("first.doc_id").alias("component_id"), F.col("first.digest").alias("first")))
+    named = named.unionByName(ids.join(named, "digest", "left_anti").select("digest", F.col("doc_id").alias("component_id"), F.col("digest").alias("first")))
+    rows = signed.drop("tokens", "sig").join(named, "digest", "left")
+    linked = F.col("doc_id").isNotNull()
+    kept = ~linked | F.col("digest").isNull() | (F.col("doc_id") == F.col("component_id")) & (F.col("digest") == F.col("first"))
+    return rows.withColumn("kept", kept).withColumn("component_id", F.when(linked, F.coalesce("component_id", "doc_id"))).drop("first")
 
 
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component; rows that repeat a kept id go, those with a null id stay."""
-    found = cut_lineage(near_duplicates(docs, id_col, text_col, percent)).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(found, F.col(id_col).cast("long") == F.col("__kept")).drop("__kept").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one document of each component; of rows that repeat a doc_id with the same set of shingles one stays, those with a null id all stay."""
+    def text_hash(text: str) -> Column:
+        return F.coalesce(F.unhex(F.md5(F.col(text).cast("string").cast("binary"))), F.lit(b""))
+
+    judged = cut_lineage(_judged(id_and_text(docs, id_col, text_col).withColumn("text_hash", text_hash("text")), percent))
+    found = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id", "digest").agg(F.min("text_hash").alias("__hash"))
+    found = found.select(F.col("doc_id").alias("__kept"), "__hash")
+    named = docs.where(F.col(id_col).isNotNull()).join(found, (F.col(id_col).cast("long") == F.col("__kept")) & (text_hash(text_col) == F.col("__hash"))).dropDuplicates(["__kept", "__hash"])
+    return named.drop("__kept", "__hash").unionByName(docs.where(F.col(id_col).isNull()))

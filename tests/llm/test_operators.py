@@ -374,6 +374,17 @@ def test_near_duplicates_odd_ids(spark):
     assert out == sorted([(5, 3, 3, False), (5, 3, 3, False), (3, 3, 3, True), (None, 3, None, True), (5, 3, 5, True), (None, 0, None, True)], key=repr)
 
 
+def test_keep_one_keeps_every_text_of_a_repeated_id(spark):
+    a, b, c = ("".join(f"{x}{j} " for j in range(20)) for x in "abc")
+    rows = [(3, a, "x"), (5, a + "end", "x"), (5, b, "x"), (5, b, "y"), (5, b.upper(), "x"), (5, c, "x"), (9, c, "x"), (7, None, "x"), (None, a, "x"), (None, a, "x")]
+    # of the near copies under one id one stays
+    rows += [(8, " ".join(f"d{j}" for j in range(n)), "x") for n in (40, 41)]
+    out = minhash_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4))
+    assert out.columns == ["doc_id", "text", "source"]
+    got = [(r["doc_id"], " ".join(r["text"].lower().split()[:2]) if r["text"] else None) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted([(3, "a0 a1"), (5, "b0 b1"), (5, "c0 c1"), (7, None), (None, "a0 a1"), (None, "a0 a1"), (8, "d0 d1")], key=repr)
+
+
 def test_components_of_a_long_chain(spark, monkeypatch):
     monkeypatch.setattr(minhash_join, "TASK_EDGES", 7)
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 99)], "a long, b long").repartition(5)
