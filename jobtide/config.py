@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from .functions.scalar import DATE_FORMATS
+
 # --- fixed values -----------------------------------------------------------
 # Must equal the source system's for identical results.
 # Columns removed from raw vacancy rows (unknown names are ignored).
@@ -69,6 +71,10 @@ class PrepConfig:
     # Encoding maps with more rows than this are joined by shuffle, not broadcast.
     broadcast_max_rows: int = 2_000_000
     drop_original: bool = False
+    # Formats of date text, tried in order (Q18).
+    date_formats: tuple = DATE_FORMATS
+    # Line breaks inside quoted fields; off makes large files splittable, but breaks such rows.
+    multiline: bool = True
 
 
 @dataclass

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..config import TITLE_LOOKALIKES
-from ..functions.scalar import (UNKNOWN, date_parts, null_markers, parse_timestamp,
+from ..functions.scalar import (DATE_FORMATS, UNKNOWN, date_parts, null_markers, parse_timestamp,
                                 parse_weight, unflag, whole_days)
 
 
@@ -55,13 +55,13 @@ def weights(df: DataFrame, col: str = "work_places") -> DataFrame:
     return df.withColumn(col, parse_weight(col))
 
 
-def dates(df: DataFrame, date_columns) -> DataFrame:
+def dates(df: DataFrame, date_columns, formats=DATE_FORMATS) -> DataFrame:
     """FN-08 + FLT-12 + FN-11: ``{d}_processed`` and its parts, for present columns."""
     cols = set(df.columns)
     for d, flag in date_columns:
         if d not in cols:
             continue
-        ts = parse_timestamp(unflag(d, flag if flag in cols else None))
+        ts = parse_timestamp(unflag(d, flag if flag in cols else None), formats)
         df = df.withColumn(f"{d}_processed", ts)
         df = df.select("*", *date_parts(f"{d}_processed", d))
     return df

@@ -29,11 +29,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def prepare_vacancies(spark: SparkSession, input_path: str, output_path: str | None = None,
                       raw: bool = True, cfg: PrepConfig | None = None,
-                      fmt: str = "parquet", multiline: bool = False) -> DataFrame:
+                      fmt: str = "parquet", multiline: bool | None = None) -> DataFrame:
     """API-01: read (raw text or an already filtered extract), prepare, and
-    optionally write the prepared table (SNK-02)."""
+    optionally write the prepared table (SNK-02). ``multiline`` None: as in ``cfg``."""
     cfg = cfg or PrepConfig()
-    df = read_raw(spark, input_path, multiline=multiline)
+    df = read_raw(spark, input_path, multiline=cfg.multiline if multiline is None else multiline)
     if not raw:
         cfg = PrepConfig(**{**cfg.__dict__, "title_keyword": None})
     prepared = prepare(df, cfg)
@@ -63,7 +63,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
     processed = cfg.processed_path or f"{cfg.output_dir.rstrip('/')}/prepared"
     if not cfg.skip_prepare:
         prepare_vacancies(spark, cfg.input_path, processed, cfg.raw, cfg.prep, cfg.processed_format)
-    prepared = read_prepared(spark, processed, cfg.processed_format)
+    prepared = read_prepared(spark, processed, cfg.processed_format, cfg.prep.multiline)
     fc = ForecastConfig(**{**cfg.forecast.__dict__, "horizon": cfg.horizon,
                            "anomaly_threshold": cfg.anomaly_threshold})
     result = run_forecast(spans_of(prepared), fc, cfg.tree_params, n_rows=prepared.count())

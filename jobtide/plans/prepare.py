@@ -29,7 +29,7 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True)
     df = C.keep_titles(df, cfg.title_keyword)
     df = C.mark_nulls(df)
     df = C.weights(df, cfg.target)
-    df = C.dates(df, cfg.date_columns)
+    df = C.dates(df, cfg.date_columns, cfg.date_formats)
     cats = [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
     df = C.fill_unknown(df, cats)
     numeric = [c for c in cfg.numeric_columns if c in df.columns]
@@ -72,7 +72,7 @@ def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None,
     df = C.keep_titles(df, cfg.title_keyword)
     df = C.mark_nulls(df)
     df = C.weights(df, cfg.target)
-    df = C.dates(df, cfg.date_columns)
+    df = C.dates(df, cfg.date_columns, cfg.date_formats)
     cats = [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
     df = C.fill_unknown(df, cats)
     numeric = [c for c in cfg.numeric_columns if c in df.columns]

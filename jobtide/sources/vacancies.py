@@ -19,9 +19,9 @@ CSV_OPTIONS = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "encod
 EXTRA = "_extra"
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
+def header_of(spark: SparkSession, path: str, sep: str = ";", multiline: bool = True) -> list[str]:
     """Column names from the header line only (no data pass)."""
-    return spark.read.options(**{**CSV_OPTIONS, "sep": sep}).csv(path).columns
+    return spark.read.options(**{**CSV_OPTIONS, "sep": sep}).option("multiLine", str(multiline).lower()).csv(path).columns
 
 
 def all_string_schema(names: list[str], extra: bool = False) -> StructType:
@@ -31,32 +31,32 @@ def all_string_schema(names: list[str], extra: bool = False) -> StructType:
     return StructType(fields)
 
 
-def read_raw(spark: SparkSession, path: str, multiline: bool = False,
+def read_raw(spark: SparkSession, path: str, multiline: bool = True,
              check: bool = True) -> DataFrame:
     """SRC-01 + SRC-03: every field as text; short rows padded with null,
     extra fields cut (CSV PERMISSIVE mode). ``multiline`` allows line breaks
-    inside quoted fields but makes each file one split, so it is off by
-    default for large inputs. SRC-02: ``title`` must exist."""
-    names = header_of(spark, path)
+    inside quoted fields but makes each file one split; off, large files are
+    split and such rows are broken. SRC-02: ``title`` must exist."""
+    names = header_of(spark, path, multiline=multiline)
     if check:
         check_title(names)
     return (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
             .schema(all_string_schema(names)).csv(path))
 
 
-def read_prepared_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_prepared_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """SRC-04 + SRC-06: rows with *more* fields than the header are skipped,
     short rows kept; the four forecasting columns must be present."""
-    names = header_of(spark, path)
+    names = header_of(spark, path, multiline=multiline)
     check_required(names, REQUIRED_FOR_FORECAST)
     df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
           .schema(all_string_schema(names, extra=True)).csv(path))
     return df.filter(F.col(EXTRA).isNull()).drop(EXTRA)
 
 
-def read_prepared(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_prepared(spark: SparkSession, path: str, fmt: str = "parquet", multiline: bool = True) -> DataFrame:
     """SRC-06 (+ PRJ-06 coercion of the four forecasting columns)."""
-    df = read_prepared_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
+    df = read_prepared_csv(spark, path, multiline) if fmt == "csv" else spark.read.parquet(path)
     check_required(df.columns, REQUIRED_FOR_FORECAST)
     return (df.withColumn("date_creation_processed",
                           F.col("date_creation_processed").cast("string").try_cast("timestamp"))

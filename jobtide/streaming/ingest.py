@@ -29,7 +29,7 @@ def prepare_stateless(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     df = C.keep_titles(df, cfg.title_keyword)
     df = C.mark_nulls(df)
     df = C.weights(df, cfg.target)
-    df = C.dates(df, cfg.date_columns)
+    df = C.dates(df, cfg.date_columns, cfg.date_formats)
     df = C.fill_unknown(df, ("industry",))
     df = C.span_end(df, cfg.default_duration_days)
     df = C.keep_valid(df, cfg.date_lo, cfg.date_hi)
@@ -42,9 +42,10 @@ def start_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
                  max_files_per_trigger: int | None = None):
     """Start the incremental job; returns the ``StreamingQuery``. A sink belongs to one checkpoint, whose batch ids name its folders."""
     cfg = cfg or PrepConfig()
-    names = header_of(spark, header_sample or source_dir)
+    names = header_of(spark, header_sample or source_dir, multiline=cfg.multiline)
     C.check_title(names)
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(all_string_schema(names))
+    reader = (spark.readStream.options(**CSV_OPTIONS).option("multiLine", str(cfg.multiline).lower())
+              .schema(all_string_schema(names)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = prepare_stateless(reader.csv(source_dir), cfg)

@@ -58,6 +58,23 @@ def test_multiline_field(spark, tmpdir_path):
     assert os.path.exists(p)
 
 
+def test_line_breaks_and_date_formats_reach_every_path(spark, tmpdir_path):
+    from jobtide.plans.pipeline import prepare_vacancies
+    from jobtide.sources.vacancies import read_prepared
+    from jobtide.streaming.ingest import ingest_available
+    names = "title;work_places;industry;date_creation;region"
+    rows = ['"инженер по\nлиниям";2;IT;2019/03/01;"М\nО"', "инженер;3;IT;2019-03-02;М"]
+    src = f"{tmpdir_path}/in"
+    os.mkdir(src)
+    _write(src, "ml.csv", [names, *rows])
+    cfg = PrepConfig(date_formats=("yyyy-MM-dd", "yyyy/MM/dd"), min_samples=1)
+    out = f"{tmpdir_path}/prepared"
+    prepare_vacancies(spark, src, out, cfg=cfg, fmt="csv")
+    assert sorted(r["work_places"] for r in read_prepared(spark, out, "csv").collect()) == [2, 3]
+    got = ingest_available(spark, src, f"{tmpdir_path}/sink", f"{tmpdir_path}/ck", cfg).collect()
+    assert sorted((r["title"], r["work_places"]) for r in got) == [("инженер", 3), ("инженер по\nлиниям", 2)]
+
+
 def test_prepared_scan_skips_long_rows(spark, tmpdir_path):
     lines = ["date_creation_processed;date_end;work_places;industry",
              "2019-01-01;2019-02-01;3;IT", "2019-01-01;2019-02-01;3", "2019-01-01;2019-02-01;3;IT;x"]
