@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (backoff_lm, chat_format, decontam, line_dedup, minhash_join, piece_sampling, quality_rules, token_counts,
-               toxicity, url_filter)
+from . import (backoff_lm, chat_format, decontam, filter_audit, line_dedup, minhash_join, piece_sampling, piecewise_hash, plane_clusters,
+               quality_rules, token_counts, toxicity, url_filter)
 from .common import small_batches, table
 
 MODEL = "piece_bpe_32k.model"
@@ -84,6 +84,20 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), percent=NEAR_PERCENT)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plane_clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return piecewise_hash.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_backoff_lm, op4_chat_prefix_targets, op5_piece_sampling, op6_quality_rules,
-                            op7_benchmark_decontamination, op8_url_filters, op9_line_dedup, op10_minhash_near_dedup, pipeline)}
+                            op7_benchmark_decontamination, op8_url_filters, op9_line_dedup, op10_minhash_near_dedup, op11_filter_audit, op12_plane_clusters, op13_piecewise_hash, pipeline)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -211,6 +225,48 @@ m AS (SELECT doc_id, min(reach) AS component_id FROM t GROUP BY 1)
 SELECT doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM m LEFT JOIN z USING (doc_id)
 """
 
+def _op11_sql() -> str:
+    steps = ", ".join(f"('{o}', {k}, {bit}, {before})" for o, k, bit, before in filter_audit.orders())
+    here = "failed & before = 0 AND failed & bit <> 0"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+b AS (SELECT d.*, CASE WHEN len(ws) < {filter_audit.MIN_WORDS} THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(ws) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > {filter_audit.MAX_UPPER_PERCENT} * length(x) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS failed FROM d),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+s AS (SELECT * FROM (VALUES {steps}) t(filter_order, step, bit, before)),
+t AS (SELECT part, filter_order, step, bit, sum(CASE WHEN failed & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN {here} THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN failed & before <> 0 AND failed & bit <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN {here} THEN n_good ELSE 0 END) AS good_lost, sum(CASE WHEN {here} THEN n_toxic ELSE 0 END) AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM t
+"""
+
+
+def _op12_sql() -> str:
+    n, top = plane_clusters.COMPONENTS, plane_clusters.CLUSTERS
+    parts = [f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({plane_clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {n} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {n}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x FROM (SELECT sha256('{plane_clusters.SALT}:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v) ORDER BY h NULLS LAST, x LIMIT {top})"""]
+
+    def near(i: int) -> str:
+        far = f"list_sum(list_transform(range(1, {n + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+        return f"SELECT r, vec_id, min(struct_pack(d := CAST({far} AS HUGEINT), k := k)) AS b FROM v, c{i} c GROUP BY r, vec_id"
+
+    for i in range(plane_clusters.ROUNDS):
+        parts.append(f"a{i} AS MATERIALIZED ({near(i)})")
+        mean = f"SELECT k, list(m ORDER BY i) AS x FROM (SELECT a{i}.b.k AS k, i, CAST((sum(v.x[i]) - (sum(v.x[i]) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM a{i} JOIN v USING (r), (SELECT unnest(range(1, {n + 1})) AS i) GROUP BY 1, 2) GROUP BY k"
+        parts.append(f"c{i + 1} AS MATERIALIZED (SELECT c{i}.k, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN ({mean}) m ON m.k = c{i}.k)")
+    last = plane_clusters.ROUNDS
+    parts.append(f"a AS MATERIALIZED ({near(last)})")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, CAST(b.k AS INTEGER) AS cluster, CAST(b.d AS BIGINT) AS distance, CAST(sum(b.d) OVER (PARTITION BY b.k) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a JOIN c{last} c ON c.k = a.b.k
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_backoff_lm": _OP3,
     "op4_chat_prefix_targets": _OP4,
@@ -218,4 +274,6 @@ ORACLE: dict[str, str] = {
     "op7_benchmark_decontamination": _OP7,
     "op9_line_dedup": _OP9,
     "op10_minhash_near_dedup": _OP10,
+    "op11_filter_audit": _op11_sql(),
+    "op12_plane_clusters": _op12_sql(),
 }
