@@ -15,15 +15,17 @@ from __future__ import annotations
 import hashlib
 import itertools
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, stored
+from .common import as_bytes, map_batches, stored
 
 MIN_WORDS = 200
 MIN_DISTINCT_PERCENT = 50
@@ -32,12 +34,15 @@ FILTERS = "ABCDE"
 #: A block ends with the document that brings it to so many matrix entries or bytes of text.
 BLOCK_ENTRIES = 1 << 20
 BLOCK_BYTES = 32 << 20
-DICTIONARY_BUCKET = 1 << 16
+DICTIONARY_BUCKET = 1 << 19
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SYMBOLS = b"#$%&*|"
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _BLOCK_SCHEMA = ("block long, n_terms int, doc_ids array<long>, parts array<string>, digests array<binary>, failed array<int>, "
-                 "indptr array<int>, indices array<int>, counts array<int>, words array<binary>")
+                 "indptr array<int>, indices binary, counts binary, words binary")
+_SHARD_SCHEMA = ("block long, doc_ids array<long>, parts array<string>, digests array<binary>, failed array<int>, "
+                 "indptr array<int>, columns array<long>, counts array<int>")
+_ROW_SCHEMA = "doc_id long, part string, digest binary, n_words long, n_distinct long, failed int"
 
 
 class _Numbers(dict):
@@ -48,6 +53,25 @@ class _Numbers(dict):
         return number
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Integers with their bytes sorted by place, compressed."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _unpack(blob: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _join_words(words: list[bytes]) -> bytes:
+    return zstandard.compress(b"\n".join(words), 1)  # no word holds a line break
+
+
+def _split_words(blob: bytes) -> list[bytes]:
+    text = zstandard.decompress(blob)
+    return text.split(b"\n") if text else []
+
+
 def _text_failures(text: bytes) -> int:
     """Bits of the filters C and D."""
     upper = len(text) - len(text.translate(None, _UPPER))
@@ -55,16 +79,20 @@ def _text_failures(text: bytes) -> int:
     return (4 if 100 * upper > MAX_UPPER_PERCENT * points else 0) | (8 if len(text.translate(None, _SYMBOLS)) < len(text) else 0)
 
 
+def _batch(schema: list[tuple[str, pa.DataType]], *rows: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(zip(*rows, strict=True), schema, strict=True)], names=[n for n, _ in schema])
+
+
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", entries: int = BLOCK_ENTRIES) -> DataFrame:
     """One row per block of documents: their ids, parts, text digests and C and D bits, and a CSR shard over the block's own words.
 
-    A null text is empty, a null part the empty string.
+    A null text is empty, a null part the empty string. Column numbers ascend within a row and are kept as steps.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"))
-    arrow = pa.schema([("block", pa.int64()), ("n_terms", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
-                       ("digests", pa.list_(pa.binary())), ("failed", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int32())),
-                       ("indices", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.binary()))])
+    schema = [("block", pa.int64()), ("n_terms", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
+              ("digests", pa.list_(pa.binary())), ("failed", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int32())),
+              ("indices", pa.binary()), ("counts", pa.binary()), ("words", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
@@ -72,21 +100,22 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
         ids: list = []
 
         def shard() -> pa.RecordBatch:
-            row = {"block": first + next(made), "n_terms": len(numbers), "doc_ids": ids, "parts": parts, "digests": digests, "failed": failed,
-                   "indptr": indptr, "indices": np.concatenate(indices), "counts": np.concatenate(counts), "words": list(numbers)}
-            return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in arrow], schema=arrow)
+            return _batch(schema, (first + next(made), len(numbers), ids, parts, digests, failed, indptr,
+                                   _pack(np.concatenate(steps)), _pack(np.concatenate(counts)), _join_words(list(numbers))))
 
         for batch in batches:
             for doc_id, text, part in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 if not ids:
-                    numbers, parts, digests, failed, indptr, indices, counts, size = _Numbers(), [], [], [], [0], [], [], 0
+                    numbers, parts, digests, failed, indptr, steps, counts, size = _Numbers(), [], [], [], [0], [], [], 0
                 seen = Counter(text.split())
+                at = np.fromiter(map(numbers.__getitem__, seen), np.int32, len(seen))
+                order = np.argsort(at)
                 ids.append(doc_id)
                 parts.append(part)
                 digests.append(hashlib.sha256(text).digest())
                 failed.append(_text_failures(text))
-                indices.append(np.fromiter(map(numbers.__getitem__, seen), np.int32, len(seen)))
-                counts.append(np.fromiter(seen.values(), np.int32, len(seen)))
+                steps.append(np.diff(at[order], prepend=np.int32(0)))
+                counts.append(np.fromiter(seen.values(), np.int32, len(seen))[order])
                 indptr.append(indptr[-1] + len(seen))
                 size += len(text)
                 if indptr[-1] >= entries or size >= BLOCK_BYTES:
@@ -98,35 +127,96 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     return rows.mapInArrow(run, _BLOCK_SCHEMA)
 
 
-def dictionary(cut: DataFrame, buckets: int = 1) -> DataFrame:
-    """``word, term_id``: every word of the blocks once; ids are unique and near dense, and depend on the set of words and ``buckets`` only."""
-    words = cut.select(F.explode("words").alias("word")).distinct().withColumn("bucket", F.expr(f"pmod(xxhash64(word), {buckets})"))
-    return words.selectExpr("word", f"(row_number() OVER (PARTITION BY bucket ORDER BY word) - 1L) * {buckets} + bucket AS term_id")
+def numbered_words(cut: DataFrame) -> DataFrame:
+    """``bucket, block, numbers, words, ids``: every block's words (packed) with their ids in the whole table's dictionary.
 
+    A block sends each of its words once, packed by bucket. A bucket, which holds about ``DICTIONARY_BUCKET`` words
+    of all blocks, numbers its different words in their order, so the ids are unique, near dense, and
+    depend on the words only. ``cut`` are stored blocks.
+    """
+    n_terms = cut.agg(F.coalesce(F.sum("n_terms"), F.lit(0))).first()[0]
+    buckets = max(1, -(-n_terms // DICTIONARY_BUCKET))
+    sent = [("bucket", pa.int64()), ("block", pa.int64()), ("numbers", pa.binary()), ("words", pa.binary())]
 
-def matrix(cut: DataFrame) -> DataFrame:
-    """The document-term matrix: a CSR shard per block (``indptr, columns, counts``) whose columns are the dictionary's ids.
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out = []
+        for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = _split_words(blob)
+            where = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)
+            order = np.argsort(where, kind="stable").astype(np.int32)
+            for mine in np.split(order, np.flatnonzero(np.diff(where[order])) + 1) if words else []:
+                out.append((int(where[mine[0]]), block, _pack(mine), _join_words([words[k] for k in mine.tolist()])))
+        return _batch(sent, *out) if out else None
+
+    def number(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        lists = [_split_words(blob) for blob in table.column("words").to_pylist()]
+        known = {word: k * buckets + bucket for k, word in enumerate(sorted(set().union(*lists)))}
+        ids = [_pack(np.fromiter(map(known.__getitem__, words), np.int64, len(words))) for words in lists]
+        return table.append_column("ids", pa.array(ids, pa.binary()))
 
-    ``cut`` are stored blocks. A block's part of the dictionary is no larger than the block.
+    dealt = map_batches(cut.select("block", "words"), deal, "bucket long, block long, numbers binary, words binary")
+    return dealt.groupBy("bucket").applyInArrow(number, "bucket long, block long, numbers binary, words binary, ids binary")
+
+
+def dictionary(cut: DataFrame) -> DataFrame:
+    """``word, term_id``: every word of the stored blocks once."""
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = [w for blob in batch.column(0).to_pylist() for w in _split_words(blob)]
+        ids = np.concatenate([_unpack(blob, np.int64) for blob in batch.column(1).to_pylist()])
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(ids)], names=["word", "term_id"])
+
+    return map_batches(numbered_words(cut).select("words", "ids"), spread, "word binary, term_id long").distinct()
+
+
+def _shards(cut: DataFrame, use: Callable[[dict, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``use`` on every shard of the document-term matrix: the block's lists, ``indptr``, ``columns`` (the dictionary's ids) and ``counts``.
+
+    A block's part of the dictionary is no larger than the block.
     """
-    n_terms = cut.agg(F.coalesce(F.sum("n_terms"), F.lit(0))).first()[0]
-    ids = dictionary(cut, max(1, n_terms // DICTIONARY_BUCKET))
-    words = cut.select("block", F.posexplode("words").alias("number", "word"))
-    terms = words.join(ids, "word").groupBy("block").agg(F.expr("transform(array_sort(collect_list(struct(number, term_id))), x -> x.term_id)").alias("terms"))
-    joined = cut.drop("words", "n_terms").join(terms, "block", "left")
-    return joined.select("block", "doc_ids", "parts", "digests", "failed", "indptr", F.expr("transform(indices, i -> terms[i])").alias("columns"), "counts")
+    def run(blocks_: pa.Table, terms: pa.Table) -> pa.Table:
+        row = blocks_.to_pylist()[0]
+        indptr = np.array(row["indptr"], np.int64)
+        steps, counts = _unpack(row["indices"], np.int32), _unpack(row["counts"], np.int32)
+        # steps start anew with every row
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(steps, dtype=np.int64)])
+        numbers = upto[1:] - np.repeat(upto[indptr[:-1]], np.diff(indptr))
+        named = np.zeros(int(numbers.max()) + 1 if len(numbers) else 0, np.int64)
+        for at, ids in zip(terms.column("numbers").to_pylist(), terms.column("ids").to_pylist(), strict=True):
+            named[_unpack(at, np.int32)] = _unpack(ids, np.int64)
+        return use(row, indptr, named[numbers], counts)
+
+    terms = numbered_words(cut).select("block", "numbers", "ids")
+    return cut.drop("words", "n_terms").groupBy("block").cogroup(terms.groupBy("block")).applyInArrow(run, schema)
 
 
-def failures(shards: DataFrame) -> DataFrame:
+def matrix(cut: DataFrame) -> DataFrame:
+    """The document-term matrix of stored blocks: a CSR shard per block (``indptr, columns, counts``) whose columns are the dictionary's ids."""
+    schema = [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())), ("digests", pa.list_(pa.binary())),
+              ("failed", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int32())), ("columns", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))]
+
+    def use(row: dict, indptr: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> pa.Table:
+        return pa.Table.from_batches([_batch(schema, (*(row[k] for k in ("block", "doc_ids", "parts", "digests", "failed", "indptr")), columns, counts))])
+
+    return _shards(cut, use, _SHARD_SCHEMA)
+
+
+def failures(cut: DataFrame) -> DataFrame:
     """``doc_id, part, digest, n_words, n_distinct, failed`` per document; ``failed`` holds the bits of A to D, A the lowest.
 
     Row sums and nonzero counts of the matrix decide A and B.
     """
-    row = """struct(doc_ids[i] AS doc_id, parts[i] AS part, digests[i] AS digest, failed[i] AS bits, cast(indptr[i + 1] - indptr[i] AS long) AS n_distinct,
-                    aggregate(slice(counts, indptr[i] + 1, indptr[i + 1] - indptr[i]), 0L, (n, c) -> n + c) AS n_words)"""
-    rows = shards.select(F.expr(f"inline(transform(sequence(0, size(doc_ids) - 1), i -> {row}))"))
-    words = f"(CASE WHEN n_words < {MIN_WORDS} THEN 1 ELSE 0 END | CASE WHEN 100 * n_distinct < {MIN_DISTINCT_PERCENT} * n_words THEN 2 ELSE 0 END)"
-    return rows.selectExpr("doc_id", "part", "digest", "n_words", "n_distinct", f"bits | {words} AS failed")
+    def use(row: dict, indptr: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> pa.Table:
+        sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)])
+        n_words = sums[indptr[1:]] - sums[indptr[:-1]]
+        # a row's columns are different, for the dictionary gives every word its own id
+        at = np.repeat(np.arange(len(n_words)), np.diff(indptr))
+        n_distinct = np.bincount(at[counts > 0], minlength=len(n_words))
+        failed = np.array(row["failed"], np.int32) | (n_words < MIN_WORDS) | 2 * (100 * n_distinct < MIN_DISTINCT_PERCENT * n_words)
+        return pa.table({"doc_id": pa.array(row["doc_ids"], pa.int64()), "part": pa.array(row["parts"], pa.string()), "digest": pa.array(row["digests"], pa.binary()),
+                         "n_words": pa.array(n_words), "n_distinct": pa.array(n_distinct.astype(np.int64)), "failed": pa.array(failed.astype(np.int32))})
+
+    return _shards(cut, use, _ROW_SCHEMA)
 
 
 def cells(failed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -192,5 +282,4 @@ def audit(docs: DataFrame, labels: DataFrame, entries: int = BLOCK_ENTRIES) -> D
     if one of its rows says so; extra columns are not read; an empty table gives no rows.
     """
     cut = stored(blocks(docs, entries=entries))
-    shards = stored(matrix(cut))
-    return interactions(cells(failures(shards), labels))
+    return interactions(cells(stored(failures(cut)), labels))
