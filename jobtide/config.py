@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from .functions.scalar import DATE_FORMATS
-
 # --- fixed values -----------------------------------------------------------
 # Must equal the source system's for identical results.
 # Columns removed from raw vacancy rows (unknown names are ignored).
@@ -68,12 +66,14 @@ class PrepConfig:
     min_samples: int = MIN_SAMPLES
     num_bins: int = NUM_BINS
     target: str = "work_places"
-    # Encoding maps with more rows than this are joined by shuffle, not broadcast.
-    broadcast_max_rows: int = 2_000_000
+    # Encoding maps are broadcast up to this many bytes in total, and joined by shuffle beyond.
+    broadcast_max_bytes: int = 64 << 20
     drop_original: bool = False
-    # Formats of date text, tried in order (Q18).
-    date_formats: tuple = DATE_FORMATS
-    # Line breaks inside quoted fields; off makes large files splittable, but breaks such rows.
+    # Formats of date text, tried in order (Q18); None infers them per column from the data,
+    # DATE_FORMATS takes the library's without looking.
+    date_formats: tuple | None = None
+    # Columns by name and line breaks inside quoted fields, for one more pass over the lines;
+    # off, all files must have one header, and rows with line breaks are broken.
     multiline: bool = True
 
 
@@ -100,6 +100,11 @@ class ForecastConfig:
     interpolation: str = "cubic"
     leak_free: bool = False
     step: str = "freq"  # or "month" (monthly steps whatever the frequency)
-    # One model pair for all forecast series (series index as a feature)
-    # instead of one pair per series; for many series.
-    pooled: bool = False
+    # Validation on the last rows of each series instead of the last fifth, over so many
+    # origins, each that many rows before the next.
+    validation_periods: int | None = None
+    validation_origins: int = 1
+    # Anomaly detection and repair before forecasting.
+    repair: bool = True
+    # A stated configuration, e.g. {"freq": "M", "outlier_removal": False}, instead of the search.
+    config: dict | None = None

@@ -20,14 +20,15 @@ NULL_MARKERS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-
                 "nan", "null")
 # Category used for missing values before encoding.
 UNKNOWN = "Unknown"
-# Date formats tried in order (date text in the vacancy data).
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy")
+# Date formats tried in order where none are given or inferred, beside year-first dates.
+DATE_FORMATS = ("dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy")
 # ----------------------------------------------------------------------------
 
 _RANGE_RE = rf"(?U){WORD_FROM}\s+(\d+)\s+{WORD_TO}\s+(\d+)"
 _FROM_RE = rf"(?U){WORD_FROM}\s+(\d+)"
 _EDGE_SPACE_RE = r"(?U)^\s+|\s+$"
+_ISO_RE = (r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?"
+           r"( ?(Z|[+-]\d{1,2}:\d{2}|[+-]\d{4}))?)?)?$")
 _DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 
 
@@ -41,6 +42,11 @@ def to_number(c: str | Column) -> Column:
     return F.when(s.rlike(_DECIMAL_RE), s.try_cast("double"))
 
 
+def is_decimal(c: str | Column) -> Column:
+    """Whether text is a decimal number as FN-07 reads it."""
+    return F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "").rlike(_DECIMAL_RE)
+
+
 def _weight_number(c: Column) -> Column:
     """Number of a weight text: as FN-07, and underscores may separate digits."""
     return to_number(F.when(c.contains("_"), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c))
@@ -77,9 +83,15 @@ def null_markers(c: str | Column) -> Column:
 
 
 def parse_timestamp(c: str | Column, formats=DATE_FORMATS) -> Column:
-    """FN-08: text → TIMESTAMP trying ``formats`` in order; bad → null."""
-    x = col_of(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in formats])
+    """FN-08: text → TIMESTAMP; bad → null.
+
+    Year-first dates with hyphens, with or without a time, fraction and offset, are read
+    as they are (an offset moves the time to the session's zone); other text by ``formats``, in order.
+    """
+    x = F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "")
+    # an offset without a colon is given one; the cast knows no other spelling that this one lacks
+    iso = F.when(x.rlike(_ISO_RE), F.regexp_replace(x, r"([+-]\d\d)(\d\d)$", "$1:$2").try_cast("timestamp"))
+    return F.coalesce(iso, *[F.try_to_timestamp(x, F.lit(f)) for f in formats])
 
 
 def unflag(date: str | Column, flag: str | Column | None) -> Column:

@@ -7,7 +7,7 @@ whose input column is absent is skipped (PRJ-08).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -43,11 +43,13 @@ def mark_nulls(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def title_matches(keyword: str, col: str = "title") -> Column:
+    return F.lower(F.col(col)).contains(keyword.lower())
+
+
 def keep_titles(df: DataFrame, keyword: str | None, col: str = "title") -> DataFrame:
     """FLT-01 (+FN-02): title contains the keyword, any case (Unicode lower)."""
-    if not keyword:
-        return df
-    return df.filter(F.lower(F.col(col)).contains(keyword.lower()))
+    return df.filter(title_matches(keyword, col)) if keyword else df
 
 
 def weights(df: DataFrame, col: str = "work_places") -> DataFrame:
@@ -56,12 +58,14 @@ def weights(df: DataFrame, col: str = "work_places") -> DataFrame:
 
 
 def dates(df: DataFrame, date_columns, formats=DATE_FORMATS) -> DataFrame:
-    """FN-08 + FLT-12 + FN-11: ``{d}_processed`` and its parts, for present columns."""
+    """FN-08 + FLT-12 + FN-11: ``{d}_processed`` and its parts, for present columns.
+    ``formats`` are one tuple for all, or a tuple per column."""
     cols = set(df.columns)
     for d, flag in date_columns:
         if d not in cols:
             continue
-        ts = parse_timestamp(unflag(d, flag if flag in cols else None), formats)
+        own = formats.get(d, DATE_FORMATS) if isinstance(formats, dict) else formats
+        ts = parse_timestamp(unflag(d, flag if flag in cols else None), own)
         df = df.withColumn(f"{d}_processed", ts)
         df = df.select("*", *date_parts(f"{d}_processed", d))
     return df
@@ -70,7 +74,7 @@ def dates(df: DataFrame, date_columns, formats=DATE_FORMATS) -> DataFrame:
 def fill_unknown(df: DataFrame, features) -> DataFrame:
     """FN-06 in place on present text columns."""
     cols = set(df.columns)
-    return df.select(*[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c)
+    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c)
                        if c in features and c in cols else F.col(c) for c in df.columns])
 
 
@@ -89,15 +93,30 @@ def span_end(df: DataFrame, default_days: int = 77,
                          F.least(F.greatest(dur, F.lit(lo_days)), F.lit(hi_days)).cast("int"))
 
 
-def keep_valid(df: DataFrame, date_lo: str, date_hi: str) -> DataFrame:
+def validity(df: DataFrame, date_lo: str, date_hi: str) -> dict[str, Column]:
     """FLT-02..05, in order: creation known; end ≥ creation; industry known;
     creation within [lo, hi] (the upper bound compares at midnight)."""
     start = F.col("date_creation_processed")
-    df = df.filter(start.isNotNull())
-    df = df.filter(F.col("date_end") >= start)
+    out = {"date_kept": start.isNotNull(), "order_kept": F.col("date_end") >= start}
     if "industry" in df.columns:
-        df = df.filter(F.coalesce(F.col("industry"), F.lit(UNKNOWN)) != UNKNOWN)
-    return df.filter(start.between(F.to_timestamp(F.lit(date_lo)), F.to_timestamp(F.lit(date_hi))))
+        out["industry_kept"] = F.coalesce(F.col("industry"), F.lit(UNKNOWN)) != UNKNOWN
+    out["window_kept"] = start.between(F.to_timestamp(F.lit(date_lo)), F.to_timestamp(F.lit(date_hi)))
+    return out
+
+
+def keep_valid(df: DataFrame, date_lo: str, date_hi: str) -> DataFrame:
+    for keep in validity(df, date_lo, date_hi).values():
+        df = df.filter(keep)
+    return df
+
+
+def kept_counts(df: DataFrame, date_lo: str, date_hi: str) -> list[Column]:
+    """AGG-24: rows that pass each of these filters and all before it."""
+    out, so_far = [], F.lit(True)
+    for name, keep in validity(df, date_lo, date_hi).items():
+        so_far = so_far & keep
+        out.append(F.count_if(so_far).alias(name))
+    return out
 
 
 def coerce_types(df: DataFrame) -> DataFrame:

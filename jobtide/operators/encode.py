@@ -4,8 +4,8 @@ All categorical features are encoded from **one** aggregation: each row is
 stacked into ``(feature, key)`` pairs and grouped once, with map-side partial
 aggregation, instead of one shuffle per feature. Numeric features are cut
 into quantile bins whose index joins the same stack, so the bin means come
-from the same pass. The per-feature maps are joined back: broadcast when the
-map's row count (measured, not guessed) is under a bound — tiny maps as
+from the same pass. The per-feature maps are joined back: broadcast while the
+maps' bytes (measured, not guessed) are under a bound — tiny maps as
 literal lookups without any join — otherwise a shuffle join that AQE can
 split on a hot key.
 """
@@ -49,10 +49,19 @@ class NumericBins:
     edges: list | None  # sorted distinct edges; None → everything gets the global mean
 
 
-def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10, mean_of: str | None = None):
+def equal_width_edges(lo: float, hi: float, num_bins: int) -> list[float]:
+    """AGG-06: edges of equally wide bins over [lo, hi]."""
+    return [lo + i * (hi - lo) / num_bins for i in range(num_bins)] + [hi]
+
+
+def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10, mean_of: str | None = None,
+                     fence: float | None = 1.5, min_edges: int = 2):
     """Quartiles, median of the clipped values and quantile edges of the
     filled values, for all features from one table of value counts.
 
+    Values are clipped to ``fence`` interquartile ranges beyond the quartiles (None: not at all). Where
+    fewer than ``min_edges`` distinct quantile edges are left, bins are equally wide instead (AGG-06).
+
     Clipping keeps the order of values, and filling puts the missing ones at
     the median, so the later steps only look up other ranks of the same
     counts. All quantiles are exact and interpolate linearly.
@@ -70,11 +79,12 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10, mea
     stats = OrderStats(df, xs)
     bounds, med = {}, {}
     for f, (q1, q3) in stats.quantiles({f: [0.25, 0.75] for f in features}).items():
-        bounds[f] = (None, None) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+        bounds[f] = (None, None) if q1 is None or fence is None else (q1 - fence * (q3 - q1), q3 + fence * (q3 - q1))
     full = [f for f in features if stats.total[f]]
 
     def clipped(f: str, v: float) -> float:
-        return min(max(v, bounds[f][0]), bounds[f][1])
+        lo, hi = bounds[f]
+        return v if lo is None else min(max(v, lo), hi)
 
     middle = {f: place(0.5, stats.total[f]) for f in full}
     found = stats.at({(f, r) for f in full for r in middle[f][:2]})
@@ -100,7 +110,8 @@ def fit_numeric_bins(df: DataFrame, features: list[str], num_bins: int = 10, mea
                 k = own_rank(f, r)
                 return med[f] if k is None else clipped(f, found[f, k])
             uniq = sorted({blend(value(lo), value(hi), lo, hi, h) for lo, hi, h in spots[f]})
-            edges = uniq if len(uniq) >= 2 else None
+            # the first and last edges are the least and the greatest value
+            edges = uniq if len(uniq) >= min_edges else equal_width_edges(uniq[0], uniq[-1], num_bins) if len(uniq) >= 2 else None
         out[f] = NumericBins(bounds[f][0], bounds[f][1], med.get(f), edges)
     return (out, mean) if mean_of is not None else out
 
@@ -144,10 +155,12 @@ def encoding_maps(df: DataFrame, categorical: list[str], binned: dict[str, Colum
 
 # Maps with at most this many entries become literal map lookups (no join).
 LITERAL_MAP_MAX = 64
+# What a map entry takes in a hashed relation besides its key's text.
+ENTRY_BYTES = 64
 
 
 def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
-                    g: float, broadcast_max_rows: int,
+                    g: float, broadcast_max_bytes: int,
                     literal_max: int = LITERAL_MAP_MAX) -> DataFrame:
     """JOIN-01/02 + PRJ-09: add ``{feature}_encoded``; unseen key → global mean.
 
@@ -155,11 +168,13 @@ def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
     By measured size, a map becomes:
       * ≤ ``literal_max`` entries: a literal map looked up in generated
         code — no join, no shuffle (date parts, most categories, bins);
-      * ≤ ``broadcast_max_rows``: a broadcast hash join;
+      * ≤ ``broadcast_max_bytes`` of keys and values: a broadcast hash join;
       * larger: a shuffle join, where AQE splits a skewed key.
     """
-    sizes = {r["feature"]: r["cnt"] for r in
-             maps.groupBy("feature").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    measured = maps.groupBy("feature").agg(F.count(F.lit(1)).alias("cnt"),
+                                           F.sum(F.octet_length("key") + F.lit(ENTRY_BYTES)).alias("bytes")).collect()
+    sizes = {r["feature"]: r["cnt"] for r in measured}
+    bytes_of = {r["feature"]: r["bytes"] for r in measured}
     names = list(keys)
     tiny = [f for f in names if sizes.get(f, 0) <= literal_max]
     lookup: dict[str, list] = {f: [] for f in tiny}
@@ -170,12 +185,15 @@ def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
     gl = F.lit(g).cast("double")
     out = df.select("*", *[keys[f].alias(f"_k{i}") for i, f in enumerate(names)
                            if f not in lookup])
+    room = broadcast_max_bytes
     for i, f in enumerate(names):
         if f in lookup:
             continue
         m = (maps.filter(F.col("feature") == f)
              .select(F.col("key").alias(f"_k{i}"), F.col("enc").alias(f"_e{i}")))
-        if sizes.get(f, 0) <= broadcast_max_rows:
+        # the joins of one plan hold their maps at the same time
+        if bytes_of.get(f, 0) <= room:
+            room -= bytes_of.get(f, 0)
             m = F.broadcast(m)
         out = out.join(m, f"_k{i}", "left")
     enc_cols = []
@@ -195,12 +213,12 @@ def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
 
 
 def target_encode(df: DataFrame, features: list[str], target: str = "work_places",
-                  min_samples: int = 10, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                  min_samples: int = 10, broadcast_max_bytes: int = 64 << 20) -> DataFrame:
     """AGG-02 + JOIN-01 as one operator (UDF-04 alias: process_categorical_feature)."""
     g = global_mean(df, target)
     maps = encoding_maps(df, features, {}, target, min_samples, g)
     return apply_encodings(df, maps, {f: category_key(f) for f in features}, g,
-                           broadcast_max_rows)
+                           broadcast_max_bytes)
 
 
 # UDF-04: name kept for callers of the older helper.

@@ -1,4 +1,4 @@
-"""Model features of a series (TS-08: WIN-01..03, FN-13, PRJ-07), for all
+"""Model features of a series (TS-08: WIN-01..03, FN-13), for all
 series at once, each computed by windows partitioned by series."""
 
 from __future__ import annotations
@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import calendar_features
 from .series import fill_edges
 
+# Lags, window lengths and feature order of the source system's models.
 LAGS = (1, 2, 3, 4, 8, 12)
 MA_WINDOWS = (3, 6, 12)
-# Fixed feature order of the model input.
 FEATURES = ("month", "quarter", "year", "day_of_year", "is_quarter_end", "is_year_end",
             "lag_1", "lag_2", "lag_3", "lag_4", "lag_8", "lag_12",
             "ma_3", "ma_6", "ma_12", "diff_1", "diff_4")
@@ -47,12 +47,3 @@ def make_features(series: DataFrame, leak_free: bool = False) -> DataFrame:
     return df.select("series", "period", "y", *cols,
                      F.row_number().over(w).alias("pos"),
                      F.count(F.lit(1)).over(whole).alias("n"))
-
-
-def aligned(df: DataFrame, features=FEATURES) -> DataFrame:
-    """PRJ-07: every feature present, in the fixed order, nulls → 0."""
-    have = set(df.columns)
-    feats = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) if f in have
-             else F.lit(0.0).alias(f) for f in features]
-    rest = [c for c in df.columns if c not in features]
-    return df.select(*rest, *feats)

@@ -28,8 +28,9 @@ class OrderStats:
         first = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         starts = ranged.groupBy("feature", "part").agg(F.sum("n").alias("own")).withColumn("start", F.coalesce(F.sum("own").over(first), F.lit(0)))
         within = Window.partitionBy("feature", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        self.ranks = (ranged.join(starts, ["feature", "part"]).withColumn("stop", F.col("start") + F.sum("n").over(within))
-                      .select("feature", "value", "n", "stop"))
+        # every look-up reads the ranks, so they are worked out once
+        self.ranks = cut_lineage(ranged.join(starts, ["feature", "part"]).withColumn("stop", F.col("start") + F.sum("n").over(within))
+                                 .select("feature", "value", "n", "stop"))
         self.spark = df.sparkSession
         self.total = {name: 0 for name in columns}
         self.total.update({r["feature"]: r["n"] for r in starts.groupBy("feature").agg(F.sum("own").alias("n")).collect()})

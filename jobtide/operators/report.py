@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import short_label, year_month
-from .quantiles import quantiles
+from .quantiles import OrderStats, quantiles
 
 
 def _r(c, n: int = 6):
@@ -69,20 +69,43 @@ def monthly_counts(df: DataFrame, ts: str = "date_creation_processed") -> DataFr
 def histogram(df: DataFrame, x, bins: int = 50, name: str = "x") -> DataFrame:
     """AGG-15: equal-width histogram over [min, max] with ``bins`` bins; the
     maximum falls into the last bin; a constant column puts all in bin 0."""
-    v = df.select(F.col(x).cast("double").alias("v") if isinstance(x, str) else x.alias("v"))
-    v = v.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    b = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    if b is None or b["lo"] is None:
-        return v.sparkSession.createDataFrame([], "feature string, bin int, count bigint")
-    lo, hi = float(b["lo"]), float(b["hi"])
-    width = (hi - lo) / bins
-    if width > 0:
-        idx = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-    else:
-        idx = F.lit(0)
-    return (v.select(idx.cast("int").alias("bin")).groupBy("bin")
-            .agg(F.count(F.lit(1)).alias("count"))
-            .select(F.lit(name).alias("feature"), "bin", "count"))
+    return histograms(df, {name: x}, bins)
+
+
+def _grouped_histogram(pairs: DataFrame, bounds: dict[str, tuple[float, float]], bins: int) -> DataFrame:
+    """Equal-width histograms of ``feature, v`` rows, one pass for all features; ``bounds`` are each one's least and greatest value."""
+    low = F.create_map(*[F.lit(x) for f, (lo, _) in bounds.items() for x in (f, lo)])[F.col("feature")]
+    width = F.create_map(*[F.lit(x) for f, (lo, hi) in bounds.items() for x in (f, (hi - lo) / bins)])[F.col("feature")]
+    idx = F.when(width > 0, F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    return (pairs.select("feature", idx.cast("int").alias("bin")).groupBy("feature", "bin")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def histograms(df: DataFrame, columns: dict, bins: int = 50, fences: dict | None = None) -> DataFrame:
+    """AGG-15 for several columns at once: two passes over ``df`` whatever their number, one for all bounds, one for all counts.
+
+    ``fences`` leaves out values of a column outside its (low, high).
+    """
+    values = [F.struct(F.lit(name).alias("feature"), (F.col(x) if isinstance(x, str) else x).cast("double").alias("v")) for name, x in columns.items()]
+    pairs = df.select(F.inline(F.array(*values))).where("v IS NOT NULL AND NOT isnan(v)")
+    if fences:
+        keep = F.lit(False)
+        for name in columns:
+            lo, hi = fences.get(name) or (None, None)
+            keep = keep | ((F.col("feature") == name) & (F.col("v").between(lo, hi) if lo is not None else F.lit(True)))
+        pairs = pairs.where(keep)
+    found = pairs.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    bounds = {r["feature"]: (r["lo"], r["hi"]) for r in found}
+    if not bounds:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, count bigint")
+    return _grouped_histogram(pairs, bounds, bins)
+
+
+def fenced_histograms(df: DataFrame, columns: list[str], bins: int = 50) -> DataFrame:
+    """AGG-16: histograms of the values inside each column's interquartile fence (FLT-09); all columns share the passes."""
+    qs = OrderStats(df, {c: F.col(c) for c in columns}).quantiles({c: [0.25, 0.75] for c in columns})
+    fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in qs.items() if q1 is not None}
+    return histograms(df, {c: c for c in columns}, bins, fences)
 
 
 def iqr_fence(df: DataFrame, c: str) -> DataFrame:
@@ -113,6 +136,49 @@ def overview(df: DataFrame, ts: str = "date_creation_processed", w: str = "work_
                   F.countDistinct(g).alias("groups"))
 
 
+#: log2 of a distinct sketch's registers, and its relative standard error.
+SKETCH_BITS = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def distinct_sketches(df: DataFrame, columns) -> DataFrame:
+    """AGG-08, mergeable: ``feature, register, rank``, at most 2^``SKETCH_BITS`` rows per column.
+
+    A value's hash names a register by its leading bits; the register keeps the longest run of zeros that
+    followed, plus one. Sketches of batches are stored and merged later in any order and
+    grouping, to the same rows; a value that two batches hold counts once. Nulls do not count.
+    """
+    h = F.xxhash64(F.col("v"))
+    rest = F.shiftleft(h, SKETCH_BITS)
+    rank = F.when(rest == 0, F.lit(65 - SKETCH_BITS)).otherwise(65 - F.length(F.bin(rest)))
+    values = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns]
+    rows = df.select(F.inline(F.array(*values))).where("v IS NOT NULL").select(
+        "feature", F.shiftrightunsigned(h, 64 - SKETCH_BITS).cast("int").alias("register"), rank.cast("int").alias("rank"))
+    # a column without values has a sketch, too
+    empty = df.sparkSession.createDataFrame([(c, 0, 0) for c in columns], "feature string, register int, rank int")
+    return merge_sketches(rows.unionByName(empty))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per feature: every register's largest rank."""
+    return sketches.groupBy("feature", "register").agg(F.max("rank").alias("rank"))
+
+
+def distinct_counts(sketches: DataFrame) -> DataFrame:
+    """``feature, distinct``: the likeliest number of values for the ranks' counts, with a relative standard error of ``SKETCH_ERROR``."""
+    m = 1 << SKETCH_BITS
+    ranks = sketches.where("rank > 0").groupBy("feature", "rank").agg(F.count("*").alias("n"))
+    per = sketches.select("feature").distinct().join(
+        ranks.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("rank", "n"))).alias("c"), F.sum("n").alias("used")), "feature", "left")
+    free = f"(({m} - coalesce(used, 0)) / {m}D)"
+    # registers by rank, from the longest runs down; then those without any value
+    seen = f"aggregate(sequence({64 - SKETCH_BITS}, 1), 0D, (z, k) -> 0.5D * (z + coalesce(try_element_at(c, k), 0L)))"
+    unseen = (f"aggregate(sequence(1, 40), named_struct('x', {free}, 'y', 1D, 's', {free}), "
+              "(a, k) -> named_struct('x', a.x * a.x, 'y', a.y * 2, 's', a.s + a.x * a.x * a.y), a -> a.s)")
+    found = f"CASE WHEN coalesce(used, 0) = 0 THEN 0L ELSE cast(round({m}D * {m} / (2 * ln(2D)) / ({seen} + {m} * {unseen})) AS long) END"
+    return per.select("feature", F.expr(found).alias("distinct"))
+
+
 def encoded_profile(df: DataFrame) -> DataFrame:
     """AGG-25: min, max, mean of every ``*_encoded`` column, as long rows."""
     cols = [c for c in df.columns if c.endswith("_encoded")]

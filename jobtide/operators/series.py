@@ -8,14 +8,39 @@ length, never by the data volume, and series run in parallel.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 TOTAL = "total_demand"
 
 
+@dataclass
+class SeriesLog:
+    """AGG-29: counts taken while series are repaired and outliers removed, without a scan of their own.
+
+    ``counts`` is there once the tables have been computed; a log serves one repair and one removal.
+    """
+    repair: Observation = field(default_factory=Observation)
+    outliers: Observation = field(default_factory=Observation)
+    used: list = field(default_factory=list)
+
+    def observe(self, which: Observation, df: DataFrame, **flags: Column) -> DataFrame:
+        """Per flag the number of cells and of series that have one, and the number of series."""
+        cols, metrics = {"_first": F.row_number().over(_wo()) == 1}, [F.count_if("_first").alias("series")]
+        for name, flag in flags.items():
+            cols[f"_{name}"] = flag
+            cols[f"_{name}_first"] = flag & (F.count_if(flag).over(
+                _wo().rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 1)
+            metrics += [F.count_if(f"_{name}").alias(name), F.count_if(f"_{name}_first").alias(f"{name}_series")]
+        self.used.append(which)
+        return df.withColumns(cols).observe(which, *metrics).drop(*cols)
+
+    def counts(self) -> dict[str, int]:
+        return {k: v for o in self.used for k, v in o.get.items()}
+
+
 def _w(series: str = "series"):
     return Window.partitionBy(series)
 
@@ -139,10 +164,12 @@ def repair_sequential(flags: DataFrame, window: int = 8, total_name: str = TOTAL
 
 def detect_and_repair(series: DataFrame, threshold: float = 2.0, window: int = 8,
                       sequential: bool = True, total_name: str = TOTAL,
-                      total_cap: float = 80000.0) -> DataFrame:
-    """TS-06: TS-04 → TS-05; returns the repaired long table."""
+                      total_cap: float = 80000.0, log: SeriesLog | None = None) -> DataFrame:
+    """TS-06: TS-04 → TS-05; returns the repaired long table. ``log`` counts anomalies and repaired cells."""
     flags = anomaly_flags(series, threshold, total_name, total_cap)
     rep = (repair_sequential if sequential else repair_window)(flags, window, total_name, total_cap)
+    if log is not None:
+        rep = log.observe(log.repair, rep, anomalies=F.col("is_anomaly"), repaired=F.col("fixed") != F.col("value"))
     return rep.select("series", "period", F.col("fixed").alias("value"))
 
 
@@ -174,53 +201,66 @@ def interpolate_linear(series: DataFrame) -> DataFrame:
         "_t", "_y0", "_t0", "_y1", "_t1")
 
 
-def _not_a_knot(x: np.ndarray, y: np.ndarray, xq: np.ndarray) -> np.ndarray:
-    """Cubic spline with not-a-knot ends through (x, y), evaluated at xq
-    (inside the range). Solves for the second derivatives."""
-    n = len(x)
-    h = np.diff(x)
-    d = np.diff(y) / h
-    A = np.zeros((n, n))
-    r = np.zeros(n)
-    for i in range(1, n - 1):
-        A[i, i - 1], A[i, i], A[i, i + 1] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        r[i] = 6 * (d[i] - d[i - 1])
-    # third derivative continuous at the second and the second-to-last knot
-    A[0, 0], A[0, 1], A[0, 2] = h[1], -(h[0] + h[1]), h[0]
-    A[-1, -3], A[-1, -2], A[-1, -1] = h[-1], -(h[-2] + h[-1]), h[-2]
-    m = np.linalg.solve(A, r)
-    k = np.clip(np.searchsorted(x, xq) - 1, 0, n - 2)
-    x0, x1, hk = x[k], x[k + 1], h[k]
-    return (m[k] * (x1 - xq) ** 3 / (6 * hk) + m[k + 1] * (xq - x0) ** 3 / (6 * hk)
-            + (y[k] / hk - m[k] * hk / 6) * (x1 - xq) + (y[k + 1] / hk - m[k + 1] * hk / 6) * (xq - x0))
-
-
-def _cubic_fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("period")
-    t = pd.to_datetime(pdf["period"]).map(pd.Timestamp.toordinal).to_numpy(dtype=float)
-    y = pdf["value"].to_numpy(dtype=float)
-    known = ~np.isnan(y)
-    miss = ~known & (t > t[known].min() if known.any() else False) & (
-        t < t[known].max() if known.any() else False)
-    if miss.any():
-        if known.sum() >= 4:
-            y[miss] = _not_a_knot(t[known], y[known], t[miss])
-        else:
-            y[miss] = np.interp(t[miss], t[known], y[known])
-    return pdf.assign(value=y)
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _spline_slopes() -> str:
+    """SQL: second derivatives at the known points ``k`` (at least 4) of the cubic spline whose third
+    derivative is continuous at the second and the second-to-last of them.
+
+    The end conditions are put into the first and last inner equation, which leaves a tridiagonal
+    system: one fold eliminates downwards, one substitutes upwards.
+    """
+    h = "transform(sequence(1, n - 1), i -> k[i].t - k[i - 1].t)"
+    d = "transform(sequence(1, n - 1), i -> (k[i].y - k[i - 1].y) / h[i - 1])"
+    g, e = "h[i - 1]", "h[i]"
+    rows = f"""transform(sequence(1, n - 2), i -> struct(
+        CASE WHEN i = 1 THEN 0D WHEN i = n - 2 THEN ({g} * {g} - {e} * {e}) / {g} ELSE {g} END AS a,
+        CASE WHEN i = 1 THEN ({g} + {e}) * ({g} + 2 * {e}) / {e} WHEN i = n - 2 THEN ({g} + {e}) * (2 * {g} + {e}) / {g}
+             ELSE 2 * ({g} + {e}) END AS b,
+        CASE WHEN i = n - 2 THEN 0D WHEN i = 1 THEN ({e} * {e} - {g} * {g}) / {e} ELSE {e} END AS c,
+        6 * (d[i] - d[i - 1]) AS r))"""
+    down = """aggregate(q, array(struct(0D AS c, 0D AS r)), (acc, x) -> concat(acc, array(struct(
+        x.c / (x.b - x.a * element_at(acc, -1).c) AS c,
+        (x.r - x.a * element_at(acc, -1).r) / (x.b - x.a * element_at(acc, -1).c) AS r))))"""
+    up = "aggregate(reverse(slice(w, 2, n - 2)), array(0D), (m, x) -> concat(array(x.r - x.c * m[0]), m))"
+    ends = """concat(array(((h[0] + h[1]) * m[0] - h[0] * m[1]) / h[1]), slice(m, 1, n - 2),
+        array(((h[n - 2] + h[n - 3]) * m[n - 3] - h[n - 2] * m[n - 4]) / h[n - 3]))"""
+    inner = _let(rows, "q", _let(down, "w", _let(up, "m", ends)))
+    return _let(h, "h", _let(d, "d", inner))
 
 
 def interpolate_cubic(series: DataFrame) -> DataFrame:
-    """TS-03 cubic mode: not-a-knot spline per series (fewer than 4 known
-    points → linear). Runs per series with ``applyInPandas``; a group is one
-    series, i.e. one row per calendar period."""
-    return series.select("series", "period", "value").groupBy("series").applyInPandas(
-        _cubic_fill, "series string, period date, value double")
-
-
-def remove_outliers(series: DataFrame, threshold: float = 3.0, method: str = "cubic") -> DataFrame:
-    """TS-02: mask → interpolate → WIN-05. Every series separately, the total too."""
-    masked = outlier_mask(series, threshold).drop("is_outlier")
+    """TS-03 cubic mode: not-a-knot spline per series through its known points over true time
+    distances; with fewer than 4 of them a straight line. Points before the first and after the last known one stay null.
+
+    Built-in expressions only; series without gaps are passed on. A row is one series, i.e.
+    as many points as the calendar has periods.
+    """
+    point = "struct(cast(unix_date(period) AS double) AS t, period, value AS y)"
+    per = series.groupBy("series").agg(F.expr(f"array_sort(collect_list({point}))").alias("pts"),
+                                       F.expr(f"array_sort(collect_list({point}) FILTER (WHERE value IS NOT NULL))").alias("k"))
+    left, right, slope, turn = "k[j]", "k[j + 1]", "m[j]", "m[j + 1]"
+    width, after, before = f"({right}.t - {left}.t)", f"({right}.t - p.t)", f"(p.t - {left}.t)"
+    curve = f"""({slope} * power({after}, 3) + {turn} * power({before}, 3)) / (6 * {width})
+        + ({left}.y / {width} - {slope} * {width} / 6) * {after} + ({right}.y / {width} - {turn} * {width} / 6) * {before}"""
+    line = f"{left}.y + ({right}.y - {left}.y) * {before} / {width}"
+    at = _let("size(filter(k, x -> x.t < p.t)) - 1", "j", f"CASE WHEN m IS NULL THEN {line} ELSE {curve} END")
+    fill = f"transform(pts, p -> struct(p.period, CASE WHEN p.y IS NULL AND p.t > k[0].t AND p.t < k[n - 1].t THEN {at} ELSE p.y END AS value))"
+    slopes = f"CASE WHEN n >= 4 THEN {_spline_slopes()} END"
+    filled = _let("size(k)", "n", f"CASE WHEN n < 2 OR n = size(pts) THEN transform(pts, p -> struct(p.period, p.y AS value)) ELSE {_let(slopes, 'm', fill)} END")
+    return per.select("series", F.expr(f"inline({filled})"))
+
+
+def remove_outliers(series: DataFrame, threshold: float = 3.0, method: str = "cubic",
+                    log: SeriesLog | None = None) -> DataFrame:
+    """TS-02: mask → interpolate → WIN-05. Every series separately, the total too. ``log`` counts the outliers."""
+    masked = outlier_mask(series, threshold)
+    if log is not None:
+        masked = log.observe(log.outliers, masked, outliers=F.col("is_outlier"))
+    masked = masked.drop("is_outlier")
     filled = interpolate_cubic(masked) if method == "cubic" else interpolate_linear(masked)
     return fill_edges(filled)
 
@@ -261,6 +301,11 @@ def seasonal_by_month(decomposed: DataFrame) -> DataFrame:
         F.avg("seasonal").alias("seasonal_effect"))
 
 
+def outlier_counts(masked: DataFrame) -> DataFrame:
+    """AGG-29: outliers per series, from :func:`outlier_mask`."""
+    return masked.groupBy("series").agg(F.count_if("is_outlier").alias("outliers"), F.count("*").alias("periods"))
+
+
 def anomaly_counts(flags: DataFrame) -> DataFrame:
     """AGG-29: anomalies and rule hits per series."""
     return flags.groupBy("series").agg(

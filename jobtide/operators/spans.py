@@ -24,10 +24,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 FREQS = ("M", "W", "2W")
 TOTAL = "total_demand"
 FALLBACK_GROUP = "total"
@@ -96,13 +97,6 @@ class Calendar:
         return period_label(F.lit(self.g) + b * self.step, self.freq)
 
 
-def calendar_of(compact: DataFrame, freq: str, end_inclusive: bool = False) -> Calendar | None:
-    """Global grid from the earliest start period to the latest end period
-    (excluded unless ``end_inclusive``). Two scalars reach the driver."""
-    row = compact.agg(F.min("s").alias("lo"), F.max("e").alias("hi")).first()
-    return _calendar(row["lo"], row["hi"], freq, end_inclusive) if row is not None else None
-
-
 def _calendar(lo, hi, freq: str, end_inclusive: bool) -> Calendar | None:
     if lo is None:
         return None
@@ -147,7 +141,7 @@ def demand_series(spans: DataFrame, freq: str = "M", min_activity: int = 10,
         spans = spans.withColumn("_grp", F.lit(FALLBACK_GROUP))
         group_col = "_grp"
     compact = compact_spans(spans, freq, group_col, start_col, end_col, weight_col)
-    compact = compact.persist(StorageLevel.MEMORY_AND_DISK)
+    compact = cut_lineage(compact)
     # One job for the calendar bounds and the number of active groups.
     per_group = compact.groupBy("grp").agg(F.sum("n").alias("n"), F.min("s").alias("lo"),
                                            F.max("e").alias("hi"))

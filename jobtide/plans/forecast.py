@@ -1,14 +1,15 @@
-"""API-02/03: configuration search, anomaly repair, per-series models and
+"""API-02/03: configuration search, anomaly repair, pooled models and
 recursive forecasts, result tables and the summary report.
 
 Distributed parts: spans → series (one aggregation pass), every series
-operator (windows by series), metrics and report aggregates. Bounded
-parts: the grid (4 configurations) and the forecast series (total + top K)
-are loops of Spark jobs whose count does not grow with the data.
+operator (windows by series), metrics and report aggregates. Models are
+fitted on one table of all configurations or all targets, so the number of
+fits depends on neither.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -42,6 +43,7 @@ class ForecastResult:
     best_models: DataFrame   # (series, best_model)
     search: DataFrame
     summary: DataFrame       # one row
+    log: dict                # AGG-29: series, anomalies, repaired cells and series
 
 
 def _series_for(spans: DataFrame, freq: str, cfg: ForecastConfig) -> DataFrame:
@@ -49,183 +51,194 @@ def _series_for(spans: DataFrame, freq: str, cfg: ForecastConfig) -> DataFrame:
     return cut_lineage(s)
 
 
-def _fit_eval(feats: DataFrame, cfg: ForecastConfig, params: M.TreeParams):
-    """Split one series' features, fit both models on the training rows and
-    return (test predictions, rf model, gbt model) or None when too short."""
-    split = M.chrono_split(feats, cfg.train_fraction)
-    counts = split.agg(F.count_if("is_train").alias("a"), F.count_if(~F.col("is_train")).alias("b")).first()
-    if counts["a"] < 10 or counts["b"] < 3:
-        return None
-    # One series has one row per calendar period: a single partition is
-    # enough and saves the per-task cost of the many small ML jobs.
-    train = split.filter("is_train").coalesce(1)
-    test = split.filter("NOT is_train")
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        rf_f = pool.submit(M.fit, M.forest, train, params)
-        gbt_f = pool.submit(M.fit, M.boosted, train, params)
-        rf, gbt = rf_f.result(), gbt_f.result()
-    preds = (M.predict(rf, test).select("series", "period", "y", F.lit(M.RF).alias("model"),
-                                        F.col("prediction").alias("y_hat"))
-             .unionByName(M.predict(gbt, test).select("series", "period", "y",
-                                                      F.lit(M.GBT).alias("model"),
-                                                      F.col("prediction").alias("y_hat"))))
-    return preds, rf, gbt
+@dataclass
+class _Candidate:
+    """One configuration's series, as built and as repaired, and its forecast targets."""
+    config: dict
+    raw: DataFrame
+    repaired: DataFrame
+    n_periods: int
+    targets: list[str]
+    log: dict
+
+
+#: Series index of a total as it is before the repair, which the search is judged on.
+_SEARCH = -1
+
+
+def _candidates(spans: DataFrame, grid: list[dict], cfg: ForecastConfig, total_name: str, repair: bool) -> list[_Candidate]:
+    """Every configuration's series; the configurations are independent jobs and run concurrently."""
+    # Series per frequency are built once (the grid repeats W).
+    freqs = list(dict.fromkeys(c["freq"] for c in grid))
+    with ThreadPoolExecutor(max_workers=len(freqs)) as pool:
+        by_freq = dict(zip(freqs, pool.map(lambda f: _series_for(spans, f, cfg), freqs)))
+
+    def build(config: dict) -> _Candidate:
+        ts = by_freq[config["freq"]]
+        if config.get("outlier_removal"):
+            ts = cut_lineage(TS.remove_outliers(ts, cfg.outlier_threshold, cfg.interpolation))
+        log, fixed = TS.SeriesLog(), ts
+        if repair:
+            fixed = cut_lineage(TS.detect_and_repair(ts, cfg.anomaly_threshold, cfg.repair_window,
+                                                     True, total_name, cfg.total_cap, log))
+        # Every series of the dense grid has one row per calendar period.
+        n_periods = fixed.filter(F.col("series") == total_name).count()
+        # at most top_k names (TOP-04, TOP-05)
+        top = [r["series"] for r in R.series_totals(fixed, cfg.top_k, total_name).orderBy("rank").collect()]
+        targets = [total_name] + (top if n_periods >= cfg.min_forecast_points else [])
+        return _Candidate(config, ts, fixed, n_periods, targets, log.counts() if repair else {})
+
+    with ThreadPoolExecutor(max_workers=len(grid)) as pool:
+        return list(pool.map(build, grid))
+
+
+def _features(parts: list[tuple[int, DataFrame, dict[str, int]]], cfg: ForecastConfig) -> DataFrame:
+    """One feature table of all parts ``(config index, series, {name: series index})``; ``series`` is ``config:index`` in it."""
+    table = None
+    for i, ts, names in parts:
+        key = F.create_map(*[F.lit(x) for n, j in names.items() for x in (n, f"{i}:{j}")])
+        one = ts.filter(F.col("series").isin(*names)).select(key[F.col("series")].alias("series"), "period", "value")
+        table = one if table is None else table.unionByName(one)
+    where = F.split("series", ":")
+    return cut_lineage(FT.make_features(table, cfg.leak_free).withColumns(
+        {"config_idx": where[0].cast("double"), "series_idx": where[1].cast("double")}))
+
+
+def _validate(feats: DataFrame, cfg: ForecastConfig, params: M.TreeParams) -> DataFrame:
+    """Test predictions of both models for every series of ``feats`` that is long enough (FLT-11).
+
+    One fit per model and origin: the test rows of one origin are training rows of the next.
+    """
+    preds = feats.sparkSession.createDataFrame([], "series string, period date, y double, model string, y_hat double")
+    for origin in range(cfg.validation_origins if cfg.validation_periods else 1):
+        split = cut_lineage(M.scaled(M.chrono_split(feats, cfg.train_fraction, cfg.validation_periods, origin)))
+        least = min(3, cfg.validation_periods or 3)
+        # one row per configuration and target
+        sizes = split.groupBy("series").agg(F.count_if("is_train").alias("a"), F.count_if(~F.col("is_train")).alias("b"))
+        ok = {r["series"]: r["a"] for r in sizes.collect() if r["a"] >= 10 and r["b"] >= least}
+        if ok:
+            split = split.filter(F.col("series").isin(*ok))
+            models = M.fit_both(M.sized(split.filter("is_train"), sum(ok.values())), params)
+            preds = preds.unionByName(M.predict_both(models, split.filter("NOT is_train")))
+    return preds
+
+
+def _search_table(metrics: DataFrame, made: list[_Candidate]) -> DataFrame:
+    """AGG-28 from the metrics of the configurations' totals."""
+    rows = [(i, c.config["freq"], bool(c.config.get("outlier_removal")), c.n_periods) for i, c in enumerate(made)]
+    configs = metrics.sparkSession.createDataFrame(rows, "config_id int, freq string, outlier_removal boolean, n_periods bigint")
+    own = metrics.filter(F.col("series").endswith(f":{_SEARCH}")).withColumn("series", F.split("series", ":")[0])
+    return cut_lineage(M.search_table(own, configs))
 
 
 def config_search(spans: DataFrame, cfg: ForecastConfig, params: M.TreeParams | None = None,
                   total_name: str = S.TOTAL) -> SearchResult:
     """ML-10 + AGG-28: test R² of both models on the total for every
-    configuration; the best max-R² wins, the first on ties."""
-    params = params or M.TreeParams(seed=cfg.seed)
-    spark = spans.sparkSession
-    # Series per frequency are built once (the grid repeats W).
-    freqs = list(dict.fromkeys(c["freq"] for c in cfg.grid))
-    with ThreadPoolExecutor(max_workers=max(1, len(freqs))) as pool:
-        by_freq = dict(zip(freqs, pool.map(lambda f: _series_for(spans, f, cfg), freqs)))
+    configuration; the best max-R² wins, the first on ties.
 
-    def evaluate(item):
-        i, c = item
-        ts = by_freq[c["freq"]]
-        n_periods = ts.filter(F.col("series") == total_name).count()
-        row = {"config_id": i, "freq": c["freq"], "outlier_removal": bool(c["outlier_removal"]),
-               "n_periods": n_periods, "r2_rf": None, "r2_gbt": None, "best_r2": None}
-        if n_periods >= cfg.min_points:
-            if c["outlier_removal"]:
-                ts = cut_lineage(TS.remove_outliers(ts, cfg.outlier_threshold, cfg.interpolation))
-            feats = FT.make_features(ts.filter(F.col("series") == total_name), cfg.leak_free)
-            res = _fit_eval(feats, cfg, params)
-            if res is not None:
-                m = {r["model"]: r["r2"] for r in M.metrics(res[0]).collect()}
-                row["r2_rf"], row["r2_gbt"] = m.get(M.RF), m.get(M.GBT)
-                vals = [v for v in (row["r2_rf"], row["r2_gbt"]) if v is not None]
-                row["best_r2"] = max(vals) if vals else None
-        return row, ts
-
-    # The configurations are independent jobs; run them concurrently.
-    with ThreadPoolExecutor(max_workers=max(1, len(cfg.grid))) as pool:
-        evaluated = list(pool.map(evaluate, enumerate(cfg.grid)))
-    rows, best, best_r2, best_series = [], None, None, None
-    for (row, ts), c in zip(evaluated, cfg.grid):
-        if row["best_r2"] is not None and (best_r2 is None or row["best_r2"] > best_r2):
-            best, best_r2, best_series = dict(c), row["best_r2"], ts
-        rows.append(row)
-    table = spark.createDataFrame(
-        rows, "config_id int, freq string, outlier_removal boolean, n_periods bigint, "
-              "r2_rf double, r2_gbt double, best_r2 double")
-    return SearchResult(table, best, best_r2, best_series)
-
-
-def forecast_one(ts: DataFrame, name: str, cfg: ForecastConfig, freq: str,
-                 params: M.TreeParams):
-    """ML-08 for one series: validate both models, pick the best by RMSE,
-    refit both on all rows, recursive forecast with the best."""
-    one = ts.filter(F.col("series") == name)
-    feats = cut_lineage(FT.make_features(one, cfg.leak_free))
-    res = _fit_eval(feats, cfg, params)
-    if res is None:
-        return None
-    preds, _, _ = res
-    met = M.metrics(preds).persist(StorageLevel.MEMORY_AND_DISK)
-    best = M.best_model(met).first()["best_model"]
-    full_model = M.fit(M.forest if best == M.RF else M.boosted, feats, params)
-    fc = M.recursive_forecast(M.history(one, 24), M.model_predictor(full_model),
-                              cfg.horizon, freq, cfg.step)
-    return met, best, cut_lineage(fc)
-
-
-POOLED_FEATURES = (*FT.FEATURES, "series_idx")
-
-
-def forecast_pooled(ts: DataFrame, names: list[str], cfg: ForecastConfig, freq: str,
-                    params: M.TreeParams):
-    """ML-08, pooled: one forest and one boosted model for all target series,
-    with the series index as an extra feature. Four fits whatever the number
-    of series (validation and full, both models); each series then takes the
-    model with the lower validation RMSE, and the recursive forecast runs for
-    all series of a model at once (the loop is over the horizon only).
-
-    Returns (metrics, best models, forecasts) as DataFrames."""
-    # names is the bounded list of forecast targets (total + top K)
-    idx = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(float(i)))])
-    sub = ts.filter(F.col("series").isin(*names))
-    feats = cut_lineage(FT.make_features(sub, cfg.leak_free)
-                        .withColumn("series_idx", idx[F.col("series")]))
-    split = M.chrono_split(feats, cfg.train_fraction)
-    ok = [r["series"] for r in M.split_ok(split).collect()]
-    if not ok:
-        return None
-    split = split.filter(F.col("series").isin(*ok))
-    train, test = split.filter("is_train"), split.filter("NOT is_train")
-    full = feats.filter(F.col("series").isin(*ok))
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = {k: pool.submit(M.fit, fac, data, params, POOLED_FEATURES)
-                for k, fac, data in (("rf", M.forest, train), ("gbt", M.boosted, train),
-                                     (M.RF, M.forest, full), (M.GBT, M.boosted, full))}
-        models = {k: f.result() for k, f in jobs.items()}
-    preds = None
-    for key, name in (("rf", M.RF), ("gbt", M.GBT)):
-        p = (M.predict(models[key], test, POOLED_FEATURES)
-             .select("series", "period", "y", F.lit(name).alias("model"),
-                     F.col("prediction").alias("y_hat")))
-        preds = p if preds is None else preds.unionByName(p)
-    met = M.metrics(preds).persist(StorageLevel.MEMORY_AND_DISK)
-    best = M.best_model(met).persist(StorageLevel.MEMORY_AND_DISK)
+    All configurations' totals are one training table with the configuration as a feature, so
+    there is one fit per model whatever the grid.
+    """
+    made = _candidates(spans, cfg.grid, cfg, total_name, repair=False)
+    parts = [(i, c.raw, {total_name: _SEARCH}) for i, c in enumerate(made) if c.n_periods >= cfg.min_points]
+    if not parts:
+        return SearchResult(_search_table(M.metrics(_validate_nothing(spans)), made), None, None, None)
+    preds = _validate(_features(parts, cfg), cfg, params or M.TreeParams(seed=cfg.seed))
+    return _found(_search_table(M.metrics(preds), made), made)
+
+
+def _validate_nothing(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "series string, period date, y double, model string, y_hat double")
+
+
+def _found(table: DataFrame, made: list[_Candidate]) -> SearchResult:
+    top = table.filter("is_best").first()
+    if top is None:
+        return SearchResult(table, None, None, None)
+    return SearchResult(table, dict(made[top["config_id"]].config), top["best_r2"], made[top["config_id"]].raw)
+
+
+def _fit_all(feats: DataFrame, cfg: ForecastConfig, params: M.TreeParams) -> tuple[DataFrame, dict, DataFrame]:
+    """(test predictions, models fitted on all rows, scale per series), validation and final fits at the same time."""
+    final = feats.filter(F.col("series_idx") != _SEARCH).withColumn("is_train", F.lit(True))
+    full = cut_lineage(M.scaled(final))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        last = pool.submit(lambda: M.fit_both(M.sized(full, full.count()), params))
+        preds = _validate(feats, cfg, params)
+        models = last.result()
+    return preds, models, full.select("series", "scale", "config_idx", "series_idx").dropDuplicates(["series"])
+
+
+def _forecasts(ts: DataFrame, keys: dict[str, str], metrics: DataFrame, models: dict, scales: DataFrame,
+               cfg: ForecastConfig, freq: str):
+    """(metrics, best models, forecasts) of the series in ``keys`` (name: key in the feature table), or None if none was validated.
+
+    Each target takes the model with the lower validation RMSE; the recursive forecast runs for all targets of a model at once.
+    """
+    name_of = F.create_map(*[F.lit(x) for n, k in keys.items() for x in (k, n)])
+    met = cut_lineage(metrics.filter(F.col("series").isin(*keys.values())).withColumn("series", name_of[F.col("series")]))
+    best = cut_lineage(M.best_model(met))
     choice = {r["series"]: r["best_model"] for r in best.collect()}   # one row per target
-    hist = M.history(sub.filter(F.col("series").isin(*ok)), 24).withColumn(
-        "series_idx", idx[F.col("series")])
-    forecasts = None
-    for name in (M.RF, M.GBT):
+    if not choice:
+        return None
+    own = scales.filter(F.col("series").isin(*keys.values())).withColumn("series", name_of[F.col("series")])
+    hist = cut_lineage(M.history(ts.filter(F.col("series").isin(*choice)), 24).join(own, "series"))
+
+    def run(name: str) -> DataFrame | None:
         chosen = [s for s, b in choice.items() if b == name]
-        if not chosen:
-            continue
-        fc = M.recursive_forecast(hist.filter(F.col("series").isin(*chosen)),
-                                  M.model_predictor(models[name]), cfg.horizon, freq, cfg.step,
-                                  keep=("series_idx",))
-        forecasts = fc if forecasts is None else forecasts.unionByName(fc)
-    return met, best, cut_lineage(forecasts)
+        return cut_lineage(M.recursive_forecast(
+            hist.filter(F.col("series").isin(*chosen)), M.model_predictor(models[name]), cfg.horizon, freq, cfg.step,
+            exact_ma=cfg.leak_free, keep=("scale", "config_idx", "series_idx"))) if chosen else None
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        made = [f for f in pool.map(run, models) if f is not None]
+    return met, best, made[0] if len(made) == 1 else made[0].unionByName(made[1])
+
+
+def forecast_targets(ts: DataFrame, names: list[str], cfg: ForecastConfig, freq: str,
+                     params: M.TreeParams | None = None):
+    """ML-08 for the bounded list of targets (total + top K), with one training table for all.
+
+    Returns (metrics, best models, forecasts), or None where no target is long enough.
+    """
+    index = {n: j for j, n in enumerate(names)}
+    preds, models, scales = _fit_all(_features([(0, ts, index)], cfg), cfg, params or M.TreeParams(seed=cfg.seed))
+    return _forecasts(ts, {n: f"0:{j}" for n, j in index.items()}, M.metrics(preds), models, scales, cfg, freq)
 
 
 def run_forecast(spans: DataFrame, cfg: ForecastConfig | None = None,
                  params: M.TreeParams | None = None, n_rows: int | None = None,
-                 total_name: str = S.TOTAL, workers: int = 6) -> ForecastResult:
-    """API-02: the whole forecasting stage on a spans table."""
+                 total_name: str = S.TOTAL) -> ForecastResult:
+    """API-02: the whole forecasting stage on a spans table.
+
+    The totals of all configurations and the targets of each are one training table: one fit per
+    model judges the configurations and validates the targets, and one per model, on all rows, forecasts.
+    """
     cfg = cfg or ForecastConfig()
     params = params or M.TreeParams(seed=cfg.seed)
-    spark = spans.sparkSession
     spans = spans.persist(StorageLevel.MEMORY_AND_DISK)
-    search = config_search(spans, cfg, params, total_name)
+    try:
+        made = _candidates(spans, [cfg.config] if cfg.config else cfg.grid, cfg, total_name, cfg.repair)
+    finally:
+        spans.unpersist()
+    parts = []
+    for i, c in enumerate(made):
+        if c.n_periods >= cfg.min_points:
+            parts += [(i, c.raw, {total_name: _SEARCH}), (i, c.repaired, {n: j for j, n in enumerate(c.targets)})]
+    if not parts:
+        raise RuntimeError("no configuration had enough data")
+    preds, models, scales = _fit_all(_features(parts, cfg), cfg, params)
+    metrics = cut_lineage(M.metrics(preds))
+    search = _found(_search_table(metrics, made), made)
     if search.best is None:
         raise RuntimeError("no configuration had enough data")
-    freq = search.best["freq"]
-    ts = cut_lineage(TS.detect_and_repair(search.series, cfg.anomaly_threshold, cfg.repair_window,
-                                          True, total_name, cfg.total_cap))
-    # Every series of the dense grid has one row per calendar period.
-    n_periods = ts.filter(F.col("series") == total_name).count()
-    # at most top_k names (TOP-04, TOP-05)
-    top = [r["series"] for r in R.series_totals(ts, cfg.top_k, total_name).orderBy("rank").collect()]
-    targets = [total_name] + (top if n_periods >= cfg.min_forecast_points else [])
-
-    if cfg.pooled:
-        pooled = forecast_pooled(ts, targets, cfg, freq, params)
-        if pooled is None:
-            raise RuntimeError("no series long enough to forecast")
-        metrics, best, forecasts = pooled
-    else:
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            results = list(pool.map(lambda s: (s, forecast_one(ts, s, cfg, freq, params)),
-                                    targets))
-        done = [(s, r) for s, r in results if r is not None]
-        if not done:
-            raise RuntimeError("no series long enough to forecast")
-        metrics = done[0][1][0]
-        forecasts = done[0][1][2]
-        for _, r in done[1:]:
-            metrics = metrics.unionByName(r[0])
-            forecasts = forecasts.unionByName(r[2])
-        best = spark.createDataFrame([(s, r[1]) for s, r in done],
-                                     "series string, best_model string")
-    summary = summary_report(ts, metrics, best, search, len(top), n_rows, cfg.horizon, total_name)
-    return ForecastResult(ts, forecasts, metrics, best, search.table, summary)
+    i = search.table.filter("is_best").first()["config_id"]
+    best = made[i]
+    done = _forecasts(best.repaired, {n: f"{i}:{j}" for j, n in enumerate(best.targets)}, metrics, models, scales, cfg, search.best["freq"])
+    if done is None:
+        raise RuntimeError("no series long enough to forecast")
+    summary = summary_report(best.repaired, done[0], done[1], search, len(best.targets) - 1, n_rows, cfg.horizon, total_name)
+    return ForecastResult(best.repaired, done[2], done[0], done[1], search.table, summary, best.log)
 
 
 def summary_report(ts: DataFrame, metrics: DataFrame, best: DataFrame, search: SearchResult,
@@ -252,7 +265,7 @@ def summary_report(ts: DataFrame, metrics: DataFrame, best: DataFrame, search: S
 
     ra, rb = g(a, "mean_rmse"), g(b, "mean_rmse")
     overall = models[0] if (ra is not None and rb is not None and ra < rb) else models[1]
-    row = (period["first_period"], period["last_period"], n_rows, n_series, str(search.best),
+    row = (period["first_period"], period["last_period"], n_rows, n_series, json.dumps(search.best, sort_keys=True),
            search.best_r2, g(a, "mean_mae"), g(a, "mean_rmse"), g(a, "mean_r2"),
            g(b, "mean_mae"), g(b, "mean_rmse"), g(b, "mean_r2"), wa, wb,
            wa * 100.0 / n if n else 0.0, wb * 100.0 / n if n else 0.0, overall, horizon)

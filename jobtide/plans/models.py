@@ -2,10 +2,10 @@
 
 * Split, metrics and naive baselines are windows/aggregations over all
   series at once.
-* Each regressor is a Spark ML ``Pipeline`` (assembler → scaler → trees).
-  One model per series, as the source system does, for the bounded set of
-  forecast series (total + top K); the fits of different series are
-  independent Spark jobs and run concurrently.
+* Each regressor is a Spark ML ``Pipeline`` (assembler → scaler → trees), fitted
+  on one table of all series and configurations: targets and the features
+  made of values are divided by the series' scale, and configuration and series are
+  features. The number of fits does not depend on how many there are.
 * The recursive forecast loops over the *horizon*, never over rows: the
   state is one row per series with the history as an array column; every
   step derives the features with array functions, applies the predictor
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -36,13 +37,37 @@ LAST = "last_value"
 SEASONAL = "seasonal_naive"
 
 
+#: Features made of the series' values, in its scale.
+VALUE_FEATURES = tuple(f for f in FEATURES if f.startswith(("lag_", "ma_", "diff_")))
+#: Input of the pooled models.
+POOLED_FEATURES = (*FEATURES, "config_idx", "series_idx")
+#: Training rows for which one task is enough.
+ROWS_PER_TASK = 20_000
+
+
 # --- split and metrics ---------------------------------------------------------------
 
-def chrono_split(features: DataFrame, fraction: float = 0.8) -> DataFrame:
-    """WIN-11: first floor(fraction·n) rows of each series are training rows."""
+def chrono_split(features: DataFrame, fraction: float = 0.8, periods: int | None = None,
+                 origin: int = 0) -> DataFrame:
+    """WIN-11: first floor(fraction·n) rows of each series are training rows.
+
+    With ``periods`` the last that many rows are the test rows instead; ``origin`` k moves the end of both back by
+    k·``periods`` rows and leaves the later ones out (rolling origin).
+    """
     n = F.count(F.lit(1)).over(Window.partitionBy("series"))
     pos = F.row_number().over(Window.partitionBy("series").orderBy("period"))
-    return features.withColumn("is_train", pos <= F.floor(n * fraction))
+    if periods is None:
+        return features.withColumn("is_train", pos <= F.floor(n * fraction))
+    split = features.withColumns({"_n": n - origin * periods, "_pos": pos})
+    return split.filter("_pos <= _n").withColumn("is_train", F.col("_pos") <= F.col("_n") - periods).drop("_n", "_pos")
+
+
+def scaled(split: DataFrame) -> DataFrame:
+    """``split`` with ``scale``, the mean absolute target of the series' training rows (1 if that is 0), and
+    target and value features divided by it. Test rows do not enter the scale."""
+    mean = F.avg(F.when(F.col("is_train"), F.abs("y"))).over(Window.partitionBy("series"))
+    split = split.withColumn("scale", F.when(mean > 0, mean).otherwise(F.lit(1.0)))
+    return split.withColumns({c: F.col(c) / F.col("scale") for c in ("y", *VALUE_FEATURES)})
 
 
 def split_ok(split: DataFrame, min_train: int = 10, min_test: int = 3) -> DataFrame:
@@ -90,6 +115,39 @@ def mean_metrics(metric_table: DataFrame) -> DataFrame:
                                              F.avg("r2").alias("mean_r2"))
 
 
+def model_compare(metric_table: DataFrame, first: str = RF, second: str = GBT,
+                  names: tuple[str, str] = ("rf", "gbt")) -> DataFrame:
+    """JOIN-08: both models' metrics side by side per series, and by how much the first one's RMSE is higher."""
+    wide = metric_table.groupBy("series").pivot("model", [first, second]).agg(
+        F.first("rmse").alias("rmse"), F.first("mae").alias("mae"), F.first("r2").alias("r2"))
+    cols = [F.col(f"{m}_{k}").alias(f"{k}_{n}") for k in ("rmse", "mae", "r2") for m, n in zip((first, second), names)]
+    return wide.select("series", *cols, (F.col(f"{first}_rmse") - F.col(f"{second}_rmse")).alias("rmse_diff"))
+
+
+def forecast_summary(forecasts: DataFrame) -> DataFrame:
+    """AGG-27: per target the forecast's span, first, last, mean, least and greatest value, and how many targets there are."""
+    per = forecasts.groupBy("series").agg(
+        F.min("period").alias("first_period"), F.max("period").alias("last_period"),
+        F.min_by("forecast", "step").alias("first_forecast"), F.max_by("forecast", "step").alias("last_forecast"),
+        F.avg("forecast").alias("mean_forecast"), F.min("forecast").alias("min_forecast"),
+        F.max("forecast").alias("max_forecast"), F.count(F.lit(1)).alias("horizon"))
+    # one row per target, of which there are at most top_k + 1
+    return per.withColumn("n_targets", F.count(F.lit(1)).over(Window.partitionBy()))
+
+
+def search_table(metric_table: DataFrame, configs: DataFrame, models: tuple[str, str] = (RF, GBT),
+                 names: tuple[str, str] = ("rf", "gbt")) -> DataFrame:
+    """AGG-28: test R² of both models per configuration, the better one, and the best configuration (the first on ties).
+
+    ``metric_table`` has a configuration's id as its series; ``configs`` has ``config_id`` and what describes it.
+    """
+    r2 = metric_table.groupBy(F.col("series").cast("int").alias("config_id")).agg(
+        *[F.max(F.when(F.col("model") == m, F.col("r2"))).alias(f"r2_{n}") for m, n in zip(models, names)])
+    t = configs.join(r2, "config_id", "left").withColumn("best_r2", F.greatest(*[F.col(f"r2_{n}") for n in names]))
+    w = Window.orderBy(F.desc_nulls_last("best_r2"), "config_id")  # one row per configuration of the grid
+    return t.withColumn("is_best", (F.row_number().over(w) == 1) & F.col("best_r2").isNotNull())
+
+
 def win_counts(best: DataFrame) -> DataFrame:
     """AGG-23: how often each model wins, with its share in %."""
     c = best.groupBy("best_model").agg(F.count(F.lit(1)).alias("wins"))
@@ -101,7 +159,7 @@ def win_counts(best: DataFrame) -> DataFrame:
 
 @dataclass
 class TreeParams:
-    """Defaults of the source system's two regressors."""
+    """Sizes of the source system's two regressors."""
     rf_trees: int = 100
     rf_depth: int = 8
     rf_min_leaf: int = 2
@@ -138,13 +196,36 @@ def boosted(p: TreeParams, features=FEATURES) -> Pipeline:
 
 
 def _clean_xy(df: DataFrame, features=FEATURES) -> DataFrame:
-    """ML-04: features null → 0, target null → its mean."""
+    """ML-04 + PRJ-07: the model's features in their order, null → 0; target null → its mean."""
     feats = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
     y = F.coalesce(F.col("y"), F.avg("y").over(Window.partitionBy("series")))
     rest = [c for c in df.columns if c not in features and c != "y"]
     return df.select(*rest, *feats, y.alias("y"))
 
 
+def sized(train: DataFrame, rows: int) -> DataFrame:
+    """Training rows on as many tasks as they need; the fits run hundreds of short jobs over them."""
+    return train.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
+def fit_both(train: DataFrame, params: TreeParams | None = None, features=POOLED_FEATURES) -> dict[str, PipelineModel]:
+    """Forest and boosted trees on the same rows, at the same time."""
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        jobs = {name: pool.submit(fit, make, train, params, features) for name, make in ((RF, forest), (GBT, boosted))}
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def predict_both(models: dict[str, PipelineModel], rows: DataFrame, features=POOLED_FEATURES) -> DataFrame:
+    """``series, period, y, model, y_hat`` of rows from :func:`scaled`, in the series' own units."""
+    out = None
+    for name, model in models.items():
+        p = predict(model, rows, features).select(
+            "series", "period", (F.col("y") * F.col("scale")).alias("y"), F.lit(name).alias("model"),
+            (F.col("prediction") * F.col("scale")).alias("y_hat"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 def fit(pipe_factory: Callable[..., Pipeline], train: DataFrame,
         params: TreeParams | None = None, features=FEATURES) -> PipelineModel:
     """Fit; parameters that Spark ML refuses fall back to a 50-tree default, with a warning (ML-05).
@@ -245,6 +326,9 @@ def column_predictor(expr: Column) -> Callable[[DataFrame], DataFrame]:
 
 
 def model_predictor(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """A model fitted on :func:`scaled` rows; the state carries the series' ``scale``."""
     def run(df: DataFrame) -> DataFrame:
-        return model.transform(df.withColumn("y", F.lit(0.0))).drop("_raw", "_x", "y")
+        inputs = df.withColumns({f: F.col(f) / F.col("scale") for f in VALUE_FEATURES}).withColumn("y", F.lit(0.0))
+        out = model.transform(inputs).drop("_raw", "_x", "y")
+        return out.withColumn("prediction", F.col("prediction") * F.col("scale"))
     return run

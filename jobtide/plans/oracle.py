@@ -655,9 +655,11 @@ SELECT period, {cols} FROM fc GROUP BY period"""
 
 def forecast_summary_naive_sql() -> str:
     return f"""WITH RECURSIVE {_recursive_ctes()}
-SELECT arg_min(forecast, step) AS first_forecast, arg_max(forecast, step) AS last_forecast,
-       round(avg(forecast), 6) AS mean_forecast, max(step) AS horizon
-FROM fc WHERE series = 'total_demand'"""
+SELECT series, min(period) AS first_period, max(period) AS last_period,
+       arg_min(forecast, step) AS first_forecast, arg_max(forecast, step) AS last_forecast,
+       round(avg(forecast), 6) AS mean_forecast, min(forecast) AS min_forecast, max(forecast) AS max_forecast,
+       count(*) AS horizon, count(*) OVER () AS n_targets
+FROM fc GROUP BY series"""
 
 
 def best_config_naive_sql() -> str:
@@ -705,8 +707,7 @@ def summary_naive_sql() -> str:
     wins = ("(SELECT CAST(count_if(best_model = 'last_value') AS INTEGER) FROM best) AS last_wins, "
             "(SELECT CAST(count_if(best_model = 'seasonal_naive') AS INTEGER) FROM best) "
             "AS seasonal_wins")
-    config_text = ("'{' || chr(39) || 'freq' || chr(39) || ': ' || chr(39) || freq || chr(39) "
-                   "|| ', ' || chr(39) || 'outlier_removal' || chr(39) || ': False}'")
+    config_text = """'{"freq": "' || freq || '", "outlier_removal": false}'"""
     return f"""WITH {_naive_ctes('M')},
 cfg AS ({cfg}),
 r AS (

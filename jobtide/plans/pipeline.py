@@ -8,13 +8,13 @@ executor during forecasting never re-runs the preparation.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ForecastConfig, PrepConfig
 from ..session import ensure_checkpoint_dir
-from ..sources.vacancies import read_prepared, read_raw
+from ..sources.vacancies import infer_types, read_extract, read_prepared, read_raw, typed
 from . import sinks
 from .forecast import ForecastResult, run_forecast
 from .models import TreeParams
@@ -33,15 +33,25 @@ def prepare_vacancies(spark: SparkSession, input_path: str, output_path: str | N
     """API-01: read (raw text or an already filtered extract), prepare, and
     optionally write the prepared table (SNK-02). ``multiline`` None: as in ``cfg``."""
     cfg = cfg or PrepConfig()
-    df = read_raw(spark, input_path, multiline=cfg.multiline if multiline is None else multiline)
-    if not raw:
-        cfg = PrepConfig(**{**cfg.__dict__, "title_keyword": None})
-    prepared = prepare(df, cfg)
+    multiline = cfg.multiline if multiline is None else multiline
+    if raw:
+        df = read_raw(spark, input_path, multiline=multiline)
+    else:
+        cfg = replace(cfg, title_keyword=None)
+        df = extract_columns(read_extract(spark, input_path, multiline, infer=False), cfg)
+    prepared = prepare(df, cfg, check=raw)
     if output_path:
         sinks.write_prepared(prepared, output_path, fmt)
     return prepared
 
 
+def extract_columns(df: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """SRC-04: types for the columns that preparation passes through; those that it parses stay text."""
+    parsed = {cfg.target, "title", "industry", *cfg.categorical_columns, *cfg.numeric_columns, *cfg.deny_columns}
+    parsed |= {c for pair in cfg.date_columns for c in pair}
+    return typed(df, infer_types(df, [c for c in df.columns if c not in parsed]))
+
+
 @dataclass
 class PipelineConfig:
     """API-03 options."""
@@ -53,6 +63,11 @@ class PipelineConfig:
     processed_format: str = "parquet"
     horizon: int = 6
     anomaly_threshold: float = 2.0
+    # None: as in ``forecast``
+    validation_periods: int | None = None
+    validation_origins: int | None = None
+    repair: bool | None = None
+    config: dict | None = None
     prep: PrepConfig = field(default_factory=PrepConfig)
     forecast: ForecastConfig = field(default_factory=ForecastConfig)
     tree_params: TreeParams | None = None
@@ -64,8 +79,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
     if not cfg.skip_prepare:
         prepare_vacancies(spark, cfg.input_path, processed, cfg.raw, cfg.prep, cfg.processed_format)
     prepared = read_prepared(spark, processed, cfg.processed_format, cfg.prep.multiline)
-    fc = ForecastConfig(**{**cfg.forecast.__dict__, "horizon": cfg.horizon,
-                           "anomaly_threshold": cfg.anomaly_threshold})
+    stated = {k: v for k in ("validation_periods", "validation_origins", "repair", "config") if (v := getattr(cfg, k)) is not None}
+    fc = replace(cfg.forecast, horizon=cfg.horizon, anomaly_threshold=cfg.anomaly_threshold, **stated)
     result = run_forecast(spans_of(prepared), fc, cfg.tree_params, n_rows=prepared.count())
     sinks.write_results(result, cfg.output_dir)
     return result
@@ -74,24 +89,15 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> ForecastResult:
 def analyze_results(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """ML-11: read written results back (SRC-07) and summarise them: mean
     metrics per model (AGG-22), per-series model comparison (JOIN-08) and
-    the total's forecast summary (AGG-27)."""
-    from pyspark.sql import functions as F
-
+    each target's forecast summary (AGG-27)."""
     from ..sources.vacancies import read_results
     from . import models as M
 
     res = read_results(spark, folder)
     out: dict[str, DataFrame] = {}
     if "metrics" in res:
-        met = res["metrics"]
-        out["mean_metrics"] = M.mean_metrics(met)
-        out["comparison"] = met.groupBy("series").pivot("model", [M.RF, M.GBT]).agg(
-            F.first("r2").alias("r2"), F.first("rmse").alias("rmse"), F.first("mae").alias("mae"))
+        out["mean_metrics"] = M.mean_metrics(res["metrics"])
+        out["comparison"] = M.model_compare(res["metrics"])
     if "forecasts" in res:
-        fc = res["forecasts"]
-        out["forecast_summary"] = fc.groupBy("series").agg(
-            F.min("period").alias("first_period"), F.max("period").alias("last_period"),
-            F.min_by("forecast", "step").alias("first_forecast"),
-            F.max_by("forecast", "step").alias("last_forecast"),
-            F.avg("forecast").alias("mean_forecast"), F.count(F.lit(1)).alias("horizon"))
+        out["forecast_summary"] = M.forecast_summary(res["forecasts"])
     return out

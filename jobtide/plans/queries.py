@@ -21,7 +21,7 @@ from ..operators import spans as S
 from ..sources import proxy
 from . import oracle as O
 from . import models as M
-from .prepare import encoding_tables, prepare
+from .prepare import clean_rows, encoding_tables, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,10 +97,6 @@ def ts02_outliers_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.select("series", "period", "is_outlier", F.round("value", 6).alias("value"))
 
 
-def ts02_outliers_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TS.remove_outliers(_series(spark, sf_dir, "W"), 3.0, method="cubic")
-
-
 def ts07_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = TS.decompose(_series(spark, sf_dir))
     return d.select("series", "period", "value", *[F.round(c, 6).alias(c) for c in
@@ -123,7 +119,6 @@ QUERIES: dict[str, Query] = {
     "ts05_repair_sequential": ts05_repair_sequential,
     "agg18_zscores": agg18_zscores,
     "ts02_outliers_linear": ts02_outliers_linear,
-    "ts02_outliers_cubic": ts02_outliers_cubic,
     "ts07_decompose": ts07_decompose,
     "agg20_seasonal_by_month": agg20_seasonal_by_month,
     "ts08_features": ts08_features,
@@ -162,12 +157,16 @@ def _spans(spark: SparkSession, sf_dir: str, group: str = "segment") -> DataFram
     return proxy.order_spans(spark, sf_dir, group=group)
 
 
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_rows(proxy.raw_vacancies(spark, sf_dir), proxy_prep_config())
+
+
 def agg07_weight_summary(spark, sf_dir):
-    return R.weight_summary(_prepared(spark, sf_dir))
+    return R.weight_summary(_cleaned(spark, sf_dir))
 
 
 def agg26_overview(spark, sf_dir):
-    return R.overview(_prepared(spark, sf_dir))
+    return R.overview(_cleaned(spark, sf_dir))
 
 
 def agg09_value_counts(spark, sf_dir):
@@ -196,8 +195,7 @@ def agg14_monthly_counts(spark, sf_dir):
 
 def agg15_weight_histograms(spark, sf_dir):
     sp = _spans(spark, sf_dir)
-    return R.histogram(sp, "weight", 50, "weight").unionByName(
-        R.histogram(sp, F.log(F.col("weight").cast("double") + 1.0), 50, "log_weight"))
+    return R.histograms(sp, {"weight": "weight", "log_weight": F.log(F.col("weight").cast("double") + 1.0)})
 
 
 def agg16_salary_histogram(spark, sf_dir):
@@ -265,10 +263,8 @@ def agg23_win_counts_naive(spark, sf_dir):
 
 def join08_model_compare_naive(spark, sf_dir):
     m = _naive_metrics(spark, sf_dir)
-    wide = m.groupBy("series").pivot("model", [M.LAST, M.SEASONAL]).agg(F.first("rmse"))
-    return wide.select("series", F.round(M.LAST, 6).alias("rmse_last"),
-                       F.round(M.SEASONAL, 6).alias("rmse_seasonal"),
-                       F.round(F.col(M.LAST) - F.col(M.SEASONAL), 6).alias("rmse_diff"))
+    both = M.model_compare(m, M.LAST, M.SEASONAL, ("last", "seasonal"))
+    return both.select("series", *[F.round(c, 6).alias(c) for c in ("rmse_last", "rmse_seasonal", "rmse_diff")])
 
 
 def _naive_forecast(spark, sf_dir, freq="M"):
@@ -288,12 +284,7 @@ def snk03_forecast_pivot_naive(spark, sf_dir):
 
 def agg27_forecast_summary_naive(spark, sf_dir):
     fc = _naive_forecast(spark, sf_dir)
-    tot = fc.filter(F.col("series") == S.TOTAL).agg(
-        F.min_by("forecast", "step").alias("first_forecast"),
-        F.max_by("forecast", "step").alias("last_forecast"),
-        F.round(F.avg("forecast"), 6).alias("mean_forecast"),
-        F.max("step").alias("horizon"))
-    return tot
+    return M.forecast_summary(fc).withColumn("mean_forecast", F.round("mean_forecast", 6))
 
 
 def agg28_best_config_naive(spark, sf_dir):
@@ -302,18 +293,14 @@ def agg28_best_config_naive(spark, sf_dir):
 
 def naive_config_search(spark, sf_dir):
     """AGG-28 over the frequencies with the closed-form models."""
-    from pyspark.sql import Window
-    parts = []
-    for i, freq in enumerate(("W", "2W", "M")):
-        m = _naive_metrics(spark, sf_dir, freq).filter(F.col("series") == S.TOTAL)
-        parts.append(m.groupBy().agg(F.max("r2").alias("best_r2")).select(
-            F.lit(i).alias("config_id"), F.lit(freq).alias("freq"), "best_r2"))
-    t = parts[0]
-    for p in parts[1:]:
-        t = t.unionByName(p)
-    w = Window.orderBy(F.desc_nulls_last("best_r2"), "config_id")  # three rows
-    return t.select("config_id", "freq", F.round("best_r2", 6).alias("best_r2"),
-                    (F.row_number().over(w) == 1).alias("is_best"))
+    met = None
+    grid = ("W", "2W", "M")
+    for i, freq in enumerate(grid):
+        m = _naive_metrics(spark, sf_dir, freq).filter(F.col("series") == S.TOTAL).withColumn("series", F.lit(str(i)))
+        met = m if met is None else met.unionByName(m)
+    configs = spark.createDataFrame(list(enumerate(grid)), "config_id int, freq string")
+    t = M.search_table(met, configs, (M.LAST, M.SEASONAL), ("last", "seasonal"))
+    return t.select("config_id", "freq", F.round("best_r2", 6).alias("best_r2"), "is_best")
 
 
 QUERIES.update({
@@ -400,24 +387,9 @@ def src08_incremental_ingest(spark, sf_dir):
     return out.select(*_SPAN_COLS)
 
 
-def ml08_forecast_total(spark, sf_dir):
-    from ..config import ForecastConfig
-    from .forecast import forecast_one
-    ts = _series(spark, sf_dir, "M")
-    res = forecast_one(ts, S.TOTAL, ForecastConfig(), "M", M.TreeParams())
-    return res[2]
-
-
-def api02_forecast_pipeline(spark, sf_dir):
-    from .forecast import run_forecast
-    return run_forecast(_spans(spark, sf_dir)).forecasts
-
-
 QUERIES.update({
     "src01_raw_csv_prepare": src01_raw_csv_prepare,
     "src08_incremental_ingest": src08_incremental_ingest,
-    "ml08_forecast_total": ml08_forecast_total,
-    "api02_forecast_pipeline": api02_forecast_pipeline,
 })
 ORACLE.update({
     "src01_raw_csv_prepare": O.prepared_spans_sql(),
@@ -494,17 +466,6 @@ QUERIES["snk06_summary_naive"] = snk06_summary_naive
 ORACLE["snk06_summary_naive"] = O.summary_naive_sql()
 
 
-def ml08_forecast_pooled(spark, sf_dir):
-    """ML-08 pooled: one model pair for the total and the top 5 series."""
-    from ..config import ForecastConfig
-    from .forecast import forecast_pooled
-    ts = _series(spark, sf_dir, "M")
-    top = [r["series"] for r in R.series_totals(ts, 5).orderBy("rank").collect()]
-    res = forecast_pooled(ts, [S.TOTAL] + top, ForecastConfig(), "M", M.TreeParams())
-    return res[2]
-
-
-QUERIES["ml08_forecast_pooled"] = ml08_forecast_pooled
 ORACLE["ts05_repair_sequential"] = O.repair_sequential_sql("M")
 
 
@@ -516,10 +477,12 @@ def ts02_outliers_linear_z2(spark, sf_dir):
     return filled.select("series", "period", "is_outlier", F.round("value", 6).alias("value"))
 
 
-def ts02_outliers_cubic_z2(spark, sf_dir):
-    return TS.remove_outliers(_series(spark, sf_dir, "W"), 2.0, method="cubic")
-
-
 QUERIES["ts02_outliers_linear_z2"] = ts02_outliers_linear_z2
-QUERIES["ts02_outliers_cubic_z2"] = ts02_outliers_cubic_z2
 ORACLE["ts02_outliers_linear_z2"] = O.outliers_linear_sql("W", 2.0)
+
+
+from . import input_queries, series_queries  # noqa: E402  they use this module's settings
+
+for _more in (input_queries, series_queries):
+    QUERIES.update(_more.QUERIES)
+    ORACLE.update(_more.ORACLE)

@@ -4,7 +4,6 @@ nothing is collected to the driver."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.spans import wide
 
@@ -51,5 +50,4 @@ def write_results(result, folder: str, wide_forecast: bool = False) -> None:
     write_best(result.best_models, f"{folder}/best_models")
     write_summary(result.summary, f"{folder}/summary")
     result.search.write.mode("overwrite").parquet(f"{folder}/search")
-    result.series.withColumn("period", F.col("period")).write.mode("overwrite").parquet(
-        f"{folder}/series")
+    result.series.write.mode("overwrite").parquet(f"{folder}/series")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +81,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder as Parquet and read again.
+
+    For a table that several passes read: later passes read only their columns, a lost
+    executor recomputes nothing, and no cached relation is left behind.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/jobtide-stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 

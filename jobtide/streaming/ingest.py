@@ -1,6 +1,6 @@
 """SRC-08: incremental ingest of vacancy files with Structured Streaming.
 
-New raw files in a folder are read as a stream; the *stateless* part of the
+New raw files in a folder are found as a stream; the *stateless* part of the
 preparation (title filter, null markers, weight, dates, span end and
 duration, validity filters) runs per micro-batch and the rows are appended
 to a Parquet table. ``trigger(availableNow=True)`` processes what is there
@@ -16,45 +16,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import PrepConfig
-from ..operators import clean as C
-from ..sources.vacancies import CSV_OPTIONS, all_string_schema, header_of
+from ..plans.prepare import clean_rows
+from ..sources.vacancies import read_raw
 
 STATELESS_COLUMNS = ("vacancy_id", "title", "industry", "work_places", "date_creation_processed",
                      "date_end", "vacancy_duration")
 
+# What the file source says of a file; only the path is asked for, so no content is read.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def prepare_stateless(df: DataFrame, cfg: PrepConfig) -> DataFrame:
-    """The row-local preparation steps, in the batch order."""
-    df = C.drop_denied(df, cfg.deny_columns)
-    df = C.keep_titles(df, cfg.title_keyword)
-    df = C.mark_nulls(df)
-    df = C.weights(df, cfg.target)
-    df = C.dates(df, cfg.date_columns, cfg.date_formats)
-    df = C.fill_unknown(df, ("industry",))
-    df = C.span_end(df, cfg.default_duration_days)
-    df = C.keep_valid(df, cfg.date_lo, cfg.date_hi)
-    df = C.coerce_types(df)
+    """The row-local preparation steps and filters, in the batch order."""
+    df = clean_rows(df, cfg)
     return df.select(*[c for c in STATELESS_COLUMNS if c in df.columns])
 
 
 def start_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                 cfg: PrepConfig | None = None, header_sample: str | None = None,
-                 max_files_per_trigger: int | None = None):
-    """Start the incremental job; returns the ``StreamingQuery``. A sink belongs to one checkpoint, whose batch ids name its folders."""
+                 cfg: PrepConfig | None = None, max_files_per_trigger: int | None = None):
+    """Start the incremental job; returns the ``StreamingQuery``. A sink belongs to one checkpoint, whose batch ids name its folders.
+
+    The stream carries the new files' paths only; each micro-batch reads its files as a batch
+    job does, so columns are matched by name, quoted fields may go over line ends, and a
+    file without the needed columns fails the batch. Date forms are inferred per micro-batch
+    unless the configuration states them.
+    """
     cfg = cfg or PrepConfig()
-    names = header_of(spark, header_sample or source_dir, multiline=cfg.multiline)
-    C.check_title(names)
-    reader = (spark.readStream.options(**CSV_OPTIONS).option("multiLine", str(cfg.multiline).lower())
-              .schema(all_string_schema(names)))
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = prepare_stateless(reader.csv(source_dir), cfg)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        # a batch that is repeated after a failure replaces its own folder
-        batch.write.mode("overwrite").parquet(f"{sink_dir}/_batch={batch_id}")
+        # as many paths as the source lists for this micro-batch anyway
+        paths = sorted(r["path"] for r in batch.collect())
+        if paths:
+            rows = prepare_stateless(read_raw(batch.sparkSession, paths, multiline=cfg.multiline), cfg)
+            # a batch that is repeated after a failure replaces its own folder
+            rows.write.mode("overwrite").parquet(f"{sink_dir}/_batch={batch_id}")
 
-    return (stream.writeStream.foreachBatch(append)
+    return (reader.load(source_dir).select("path").writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
 

@@ -35,6 +35,9 @@ def test_run_pipeline_end_to_end(spark, tmpdir_path):
     ana = analyze_results(spark, out)
     assert ana["forecast_summary"].filter("series = 'total_demand'").first()["horizon"] == 6
     assert ana["mean_metrics"].count() >= 1
+    assert ana["comparison"].count() == len({r["series"] for r in fc}) == ana["forecast_summary"].first()["n_targets"]
+    assert res.log["series"] > 1 and res.log["anomalies"] >= res.log["repaired"] >= res.log["repaired_series"]
+    assert not spark._jsparkSession.sharedState().cacheManager().cachedData().size()
 
 
 def test_drop_original(spark):
@@ -67,15 +70,3 @@ def test_total_without_group_column(spark):
     assert out[("total_demand", "2019-01-31")] == 2.0
     assert out[("total_demand", "2019-02-28")] == 5.0
     assert {k[0] for k in out} == {"total_demand"}
-
-
-def test_pooled_forecast(spark):
-    from jobtide.plans.forecast import run_forecast
-    sp = proxy.order_spans(spark, SF)
-    cfg = ForecastConfig(grid=[{"freq": "M", "outlier_removal": False}], top_k=3, pooled=True)
-    res = run_forecast(sp, cfg, TreeParams(rf_trees=5, gbt_rounds=3))
-    fc = res.forecasts.collect()
-    names = {r["series"] for r in fc}
-    assert "total_demand" in names and len(names) >= 2
-    assert all(r["forecast"] >= 0 for r in fc)
-    assert {r["series"] for r in res.best_models.collect()} == names

@@ -126,8 +126,54 @@ def test_cubic_outlier_removal_changes_only_masked_points(spark):
     orig = {(r["series"], r["period"]): r["value"] for r in Q._series(spark, sf, "W").collect()}
     lin = {(r["series"], r["period"]): r["is_outlier"]
            for r in Q.ts02_outliers_linear_z2(spark, sf).collect()}
-    cub = {(r["series"], r["period"]): r["value"] for r in Q.ts02_outliers_cubic_z2(spark, sf).collect()}
+    cub = {(r["series"], r["period"]): r["value"] for r in Q.QUERIES["ts02_outliers_cubic_z2"](spark, sf).collect()}
     masked = {k for k, v in lin.items() if v}
     assert masked
     assert all(cub[k] == orig[k] for k in orig if k not in masked)
     assert all(cub[k] != orig[k] for k in masked)
+
+
+def _spline_system(x, y, xq):
+    """Second derivatives from the dense system of the same conditions."""
+    n, h = len(x), np.diff(x)
+    d = np.diff(y) / h
+    a, r = np.zeros((n, n)), np.zeros(n)
+    for i in range(1, n - 1):
+        a[i, i - 1:i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+        r[i] = 6 * (d[i] - d[i - 1])
+    a[0, :3], a[-1, -3:] = (h[1], -(h[0] + h[1]), h[0]), (h[-1], -(h[-2] + h[-1]), h[-2])
+    m = np.linalg.solve(a, r)
+    k = int(np.searchsorted(x, xq)) - 1
+    u, v, w = x[k + 1] - xq, xq - x[k], h[k]
+    return (m[k] * u ** 3 + m[k + 1] * v ** 3) / (6 * w) + (y[k] / w - m[k] * w / 6) * u + (y[k + 1] / w - m[k + 1] * w / 6) * v
+
+
+def test_cubic_fill_equals_the_dense_system(spark):
+    import datetime as dt
+    import random
+    rng = random.Random(1)
+    rows = []
+    for name, n in (("a", 30), ("b", 6), ("c", 4), ("d", 3), ("e", 50), ("f", 2), ("g", 1), ("h", 8)):
+        t = dt.date(2020, 1, 5)
+        for i in range(n):
+            t += dt.timedelta(days=rng.choice([7, 7, 28, 31]))
+            edge = name in "bcdf" and i in (0, n - 1)
+            rows.append((name, t, None if name == "h" else rng.uniform(0, 100) if edge or rng.random() < 0.7 else None))
+    df = spark.createDataFrame(rows, "series string, period date, value double")
+    out = {(r["series"], r["period"]): r["value"] for r in TS.interpolate_cubic(df).collect()}
+    assert len(out) == len(rows)
+    filled = 0
+    for name in "abcdefgh":
+        pts = [(t.toordinal(), v, t) for s, t, v in rows if s == name]
+        known = [p for p in pts if p[1] is not None]
+        for o, v, t in pts:
+            if v is not None:
+                assert out[name, t] == v
+            elif len(known) < 2 or not known[0][0] < o < known[-1][0]:
+                assert out[name, t] is None
+            else:
+                x, y = np.array([p[0] for p in known], float), np.array([p[1] for p in known])
+                want = _spline_system(x, y, float(o)) if len(known) >= 4 else np.interp(o, x, y)
+                assert abs(out[name, t] - want) < 1e-9 * max(1, abs(want))
+                filled += 1
+    assert filled > 10
