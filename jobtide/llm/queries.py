@@ -249,7 +249,8 @@ def _op12_sql() -> str:
     n, top = plane_clusters.COMPONENTS, plane_clusters.CLUSTERS
     parts = [f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({plane_clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
   WHERE len(embedding) = {n} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {n}),
-c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x FROM (SELECT sha256('{plane_clusters.SALT}:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v) ORDER BY h NULLS LAST, x LIMIT {top})"""]
+h0 AS (SELECT x, row_number() OVER (ORDER BY sha256('{plane_clusters.SALT}:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) - 1 AS k FROM v),
+c0 AS MATERIALIZED (SELECT k, x FROM h0 WHERE k < {top})"""]
 
     def near(i: int) -> str:
         far = f"list_sum(list_transform(range(1, {n + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
