@@ -4,9 +4,11 @@
    signature of minima. Documents with equal sets form a class, a node of
    its own number, kept by its smallest doc_id.
 2. Two sets above the similarity threshold agree in at least ``matches`` of
-   the signature's coordinates (but for a chance below ``MISS``), so they
-   share a value in the first ``coordinates - matches + 1`` ones: only this
-   prefix is posted, one row per coordinate-value pair.
+   the signature's coordinates (but for a chance below ``MISS``). All classes
+   sort their coordinate-value pairs by one order, the rarest first, so two
+   such sets share one of their first ``coordinates - matches + 1`` pairs: only
+   this prefix is posted, a row each. What a common passage or a large group
+   of copies brings to many documents is so left out wherever enough else is there.
 3. The members of a posting list are compared by counting collisions over
    whole signatures. Each member is paired with its nearest neighbours of
    enough collisions before and after it; lists and members that are
@@ -23,7 +25,7 @@
 
 Long posting lists are split by a salt, and the members that head a split
 meet. Where these are many, a common passage and not copying brings the
-list together: it is posted anew by a further coordinate, which parts it, and
+list together: it is posted anew by a further pair, which parts it, and
 so on while it has more than ``VISITS`` splits. In later rounds members outside
 a list's largest component meet all splits, also heads without a candidate.
 """
@@ -50,6 +52,8 @@ PARTNERS = 16
 LIST_ROWS = 1024
 VISITS = 8
 SMALL_TABLE = 100_000
+#: Longer lists count by their length in the order of pairs, shorter ones are all alike.
+RARE_ROWS = 16
 TASK_EDGES = 200_000
 SKETCH_BITS = 512
 _SALTS = 16
@@ -85,8 +89,8 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signatures(docs: DataFrame, prefix: int, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, digest, tokens, sig``: prefix postings and 16 bits of every coordinate; nulls for empty sets. Also ``text_hash`` if ``docs`` has it."""
+def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, digest, tokens, sig``: a number for every coordinate-value pair and 16 bits of every coordinate; nulls for empty sets. Also ``text_hash`` if ``docs`` has it."""
     hashed = ["text_hash"] if "text_hash" in docs.columns else []
 
     def run(batch: pa.RecordBatch, memo: WordHashes = WordHashes()) -> pa.RecordBatch:
@@ -99,7 +103,7 @@ def signatures(docs: DataFrame, prefix: int, shingle: int = SHINGLE) -> DataFram
             starts = np.cumsum(sizes[full]) - sizes[full]
             minima = np.stack([np.minimum.reduceat(mix_low(every, k), starts) for k in range(COORDINATES)], 1)
             short = (minima & np.uint64(0xFFFF)).astype(np.uint16)
-            posted = mix64(minima[:, :prefix] + _OFFSETS[:prefix]).view(np.int64)
+            posted = mix64(minima + _OFFSETS).view(np.int64)
             for row, i in enumerate(full):
                 digests[i], tokens[i], sigs[i] = _digest(sets[i]), posted[row].tolist(), short[row].tobytes()
         return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.list_(pa.int64())),
@@ -114,22 +118,37 @@ def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _posted(classes: DataFrame) -> DataFrame:
-    """The classes' prefixes, a row ``token, pos, chain`` per coordinate (``chain`` has its bit); other columns stay."""
-    return classes.select(*[c for c in classes.columns if c != "tokens"], F.posexplode("tokens").alias("pos", "token")).withColumn("chain", F.expr("shiftleft(1L, pos)"))
+def _ordered(classes: DataFrame) -> DataFrame:
+    """``classes`` with ``ord``, the coordinates by (length of their pair's list, pair), and ``low``, 31 bits of every pair.
+
+    Only the lengths of lists of over ``RARE_ROWS`` rows are looked up, for the members of these lists.
+    """
+    pairs = classes.select("node", F.posexplode("tokens").alias("pos", "token"))
+    long = cut_lineage(pairs.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > RARE_ROWS))
+    lengths = pairs.join(_small(long), "token").groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("pos", "n"))).alias("n_at"))
+    by = f"""array_sort(transform(sequence(0, {COORDINATES - 1}), j -> struct(coalesce(try_element_at(n_at, j), 0L) AS n, tokens[j] AS token, j)))"""
+    return classes.join(lengths, "node", "left").select(
+        *classes.columns, F.expr(f"transform({by}, x -> cast(x.j as byte))").alias("ord"),
+        F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))").alias("low"))
+
+
+def _posted(classes: DataFrame, prefix: int) -> DataFrame:
+    """The classes' first pairs in order, a row ``token, k, chain`` each: ``k`` is the place in ``ord``, ``chain`` the coordinate's bit; other columns stay."""
+    rows = classes.select(*[c for c in classes.columns if c != "tokens"], F.expr(f"inline(transform(slice(ord, 1, {prefix}), (j, k) -> struct(tokens[j] AS token, k, j AS pos)))"))
+    return rows.withColumn("chain", F.expr("shiftleft(1L, cast(pos as int))")).drop("pos")
 
 
-def _refined(postings: DataFrame, loose: DataFrame, matches: int, level: int) -> DataFrame:
-    """``token, pos, chain, node``: lists of the ``loose`` tokens, posted anew by a further coordinate, whose bit joins the ``chain``.
+def _refined(postings: DataFrame, loose: DataFrame, prefix: int, level: int) -> DataFrame:
+    """``token, k, chain, node``: lists of the ``loose`` tokens, posted anew by a further pair, whose bit joins the ``chain``.
 
-    Of the ``matches`` coordinates in which a pair agrees, the one after
-    ``level`` others is among the first ``coordinates - matches + level + 1``:
-    no pair is lost (for ``level`` below ``matches``), and documents that only
+    The pair that comes after ``level`` others in what two sets share is among the
+    first ``prefix + level`` of either's order: nothing is lost, and documents that only
     a common passage brings together fall apart.
     """
-    rows = postings.join(_small(loose), "token").withColumn(
-        "j", F.explode(F.expr(f"filter(sequence(0, {COORDINATES - matches + level}), j -> shiftright(chain, j) = 0)")))
-    return rows.select(F.expr("xxhash64(token, j, substring(sig, 2 * j + 1, 2))").alias("token"), "pos", F.expr("chain | shiftleft(1L, j)").alias("chain"), "node")
+    rows = postings.join(_small(loose), "token").select(
+        "token", "chain", "node", "low", "ord", F.explode(F.expr(f"filter(sequence(0, {prefix + level - 1}), i -> i > k)")).alias("k"))
+    rows = rows.withColumn("j", F.expr("cast(ord[k] as int)"))
+    return rows.select(F.expr("xxhash64(token, j, low[j])").alias("token"), "k", F.expr("chain | shiftleft(1L, j)").alias("chain"), "node")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -180,8 +199,8 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
 
     Without components (``partners`` None): the nearest neighbour of enough
     collisions on either side. With: up to ``partners`` (0: all) earlier
-    members of other components for each member, where this list is the first
-    that the pair shares. ``guest`` is 2 for members that visit a split, 1 for
+    members of other components for each member, where this list is that of the first
+    pairs, in order, that both have. ``guest`` is 2 for members that visit a split, 1 for
     those that visit others: a visitor meets only members at home, and of two
     that visit each other the greater one is at home. What a set shares is at
     most its size less its own shingles, and two sets differ in at least as
@@ -210,8 +229,8 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
             node = table.column("node").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(token), COORDINATES)
             if partners is not None:
-                pos, chain = table.column("pos").to_numpy(), table.column("chain").to_numpy()
-                low = table.column("low").combine_chunks().flatten().to_numpy().reshape(len(token), -1)
+                chain = table.column("chain").to_numpy()
+                low, order = (table.column(c).combine_chunks().flatten().to_numpy().reshape(len(token), -1) for c in ("low", "ord"))
                 sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
             before, after = np.zeros(len(token), np.int64), np.zeros(len(token), np.int64)
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -243,7 +262,7 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
                 hit = np.concatenate([(sig[x[i:i + 65536]] == sig[y[i:i + 65536]]).sum(1) for i in range(0, len(x), 65536)]) >= matches
                 x, y = x[hit], y[hit]
                 if partners is not None and len(x):
-                    met = _first_shared(low[x], low[y], pos[x]) & _next_shared(sig[x], sig[y], pos[x], chain[x])
+                    met = _first_shared(low[x] == low[y], order[x], chain[x])
                     x, y = x[met], y[met]
                 before[x] += 1
                 after[y] += 1
@@ -263,16 +282,12 @@ def _pairs(matches: int, partners: int | None, heads: bool, percent: int = 0):
     return run
 
 
-def _first_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether ``at`` is the first column in which the rows of ``x`` and ``y`` agree."""
-    return (x == y).argmax(1) == at
-
-
-def _next_shared(x: np.ndarray, y: np.ndarray, at: np.ndarray, chain: np.ndarray) -> np.ndarray:
-    """Whether the bits of ``chain`` behind ``at`` are the next columns in which the rows of ``x`` and ``y`` agree."""
-    column = np.arange(x.shape[1])
-    rest = chain[:, None] >> column
-    return ~((column > at[:, None]) & (rest > 0) & ((x == y) != (rest & 1).astype(bool))).any(1)
+def _first_shared(same: np.ndarray, order: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """Whether ``chain`` has the bits of the first columns, in ``order``, of those in which two rows are the ``same``."""
+    order = order.astype(np.int64)
+    shared = np.take_along_axis(same, order, 1)
+    first = shared & (shared.cumsum(1) <= np.bitwise_count(chain)[:, None])
+    return np.where(first, np.int64(1) << order, 0).sum(1) == chain
 
 
 def _listed(rows: DataFrame) -> DataFrame:
@@ -311,7 +326,8 @@ def _first_round(classes: DataFrame, matches: int) -> tuple[DataFrame, DataFrame
     part with or without a candidate. Lists by ``matches`` coordinates hold
     only candidates of each other and need no refining.
     """
-    rows, loose = _posted(classes), None
+    prefix = COORDINATES - matches + 1
+    rows, loose = _posted(classes, prefix), None
     tried, heads, hot, refined = [], [], [], []
     for level in range(matches):
         big = _hot(rows)
@@ -326,8 +342,8 @@ def _first_round(classes: DataFrame, matches: int) -> tuple[DataFrame, DataFrame
             refined.append(again if more is None else again.join(_small(more), "token", "left_anti"))
         if more is None:
             break
-        again = cut_lineage(_refined(rows, more, matches, level + 1))
-        rows = again.join(classes.select("node", "sig"), "node")
+        again = cut_lineage(_refined(rows, more, prefix, level + 1))
+        rows = again.join(classes.select("node", "sig", "low", "ord"), "node")
 
     def whole(parts: list[DataFrame]) -> DataFrame | None:
         return parts[0] if len(parts) == 1 else cut_lineage(reduce(DataFrame.union, parts)) if parts else None
@@ -337,9 +353,9 @@ def _first_round(classes: DataFrame, matches: int) -> tuple[DataFrame, DataFrame
     return pairs, involved, whole(hot), loose, whole(refined)
 
 
-def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | None) -> DataFrame:
-    """``token, pos, chain, node, comp`` of the lists that hold several components; nothing wide is in them."""
-    rows = _posted(nodes.select("node", "comp", "tokens"))
+def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | None, prefix: int) -> DataFrame:
+    """``token, k, chain, node, comp`` of the lists that hold several components; nothing wide is in them."""
+    rows = _posted(nodes.select("node", "comp", "tokens", "ord"), prefix).drop("ord")
     if loose is not None:
         rows = rows.join(_small(loose), "token", "left_anti").unionByName(refined.join(nodes.select("node", "comp"), "node"))
     live = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("token")
@@ -349,7 +365,7 @@ def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | N
 def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame | None, refined: DataFrame | None,
                      matches: int, partners: int, percent: int) -> DataFrame:
     """Pairs of different components in the lists; signatures and sketches of the ``nodes`` join the lists at the end."""
-    rows = _salted(_unsettled(nodes, loose, refined), hot).withColumn("guest", F.lit(0))
+    rows = _salted(_unsettled(nodes, loose, refined, COORDINATES - matches + 1), hot).withColumn("guest", F.lit(0))
     if hot is not None:
         groups = rows.where("splits > 1").groupBy("token", "comp").agg(F.count("*").alias("n"))
         largest = cut_lineage(groups.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top")).select("token", F.col("top.comp").alias("top")))
@@ -357,7 +373,7 @@ def _more_candidates(nodes: DataFrame, hot: DataFrame | None, loose: DataFrame |
         guests = (rows.where("guest = 1").withColumn("other", F.explode(F.expr("sequence(0, splits - 1)"))).where("other != salt")
                   .withColumn("salt", F.col("other")).drop("other").withColumn("guest", F.lit(2)))
         rows = rows.unionByName(guests)
-    rows = rows.join(nodes.select("node", "low", "sig", "size", "own", "sketch"), "node")
+    rows = rows.join(nodes.select("node", "low", "ord", "sig", "size", "own", "sketch"), "node")
     return _listed(rows).mapInArrow(_pairs(matches, partners, False, percent), _CANDIDATES).select("a", "b").distinct()
 
 
@@ -488,17 +504,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _judged(docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """``near_duplicates`` of ``docs (doc_id, text)`` with the ``digest`` of each row's set, and ``text_hash`` if ``docs`` has it."""
     matches = match_threshold(percent)
-    prefix = COORDINATES - matches + 1
-    signed = cut_lineage(signatures(docs, prefix, shingle))
+    signed = cut_lineage(signatures(docs, shingle))
     linkable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig"))
                           .withColumn("node", F.monotonically_increasing_id()))
+    classes = cut_lineage(_ordered(classes))
     tried, involved, hot, loose, refined = _first_round(classes.drop("digest", "doc_id"), matches)
     near = cut_lineage(classes.join(involved, "node"))
     sets = cut_lineage(shingle_sets(docs, near.select("node", "doc_id", "digest"), shingle))
     links = cut_lineage(confirm(tried, sets, percent))
     comps = components(links)
-    near = cut_lineage(near.drop("digest", "doc_id").join(bounds(sets), "node").withColumn("low", F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))")))
+    # a set shares at most what is not its own alone, and a union is no smaller than it: others have no link at all
+    able = bounds(sets).where(f"100 * (size - own) >= {percent} * size")
+    near = cut_lineage(near.drop("digest", "doc_id").join(able, "node"))
     for partners in (PARTNERS, 0):
         nodes = cut_lineage(near.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         more = cut_lineage(_more_candidates(nodes, hot, loose, refined, matches, partners, percent).join(tried, ["a", "b"], "left_anti"))
