@@ -1,8 +1,9 @@
 """Corpus pipeline: five stages, each calling one operator of ``jobtide.llm``.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
-last return the columns of ``documents``. Nulls, empty and repeated rows are
-handled as the operators' docstrings say.
+last return the columns of ``docs``. Nulls, empty and repeated rows are
+handled as the operators' docstrings say. Columns that no operator reads go through the
+stages under private names, so columns named like an operator's results keep their values.
 """
 
 from __future__ import annotations
@@ -21,32 +22,44 @@ NEAR_PERCENT = 80
 ORACLE_SQL = None
 
 
+#: Columns that operators read.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def _private(docs: DataFrame) -> DataFrame:
+    return docs.select([F.col(f"`{c}`").alias(c if c in READ else f"__own{i}") for i, c in enumerate(docs.columns)])
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select([F.col(c if c in READ else f"__own{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    return _restored(quality_rules.judge(_private(docs)).where("kept"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many of them have; ``n_chars`` follows the text."""
-    clean = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return clean.select(*docs.columns)
+    """Documents without the lines that many of them have; ``n_chars``, where there is one, follows the text."""
+    clean = _restored(line_dedup.dedup_lines(_private(docs)), docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return minhash_join.keep_one(docs, NEAR_PERCENT).select(*docs.columns)
+    return _restored(minhash_join.keep_one(_private(docs), NEAR_PERCENT), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark passage makes up a twentieth of."""
-    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = decontam.find_contamination(_private(docs), table(spark, sf_dir, "benchmark"))
     hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
-    return found.where(~((hit > 0) & (20 * hit >= F.col("n_words")))).select(*docs.columns)
+    return _restored(found.where(~((hit > 0) & (20 * hit >= F.col("n_words")))), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, piece_ids, lossless``: a sampled segmentation of every text that is left."""
-    encoded = piece_sampling.encode_sampled(docs, public_tokenizers.path(MODEL))
+    encoded = piece_sampling.encode_sampled(_private(docs), public_tokenizers.path(MODEL))
     return encoded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "lossless")
 
 
