@@ -91,6 +91,36 @@ def test_toxicity_learns_terms_and_pairs(spark):
     assert {r["predicted"] for r in toxicity.score(docs, empty).collect()} == {0}
 
 
+@pytest.mark.parametrize("share", [2, 5])
+def test_toxicity_learns_pairs_that_say_nothing_alone(spark, share):
+    """Toxic exactly where aa meets bb or cc meets dd; clean where aa meets dd or cc meets bb: every word is as frequent in either class."""
+    rng = random.Random(8)
+    plain = [f"word{k}" for k in range(60)]
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % share == 0
+        pair = rng.choice([["aa", "bb"], ["cc", "dd"]] if toxic else [["aa", "dd"], ["cc", "bb"]])
+        words = rng.choices(plain, k=15) + pair
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows + [(9000, ""), (9001, None)], "doc_id long, text string")
+    machine = toxicity.fit(toxicity.sample_labelled(docs, spark.createDataFrame(labels, "doc_id long, toxic int")))
+    out = [r for r in toxicity.score(docs, machine).collect() if r["held_out"] or r["doc_id"] >= 9000]
+    held = [r for r in out if r["doc_id"] < 9000]
+    right = sum((r["predicted"] == 1) == (r["doc_id"] % share == 0) for r in held)
+    assert right >= 0.9 * len(held) and len(held) > 300
+    assert all(r["predicted"] == 0 for r in out if r["doc_id"] >= 9000)
+
+
+def test_toxicity_score_is_the_plain_double_sum():
+    rng = np.random.default_rng(4)
+    m = toxicity.Machine(-0.3, np.arange(9), rng.normal(size=9), rng.normal(size=(9, 4)) * 0.5)
+    for at in ([], [2], [0, 3, 8], list(range(9))):
+        z = m.bias + sum(m.linear[i] for i in at) + sum(float(m.factors[i] @ m.factors[j]) for k, i in enumerate(at) for j in at[k + 1:])
+        assert m.score(np.array(at, np.int64)) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
 def test_backoff_scores_equal_a_plain_count(docs):
     import math
     texts = [(i, (t or "").encode().lower().split()) for i, t in _pairs(docs)]
@@ -345,29 +375,64 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, rows_a_list):
 
 
 def _with_signatures(monkeypatch, matches, alike):
-    """``alike(doc_id, coordinate)``: SQL of the 16 bits that stand for a signature's coordinate; the prefix is the same for all."""
+    """``alike(coordinate)``: SQL of the number that stands for a document's value there."""
     signatures = minhash_join.signatures
 
-    def made(docs, prefix, *rest):
-        sig = "concat(" + ", ".join(f"unhex(right(hex({alike(k)}), 4))" for k in range(minhash_join.COORDINATES)) + ")"
-        return (signatures(docs, prefix, *rest).withColumn("sig", F.expr(sig))
-                .withColumn("tokens", F.expr(f"transform(sequence(1, {prefix}), k -> shiftleft(cast(k as long), 40))")))
+    def made(docs, *rest):
+        every = range(minhash_join.COORDINATES)
+        sig = "concat(" + ", ".join(f"unhex(right(hex({alike(k)}), 4))" for k in every) + ")"
+        low = "array(" + ", ".join(f"cast(xxhash64({k}, {alike(k)}) % 2147483647 as int)" for k in every) + ")"
+        return signatures(docs, *rest).withColumns({"sig": F.expr(sig), "low": F.expr(low)})
 
     monkeypatch.setattr(minhash_join, "signatures", made)
     monkeypatch.setattr(minhash_join, "match_threshold", lambda percent: matches)
 
 
 @pytest.mark.parametrize("visits", [2, 100])
-def test_links_that_share_only_hot_refined_lists(spark, monkeypatch, visits):
-    """All share the prefix and the coordinates by which loose lists are refined once; pairs of ids agree in the others too."""
+@pytest.mark.parametrize("rare", [2, 16])
+def test_links_that_share_only_hot_refined_lists(spark, monkeypatch, visits, rare):
+    """Every coordinate has a few values, so all lists are long, the rarest too; pairs of ids agree in all."""
     monkeypatch.setattr(minhash_join, "LIST_ROWS", 4)
+    monkeypatch.setattr(minhash_join, "RARE_ROWS", rare)
     monkeypatch.setattr(minhash_join, "VISITS", visits, raising=False)
-    _with_signatures(monkeypatch, 31, lambda k: "65536L" if k < 4 else f"65536L + pmod(xxhash64(doc_id div 2, {k}), 65536)")
+    _with_signatures(monkeypatch, 31, lambda k: "65536L" if k < 4 else f"65536L + pmod(xxhash64(doc_id div 2, {k}), 3)")
     pairs = [(i, " ".join(f"w{i // 2}x{j}" for j in range(40 + i % 2))) for i in range(60)]
     df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
     assert {tuple(r) for r in minhash_join.near_duplicates(df, percent=80).collect()} == _components(pairs, 80)
 
 
+def _group_and_passage(n, seed=11):
+    """``n`` near copies of one text, 8 % of the words changed, and ``n`` texts of one passage and own words."""
+    rng = random.Random(seed)
+    fresh = iter(range(10 ** 9))
+    base, passage = [f"b{k}" for k in range(200)], [f"p{k}" for k in range(60)]
+    copies = [[w if rng.random() > 0.08 else f"x{next(fresh)}" for w in base] for _ in range(n)]
+    return [(i, " ".join(w)) for i, w in enumerate(copies + [passage + [f"y{next(fresh)}" for _ in range(25)] for _ in range(n)])]
+
+
+def test_work_on_a_group_and_a_passage_grows_with_its_size(spark, monkeypatch):
+    monkeypatch.setattr(minhash_join, "LIST_ROWS", 32)
+    made, listed = {}, minhash_join._listed
+
+    def counted(rows):
+        made[n] = made.get(n, 0) + rows.count()
+        return listed(rows)
+
+    monkeypatch.setattr(minhash_join, "_listed", counted)
+    for n in (150, 600):
+        df = spark.createDataFrame(_group_and_passage(n), "doc_id long, text string").repartition(3)
+        out = minhash_join.near_duplicates(df, percent=80).cache()
+        assert out.where(f"doc_id >= {n} AND NOT kept").count() == 0
+    assert made[600] < 1.5 * 4 * made[150], made
+
+
+def test_first_shared_follows_the_order():
+    same = np.array([[True, False, True, True], [True, False, True, True], [False] * 4])
+    order = np.array([[2, 1, 0, 3], [2, 1, 0, 3], [0, 1, 2, 3]], np.int8)
+    assert minhash_join._first_shared(same, order, np.array([0b100, 0b101, 0b1])).tolist() == [True, True, False]
+    assert minhash_join._first_shared(same, order, np.array([0b001, 0b1001, 0b11])).tolist() == [False, False, False]
+
+
 def test_near_duplicates_odd_ids(spark):
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (3, "a b c d e f g"), (None, "a b c d e f g"), (5, "other text of the same id here"), (None, None)]
     out = sorted((tuple(r) for r in minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)

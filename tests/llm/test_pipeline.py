@@ -39,3 +39,18 @@ def test_stages(spark):
         else:
             assert after == set(before) and all(r["lossless"] and r["n_pieces"] == len(r["piece_ids"]) for r in rows)
         docs = out
+
+
+def test_columns_named_like_results_keep_their_values(spark):
+    names = ["w", "n_words", "n_lines", "kept", "spans", "items", "n_dropped", "component_id", "digest", "__lines", "lang.x"]
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = plain.select("*", *[(plain.doc_id * 100 + k).cast("string").alias(c) for k, c in enumerate(names)])
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, SF).cache()
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == str(r["doc_id"] * 100 + i) for r in rows for i, c in enumerate(names))
+        want = {r["doc_id"]: r["text"] for r in stage(spark, plain, SF).collect()}
+        assert {r["doc_id"]: r["text"] for r in rows} == want
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, SF).columns == last(spark, plain, SF).columns
