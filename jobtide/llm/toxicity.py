@@ -7,7 +7,6 @@ between the classes, or if it is half of a pair whose share does, beyond what
 either half shows alone. The machine then learns a weight and a factor vector per
 slot; the factors' inner products score pairs of terms that occur together,
 such as an insult with a group's name, also where neither says anything alone.
-Last, the scores are calibrated on the sample.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ MAX_POSITIVE, MAX_NEGATIVE = 4_000, 12_000
 THRESHOLD = 0.7
 MIN_Z = 3.0
 #: A pair must differ by so many standard errors, and by ``MIN_Z`` more than its halves. The most frequent terms are paired.
-PAIR_Z = 6.0
+PAIR_Z = 12.0
 PAIR_TERMS = 4_000
 #: Least share of a class that holds a term or pair.
 MIN_SHARE = 0.005
@@ -101,8 +100,8 @@ def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float
         positive_weight: float = 3.0, seed: int = 11) -> Machine:
     """Machine from ``text, label`` rows (a bounded sample); terms are hashed on the executors.
 
-    Positive rows weigh ``positive_weight`` times as much while weights are learned, and as much as others in the
-    calibration. Without rows of both classes no slot is admitted and the bias says the one class.
+    Positive rows weigh ``positive_weight`` times as much. Without rows of both
+    classes no slot is admitted and the bias says the one class.
     """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         slots = _Slots()
@@ -117,7 +116,7 @@ def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float
         return Machine(-6.0 if not n1 else 6.0, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
     lists = got.column("slots").combine_chunks()
     rows = [np.asarray(lists[int(i)].values.to_numpy(), dtype=np.int64) for i in order]
-    admitted = screened(rows, y)
+    admitted, alone = screened(rows, y)
     where = np.full(SLOTS, -1)
     where[admitted] = np.arange(len(admitted))
     rows = [where[r][where[r] >= 0] for r in rows]
@@ -138,12 +137,13 @@ def fit(sample: DataFrame, factors: int = FACTORS, epochs: int = 20, rate: float
             touched, back = np.unique(at, return_inverse=True)
             gw = np.bincount(back, err[own], minlength=len(touched)) + l2 * w[touched]
             seen_w[touched] += gw ** 2
-            w[touched] -= rate * gw / np.sqrt(seen_w[touched])
+            w[touched] -= alone[touched] * rate * gw / np.sqrt(seen_w[touched])
             each = err[own][:, None] * (sums[own] - va)
             gv = np.stack([np.bincount(back, each[:, f], minlength=len(touched)) for f in range(factors)], 1) + l2 * v[touched]
             seen_v[touched] += gv ** 2
             v[touched] -= 0.2 * rate * gv / np.sqrt(seen_v[touched])
-    return calibrated(Machine(bias, admitted, w, v), rows, y)
+    # a text without known terms is at most as likely of the label as not, however the classes are weighed
+    return Machine(min(bias, 0.0), admitted, w, v)
 
 
 def _z(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -153,8 +153,8 @@ def _z(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
         return np.nan_to_num((a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)), posinf=0.0, neginf=0.0)
 
 
-def screened(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Slots that tell the classes apart alone or as half of a pair, sorted.
+def screened(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots that tell the classes apart alone or as half of a pair, sorted, and whether they do alone: others get no weight but a factor vector.
 
     ``rows`` hold each document's different slots. Pairs are counted among the ``PAIR_TERMS`` most frequent slots that
     enough of a class has, a block of documents after the other.
@@ -164,7 +164,8 @@ def screened(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     a = np.bincount(every, y[owner], minlength=SLOTS)
     b = np.bincount(every, minlength=SLOTS) - a
     alone = _z(a, b, n1, n0)
-    admitted = (np.abs(alone) >= MIN_Z) & (a + b >= 3)
+    by_itself = (np.abs(alone) >= MIN_Z) & (a + b >= 3)
+    admitted = by_itself.copy()
     often = np.flatnonzero((a >= max(3, MIN_SHARE * n1)) | (b >= max(3, MIN_SHARE * n0)))
     often = np.sort(often[np.argsort(-(a + b)[often], kind="stable")[:PAIR_TERMS]])
     at = np.full(SLOTS, -1)
@@ -181,27 +182,17 @@ def screened(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
         x, z = met[1.0][k, k + 1:].astype(float), met[0.0][k, k + 1:].astype(float)
         pair = np.abs(_z(x, z, n1, n0))
         halves = np.maximum(np.abs(alone[often[k]]), np.abs(alone[often[k + 1:]]))
-        found = np.flatnonzero((pair >= PAIR_Z) & (pair >= halves + MIN_Z) & (x + z >= 3))
+        # beyond what the halves' own shares in each class bring together
+        chance = (a[often[k]] * a[often[k + 1:]] / n1, b[often[k]] * b[often[k + 1:]] / n0)
+        p = (x + z) / len(y)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            excess = np.nan_to_num(((x - chance[0]) / n1 - (z - chance[1]) / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)))
+        found = np.flatnonzero((pair >= PAIR_Z) & (pair >= halves + MIN_Z) & (np.abs(excess) >= PAIR_Z) & (x + z >= 3))
         if len(found):
             admitted[often[k]] = True
             admitted[often[k + 1 + found]] = True
-    return np.flatnonzero(admitted)
-
-
-def calibrated(machine: Machine, rows: list[np.ndarray], y: np.ndarray, steps: int = 50) -> Machine:
-    """``machine`` with its scores' log-odds stretched and moved so that they fit the labels best (unweighted; targets drawn in by one row a class)."""
-    z = np.array([machine.log_odds(r) for r in rows])
-    n1, n0 = y.sum(), len(y) - y.sum()
-    t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.stack([z, np.ones(len(z))], 1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - t))
-        beta = beta - step * min(1.0, 1.0 / max(np.abs(step).max(), 1e-12))
-    scale = float(np.clip(beta[0], 0.1, 10.0))
-    return Machine(float(beta[1]) + scale * machine.bias, machine.slots, scale * machine.linear, machine.factors * scale ** 0.5)
+    slots = np.flatnonzero(admitted)
+    return slots, by_itself[slots]
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
