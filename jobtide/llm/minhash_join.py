@@ -90,26 +90,26 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, digest, tokens, sig``: a number for every coordinate-value pair and 16 bits of every coordinate; nulls for empty sets. Also ``text_hash`` if ``docs`` has it."""
+    """``doc_id, n_shingles, digest, low, sig``: 32 bits for every coordinate-value pair and 16 bits of every coordinate; nulls for empty sets. Also ``text_hash`` if ``docs`` has it."""
     hashed = ["text_hash"] if "text_hash" in docs.columns else []
 
     def run(batch: pa.RecordBatch, memo: WordHashes = WordHashes()) -> pa.RecordBatch:
         sets = [shingle_set(t, memo, shingle) for t in as_bytes(batch.column("text"))]
         sizes = np.array([len(s) for s in sets])
         full = np.flatnonzero(sizes)
-        digests, tokens, sigs = ([None] * len(sets) for _ in range(3))
+        digests, lows, sigs = ([None] * len(sets) for _ in range(3))
         if len(full):
             every = np.concatenate([sets[i] for i in full])
             starts = np.cumsum(sizes[full]) - sizes[full]
             minima = np.stack([np.minimum.reduceat(mix_low(every, k), starts) for k in range(COORDINATES)], 1)
             short = (minima & np.uint64(0xFFFF)).astype(np.uint16)
-            posted = mix64(minima + _OFFSETS).view(np.int64)
+            posted = (mix64(minima + _OFFSETS) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             for row, i in enumerate(full):
-                digests[i], tokens[i], sigs[i] = _digest(sets[i]), posted[row].tolist(), short[row].tobytes()
-        return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.list_(pa.int64())),
-                                pa.array(sigs, pa.binary()), *[batch.column(c) for c in hashed]], ["doc_id", "n_shingles", "digest", "tokens", "sig", *hashed])
+                digests[i], lows[i], sigs[i] = _digest(sets[i]), posted[row].tolist(), short[row].tobytes()
+        return pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(lows, pa.list_(pa.int32())),
+                                pa.array(sigs, pa.binary()), *[batch.column(c) for c in hashed]], ["doc_id", "n_shingles", "digest", "low", "sig", *hashed])
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, digest binary, tokens array<long>, sig binary" + "".join(f", {c} binary" for c in hashed))
+    return map_batches(docs, run, "doc_id long, n_shingles long, digest binary, low array<int>, sig binary" + "".join(f", {c} binary" for c in hashed))
 
 
 def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
@@ -119,23 +119,22 @@ def mix_low(shingles: np.ndarray, k: int) -> np.ndarray:
 
 
 def _ordered(classes: DataFrame) -> DataFrame:
-    """``classes`` with ``ord``, the coordinates by (length of their pair's list, pair), and ``low``, 31 bits of every pair.
+    """``classes`` with ``ord``, the coordinates by (length of their pair's list, pair).
 
-    Only the lengths of lists of over ``RARE_ROWS`` rows are looked up, for the members of these lists.
+    A pair is posted under a hash of its coordinate and its ``low``. Only the lengths of
+    lists of over ``RARE_ROWS`` rows are looked up, for the members of these lists.
     """
-    pairs = classes.select("node", F.posexplode("tokens").alias("pos", "token"))
+    pairs = classes.select("node", F.posexplode("low").alias("pos", "own")).select("node", "pos", F.xxhash64("pos", "own").alias("token"))
     long = cut_lineage(pairs.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > RARE_ROWS))
     lengths = pairs.join(_small(long), "token").groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("pos", "n"))).alias("n_at"))
-    by = f"""array_sort(transform(sequence(0, {COORDINATES - 1}), j -> struct(coalesce(try_element_at(n_at, j), 0L) AS n, tokens[j] AS token, j)))"""
-    return classes.join(lengths, "node", "left").select(
-        *classes.columns, F.expr(f"transform({by}, x -> cast(x.j as byte))").alias("ord"),
-        F.expr("transform(tokens, t -> cast(shiftright(t, 33) as int))").alias("low"))
+    by = f"array_sort(transform(sequence(0, {COORDINATES - 1}), j -> struct(coalesce(try_element_at(n_at, j), 0L) AS n, xxhash64(j, low[j]) AS token, j)))"
+    return classes.join(lengths, "node", "left").select(*classes.columns, F.expr(f"transform({by}, x -> cast(x.j as byte))").alias("ord"))
 
 
 def _posted(classes: DataFrame, prefix: int) -> DataFrame:
     """The classes' first pairs in order, a row ``token, k, chain`` each: ``k`` is the place in ``ord``, ``chain`` the coordinate's bit; other columns stay."""
-    rows = classes.select(*[c for c in classes.columns if c != "tokens"], F.expr(f"inline(transform(slice(ord, 1, {prefix}), (j, k) -> struct(tokens[j] AS token, k, j AS pos)))"))
-    return rows.withColumn("chain", F.expr("shiftleft(1L, cast(pos as int))")).drop("pos")
+    first = f"transform(slice(ord, 1, {prefix}), (j, k) -> struct(xxhash64(cast(j as int), low[j]) AS token, k, shiftleft(1L, cast(j as int)) AS chain))"
+    return classes.select("*", F.expr(f"inline({first})"))
 
 
 def _refined(postings: DataFrame, loose: DataFrame, prefix: int, level: int) -> DataFrame:
@@ -355,7 +354,7 @@ def _first_round(classes: DataFrame, matches: int) -> tuple[DataFrame, DataFrame
 
 def _unsettled(nodes: DataFrame, loose: DataFrame | None, refined: DataFrame | None, prefix: int) -> DataFrame:
     """``token, k, chain, node, comp`` of the lists that hold several components; nothing wide is in them."""
-    rows = _posted(nodes.select("node", "comp", "tokens", "ord"), prefix).drop("ord")
+    rows = _posted(nodes.select("node", "comp", "low", "ord"), prefix).drop("low", "ord")
     if loose is not None:
         rows = rows.join(_small(loose), "token", "left_anti").unionByName(refined.join(nodes.select("node", "comp"), "node"))
     live = rows.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("token")
@@ -506,7 +505,7 @@ def _judged(docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     matches = match_threshold(percent)
     signed = cut_lineage(signatures(docs, shingle))
     linkable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens"), F.first("sig").alias("sig"))
+    classes = cut_lineage(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("low").alias("low"), F.first("sig").alias("sig"))
                           .withColumn("node", F.monotonically_increasing_id()))
     classes = cut_lineage(_ordered(classes))
     tried, involved, hot, loose, refined = _first_round(classes.drop("digest", "doc_id"), matches)
@@ -534,7 +533,7 @@ def _judged(docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     firsts = cut_lineage(members.groupBy("comp").agg(F.min(F.struct("doc_id", "digest")).alias("first")))
     named = cut_lineage(members.join(_small(firsts), "comp").select("digest", F.col("first.doc_id").alias("component_id"), F.col("first.digest").alias("first")))
     named = named.unionByName(ids.join(named, "digest", "left_anti").select("digest", F.col("doc_id").alias("component_id"), F.col("digest").alias("first")))
-    rows = signed.drop("tokens", "sig").join(named, "digest", "left")
+    rows = signed.drop("low", "sig").join(named, "digest", "left")
     linked = F.col("doc_id").isNotNull()
     kept = ~linked | F.col("digest").isNull() | (F.col("doc_id") == F.col("component_id")) & (F.col("digest") == F.col("first"))
     return rows.withColumn("kept", kept).withColumn("component_id", F.when(linked, F.coalesce("component_id", "doc_id"))).drop("first")
