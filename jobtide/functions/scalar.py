@@ -27,8 +27,12 @@ DATE_FORMATS = ("dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy")
 _RANGE_RE = rf"(?U){WORD_FROM}\s+(\d+)\s+{WORD_TO}\s+(\d+)"
 _FROM_RE = rf"(?U){WORD_FROM}\s+(\d+)"
 _EDGE_SPACE_RE = r"(?U)^\s+|\s+$"
+# The characters of Unicode's White_Space, which ``(?U)\s`` matches.
+_SPACES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _ISO_RE = (r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?"
            r"( ?(Z|[+-]\d{1,2}:\d{2}|[+-]\d{4}))?)?)?$")
+# No date this short has an offset of four digits: the least is 2019-1-2T3:4+0300.
+_NO_OFFSET = 16
 _DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 
 
@@ -36,15 +40,20 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trim_space(c: str | Column) -> Column:
+    """Text without white space at both ends; no regular expression, as it runs on every date and number."""
+    return F.btrim(col_of(c), F.lit(_SPACES))
+
+
 def to_number(c: str | Column) -> Column:
     """FN-07: decimal text → DOUBLE; anything else, also NaN, → null."""
-    s = F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "")
+    s = trim_space(col_of(c).cast("string"))
     return F.when(s.rlike(_DECIMAL_RE), s.try_cast("double"))
 
 
 def is_decimal(c: str | Column) -> Column:
     """Whether text is a decimal number as FN-07 reads it."""
-    return F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "").rlike(_DECIMAL_RE)
+    return trim_space(col_of(c).cast("string")).rlike(_DECIMAL_RE)
 
 
 def _weight_number(c: Column) -> Column:
@@ -64,8 +73,8 @@ def parse_weight(c: str | Column) -> Column:
     hi = F.regexp_extract(s, _RANGE_RE, 2).try_cast("bigint")
     single = F.regexp_extract(s, _FROM_RE, 1).try_cast("bigint")
     num = _weight_number(s)
-    finite = num.isNotNull() & ~F.isnan(num) & (F.abs(num) != float("inf"))
-    by_number = (F.when(finite & (num >= WEIGHT_MIN),
+    # NaN is above infinity, null is in no range
+    by_number = (F.when((num >= WEIGHT_MIN) & (num < float("inf")),
                         F.least(F.floor(num), F.lit(WEIGHT_MAX)).cast("bigint"))
                  .otherwise(F.lit(WEIGHT_MIN).cast("bigint")))
     has_to = s.contains(WORD_TO)
@@ -88,9 +97,10 @@ def parse_timestamp(c: str | Column, formats=DATE_FORMATS) -> Column:
     Year-first dates with hyphens, with or without a time, fraction and offset, are read
     as they are (an offset moves the time to the session's zone); other text by ``formats``, in order.
     """
-    x = F.regexp_replace(col_of(c).cast("string"), _EDGE_SPACE_RE, "")
+    x = trim_space(col_of(c).cast("string"))
     # an offset without a colon is given one; the cast knows no other spelling that this one lacks
-    iso = F.when(x.rlike(_ISO_RE), F.regexp_replace(x, r"([+-]\d\d)(\d\d)$", "$1:$2").try_cast("timestamp"))
+    whole = F.when(F.length(x) <= _NO_OFFSET, x).otherwise(F.regexp_replace(x, r"([+-]\d\d)(\d\d)$", "$1:$2"))
+    iso = F.when(x.rlike(_ISO_RE), whole.try_cast("timestamp"))
     return F.coalesce(iso, *[F.try_to_timestamp(x, F.lit(f)) for f in formats])
 
 

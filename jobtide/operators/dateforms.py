@@ -4,7 +4,9 @@ Every date text is reduced to its shape, written as a parsing pattern whose
 first two numbers are still undecided where the year comes last. One
 aggregate counts the shapes of all date columns and keeps the largest first
 and second number of each; the driver sees a few dozen shapes a column,
-since text that is no date is one shape.
+since text that is no date is one shape. Rows are counted by their text with
+every digit as 0, which costs one match a text; the shape, many matches, is
+worked out once for each of these.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import trim_space
+
 _DATE = (r"^(\d{1,4})([-/. ])(\d{1,2})\2(\d{1,4})"
          r"(?:( |T)(\d{1,2}):(\d{1,2})(:\d{1,2})?(\.\d{1,9})?( ?[AaPp][Mm])?)?( ?)(Z|[+-]\d{2}(?::?\d{2})?)?$")
 _NAMED = {r"^\d{1,2} [A-Za-z]{3} \d{4}$": "d MMM yyyy", r"^\d{1,2} [A-Za-z]{4,9} \d{4}$": "d MMMM yyyy",
@@ -22,7 +26,7 @@ FIRST, SECOND = "{1}", "{2}"
 
 
 def _text(c: str) -> Column:
-    return F.regexp_replace(F.col(f"`{c}`").cast("string"), r"(?U)^\s+|\s+$", "")
+    return trim_space(F.col(f"`{c}`").cast("string"))
 
 
 def shape_of(text: Column) -> Column:
@@ -52,9 +56,17 @@ def date_shapes(df: DataFrame, columns) -> DataFrame:
     """``column, shape, n, first, second``: non-empty texts by shape, and the largest first and second number of each."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _text(c).alias("text")) for c in columns]))
     rows = df.select(pairs.alias("p")).select("p.column", "p.text").where("text != ''")
-    number = lambda k: F.regexp_extract("text", _DATE, k).try_cast("int")
-    return rows.groupBy("column", shape_of(F.col("text")).alias("shape")).agg(
-        F.count("*").alias("n"), F.max(number(1)).alias("first"), F.max(number(3)).alias("second"))
+    # A date's shape depends on its text with every digit as 0 alone, of which there are few; other text has few shapes.
+    is_date = F.col("text").rlike(_DATE)
+    outline = F.when(is_date, F.translate("text", "0123456789", "0" * 10))
+    for pattern, form in _NAMED.items():
+        outline = outline.when(F.col("text").rlike(pattern), F.lit(form))
+    rows = rows.select("column", outline.otherwise(F.lit(OTHER)).alias("outline"), F.when(is_date, F.translate("text", "/. ", "---")).alias("cut"))
+    number = lambda k: F.substring_index(F.substring_index("cut", "-", k), "-", -1).try_cast("int")
+    outlines = rows.groupBy("column", "outline").agg(F.count("*").alias("n"), F.max(number(1)).alias("first"), F.max(number(2)).alias("second"))
+    text = F.col("outline")
+    shape = F.when(text.isin(OTHER, *_NAMED.values()), text).otherwise(shape_of(text))
+    return outlines.groupBy("column", shape.alias("shape")).agg(F.sum("n").alias("n"), F.max("first").alias("first"), F.max("second").alias("second"))
 
 
 def resolve(shapes: list[tuple[str, int, int | None, int | None]]) -> tuple[str, ...]:

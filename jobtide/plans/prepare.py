@@ -134,11 +134,21 @@ def prepare(raw: DataFrame, cfg: PrepConfig | None = None, persist: bool = True,
     return C.coerce_types(df)
 
 
-def clean_rows(raw: DataFrame, cfg: PrepConfig | None = None) -> DataFrame:
-    """The rows that :func:`prepare` keeps, without encodings: no statistics pass, one narrow stage."""
+def clean_rows(raw: DataFrame, cfg: PrepConfig | None = None, columns=None) -> DataFrame:
+    """The rows that :func:`prepare` keeps, without encodings: no statistics pass, one narrow stage.
+
+    With ``columns``, only these (those present), and the parsed rows are first written to the shared
+    checkpoint folder with what the filters need: a filter on a parsed date would otherwise be
+    worked out below the parsing, which then runs anew for each filter, and for each reader of the result.
+    """
     cfg = cfg or PrepConfig()
-    df = _row_local(raw, cfg, None)
-    return C.coerce_types(C.keep_valid(C.span_end(df, cfg.default_duration_days), cfg.date_lo, cfg.date_hi))
+    df = C.span_end(_row_local(raw, cfg, None), cfg.default_duration_days)
+    if columns is None:
+        return C.coerce_types(C.keep_valid(df, cfg.date_lo, cfg.date_hi))
+    wanted = [c for c in columns if c in df.columns]
+    needed = ["date_creation_processed", "date_end", "industry", "work_places"]
+    df = stored(df.select(*dict.fromkeys(wanted + [c for c in needed if c in df.columns])))
+    return C.coerce_types(C.keep_valid(df, cfg.date_lo, cfg.date_hi)).select(*wanted)
 
 
 def encoding_tables(raw: DataFrame, cfg: PrepConfig | None = None,

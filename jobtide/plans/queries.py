@@ -157,16 +157,16 @@ def _spans(spark: SparkSession, sf_dir: str, group: str = "segment") -> DataFram
     return proxy.order_spans(spark, sf_dir, group=group)
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_rows(proxy.raw_vacancies(spark, sf_dir), proxy_prep_config())
+def _cleaned(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return clean_rows(proxy.raw_vacancies(spark, sf_dir), proxy_prep_config(), columns)
 
 
 def agg07_weight_summary(spark, sf_dir):
-    return R.weight_summary(_cleaned(spark, sf_dir))
+    return R.weight_summary(_cleaned(spark, sf_dir, "work_places"))
 
 
 def agg26_overview(spark, sf_dir):
-    return R.overview(_cleaned(spark, sf_dir))
+    return R.overview(_cleaned(spark, sf_dir, "date_creation_processed", "work_places", "industry"))
 
 
 def agg09_value_counts(spark, sf_dir):

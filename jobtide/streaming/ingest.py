@@ -28,8 +28,7 @@ FILES = "path string, modificationTime timestamp, length long, content binary"
 
 def prepare_stateless(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     """The row-local preparation steps and filters, in the batch order."""
-    df = clean_rows(df, cfg)
-    return df.select(*[c for c in STATELESS_COLUMNS if c in df.columns])
+    return clean_rows(df, cfg, STATELESS_COLUMNS)
 
 
 def start_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,

@@ -108,3 +108,30 @@ def test_series_log_counts_cells_and_series(spark):
                             "repaired_series": len({s for s, _ in changed}), "outliers": 2, "outliers_series": 1}
     counts = {r["series"]: r["outliers"] for r in TS.outlier_counts(TS.outlier_mask(df, 3.0)).collect()}
     assert counts == {"a": 0, "b": 2}
+
+
+def test_date_texts_are_counted_by_outline_before_their_shapes(spark):
+    from jobtide.operators.dateforms import date_shapes
+    texts = ["2019-01-02", "2019-1-2", "13/2/2019", "1/31/2019", "1/31/2019", "5 Mar 2019", "20190102", "soon", "x 5 Mar 2019", "2019-01-02T03:04:05+0300", "", None]
+    shapes = date_shapes(spark.createDataFrame([(t,) for t in texts], "d string"), ["d"])
+    got = {r["shape"]: (r["n"], r["first"], r["second"]) for r in shapes.collect()}
+    assert got == {"yyyy-M-d": (2, 2019, 1), "{1}/{2}/yyyy": (3, 13, 31), "d MMM yyyy": (1, None, None), "yyyyMMdd": (1, None, None),
+                   "other": (2, None, None), "yyyy-M-d'T'H:m:sXX": (1, 2019, 1)}
+    plan = shapes._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan[plan.rindex("Aggregate"):]      # no more than one match a text before the first count
+
+
+def test_edge_spaces_as_the_regular_expression_takes_them(spark):
+    from jobtide.functions.scalar import trim_space
+    edges = [chr(i) for i in (*range(1, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    df = spark.createDataFrame([(f"{e}a{e}b {e}",) for e in edges] + [(" ",), ("",), (None,)], "t string")
+    assert not df.where(~trim_space("t").eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""))).collect()
+
+
+def test_rows_cleaned_for_some_columns_are_parsed_once(spark):
+    rows = [("инженер", "2", "IT", "2019-03-01"), ("инженер", "9", "IT", "1999-01-01"), ("инженер", "3", None, "2019-03-01"), ("повар", "1", "IT", "2019-03-01")]
+    raw = spark.createDataFrame(rows, "title string, work_places string, industry string, date_creation string")
+    some = clean_rows(raw, columns=["work_places", "absent"])
+    assert some.columns == ["work_places"] and [tuple(r) for r in some.collect()] == [(2,)]
+    assert "rlike" not in some._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert clean_rows(raw).select("work_places").collect() == some.collect()
