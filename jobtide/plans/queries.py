@@ -362,6 +362,16 @@ _SPAN_COLS = ("vacancy_id", "industry", "date_creation_processed", "date_end", "
               "work_places")
 
 
+# Rows of one rendered file: a file is written by one task, so their number grows with the rows.
+_FILE_ROWS = 250_000
+
+
+def _files_per_batch(spark, sf_dir, batches: int) -> int:
+    """Files of each of so many batches: one, or more beyond ``_FILE_ROWS`` orders a file."""
+    from ..sources.tables import table
+    return max(1, -(-table(spark, sf_dir, "orders").count() // (batches * _FILE_ROWS)))
+
+
 def _raw_csv(spark, sf_dir, files: int = 4) -> str:
     """Render the order-based vacancy rows as ``;`` CSV files (scratch folder)."""
     from .pipeline import scratch_path
@@ -373,17 +383,19 @@ def _raw_csv(spark, sf_dir, files: int = 4) -> str:
 
 def src01_raw_csv_prepare(spark, sf_dir):
     from ..sources.vacancies import read_raw
-    raw = read_raw(spark, _raw_csv(spark, sf_dir))
+    raw = read_raw(spark, _raw_csv(spark, sf_dir, 4 * _files_per_batch(spark, sf_dir, 4)))
     return prepare(raw, proxy_prep_config()).select(*_SPAN_COLS)
 
 
 def src08_incremental_ingest(spark, sf_dir):
+    """Four micro-batches, of one file each while the files are small."""
     from ..streaming.ingest import ingest_available
     from .pipeline import scratch_path
-    src = _raw_csv(spark, sf_dir)
+    each = _files_per_batch(spark, sf_dir, 4)
+    src = _raw_csv(spark, sf_dir, 4 * each)
     out = ingest_available(spark, src, scratch_path(spark, "ingest-sink"),
                            scratch_path(spark, "ingest-ckpt"), proxy_prep_config(),
-                           max_files_per_trigger=1)
+                           max_files_per_trigger=each)
     return out.select(*_SPAN_COLS)
 
 

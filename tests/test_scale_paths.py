@@ -58,3 +58,12 @@ def test_hot_group_demand_is_exact(spark):
     exp_jan = sum(1 for r in hot)                          # every hot span is active in January
     exp_apr = sum(1 for r in hot if r[3].month > 4)
     assert got["2020-01-31"] == exp_jan and got["2020-04-30"] == exp_apr
+
+
+def test_rendered_files_grow_with_the_rows(spark, monkeypatch):
+    from jobtide.plans import queries as Q
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert Q._files_per_batch(spark, sf, 4) == 1
+    monkeypatch.setattr(Q, "_FILE_ROWS", max(1, n // 10))
+    assert Q._files_per_batch(spark, sf, 4) == 3
