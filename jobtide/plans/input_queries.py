@@ -14,6 +14,7 @@ from ..operators import clean as C
 from ..operators import encode as E
 from ..operators import report as R
 from ..operators.dateforms import infer_date_formats
+from ..session import stored
 from ..sources import proxy
 from ..sources.tables import table
 from ..sources.vacancies import infer_types, read_extract, read_prepared, read_raw, union_batches
@@ -42,7 +43,7 @@ _MIXED = ("vacancy_id", "title", "work_places", "industry", "region")
 
 
 def src01_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = proxy.raw_vacancies(spark, sf_dir).select(*_MIXED)
+    raw = stored(proxy.raw_vacancies(spark, sf_dir).select(*_MIXED))       # two kinds of files are written from it
     odd = F.pmod(F.col("vacancy_id").cast("long"), F.lit(2)) == 1
     path = scratch_path(spark, "mixed")
     raw.where(odd).write.options(**CSV).csv(f"{path}/plain")

@@ -61,11 +61,14 @@ def _lines(spark: SparkSession, paths) -> DataFrame:
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
     """(file, start, first row, rows) of each split in a batch."""
     at = 0
-    files, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-    for k in range(1, len(files) + 1):
-        if k == len(files) or (files[k], starts[k]) != (files[at], starts[at]):
-            yield files[at], starts[at], at, k - at
-            at = k
+    ends = {e for c in (0, 1) for e in pc.run_end_encode(batch.column(c)).run_ends.to_pylist()}
+    for k in sorted(ends):
+        yield batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), at, k - at
+        at = k
+
+
+def _has(lines: pa.Array, text: str) -> bool:
+    return bool(pc.any(pc.match_substring(lines, text)).as_py())
 
 
 def _split_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +80,7 @@ def _split_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             quotes = pc.count_substring(lines, '"')
             odd = pc.bit_wise_and(quotes, 1)
             row = facts.setdefault((file, start), [0, False, None, False])
-            row[1] = row[1] or bool(pc.any(pc.equal(odd, 1)).as_py()) or bool(
+            row[1] = row[1] or bool(pc.any(pc.equal(odd, 1)).as_py()) or _has(lines, "\r") and bool(
                 pc.any(pc.match_substring_regex(lines, r"\r[^\r]")).as_py())
             row[0] ^= pc.sum(odd).as_py() & 1
             if start == 0 and not row[3]:
@@ -108,10 +111,11 @@ def header_names(record: str, sep: str = ";") -> tuple[str, ...]:
 
 def survey(spark: SparkSession, paths, sep: str = ";") -> list[SourceFile]:
     """Every non-empty file with its header, in path order. The driver gets one row
-    per input split, as many as it plans tasks for."""
+    per input split, as many as it plans tasks for, of all tasks at once: a local iterator
+    would run them one after the other."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     found: dict[str, list] = {}
-    for r in _lines(spark, paths).mapInArrow(_split_facts, _SURVEY).toLocalIterator():
+    for r in _lines(spark, paths).mapInArrow(_split_facts, _SURVEY).collect():
         row = found.setdefault(r["file"], [None, False])
         row[0] = row[0] if r["header"] is None else r["header"]
         row[1] = row[1] or r["crosses"]
@@ -119,42 +123,58 @@ def survey(spark: SparkSession, paths, sep: str = ";") -> list[SourceFile]:
             for f, (h, crosses) in sorted(found.items()) if h is not None]
 
 
-def _assemble(inside: dict[tuple[str, int], bool]):
-    """Lines → records. Kinds: ``record``; ``tail``, open at its split's end; ``head``,
-    the rest of a record that an earlier split began."""
+def _assemble(inside: dict[tuple[str, int], bool], kinds: tuple[str, ...]):
+    """Lines → records of the wanted kinds: ``record``; ``tail``, open at its split's end;
+    ``head``, the rest of a record that an earlier split began."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, quoted, kind, parts, last_end, header_due = None, False, "record", [], "", False
         out: list[tuple] = []
 
-        def put(file, start, which):
+        def put(file, start, which, text):
             nonlocal header_due
-            text = "".join(parts)
             if which == "record" and header_due and text.strip():
                 header_due = False
-            elif which != "record" or text.strip():
+            elif which in kinds and (which != "record" or text.strip()):
                 out.append((file, start, which, text))
 
         for batch in batches:
             for file, start, at, n in _runs(batch):
                 if (file, start) != key:
                     if parts:
-                        put(*key, "head" if kind == "head" else "tail")
+                        put(*key, "head" if kind == "head" else "tail", "".join(parts))
                     key, quoted, parts, last_end = (file, start), inside[file, start], [], ""
                     kind, header_due = "head" if quoted else "record", start == 0
-                for line in batch.column(2).slice(at, n).to_pylist():
-                    for text, end in _LINE.findall(line + "\n"):
+                lines = batch.column(2).slice(at, n)
+                if _has(lines, "\r"):                # lines that the text reader did not part
+                    for text, end in (x for line in lines.to_pylist() for x in _LINE.findall(line + "\n")):
                         parts += [last_end, text] if parts or kind == "head" else [text]
                         quoted ^= bool(text.count('"') & 1)
                         last_end = end
                         if not quoted:
-                            put(file, start, kind)
+                            put(file, start, kind, "".join(parts))
                             kind, parts, last_end = "record", [], ""
+                    continue
+                # a record ends with each line after which the number of quotes is even
+                after = (pc.count_substring(lines, '"').to_numpy(zero_copy_only=False).cumsum() + quoted) & 1
+                closed = (after == 0).nonzero()[0].tolist()
+                quoted, first = bool(after[-1]), 0
+                if "record" not in kinds and kind == "record" and closed:
+                    parts, last_end, first, closed = [], "", closed[-1] + 1, []
+                texts = lines.slice(first).to_pylist()
+                begin = 0
+                for stop in closed:
+                    text = texts[begin] if begin == stop else "\n".join(texts[begin:stop + 1])
+                    put(file, start, kind, "".join([*parts, last_end, text]) if parts else text)
+                    kind, parts, last_end, begin = "record", [], "", stop + 1
+                if begin < len(texts):
+                    parts += [last_end, "\n".join(texts[begin:])]
+                    last_end = "\n"
             if out:
                 yield _record_batch(out)
                 out = []
         if parts:
-            put(*key, "head" if kind == "head" else "tail")
+            put(*key, "head" if kind == "head" else "tail", "".join(parts))
         if out:
             yield _record_batch(out)
 
@@ -171,7 +191,7 @@ def crossing_records(spark: SparkSession, paths) -> DataFrame:
     """``text``: the records, without headers, of files whose records cross line ends."""
     lines = _lines(spark, paths)
     splits: dict[str, list] = {}
-    for r in lines.mapInArrow(_split_facts, _SURVEY).toLocalIterator():
+    for r in lines.mapInArrow(_split_facts, _SURVEY).collect():
         splits.setdefault(r["file"], []).append((r["start"], r["odd"]))
     inside = {}
     for file, rows in splits.items():
@@ -179,14 +199,14 @@ def crossing_records(spark: SparkSession, paths) -> DataFrame:
         for start, odd in sorted(rows):
             inside[file, start] = quoted
             quoted ^= odd
-    made = lines.mapInArrow(_assemble(inside), _RECORDS)
+    made = lines.mapInArrow(_assemble(inside, ("record",)), _RECORDS)
     # A record over a split's end: its tail, then the heads up to where it closes.
-    parts = made.where("kind != 'record'")
+    parts = lines.mapInArrow(_assemble(inside, ("head", "tail")), _RECORDS)
     order = Window.partitionBy("file").orderBy("start", "kind")  # head < tail
     began = parts.withColumn("began", F.last(F.when(F.col("kind") == "tail", F.col("start")), True).over(order))
     joined = began.groupBy("file", "began").agg(F.expr(
         "concat_ws('\n', transform(array_sort(collect_list(struct(start, text))), x -> x.text))").alias("text"))
-    return made.where("kind = 'record'").select("text").unionByName(joined.select("text"))
+    return made.select("text").unionByName(joined.select("text"))
 
 
 def _read_class(spark: SparkSession, names, files: list[SourceFile], sep: str, extra: bool) -> list[DataFrame]:

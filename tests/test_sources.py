@@ -158,3 +158,23 @@ def test_only_absent_results_are_left_out(spark, tmpdir_path):
     _put(os.path.join(tmpdir_path, "metrics"), "x.parquet", "not parquet")
     with pytest.raises(Exception, match="(?i)parquet|read|file"):
         read_results(spark, tmpdir_path)["metrics"].collect()
+
+
+def test_the_survey_is_one_job_over_all_splits(spark, tmpdir_path, small_splits):
+    path = _put(tmpdir_path, "in.csv", _csv(["id", "title"], [[str(i), "x\ny" * 9] for i in range(900)]))
+    assert D._lines(spark, [path]).rdd.getNumPartitions() >= 4
+    spark.sparkContext.setJobGroup("survey-once", "")
+    try:
+        assert [f.crosses for f in D.survey(spark, path)] == [True]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("survey-once")) == 1
+
+
+def test_only_the_wanted_kinds_of_records_are_assembled():
+    lines = ["id;t", 'a;"x', "y", '";z', "plain;1", 'b;"open', "still"]
+    batch = D.pa.RecordBatch.from_arrays([D.pa.array(["f"] * 7), D.pa.array([0] * 7, D.pa.int64()), D.pa.array(lines)], names=["file", "start", "value"])
+    made = lambda kinds, quoted=False: [(r["kind"], r["text"]) for b in D._assemble({("f", 0): quoted}, kinds)(iter([batch])) for r in b.to_pylist()]
+    assert made(("record",)) == [("record", 'a;"x\ny\n";z'), ("record", "plain;1")]
+    assert made(("head", "tail")) == [("tail", 'b;"open\nstill')]
+    assert made(("head", "tail"), True)[0] == ("head", 'id;t\na;"x')
