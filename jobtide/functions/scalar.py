@@ -24,6 +24,7 @@ UNKNOWN = "Unknown"
 DATE_FORMATS = ("dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy")
 # ----------------------------------------------------------------------------
 
+DATE_PARTS = ("year", "month", "quarter", "day_of_week", "day_of_year")
 _RANGE_RE = rf"(?U){WORD_FROM}\s+(\d+)\s+{WORD_TO}\s+(\d+)"
 _FROM_RE = rf"(?U){WORD_FROM}\s+(\d+)"
 _EDGE_SPACE_RE = r"(?U)^\s+|\s+$"
@@ -31,6 +32,8 @@ _EDGE_SPACE_RE = r"(?U)^\s+|\s+$"
 _SPACES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _ISO_RE = (r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?"
            r"( ?(Z|[+-]\d{1,2}:\d{2}|[+-]\d{4}))?)?)?$")
+# Regular year-first dates without an offset: there is nothing to trim or to spell anew before the cast.
+_PLAIN_ISO_RE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\z"
 # No date this short has an offset of four digits: the least is 2019-1-2T3:4+0300.
 _NO_OFFSET = 16
 _DECIMAL_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
@@ -45,10 +48,21 @@ def trim_space(c: str | Column) -> Column:
     return F.btrim(col_of(c), F.lit(_SPACES))
 
 
+def trim_seldom(c: str | Column) -> Column:
+    """:func:`trim_space` without its search in text that begins and ends with visible ASCII. Its code is longer:
+    where it stands many times in one projection, the generated method grows too large to be compiled."""
+    x = col_of(c)
+    last = F.substring(x, -1, 1)
+    return F.when((x >= "!") & (x < "\x7f") & (last >= "!") & (last < "\x7f"), x).otherwise(trim_space(x))
+
+
+def _number(s: Column) -> Column:
+    return F.when(s.rlike(_DECIMAL_RE), s.try_cast("double"))
+
+
 def to_number(c: str | Column) -> Column:
     """FN-07: decimal text → DOUBLE; anything else, also NaN, → null."""
-    s = trim_space(col_of(c).cast("string"))
-    return F.when(s.rlike(_DECIMAL_RE), s.try_cast("double"))
+    return _number(trim_seldom(col_of(c).cast("string")))
 
 
 def is_decimal(c: str | Column) -> Column:
@@ -58,7 +72,7 @@ def is_decimal(c: str | Column) -> Column:
 
 def _weight_number(c: Column) -> Column:
     """Number of a weight text: as FN-07, and underscores may separate digits."""
-    return to_number(F.when(c.contains("_"), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c))
+    return _number(trim_space(F.when(c.contains("_"), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c)))
 
 
 def parse_weight(c: str | Column) -> Column:
@@ -91,16 +105,24 @@ def null_markers(c: str | Column) -> Column:
     return F.when(x.isin(*NULL_MARKERS), F.lit(None).cast("string")).otherwise(x)
 
 
-def parse_timestamp(c: str | Column, formats=DATE_FORMATS) -> Column:
+def year_first_timestamp(c: str | Column) -> Column:
+    """Year-first dates with hyphens, with or without a time, fraction and offset → TIMESTAMP; else null."""
+    s = col_of(c).cast("string")
+    x = trim_space(s)
+    # an offset without a colon is given one; the cast knows no other spelling that this one lacks
+    whole = F.when(F.length(x) <= _NO_OFFSET, x).otherwise(F.regexp_replace(x, r"([+-]\d\d)(\d\d)$", "$1:$2"))
+    return F.when(s.rlike(_PLAIN_ISO_RE), s.try_cast("timestamp")).when(x.rlike(_ISO_RE), whole.try_cast("timestamp"))
+
+
+def parse_timestamp(c: str | Column, formats=DATE_FORMATS, year_first: Column | None = None) -> Column:
     """FN-08: text → TIMESTAMP; bad → null.
 
     Year-first dates with hyphens, with or without a time, fraction and offset, are read
     as they are (an offset moves the time to the session's zone); other text by ``formats``, in order.
+    ``year_first`` holds the first reading where it has been done already.
     """
     x = trim_space(col_of(c).cast("string"))
-    # an offset without a colon is given one; the cast knows no other spelling that this one lacks
-    whole = F.when(F.length(x) <= _NO_OFFSET, x).otherwise(F.regexp_replace(x, r"([+-]\d\d)(\d\d)$", "$1:$2"))
-    iso = F.when(x.rlike(_ISO_RE), whole.try_cast("timestamp"))
+    iso = year_first_timestamp(c) if year_first is None else year_first
     return F.coalesce(iso, *[F.try_to_timestamp(x, F.lit(f)) for f in formats])
 
 
@@ -115,9 +137,8 @@ def unflag(date: str | Column, flag: str | Column | None) -> Column:
 def date_parts(ts: str | Column, prefix: str) -> list[Column]:
     """FN-11: year, month, quarter, day of week (Monday = 0), day of year."""
     t = col_of(ts)
-    return [F.year(t).alias(f"{prefix}_year"), F.month(t).alias(f"{prefix}_month"),
-            F.quarter(t).alias(f"{prefix}_quarter"), F.weekday(t).alias(f"{prefix}_day_of_week"),
-            F.dayofyear(t).alias(f"{prefix}_day_of_year")]
+    parts = (F.year(t), F.month(t), F.quarter(t), F.weekday(t), F.dayofyear(t))
+    return [part.alias(f"{prefix}_{name}") for name, part in zip(DATE_PARTS, parts)]
 
 
 def clip(x: str | Column, lo, hi) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..config import TITLE_LOOKALIKES
-from ..functions.scalar import (DATE_FORMATS, UNKNOWN, date_parts, null_markers, parse_timestamp,
+from ..functions.scalar import (DATE_FORMATS, DATE_PARTS, UNKNOWN, date_parts, null_markers, parse_timestamp,
                                 parse_weight, unflag, whole_days)
 
 
@@ -71,6 +71,24 @@ def dates(df: DataFrame, date_columns, formats=DATE_FORMATS) -> DataFrame:
     return df
 
 
+def reread_dates(df: DataFrame, date_columns, infer) -> DataFrame:
+    """:func:`dates` again for the texts that it could not read without formats, by those that
+    ``infer(df, columns)`` finds for the columns that hold such texts; other columns are left as they are."""
+    flags = {d: flag if flag in df.columns else None for d, flag in date_columns if f"{d}_processed" in df.columns}
+    if not flags:
+        return df
+    unread = [F.bool_or(unflag(d, flag).isNotNull() & F.col(f"{d}_processed").isNull()) for d, flag in flags.items()]
+    found = df.agg(*unread).first()
+    columns = [d for d, some in zip(flags, found) if some]
+    for d, formats in (infer(df, columns) if columns else {}).items():
+        if formats:
+            read = f"{d}_processed"
+            df = df.withColumn(read, parse_timestamp(unflag(d, flags[d]), formats, year_first=F.col(read)))
+            parts = date_parts(read, d)
+            df = df.withColumns(dict(zip([f"{d}_{p}" for p in DATE_PARTS], parts)))
+    return df
+
+
 def fill_unknown(df: DataFrame, features) -> DataFrame:
     """FN-06 in place on present text columns."""
     cols = set(df.columns)

@@ -5,8 +5,8 @@ first two numbers are still undecided where the year comes last. One
 aggregate counts the shapes of all date columns and keeps the largest first
 and second number of each; the driver sees a few dozen shapes a column,
 since text that is no date is one shape. Rows are counted by their text with
-every digit as 0, which costs one match a text; the shape, many matches, is
-worked out once for each of these.
+every digit after the second number as 0, which costs one match a text; the
+shape, many matches, is worked out once for each of their outlines.
 """
 
 from __future__ import annotations
@@ -14,19 +14,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import trim_space
+from ..functions.scalar import trim_seldom
 
 _DATE = (r"^(\d{1,4})([-/. ])(\d{1,2})\2(\d{1,4})"
          r"(?:( |T)(\d{1,2}):(\d{1,2})(:\d{1,2})?(\.\d{1,9})?( ?[AaPp][Mm])?)?( ?)(Z|[+-]\d{2}(?::?\d{2})?)?$")
 _NAMED = {r"^\d{1,2} [A-Za-z]{3} \d{4}$": "d MMM yyyy", r"^\d{1,2} [A-Za-z]{4,9} \d{4}$": "d MMMM yyyy",
           r"^[A-Za-z]{3} \d{1,2}, \d{4}$": "MMM d, yyyy", r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$": "MMMM d, yyyy",
           r"^\d{8}$": "yyyyMMdd", r"^\d{14}$": "yyyyMMddHHmmss"}
+# The commonest date, told from the others by a short match.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}\z"
 OTHER = "other"
 FIRST, SECOND = "{1}", "{2}"
 
 
 def _text(c: str) -> Column:
-    return trim_space(F.col(f"`{c}`").cast("string"))
+    return trim_seldom(F.col(f"`{c}`").cast("string"))
 
 
 def shape_of(text: Column) -> Column:
@@ -52,18 +54,29 @@ def shape_of(text: Column) -> Column:
     return shape.otherwise(F.lit(OTHER))
 
 
+def _like(text: Column) -> Column:
+    """A text of the same shape, first and second number: a date's later digits are 0, a named form and other text go by their name."""
+    head = F.substring_index(F.translate(text, "/. ", "---"), "-", 2)
+    rest = F.substr(text, F.length(head) + 1)
+    like = F.when(text.rlike(_PLAIN), F.concat(F.substring(text, 1, 7), F.lit("-00")))
+    like = like.when(text.rlike(_DATE), F.concat(F.substring(text, F.lit(1), F.length(head)), F.translate(rest, "0123456789", "0" * 10)))
+    for pattern, form in _NAMED.items():
+        like = like.when(text.rlike(pattern), F.lit(form))
+    return like.otherwise(F.lit(OTHER))
+
+
 def date_shapes(df: DataFrame, columns) -> DataFrame:
     """``column, shape, n, first, second``: non-empty texts by shape, and the largest first and second number of each."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _text(c).alias("text")) for c in columns]))
-    rows = df.select(pairs.alias("p")).select("p.column", "p.text").where("text != ''")
+    texts = df.select(*[_text(c).alias(f"t{i}") for i, c in enumerate(columns)])
+    rows = texts.unpivot([], texts.columns, "i", "text").where("text != ''")
+    rows = rows.groupBy("i", _like(F.col("text")).alias("text")).agg(F.count("*").alias("n"))
     # A date's shape depends on its text with every digit as 0 alone, of which there are few; other text has few shapes.
     is_date = F.col("text").rlike(_DATE)
-    outline = F.when(is_date, F.translate("text", "0123456789", "0" * 10))
-    for pattern, form in _NAMED.items():
-        outline = outline.when(F.col("text").rlike(pattern), F.lit(form))
-    rows = rows.select("column", outline.otherwise(F.lit(OTHER)).alias("outline"), F.when(is_date, F.translate("text", "/. ", "---")).alias("cut"))
+    outline = F.when(is_date, F.translate("text", "0123456789", "0" * 10)).otherwise(F.col("text"))
+    column = F.element_at(F.array(*[F.lit(c) for c in columns]), F.substring("i", 2, 9).cast("int") + 1)
+    rows = rows.select(column.alias("column"), "n", outline.alias("outline"), F.when(is_date, F.translate("text", "/. ", "---")).alias("cut"))
     number = lambda k: F.substring_index(F.substring_index("cut", "-", k), "-", -1).try_cast("int")
-    outlines = rows.groupBy("column", "outline").agg(F.count("*").alias("n"), F.max(number(1)).alias("first"), F.max(number(2)).alias("second"))
+    outlines = rows.groupBy("column", "outline").agg(F.sum("n").alias("n"), F.max(number(1)).alias("first"), F.max(number(2)).alias("second"))
     text = F.col("outline")
     shape = F.when(text.isin(OTHER, *_NAMED.values()), text).otherwise(shape_of(text))
     return outlines.groupBy("column", shape.alias("shape")).agg(F.sum("n").alias("n"), F.max("first").alias("first"), F.max("second").alias("second"))

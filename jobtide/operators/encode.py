@@ -1,7 +1,7 @@
 """Target encodings (AGG-01..06, JOIN-01/02, FN-10/12, PRJ-09).
 
 All categorical features are encoded from **one** aggregation: each row is
-stacked into ``(feature, key)`` pairs and grouped once, with map-side partial
+unpivoted into ``(feature, key)`` pairs and grouped once, with map-side partial
 aggregation, instead of one shuffle per feature. Numeric features are cut
 into quantile bins whose index joins the same stack, so the bin means come
 from the same pass. The per-feature maps are joined back: broadcast while the
@@ -130,23 +130,44 @@ def bin_index(x: Column, nb: NumericBins) -> Column:
     return F.greatest(F.size(F.filter(edges, lambda e: e < x)) - 1, F.lit(0))
 
 
+# Between the parts of a joint key; no number's text holds it.
+_JOINT = "\x1f"
+
+
 def encoding_maps(df: DataFrame, categorical: list[str], binned: dict[str, Column],
-                  target: str, min_samples: int, g: float) -> DataFrame:
+                  target: str, min_samples: int, g: float, joint=()) -> DataFrame:
     """One grouped pass for every feature: ``(feature, key, n, mean, enc)``.
 
     ``categorical`` are encoded by category with smoothing (AGG-02);
     ``binned`` maps a feature to its bin-index column, encoded by the plain
-    bin mean (AGG-05).
+    bin mean (AGG-05). ``joint`` are tuples of numeric categorical features with few
+    combinations, such as the parts of a date: rows are counted by
+    combination, and the combinations are counted by feature.
     """
-    pairs = [F.struct(F.lit(f).alias("feature"), category_key(f).alias("key"))
-             for f in categorical]
-    pairs += [F.struct(F.lit(f).alias("feature"), b.cast("string").alias("key"))
-              for f, b in binned.items()]
-    stacked = df.select(F.col(target).cast("double").alias("_t"),
-                        F.inline(F.array(*pairs)))
-    stats = (stacked.filter(F.col("key").isNotNull())
-             .groupBy("feature", "key")
-             .agg(F.count("_t").alias("n"), F.avg("_t").alias("mean")))
+    joint = [t for t in joint if t]
+    kinds = {t.name: t.dataType for t in df.schema}
+    if any(not isinstance(kinds[f], NumericType) for t in joint for f in t):
+        raise ValueError("joint features must be numeric")
+    together = {f for t in joint for f in t}
+    keys = {(f,): category_key(f) for f in categorical if f not in together}
+    keys.update({t: F.concat_ws(_JOINT, *[category_key(f) for f in t]) for t in map(tuple, joint)})
+    keys.update({(f,): b.cast("string") for f, b in binned.items()})
+    wide = df.select(F.col(target).cast("double").alias("_t"), *[k.alias(f"k{i}") for i, k in enumerate(keys.values())])
+    stacked = wide.unpivot(["_t"], wide.columns[1:], "i", "key")
+    counts = (stacked.filter(F.col("key").isNotNull())
+              .groupBy("i", "key")
+              .agg(F.count("_t").alias("n"), F.sum("_t").alias("s")))
+    features = F.lit(None)
+    for i, t in enumerate(keys):
+        features = F.when(F.col("i") == f"k{i}", F.array(*map(F.lit, t))).otherwise(features)
+    counts = counts.withColumn("features", features)
+    if joint:
+        parts = F.when(F.size("features") > 1, F.split("key", _JOINT)).otherwise(F.array("key"))
+        counts = (counts.select(F.inline(F.arrays_zip(F.col("features").alias("feature"), parts.alias("key"))), "n", "s")
+                  .groupBy("feature", "key").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+    else:
+        counts = counts.withColumn("feature", F.col("features")[0])
+    stats = counts.select("feature", "key", "n", F.try_divide("s", "n").alias("mean"))
     is_cat = F.col("feature").isin(*categorical) if categorical else F.lit(False)
     return stats.withColumn(
         "enc", F.when(is_cat, smoothed(F.col("mean"), F.col("n"), g, min_samples))
@@ -195,6 +216,9 @@ def apply_encodings(df: DataFrame, maps: DataFrame, keys: dict[str, Column],
         if bytes_of.get(f, 0) <= room:
             room -= bytes_of.get(f, 0)
             m = F.broadcast(m)
+        else:
+            # keys come once, so a partition's map is small, and the wide rows need not be sorted
+            m = m.hint("shuffle_hash")
         out = out.join(m, f"_k{i}", "left")
     enc_cols = []
     for i, f in enumerate(names):

@@ -17,7 +17,7 @@ from ..config import PrepConfig
 from ..functions.scalar import to_number
 from ..operators import clean as C
 from ..operators import encode as E
-from ..operators.dateforms import date_formats_of
+from ..operators.dateforms import date_formats_of, infer_date_formats
 from ..session import cut_lineage, stored
 
 DATE_PARTS_ENCODED = ("year", "month", "quarter")
@@ -72,36 +72,55 @@ def _categories(df: DataFrame, cfg: PrepConfig) -> list[str]:
     return [c for c in ("industry", *cfg.categorical_columns) if c in df.columns]
 
 
-def _row_local(raw: DataFrame, cfg: PrepConfig, log: PrepLog | None) -> DataFrame:
-    """The steps that look at one row only, before the filters."""
+def _numeric(df: DataFrame, cfg: PrepConfig) -> list[str]:
+    return [c for c in cfg.numeric_columns if c in df.columns]
+
+
+def _titled(raw: DataFrame, cfg: PrepConfig, log: PrepLog | None) -> DataFrame:
+    """The wanted columns of rows whose title matches, missing values as null."""
     df = C.drop_denied(raw, cfg.deny_columns)
-    formats = date_formats_of(C.mark_nulls(C.keep_titles(df, cfg.title_keyword)), cfg)
     if log is not None:
         kept = C.title_matches(cfg.title_keyword) if cfg.title_keyword else F.lit(True)
         df = df.observe(log.reading, F.count(F.lit(1)).alias("rows_read"), F.count_if(kept).alias("title_kept"))
-    df = C.keep_titles(df, cfg.title_keyword)
-    df = C.mark_nulls(df)
-    df = C.weights(df, cfg.target)
+    return C.mark_nulls(C.keep_titles(df, cfg.title_keyword))
+
+
+def _row_local(raw: DataFrame, cfg: PrepConfig, log: PrepLog | None) -> DataFrame:
+    """The steps that look at one row only, before the filters."""
+    formats = date_formats_of(_titled(raw, cfg, None), cfg)
+    df = C.weights(_titled(raw, cfg, log), cfg.target)
     df = C.dates(df, cfg.date_columns, formats)
     return C.fill_unknown(df, _categories(df, cfg))
 
 
+def _with_numbers(df: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """FN-07 in place, once: the statistics passes then read doubles."""
+    return df.withColumns({f: to_number(f) for f in _numeric(df, cfg)})
+
+
+def _stored_rows(raw: DataFrame, cfg: PrepConfig, log: PrepLog | None) -> DataFrame:
+    """Rows after the row-local steps, from one pass over ``raw``: the date forms are inferred from the stored table,
+    for columns that hold texts which are not read without them."""
+    date_columns = {c for pair in cfg.date_columns for c in pair}
+    own = {cfg.target, "industry", *cfg.categorical_columns, *cfg.numeric_columns}
+    if cfg.date_formats is not None or date_columns & own:
+        return stored(_with_numbers(_row_local(raw, cfg, log), cfg))
+    df = C.dates(C.weights(_titled(raw, cfg, log), cfg.target), cfg.date_columns, ())
+    df = stored(_with_numbers(C.fill_unknown(df, _categories(df, cfg)), cfg))
+    return C.reread_dates(df, cfg.date_columns, infer_date_formats)
+
+
 def _base(raw: DataFrame, cfg: PrepConfig, store: bool, log: PrepLog | None) -> _Base:
-    df = _row_local(raw, cfg, log)
-    cats = _categories(df, cfg)
-    numeric = [c for c in cfg.numeric_columns if c in df.columns]
-    # FN-07 in place, once: the statistics passes then read doubles.
-    df = df.withColumns({f: to_number(f) for f in numeric})
-    if store:
-        # Several statistics passes read this, each only its columns.
-        df = stored(df)
+    # Several statistics passes read the stored table, each only its columns.
+    df = _stored_rows(raw, cfg, log) if store else _with_numbers(_row_local(raw, cfg, log), cfg)
+    cats, numeric = _categories(df, cfg), _numeric(df, cfg)
     # The global mean of the target rides along the first statistics pass.
     bins, g = E.fit_numeric_bins(df, numeric, cfg.num_bins, mean_of=cfg.target)
     df = df.withColumns({f: E.numeric_value(f, bins[f], already_numeric=True) for f in numeric})
-    parts = [f"{d}_{p}" for d, _ in cfg.date_columns if f"{d}_processed" in df.columns
-             for p in DATE_PARTS_ENCODED]
+    joint = [tuple(f"{d}_{p}" for p in DATE_PARTS_ENCODED) for d, _ in cfg.date_columns if f"{d}_processed" in df.columns]
+    parts = [p for own in joint for p in own]
     binned = {f: E.bin_index(F.col(f), bins[f]) for f in numeric}
-    maps = E.encoding_maps(df, parts + cats, binned, cfg.target, cfg.min_samples, g)
+    maps = E.encoding_maps(df, parts + cats, binned, cfg.target, cfg.min_samples, g, joint)
     keys = {f: E.category_key(f) for f in parts + cats}
     keys.update({f: b.cast("string") for f, b in binned.items()})
     return _Base(df, cats, numeric, bins, g, maps, keys)

@@ -136,3 +136,46 @@ def test_rows_cleaned_for_some_columns_are_parsed_once(spark):
     assert some.columns == ["work_places"] and [tuple(r) for r in some.collect()] == [(2,)]
     assert "rlike" not in some._jdf.queryExecution().optimizedPlan().toString().lower()
     assert clean_rows(raw).select("work_places").collect() == some.collect()
+
+
+def test_preparation_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [("инженер", "2", "IT", f"2019-03-{1 + i % 28:02d}", "soon" if i % 3 else "13.02.2019") for i in range(40)]
+    df = spark.createDataFrame(rows, "title string, work_places string, industry string, date_creation string, date_posted string")
+    raw = df.withColumn("date_creation", F.udf(seen).asNondeterministic()("date_creation"))
+    assert prepare(raw, PrepConfig()).count() == 40
+    assert read.value == 40
+
+
+def test_forms_are_inferred_for_columns_with_unread_texts(spark, monkeypatch):
+    from jobtide.plans import prepare as P
+    asked = []
+    infer = P.infer_date_formats
+    monkeypatch.setattr(P, "infer_date_formats", lambda df, columns: asked.append(list(columns)) or infer(df, columns))
+    rows = [("инженер", "2", "IT", "2019-03-01", "0", "13.02.2019", "1.5.2019"), ("инженер", "3", "IT", "01.04.2019", "1", "2019-02-14", None),
+            ("инженер", "4", "IT", " 2019-05-01 10:20 ", "0", "soon", "2019-06-01T01:00:00+0300")]
+    names = "title work_places industry date_creation date_creation_mistake date_posted date_inactivation".split()
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    log = P.PrepLog()
+    got = {r["work_places"]: r for r in prepare(raw, PrepConfig(), log=log).collect()}
+    assert asked == [["date_posted", "date_inactivation"]]          # the flagged text is not read, whatever its form
+    d = dt.datetime
+    assert {k: (r["date_creation_processed"], r["date_posted_processed"], r["date_posted_month"], r["date_end"]) for k, r in got.items()} == {
+        2: (d(2019, 3, 1), d(2019, 2, 13), 2, d(2019, 5, 1)), 4: (d(2019, 5, 1, 10, 20), None, None, d(2019, 5, 31, 22))}
+    assert log.counts()["unread_date_posted"] == 1 and log.counts()["title_kept"] == 3
+
+
+def test_joint_features_give_the_same_maps(spark):
+    df = spark.createDataFrame([(2018 + i % 3, i % 12 + 1 if i % 7 else None, f"c{i % 4}", float(i % 5) if i % 11 else None) for i in range(200)],
+                               "y int, m int, c string, work_places double")
+    one, all_ = (sorted(map(tuple, E.encoding_maps(df, ["y", "m", "c"], {}, "work_places", 10, 2.0, joint).collect())) for joint in ([("y", "m")], ()))
+    assert len(one) == len(all_) == 3 + 13 + 4
+    for a, b in zip(one, all_):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:])
+    with pytest.raises(ValueError, match="numeric"):
+        E.encoding_maps(df, ["y", "c"], {}, "work_places", 10, 2.0, [("y", "c")])
