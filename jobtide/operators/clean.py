@@ -73,17 +73,19 @@ def dates(df: DataFrame, date_columns, formats=DATE_FORMATS) -> DataFrame:
 
 def reread_dates(df: DataFrame, date_columns, infer) -> DataFrame:
     """:func:`dates` again for the texts that it could not read without formats, by those that
-    ``infer(df, columns)`` finds for the columns that hold such texts; other columns are left as they are."""
+    ``infer(df, columns)`` finds for the columns that hold such texts; other columns are left as they are.
+    Text without a digit fits no form, and a failed reading is dear, so it is not tried."""
     flags = {d: flag if flag in df.columns else None for d, flag in date_columns if f"{d}_processed" in df.columns}
     if not flags:
         return df
-    unread = [F.bool_or(unflag(d, flag).isNotNull() & F.col(f"{d}_processed").isNull()) for d, flag in flags.items()]
+    left = {d: F.when(F.col(d).rlike("[0-9]"), unflag(d, flag)) for d, flag in flags.items()}
+    unread = [F.bool_or(left[d].isNotNull() & F.col(f"{d}_processed").isNull()) for d in flags]
     found = df.agg(*unread).first()
     columns = [d for d, some in zip(flags, found) if some]
     for d, formats in (infer(df, columns) if columns else {}).items():
         if formats:
             read = f"{d}_processed"
-            df = df.withColumn(read, parse_timestamp(unflag(d, flags[d]), formats, year_first=F.col(read)))
+            df = df.withColumn(read, parse_timestamp(left[d], formats, year_first=F.col(read)))
             parts = date_parts(read, d)
             df = df.withColumns(dict(zip([f"{d}_{p}" for p in DATE_PARTS], parts)))
     return df
