@@ -78,7 +78,7 @@ def reread_dates(df: DataFrame, date_columns, infer) -> DataFrame:
     flags = {d: flag if flag in df.columns else None for d, flag in date_columns if f"{d}_processed" in df.columns}
     if not flags:
         return df
-    left = {d: F.when(F.col(d).rlike("[0-9]"), unflag(d, flag)) for d, flag in flags.items()}
+    left = {d: F.when(F.col(d).cast("string").rlike("[0-9]"), unflag(d, flag)) for d, flag in flags.items()}
     unread = [F.bool_or(left[d].isNotNull() & F.col(f"{d}_processed").isNull()) for d in flags]
     found = df.agg(*unread).first()
     columns = [d for d, some in zip(flags, found) if some]
